@@ -25,16 +25,3 @@ def to_day(number: Column) -> Column:
 def epoch_day(value: date) -> int:
     return (value - date(1970, 1, 1)).days
 
-
-def push_front(value: Column, history: Column, cap: int) -> Column:
-    """Put today's value before the history (newest first) and keep `cap` entries.
-
-    A NULL history belongs to a key seen for the first time.
-    """
-    today = F.array(value)
-    return F.when(history.isNull(), today).otherwise(F.slice(F.concat(today, history), 1, cap))
-
-
-def prefix_sum(history: Column, days: int, zero: Column) -> Column:
-    """Sum over the newest `days` entries."""
-    return F.aggregate(F.slice(history, 1, days), zero, lambda total, v: total + v)

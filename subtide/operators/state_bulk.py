@@ -21,13 +21,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subtide.config import MONTH_WINDOW_DAYS, SHORT_WINDOW_DAYS, LifecycleConfig
-from subtide.functions.columns import day_number, epoch_day, flag, to_day
+from subtide.functions.columns import day_number, epoch_day, to_day
 from subtide.operators.daily import in_range
 from subtide.schemas import HISTORY_COLUMNS, SUBSCRIPTION_CUMULATED
 
-NEW, CONTINUED, WINBACK, REACQUISITION = "NEW", "CONTINUED", "WINBACK", "REACQUISITION"
+# How a paying day follows the one before it. The additions are the last three.
+QUIET, CONTINUED, RENEWED, WINBACK, REACQUISITION, NEW = range(6)
+NO_DAY = -1_000_000
 
-SCALAR_COLUMNS = [c for c in SUBSCRIPTION_CUMULATED.names if c not in HISTORY_COLUMNS]
+# The history arrays that hold running totals rather than the values of single days.
+TOTALS = ["paid_days", "minutes"]
+
+# What state days need from their span, apart from the key and the lifetime.
+LIFE_COLUMNS = [
+    "opco_code", "subscriber_id", "subscription_name", "first_active_date",
+    "minutes_before_life", "paid_days_before_life",
+]
+SPAN_COLUMNS = [
+    "day", "covered_to", "last_day", "arrival", "churned_for", "last_viewer_day",
+    "subscription_id", "paid_through_date", "churn_date", "last_churn_date", "last_winback_date",
+    "is_viewer_today", "minutes_of_usage", "minutes_to_date", "paid_days_earlier",
+]
 
 
 def feed_calendar(rows: DataFrame, start: date, end: date) -> DataFrame:
@@ -57,6 +71,7 @@ def paying_spans(
     end: date,
     cfg: LifecycleConfig = LifecycleConfig(),
     feed_dates: DataFrame | None = None,
+    distributed: bool = False,
 ) -> DataFrame:
     """One row per paying day with everything its following days depend on.
 
@@ -65,7 +80,8 @@ def paying_spans(
     window functions share one partitioning and ordering. A key holds at most
     one row per calendar day here, so no window group can grow with the data.
     Pass `feed_dates` when the feed calendar is already known; otherwise it is
-    read from `daily`.
+    read from `daily`. Pass `distributed` when `daily` comes from a table bucketed
+    on the key: nothing is shuffled then.
     """
     if feed_dates is None:
         feed_dates = feed_calendar(daily, start, end)
@@ -74,11 +90,21 @@ def paying_spans(
     steps = F.broadcast(_feed_steps(feed_dates, start, end))
     covers = (
         in_range(daily, start, end)
-        .withColumn("day", day_number("snapshot_date"))
+        .withColumn("day", _never_null(day_number("snapshot_date")))
         .join(steps, "day")
-        .withColumn("covered_to", F.col("next_feed_day") - 1)
-        .drop("next_feed_day", "snapshot_date", "is_paying_today", "subscription_start_date")
+        .select(
+            *["opco_code", "subscription_key", "subscriber_id", "subscription_name", "subscription_id"],
+            *["paid_through_date", "day"],
+            _never_null(F.col("next_feed_day") - 1).alias("covered_to"),
+            _never_null("is_viewer_today").alias("is_viewer_today"),
+            _never_null("minutes_of_usage").alias("minutes_of_usage"),
+        )
     )
+    if not distributed:
+        # A fixed number of partitions, because a span can turn into many state
+        # days: merged to the size of the spans, partitions would be far too few.
+        partitions = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        covers = covers.repartition(partitions, "subscription_key")
     by_key = Window.partitionBy("subscription_key").orderBy("day")
     so_far = by_key.rowsBetween(Window.unboundedPreceding, 0)
     before = by_key.rowsBetween(Window.unboundedPreceding, -1)
@@ -87,45 +113,50 @@ def paying_spans(
         known = F.when(F.col(column).isNotNull(), F.struct("day", column))
         return F.last(known, ignorenulls=True).over(frame)
 
+    def latest_day(condition: Column, day: Column) -> Column:
+        return F.last(F.when(condition, day), ignorenulls=True).over(so_far)
+
+    def at_life_start(column: str) -> Column:
+        return F.last(F.when(F.col("arrival") == NEW, F.col(column)), ignorenulls=True).over(so_far)
+
+    paid_days = (F.col("covered_to") - F.col("day") + 1).cast("long")
     idle = F.col("day") - F.col("prev_covered_to") - 1
-    churn_to_return = idle - grace
+    churned_for = idle - grace
     return (
         covers.withColumns(
             {
                 "prev_covered_to": F.lag("covered_to").over(by_key),
                 "next_day": F.lead("day").over(by_key),
+                "minutes_to_date": _never_null(F.sum("minutes_of_usage").over(so_far)),
+                "minutes_earlier": _never_null(F.sum("minutes_of_usage").over(before)),
+                "paid_days_earlier": _never_null(F.sum(paid_days).over(before)),
             }
         )
         .withColumns(
             {
-                "arrival": F.when(idle.isNull() | (idle > retention), NEW)
-                .when(idle <= grace, CONTINUED)
-                .when(churn_to_return <= winback, WINBACK)
-                .otherwise(REACQUISITION),
+                "arrival": F.when(idle.isNull() | (idle > retention), F.lit(NEW))
+                .when(idle <= grace, F.lit(CONTINUED))
+                .when(churned_for <= winback, F.lit(WINBACK))
+                .otherwise(F.lit(REACQUISITION)),
+                "churned_for": churned_for,
                 "last_day": F.least(
                     F.col("next_day") - 1, F.col("covered_to") + retention, F.lit(epoch_day(end))
                 ),
-                "churn_day": F.col("covered_to") + grace + 1,
             }
         )
         .withColumns(
             {
-                "first_active_day": F.last(
-                    F.when(F.col("arrival") == NEW, F.col("day")), ignorenulls=True
-                ).over(so_far),
+                "first_active_day": _never_null(at_life_start("day")),
+                "minutes_before_life": at_life_start("minutes_earlier"),
+                "paid_days_before_life": at_life_start("paid_days_earlier"),
                 "known_id": latest_known("subscription_id", so_far),
                 "previous_id": latest_known("subscription_id", before),
                 "known_paid_through": latest_known("paid_through_date", so_far),
-                "closed_churn_day": F.last(
-                    F.when(
-                        F.col("arrival").isin(WINBACK, REACQUISITION),
-                        F.col("prev_covered_to") + grace + 1,
-                    ),
-                    ignorenulls=True,
-                ).over(so_far),
-                "winback_day": F.last(
-                    F.when(F.col("arrival") == WINBACK, F.col("day")), ignorenulls=True
-                ).over(so_far),
+                "closed_churn_day": latest_day(
+                    F.col("arrival").isin(WINBACK, REACQUISITION), F.col("prev_covered_to") + grace + 1
+                ),
+                "winback_day": latest_day(F.col("arrival") == WINBACK, F.col("day")),
+                "last_viewer_day": latest_day(F.col("is_viewer_today") == 1, F.col("day")),
             }
         )
         .withColumns(
@@ -136,20 +167,95 @@ def paying_spans(
                 "paid_through_date": _this_life(
                     F.col("known_paid_through.day"), F.col("known_paid_through.paid_through_date")
                 ),
-                "closed_churn_day": _this_life(F.col("closed_churn_day"), F.col("closed_churn_day")),
-                "winback_day": _this_life(F.col("winback_day"), F.col("winback_day")),
+                "last_churn_date": to_day(_this_life(F.col("closed_churn_day"))),
+                "last_winback_date": to_day(_this_life(F.col("winback_day"))),
+                "last_viewer_day": F.coalesce(_this_life(F.col("last_viewer_day")), F.lit(NO_DAY)),
+                "first_active_date": to_day(F.col("first_active_day")),
+                "churn_date": to_day(F.col("covered_to") + grace + 1),
             }
         )
         .withColumn(
-            "is_renewal",
-            (F.col("arrival") == CONTINUED) & (F.col("subscription_id") != F.col("previous_id")),
+            "arrival",
+            F.when(
+                (F.col("arrival") == CONTINUED) & (F.col("subscription_id") != F.col("previous_id")),
+                F.lit(RENEWED),
+            ).otherwise(F.col("arrival")),
+        )
+        .drop("known_id", "known_paid_through", "previous_id", "closed_churn_day", "winback_day", "minutes_earlier")
+    )
+
+
+def _never_null(column: str | Column) -> Column:
+    """Zero for NULL; mostly to let the generated code drop its NULL branches."""
+    return F.coalesce(column, F.lit(0))
+
+
+def _this_life(known_on: Column, value: Column | None = None) -> Column:
+    return F.when(known_on >= F.col("first_active_day"), known_on if value is None else value)
+
+
+def with_history(
+    spans: DataFrame, cfg: LifecycleConfig = LifecycleConfig(), with_arrays: bool = True
+) -> DataFrame:
+    """Add `<name>_history` arrays and `history_end` to every span.
+
+    The arrays hold one value per day, newest first, from `history_end` back to
+    at least array_size days before the span (or to the start of the lifetime), so
+    the history of any day of the span is a slice, and a trailing sum is the
+    running total minus an earlier one. They are put together once per block of
+    about array_size days of a lifetime instead of once per day. The spans of a
+    lifetime follow each other without holes, and the two blocks before one
+    always reach back far enough. Everything stays within the partitioning by key.
+    """
+    cap = cfg.array_size
+    c = F.col
+    paid_to = F.least("covered_to", "last_day")
+    paid, unpaid = paid_to - c("day") + 1, c("last_day") - paid_to
+    idle_days = c("last_day") - c("day")
+    one, no_days, no_minutes = F.lit(1).cast("long"), F.lit(0).cast("long"), F.lit(0.0)
+    paid_days = c("paid_days_earlier") + paid
+    daily_values = {
+        "paid_days": F.concat(
+            F.sequence(c("paid_days_earlier") + 1, paid_days), F.array_repeat(paid_days, unpaid)
+        ),
+        "minutes": F.array_repeat(c("minutes_to_date"), idle_days + 1),
+    }
+    if with_arrays:
+        daily_values["activity"] = F.concat(F.array_repeat(one, paid), F.array_repeat(no_days, unpaid))
+        daily_values["viewer"] = F.concat(F.array("is_viewer_today"), F.array_repeat(no_days, idle_days))
+        daily_values["mou"] = F.concat(F.array("minutes_of_usage"), F.array_repeat(no_minutes, idle_days))
+    names = list(daily_values)
+    values = spans.withColumns(daily_values).withColumn(
+        "block", F.floor((c("day") - c("first_active_day")) / cap).cast("int")
+    )
+    life = ["subscription_key", "first_active_day"]
+    in_order = lambda columns: F.sort_array(F.collect_list(F.struct(*columns)))
+    blocks = (
+        values.groupBy(*life, "block")
+        .agg(
+            *[F.first(name).alias(name) for name in LIFE_COLUMNS],
+            F.max("last_day").alias("history_end"),
+            in_order(SPAN_COLUMNS).alias("spans"),
+            in_order(["day", *names]).alias("days"),
         )
-        .drop("known_id", "known_paid_through", "previous_id")
+        .withColumns({f"{n}_block": F.reverse(F.flatten(c("days")[n])) for n in names})
+        .drop("days")
     )
+    earlier = Window.partitionBy(*life).orderBy("block")
 
+    def reach_back(name: str) -> Column:
+        block = F.col(f"{name}_block")
+        pieces = [block, *[F.coalesce(F.lag(block, n).over(earlier), F.array()) for n in (1, 2)]]
+        if name in TOTALS:
+            # Running totals stand at their starting value before the lifetime.
+            pieces.append(F.array_repeat(f"{name}_before_life", cap))
+        return F.concat(*pieces).alias(f"{name}_history")
 
-def _this_life(known_on: Column, value: Column) -> Column:
-    return F.when(known_on >= F.col("first_active_day"), value)
+    return (
+        blocks.select(*life, *LIFE_COLUMNS, "history_end", "spans", *map(reach_back, names))
+        .select("*", F.inline("spans"))
+        .drop("spans")
+    )
 
 
 def expand_spans(
@@ -157,7 +263,11 @@ def expand_spans(
     cfg: LifecycleConfig = LifecycleConfig(),
     emit_from: date | None = None,
 ) -> DataFrame:
-    """State days from paying spans: every column that needs no history window."""
+    """State days from paying spans.
+
+    From plain spans, every column that needs no history; from spans that went
+    through `with_history`, all columns of the state table.
+    """
     first = F.col("day") if emit_from is None else F.greatest("day", F.lit(epoch_day(emit_from)))
     dense = (
         spans.withColumn("first_day", first)
@@ -165,44 +275,59 @@ def expand_spans(
         .withColumn("state_day", F.explode(F.sequence("first_day", "last_day")))
     )
     c = F.col
-    idle = F.greatest(F.lit(0), c("state_day") - c("covered_to"))
-    on_day = c("state_day") == c("day")
-    came_back = on_day & c("arrival").isin(WINBACK, REACQUISITION)
-    dense = dense.withColumns({"idle": idle, "on_day": on_day, "came_back": came_back})
-    paying, churned = c("idle") == 0, c("idle") > cfg.grace_days
-    in_grace = ~paying & ~churned
-    since_churn = F.when(churned, c("state_day") - c("churn_day")).when(
-        c("came_back"), c("state_day") - (c("prev_covered_to") + cfg.grace_days + 1)
+    dense = dense.withColumns(
+        {
+            "idle": F.greatest(F.lit(0), c("state_day") - c("covered_to")),
+            "arriving": F.when(c("state_day") == c("day"), c("arrival")).otherwise(F.lit(QUIET)),
+        }
+    )
+    churned, paying = c("idle") > cfg.grace_days, c("idle") == 0
+    arriving = c("arriving")
+    since_churn = F.when(churned, c("idle") - (cfg.grace_days + 1)).when(
+        arriving.between(WINBACK, REACQUISITION), c("churned_for")
     )
+    columns = {
+        "last_active_date": to_day(c("state_day") - c("idle")),
+        "churn_date": F.when(churned, c("churn_date")),
+        "last_churn_date": F.when(churned, c("churn_date")).otherwise(c("last_churn_date")),
+        "is_paying": paying.cast("long"),
+        "is_in_grace": c("idle").between(1, cfg.grace_days).cast("long"),
+        "is_active_subscription": (c("idle") <= cfg.grace_days).cast("long"),
+        "is_churned": churned.cast("long"),
+        "is_in_winback_window": c("idle")
+        .between(cfg.grace_days + 1, cfg.grace_days + 1 + cfg.winback_days)
+        .cast("long"),
+        "is_addition": (arriving >= WINBACK).cast("long"),
+        "is_new_subscription": (arriving == NEW).cast("long"),
+        "is_winback_event": (arriving == WINBACK).cast("long"),
+        "is_reacquisition_event": (arriving == REACQUISITION).cast("long"),
+        "is_churn_event": (c("idle") == cfg.grace_days + 1).cast("long"),
+        "is_renewal_event": (arriving == RENEWED).cast("long"),
+        "days_since_last_active": c("idle").cast("long"),
+        "days_since_churn": since_churn.cast("long"),
+        "tenure_days": (c("state_day") - c("first_active_day")).cast("long"),
+        "is_viewer_1d": F.when(arriving != QUIET, c("is_viewer_today")).otherwise(F.lit(0).cast("long")),
+        "mou_1d": F.when(arriving != QUIET, c("minutes_of_usage")).otherwise(F.lit(0.0)),
+        "snapshot_date": to_day(c("state_day")),
+    }
+    if "history_end" in spans.columns:
+        newest = c("history_end") - c("state_day")
+        paid_days = c("paid_days_earlier") + (c("state_day") - c("idle") - c("day") + 1)
+        days_of = {"7d": SHORT_WINDOW_DAYS, "30d": MONTH_WINDOW_DAYS, "90d": cfg.array_size}
+        for name, wanted in days_of.items():
+            days = cfg.window(wanted)
+            columns[f"is_viewer_{name}"] = (c("state_day") < c("last_viewer_day") + days).cast("long")
+            columns[f"active_days_{name}"] = paid_days - c("paid_days_history")[newest + days]
+            columns[f"mou_{name}"] = c("minutes_to_date") - c("minutes_history")[newest + days]
+        for source, array in zip(["activity_history", "viewer_history", "mou_history"], HISTORY_COLUMNS):
+            if source in spans.columns:
+                columns[array] = F.slice(source, newest + 1, cfg.array_size)
     return dense.select(
-        "opco_code",
-        "subscription_key",
-        "subscriber_id",
-        "subscription_name",
-        "subscription_id",
-        to_day(c("first_active_day")).alias("first_active_date"),
-        to_day(F.least("state_day", "covered_to")).alias("last_active_date"),
-        "paid_through_date",
-        to_day(F.when(churned, c("churn_day"))).alias("churn_date"),
-        to_day(F.when(churned, c("churn_day")).otherwise(c("closed_churn_day"))).alias("last_churn_date"),
-        to_day(c("winback_day")).alias("last_winback_date"),
-        flag(paying).alias("is_paying"),
-        flag(in_grace).alias("is_in_grace"),
-        flag(~churned).alias("is_active_subscription"),
-        flag(churned).alias("is_churned"),
-        flag(churned & (since_churn <= cfg.winback_days)).alias("is_in_winback_window"),
-        flag(c("on_day") & (c("arrival") != CONTINUED)).alias("is_addition"),
-        flag(c("on_day") & (c("arrival") == NEW)).alias("is_new_subscription"),
-        flag(c("on_day") & (c("arrival") == WINBACK)).alias("is_winback_event"),
-        flag(c("on_day") & (c("arrival") == REACQUISITION)).alias("is_reacquisition_event"),
-        flag(c("state_day") == c("churn_day")).alias("is_churn_event"),
-        flag(c("on_day") & c("is_renewal")).alias("is_renewal_event"),
-        c("idle").cast("long").alias("days_since_last_active"),
-        since_churn.cast("long").alias("days_since_churn"),
-        (c("state_day") - c("first_active_day")).cast("long").alias("tenure_days"),
-        F.when(c("on_day"), c("is_viewer_today")).otherwise(F.lit(0)).cast("long").alias("is_viewer_1d"),
-        F.when(c("on_day"), c("minutes_of_usage")).otherwise(F.lit(0.0)).alias("mou_1d"),
-        to_day(c("state_day")).alias("snapshot_date"),
+        *[
+            columns.get(name, c(name)).alias(name)
+            for name in SUBSCRIPTION_CUMULATED.names
+            if name in columns or name in spans.columns
+        ]
     )
 
 
@@ -214,39 +339,13 @@ def bulk_cumulated(
     feed_dates: DataFrame | None = None,
     emit_from: date | None = None,
     with_arrays: bool = True,
+    distributed: bool = False,
 ) -> DataFrame:
     """The state table of `start`..`end`, from empty state before `start`.
 
     Equal to running the daily step over every date of the range. `emit_from`
-    leaves out the rows of earlier dates (their history still counts). Without
-    arrays the three history columns are not built at all; all other columns are.
+    leaves out the rows of earlier dates (their history still counts), and
+    `with_arrays=False` the three array columns.
     """
-    spans = paying_spans(daily, start, end, cfg, feed_dates)
-    # The windows below need the history of the first emitted day.
-    warm_up = None
-    if emit_from is not None:
-        warm_up = date.fromordinal(max(start.toordinal(), emit_from.toordinal() - cfg.array_size))
-    dense = expand_spans(spans, cfg, warm_up)
-    life = Window.partitionBy("subscription_key", "first_active_date").orderBy("snapshot_date")
-
-    def trailing(days: int):
-        return life.rowsBetween(-(days - 1), 0)
-
-    spans_of = {
-        "7d": cfg.window(SHORT_WINDOW_DAYS),
-        "30d": cfg.window(MONTH_WINDOW_DAYS),
-        "90d": cfg.array_size,
-    }
-    history: dict[str, Column] = {}
-    for name, days in spans_of.items():
-        history[f"is_viewer_{name}"] = F.max("is_viewer_1d").over(trailing(days))
-        history[f"active_days_{name}"] = F.sum("is_paying").over(trailing(days))
-        history[f"mou_{name}"] = F.sum("mou_1d").over(trailing(days))
-    if with_arrays:
-        for array, value in zip(HISTORY_COLUMNS, ["is_paying", "is_viewer_1d", "mou_1d"]):
-            history[array] = F.reverse(F.collect_list(value).over(trailing(cfg.array_size)))
-    states = dense.withColumns(history)
-    if emit_from is not None:
-        states = states.where(F.col("snapshot_date") >= F.lit(emit_from))
-    wanted = SUBSCRIPTION_CUMULATED.names
-    return states.select(*[name for name in wanted if with_arrays or name not in HISTORY_COLUMNS])
+    spans = paying_spans(daily, start, end, cfg, feed_dates, distributed)
+    return expand_spans(with_history(spans, cfg, with_arrays), cfg, emit_from)

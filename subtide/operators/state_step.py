@@ -7,8 +7,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subtide.config import MONTH_WINDOW_DAYS, SHORT_WINDOW_DAYS, LifecycleConfig
-from subtide.functions.columns import flag, prefix_sum, push_front
+from subtide.config import LifecycleConfig
+from subtide.functions.columns import flag
+from subtide.functions.history import push_front, trailing_windows
 from subtide.schemas import SUBSCRIPTION_CUMULATED
 
 
@@ -127,10 +128,7 @@ def _advance(paired: DataFrame, ds: Column, has_snapshot: Column, cfg: Lifecycle
     churned_today = col("is_churn_event") == 1
     churn_reference = F.when(churned_today, col("snapshot_date")).otherwise(col("prev_churn_date"))
     since_churn = F.date_diff("snapshot_date", churn_reference)
-    week, month = cfg.window(SHORT_WINDOW_DAYS), cfg.window(MONTH_WINDOW_DAYS)
-    no_days, no_minutes = F.lit(0).cast("long"), F.lit(0.0)
-    windows = {"7d": week, "30d": month, "90d": cap}
-    return flagged.withColumns(
+    states = flagged.withColumns(
         {
             "churn_date": F.when(churned_today, col("snapshot_date")).when(not_paying, col("prev_churn_date")),
             "last_churn_date": F.when(churned_today, col("snapshot_date")).otherwise(
@@ -146,14 +144,6 @@ def _advance(paired: DataFrame, ds: Column, has_snapshot: Column, cfg: Lifecycle
             "tenure_days": F.date_diff("snapshot_date", "first_active_date").cast("long"),
             "is_viewer_1d": col("viewer"),
             "mou_1d": col("minutes"),
-            **{
-                f"is_viewer_{w}": flag(prefix_sum(col("viewer_array"), n, no_days) > 0)
-                for w, n in windows.items()
-            },
-            **{
-                f"active_days_{w}": prefix_sum(col("activity_array"), n, no_days)
-                for w, n in windows.items()
-            },
-            **{f"mou_{w}": prefix_sum(col("mou_array"), n, no_minutes) for w, n in windows.items()},
         }
-    ).select(*SUBSCRIPTION_CUMULATED.names)
+    )
+    return trailing_windows(states, cfg).select(*SUBSCRIPTION_CUMULATED.names)
