@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subtide.config import LifecycleConfig
-from subtide.schemas import SUBSCRIPTION_SNAPSHOT
+from subtide.schemas import RAW_SNAPSHOT, SUBSCRIPTION_SNAPSHOT
 
 # Orders as long subscriptions: the default thresholds apply.
 ORDERS_START, ORDERS_END = date(1995, 1, 2), date(2001, 11, 4)
@@ -90,3 +90,24 @@ def event_snapshots(spark: SparkSession, sf_dir: str, with_gaps: bool = True) ->
 
 def event_feed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_snapshots(spark, sf_dir).select("snapshot_date").distinct()
+
+
+def event_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a delivered file: all strings, some values missing or unreadable.
+
+    The product name is free text with quotes and commas.
+    """
+    n, day = F.col("event_id").cast("long"), F.to_date("ts")
+    slashed = F.concat_ws("/", F.month(day).cast("string"), F.day(day).cast("string"), F.year(day).cast("string"))
+    thousandths = F.lpad((n % 1000).cast("string"), 3, "0")
+    return read_table(spark, sf_dir, "events").select(
+        F.when(n % 103 == 5, "unknown").when(n % 107 == 1, day.cast("string")).otherwise(slashed).alias("snapshot_date"),
+        F.floor(n / 1000).cast("long").cast("string").alias("subscription_id"),
+        F.concat("event_type", F.lit(", "), "props").alias("subscription_name"),
+        F.col("user_id").cast("string").alias("subscriber_id"),
+        slashed.alias("subscription_start_date"),
+        F.when(n % 109 == 2, "n/a").when(n % 5 != 0, slashed).alias("subscription_end_date"),
+        F.when(n % 101 == 3, "many")
+        .when(n % 50 != 7, F.concat((n % 300).cast("string"), F.lit("."), thousandths))
+        .alias("minutes_of_usage"),
+    ).select(*RAW_SNAPSHOT.names)
