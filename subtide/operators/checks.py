@@ -94,7 +94,7 @@ def _daily_days(tables: Tables, start: date, end: date) -> DataFrame:
     )
 
 
-def _state_days(tables: Tables, start: date, end: date, cfg: LifecycleConfig) -> DataFrame:
+def state_days(tables: Tables, start: date, end: date, cfg: LifecycleConfig) -> DataFrame:
     """Per day: sums the date-level checks need and counts of rows that break a rule."""
     c = F.col
     lengths = [F.array_size(a) for a in ("activity_array", "viewer_array", "mou_array")]
@@ -144,7 +144,7 @@ def _paying_differs() -> Column:
     return F.coalesce("daily_rows", F.lit(0)) != F.coalesce("paying", F.lit(0))
 
 
-def _with_variance(state_days: DataFrame) -> DataFrame:
+def with_variance(state_days: DataFrame) -> DataFrame:
     """Closing balance minus (opening + additions - churn), over all opcos.
 
     The window has one row per calendar day, whatever the size of the tables.
@@ -176,17 +176,17 @@ def check_t03(tables: Tables, start: date, end: date, cfg=LifecycleConfig()) ->
 
 def check_t04(tables: Tables, start: date, end: date, cfg=LifecycleConfig()) -> DataFrame:
     days = _daily_days(tables, start, end).join(
-        _state_days(tables, start, end, cfg), "snapshot_date", "full_outer"
+        state_days(tables, start, end, cfg), "snapshot_date", "full_outer"
     )
     return _one_row(days, F.count_if(_paying_differs()))
 
 
 def check_t05(tables: Tables, start: date, end: date, cfg=LifecycleConfig()) -> DataFrame:
-    return _one_row(_state_days(tables, start, end, cfg), F.sum("arrays_broken"))
+    return _one_row(state_days(tables, start, end, cfg), F.sum("arrays_broken"))
 
 
 def check_t06(tables: Tables, start: date, end: date, cfg=LifecycleConfig()) -> DataFrame:
-    return _one_row(_state_days(tables, start, end, cfg), F.sum("state_broken"))
+    return _one_row(state_days(tables, start, end, cfg), F.sum("state_broken"))
 
 
 def check_t07(tables: Tables, start: date, end: date, cfg=LifecycleConfig()) -> DataFrame:
@@ -214,7 +214,7 @@ def check_t08(tables: Tables, start: date, end: date, cfg=LifecycleConfig()) ->
 
 
 def check_t09(tables: Tables, start: date, end: date, cfg=LifecycleConfig()) -> DataFrame:
-    days = _with_variance(_state_days(tables, start, end, cfg))
+    days = with_variance(state_days(tables, start, end, cfg))
     return _one_row(days, F.count_if(_off_balance(start)))
 
 
@@ -228,32 +228,47 @@ def check_t10(tables: Tables, start: date, end: date, cfg=LifecycleConfig()) ->
 
 
 def check_t11(tables: Tables, start: date, end: date, cfg=LifecycleConfig()) -> DataFrame:
-    return _one_row(_state_days(tables, start, end, cfg), F.sum("undated_churn"))
+    return _one_row(state_days(tables, start, end, cfg), F.sum("undated_churn"))
 
 
 def event_differences(tables: Tables, start: date, end: date) -> DataFrame:
-    """Golden events without an actual one (MISSING) and the reverse (UNEXPECTED)."""
-    expected = in_range(tables.expected_events, start, end, "event_date").select(
-        *EVENT_KEYS, F.lit(1).alias("expected")
+    """Golden events without an actual one (MISSING) and the reverse (UNEXPECTED).
+
+    Events are matched by subscriber, date and type only. Counting both sides per
+    event gives what a full outer join would leave unmatched, without pairing up
+    the repeats of a subscriber with many subscriptions. `rows` says how often the
+    event occurs.
+    """
+    golden = in_range(tables.expected_events, start, end, "event_date").select(
+        *EVENT_KEYS, F.lit(1).alias("golden"), F.lit(0).alias("actual")
     )
-    actual = lifecycle_events(tables.cumulated, start, end).select(*EVENT_KEYS, F.lit(1).alias("actual"))
-    return (
-        expected.join(actual, EVENT_KEYS, "full_outer")
-        .where(F.col("expected").isNull() | F.col("actual").isNull())
-        .select(*EVENT_KEYS, F.when(F.col("actual").isNull(), "MISSING").otherwise("UNEXPECTED").alias("problem"))
+    actual = lifecycle_events(tables.cumulated, start, end).select(
+        *EVENT_KEYS, F.lit(0).alias("golden"), F.lit(1).alias("actual")
+    )
+    counts = golden.unionByName(actual).groupBy(*EVENT_KEYS).agg(
+        F.sum("golden").alias("golden"), F.sum("actual").alias("actual")
+    )
+    return counts.where((F.col("golden") == 0) | (F.col("actual") == 0)).select(
+        *EVENT_KEYS,
+        F.when(F.col("actual") == 0, "MISSING").otherwise("UNEXPECTED").alias("problem"),
+        (F.col("golden") + F.col("actual")).alias("rows"),
     )
 
 
 def check_t12(tables: Tables, start: date, end: date, cfg=LifecycleConfig()) -> DataFrame:
     differences = event_differences(tables, start, end)
-    bad = differences.agg(F.count(F.lit(1)).alias("bad"))
+    bad = differences.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("bad"))
     line = F.concat_ws("|", "subscriber_id", F.col("event_date").cast("string"), "event_type", "problem")
     # The report names the first fifty; a sorted limit never gathers more than that.
-    lines = differences.select(line.alias("line")).orderBy("line").limit(DETAIL_LIMIT)
-    text = lines.agg(F.array_join(F.sort_array(F.collect_list("line")), ",").alias("detail"))
-    parts = bad.unionByName(
-        text.select(F.when(F.col("detail") != "", F.col("detail")).alias("detail")), allowMissingColumns=True
+    repeats = F.least("rows", F.lit(DETAIL_LIMIT)).cast("int")
+    lines = differences.select(F.explode(F.array_repeat(line, repeats)).alias("line"))
+    text = (
+        lines.orderBy("line")
+        .limit(DETAIL_LIMIT)
+        .agg(F.array_join(F.sort_array(F.collect_list("line")), ",").alias("detail"))
+        .select(F.when(F.col("detail") != "", F.col("detail")).alias("detail"))
     )
+    parts = bad.unionByName(text, allowMissingColumns=True)
     return parts.agg(F.max("bad").alias("bad"), F.max("detail").alias("detail"))
 
 
@@ -268,7 +283,7 @@ def _per_day_checks(tables: Tables, start: date, end: date, cfg: LifecycleConfig
     """T03-T06 and T09-T11 together: one pass over each table, then one row per calendar day."""
     days = (
         _calendar(tables, start, end)
-        .join(_with_variance(_state_days(tables, start, end, cfg)), "snapshot_date", "left")
+        .join(with_variance(state_days(tables, start, end, cfg)), "snapshot_date", "left")
         .join(_daily_days(tables, start, end), "snapshot_date", "left")
         .join(_bronze_days(tables, start, end), "snapshot_date", "left")
     )

@@ -29,8 +29,11 @@ def build_subscription_daily(
     reduced to one row per day before anything is shuffled. Being present in the
     snapshot is what makes a subscription paying that day.
     """
-    src = in_range(bronze, start, end or start).where(
-        F.col("subscriber_id").isNotNull() & F.col("subscription_name").isNotNull()
+    texts = ["opco_code", "subscriber_id", "subscription_name", "subscription_id"]
+    src = (
+        in_range(bronze, start, end or start)
+        .where(F.col("subscriber_id").isNotNull() & F.col("subscription_name").isNotNull())
+        .withColumns({c: F.col(c).cast("string") for c in texts})
     )
     latest_instance = F.struct("subscription_start_date", "subscription_id")
     grouped = src.groupBy("opco_code", "subscriber_id", "subscription_name", "snapshot_date").agg(

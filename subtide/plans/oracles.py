@@ -8,15 +8,7 @@ recursive query that goes day by day.
 from __future__ import annotations
 
 from subtide.config import LifecycleConfig
-from subtide.operators.checks import CHECK_NAMES
-from subtide.plans.shapes import (
-    KPI_MINUTES,
-    KPI_SUMS,
-    KPI_UNIQUES,
-    STATE_SCALARS,
-    STATE_TOTALS,
-    state_total,
-)
+from subtide.plans.shapes import KPI_MINUTES, KPI_SUMS, KPI_UNIQUES
 from subtide.sources.fixtures import (
     EVENTS_CONFIG,
     EVENTS_END,
@@ -66,7 +58,7 @@ daily AS (
   GROUP BY opco_code, subscriber_id, subscription_name, snapshot_date)"""
 
 
-def _days(start, end) -> str:
+def days_sql(start, end) -> str:
     return f"SELECT CAST(unnest(generate_series(DATE '{start}', DATE '{end}', INTERVAL 1 DAY)) AS DATE) AS ds"
 
 
@@ -84,7 +76,7 @@ grid AS (
                           WHEN daily.subscription_key IS NULL THEN 0 ELSE 1 END AS seen,
          coalesce(is_viewer_today, 0) AS viewer, coalesce(minutes_of_usage, 0.0) AS minutes,
          subscription_id AS id, paid_through_date AS paid_through
-  FROM keys JOIN ({_days(start, end)}) ON ds >= born
+  FROM keys JOIN ({days_sql(start, end)}) ON ds >= born
   LEFT JOIN feed ON feed.snapshot_date = ds
   LEFT JOIN daily ON daily.subscription_key = keys.subscription_key AND daily.snapshot_date = ds),
 carried AS (
@@ -168,7 +160,7 @@ grid AS (
   SELECT k.subscription_key, ds, f.snapshot_date IS NOT NULL AS has_feed,
          d.subscription_key IS NOT NULL AS present, d.is_viewer_today, d.minutes_of_usage,
          d.subscription_id, d.paid_through_date
-  FROM keys k CROSS JOIN ({_days(start, end)}) LEFT JOIN feed f ON f.snapshot_date = ds
+  FROM keys k CROSS JOIN ({days_sql(start, end)}) LEFT JOIN feed f ON f.snapshot_date = ds
   LEFT JOIN daily d ON d.subscription_key = k.subscription_key AND d.snapshot_date = ds),
 replay AS (
   SELECT subscription_key, DATE '{start}' - 1 AS ds, {nothing} FROM keys

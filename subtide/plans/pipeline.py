@@ -161,6 +161,13 @@ def kpi_view(warehouse: Warehouse) -> DataFrame:
     return kpi_daily_view(warehouse.table(KPI))
 
 
+def register_views(warehouse: Warehouse, raw: DataFrame | None = None, opco: str | None = None) -> None:
+    """Make the views available to SQL: the reporting view, and the landing view if `raw` is given."""
+    kpi_view(warehouse).createOrReplaceTempView("vw_ott_kpi_daily")
+    if raw is not None:
+        normalize_raw(raw, opco).createOrReplaceTempView("opco_raw_subscribers_vw")
+
+
 def stored_tables(warehouse: Warehouse) -> Tables:
     return Tables(
         *[warehouse.table(name) for name in (SNAPSHOT, DAILY, STATE, "test_expected_events")]

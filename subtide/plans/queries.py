@@ -20,6 +20,8 @@ from subtide.operators.checks import (
     Tables,
     missing_days,
     run_checks,
+    state_days,
+    with_variance,
 )
 from subtide.operators.daily import build_subscription_daily
 from subtide.operators.events import EVENT_KEYS, events_from_daily, lifecycle_events
@@ -31,7 +33,6 @@ from subtide.operators.state_bulk import (
     RENEWED,
     WINBACK,
     bulk_cumulated,
-    feed_calendar,
     paying_spans,
 )
 from subtide.operators.state_step import step_all_days, step_cumulated
@@ -354,10 +355,20 @@ def state_step_on_every_day(spark, sf_dir):
     return _lists_as_text(stepped)
 
 
-@query(sql.orders("SELECT opco_code, count(*) AS state_rows, CAST(0 AS BIGINT) AS differences FROM state GROUP BY ALL"))
+@query(sql.orders(f"SELECT {_STATE_SQL} FROM state WHERE snapshot_date = DATE '{fixtures.ORDERS_END}'"))
+def state_step_orders(spark, sf_dir):
+    inputs = orders_inputs(spark, sf_dir)
+    ds = inputs.end
+    before = replace(inputs, end=ds - timedelta(days=1))
+    today = build_subscription_daily(inputs.bronze, ds, ds, inputs.cfg)
+    yesterday = before.states(emit_from=before.end)
+    return step_cumulated(yesterday, today, ds, True, inputs.cfg).drop(*HISTORY_COLUMNS)
+
+
+@query(sql.events("SELECT opco_code, count(*) AS state_rows, CAST(0 AS BIGINT) AS differences FROM state GROUP BY ALL"))
 def state_step_equals_bulk(spark, sf_dir):
     """State rows of the bulk build on which the daily step disagrees, out of all."""
-    inputs = orders_inputs(spark, sf_dir)
+    inputs = events_inputs(spark, sf_dir)
     bulk = inputs.states()
     stepped = step_all_days(bulk, inputs.daily, inputs.feed, inputs.end, inputs.cfg)
     on = ["subscription_key", "snapshot_date"]
@@ -629,7 +640,7 @@ def check_suite_orders(spark, sf_dir):
     return _suite_of(orders_inputs(spark, sf_dir))
 
 
-@query(sql.events(f"""SELECT ds AS snapshot_date FROM ({sql._days(fixtures.EVENTS_START, fixtures.EVENTS_END)})
+@query(sql.events(f"""SELECT ds AS snapshot_date FROM ({sql.days_sql(fixtures.EVENTS_START, fixtures.EVENTS_END)})
 WHERE ds NOT IN (SELECT snapshot_date FROM daily)""", state=False))
 def missing_calendar_days(spark, sf_dir):
     """Calendar days on which the feed, taken as the table to look at, has nothing."""
@@ -648,11 +659,9 @@ FROM (SELECT snapshot_date, CAST(sum(is_active_subscription) AS BIGINT) AS activ
     )
 )
 def rollforward_identity(spark, sf_dir):
-    from subtide.operators.checks import _state_days, _with_variance
-
     inputs = events_inputs(spark, sf_dir)
-    days = _state_days(_healthy(inputs), inputs.start, inputs.end, inputs.cfg)
-    return _with_variance(days).select("snapshot_date", "active", "added", "churned", "variance")
+    days = state_days(_healthy(inputs), inputs.start, inputs.end, inputs.cfg)
+    return with_variance(days).select("snapshot_date", "active", "added", "churned", "variance")
 
 
 @query(

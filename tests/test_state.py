@@ -1,9 +1,11 @@
+import random
 from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from subtide.config import LifecycleConfig
+from subtide.operators.daily import build_subscription_daily
 from subtide.operators.state_bulk import bulk_cumulated, feed_calendar
 from subtide.operators.state_step import step_all_days, step_cumulated
 from subtide.schemas import HISTORY_COLUMNS, SUBSCRIPTION_CUMULATED, SUBSCRIPTION_DAILY
@@ -155,3 +157,36 @@ def test_feed_gap_carries_payers(spark):
 def test_config_rejects_retention_within_grace():
     with pytest.raises(ValueError):
         LifecycleConfig(grace_days=30, retention_days=30)
+
+
+def test_fractional_minutes_stay_within_rounding(spark):
+    rng = random.Random(1)
+    rows = paying_on(range(400), minutes={o: round(rng.uniform(0, 300), 2) for o in range(0, 400, 3)})
+    end = START + timedelta(days=460)
+    got = collected(bulk_cumulated(frame(spark, rows + paying_on(range(461), key="B")), START, end))
+    want = replay(rows + paying_on(range(461), key="B"), START, end, LifecycleConfig())
+    for key, row in want.items():
+        for c in ("mou_7d", "mou_30d", "mou_90d"):
+            assert got[key][c] == pytest.approx(row[c], abs=1e-8)
+            assert row[c] != 0 or got[key][c] == 0
+
+
+def test_a_hot_subscription_is_reduced_before_the_shuffle(spark):
+    """A third of all rows belongs to one subscription; it arrives as one row per day."""
+    n, end = 60_000, START + timedelta(days=9)
+    bronze = spark.range(n).select(
+        F.lit("X").alias("opco_code"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 2000)).alias("subscriber_id"),
+        F.lit("p").alias("subscription_name"),
+        (F.col("id") % 7).cast("string").alias("subscription_id"),
+        F.lit(START).alias("subscription_start_date"),
+        F.lit(end).alias("subscription_end_date"),
+        F.lit(1.0).alias("minutes_of_usage"),
+        F.date_add(F.lit(START), (F.col("id") % 10).cast("int")).alias("snapshot_date"),
+    )
+    daily = build_subscription_daily(bronze, START, end)
+    hot = daily.where(F.col("subscriber_id") == "hot").collect()
+    assert len(hot) == 10 and sum(r["minutes_of_usage"] for r in hot) == n / 3
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange")
+    assert "partial_sum" in plan[exchange:] and "partial_sum" not in plan[:exchange]
