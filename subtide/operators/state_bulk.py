@@ -348,4 +348,7 @@ def bulk_cumulated(
     `with_arrays=False` the three array columns.
     """
     spans = paying_spans(daily, start, end, cfg, feed_dates, distributed)
+    if emit_from is not None:
+        # Earlier spans are too old to be in anybody's history arrays.
+        spans = spans.where(F.col("last_day") >= epoch_day(emit_from) - cfg.array_size - 1)
     return expand_spans(with_history(spans, cfg, with_arrays), cfg, emit_from)

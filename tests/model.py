@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from datetime import date, timedelta
+from datetime import timedelta
 
 
 def replay(daily_rows, start, end, cfg):

@@ -1,13 +1,12 @@
 from datetime import date
 
-import pytest
 from pyspark.sql import functions as F
 
 from subtide.operators.upsert import duplicate_keys, upsert_snapshots
 from subtide.schemas import RAW_SNAPSHOT, SUBSCRIPTION_SNAPSHOT
 from subtide.sources.landing import normalize_raw, read_raw_snapshots, rejected_raw
 
-HEADER = "snapshot_date,subscription_id,subscription_name,subscriber_id,subscription_start_date,subscription_end_date,minutes_of_usage\n"
+HEADER = ",".join(RAW_SNAPSHOT.names) + "\n"
 
 
 def landing(spark, tmp_path, *lines):
@@ -61,7 +60,8 @@ def test_upsert_updates_inserts_and_keeps(spark):
     bronze = snapshot(spark, ("s1", "P", "i1", 1, 1), ("s2", "P", "i2", 2, 1), ("s1", "P", "i1", 3, 2))
     source = snapshot(spark, ("s1", "Q", "i1", 9, 1), ("s3", "P", "i3", 4, 1))
     merged = upsert_snapshots(bronze, source.select(*reversed(source.columns)))
-    got = sorted((r["subscriber_id"], r["subscription_name"], r["minutes_of_usage"], r["snapshot_date"].day) for r in merged.collect())
+    columns = ["subscriber_id", "subscription_name", "minutes_of_usage", F.dayofmonth("snapshot_date")]
+    got = sorted(tuple(r) for r in merged.select(*columns).collect())
     assert got == [("s1", "P", 3.0, 2), ("s1", "Q", 9.0, 1), ("s2", "P", 2.0, 1), ("s3", "P", 4.0, 1)]
 
 

@@ -1,4 +1,4 @@
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 from uuid import uuid4
 
 import pytest
@@ -127,6 +127,7 @@ def test_tables_survive_a_new_catalog(spark, warehouse, rows):
 
 def test_key_joins_and_windows_do_not_shuffle(spark, warehouse, rows):
     from subtide.operators.checks import check_t02
+    from subtide.operators.kpi import build_kpi_daily
     from subtide.operators.state_bulk import paying_spans
     from subtide.operators.state_step import step_cumulated
 
@@ -145,6 +146,9 @@ def test_key_joins_and_windows_do_not_shuffle(spark, warehouse, rows):
         plan = spans._jdf.queryExecution().executedPlan().toString()
         # Only the feed calendar is exchanged: its distinct dates and the broadcast of them.
         assert "hashpartitioning(subscription_key" not in plan
+        kpi = build_kpi_daily(warehouse.table(STATE), START, END)
+        plan = kpi._jdf.queryExecution().executedPlan().toString()
+        assert "_array" not in plan and "PartitionFilters: [isnotnull(snapshot_date" in plan
         t02 = check_t02(stored_tables(warehouse), START, END)
         assert "hashpartitioning" not in t02._jdf.queryExecution().executedPlan().toString()
     finally:
