@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from subtide.config import LifecycleConfig
 from subtide.operators.checks import ChecksFailed, Tables, run_checks
-from subtide.operators.daily import build_subscription_daily
-from subtide.operators.kpi import build_kpi_daily
+from subtide.operators.daily import build_subscription_daily, in_range
+from subtide.operators.kpi import build_kpi_daily, kpi_from_daily
 from subtide.operators.state_bulk import bulk_cumulated
 from subtide.operators.state_step import step_cumulated
 from subtide.operators.upsert import duplicate_keys, upsert_snapshots
 from subtide.operators.views import kpi_daily_view
 from subtide.plans.runlog import SKIPPED, logged
-from subtide.sources.landing import normalize_raw, rejected_raw
+from subtide.sources.landing import accepted, normalize_raw, parse_raw, rejected_raw
+from subtide.sources.scratch import written
 from subtide.sources.tables import BUCKET_KEY, Warehouse, day_before
 
 SNAPSHOT, DAILY, STATE, KPI = (
@@ -35,22 +36,27 @@ def load_snapshots(
     A row that cannot be read stops the load, unless the caller has dealt with
     `rejected_raw(raw)` and says so.
     """
-    if not allow_rejects:
-        bad = rejected_raw(raw).first()
-        if bad is not None:
-            raise ValueError(f"unreadable {bad['reject_reason']} in a landing row: {bad.asDict()}")
-    source = normalize_raw(raw, opco)
-    twice = duplicate_keys(source).first()
-    if twice is not None:
-        raise ValueError(f"landing rows repeat a key: {twice.asDict()}")
-    # One entry per calendar day in the files; prunes the table to the touched dates.
-    dates = sorted(row[0] for row in source.select("snapshot_date").distinct().collect())
-    if not dates:
-        return 0
-    touched = warehouse.table(SNAPSHOT).where(F.col("snapshot_date").isin(dates))
-    merged = upsert_snapshots(touched, source)
-    # Days differ in size: let the planner split big ones and join small ones.
-    return warehouse.replace_touched(SNAPSHOT, merged.hint("rebalance", "snapshot_date"))
+    quality = Observation()
+    parsed = parse_raw(raw, opco).observe(
+        quality,
+        F.count("reject_reason").alias("rejected"),
+        F.collect_set("snapshot_date").alias("dates"),  # one per calendar day in the files
+    )
+    # The text is read and parsed once; everything after it works on the written rows.
+    with written(accepted(parsed)) as source:
+        if quality.get["rejected"] and not allow_rejects:
+            example = rejected_raw(raw).first().asDict()
+            raise ValueError(
+                f"{quality.get['rejected']} unreadable landing rows, like the {example['reject_reason']} of {example}"
+            )
+        twice = duplicate_keys(source).first()
+        if twice is not None:
+            raise ValueError(f"landing rows repeat a key: {twice.asDict()}")
+        # Prunes the table to the touched dates.
+        touched = warehouse.table(SNAPSHOT).where(F.col("snapshot_date").isin(quality.get["dates"]))
+        merged = upsert_snapshots(touched, source)
+        # Days differ in size: let the planner split big ones and join small ones.
+        return warehouse.replace_touched(SNAPSHOT, merged.hint("rebalance", "snapshot_date"))
 
 
 def load_subscription_daily(
@@ -97,8 +103,7 @@ def load_subscription_cumulated_range(
 ) -> int:
     """State of a whole range in one job, from the daily rows since the first one stored."""
     with logged(warehouse, "load_subscription_cumulated", end) as run:
-        stored = warehouse.partitions(DAILY)
-        first = min([start, *stored[:1]])
+        first = _history_start(warehouse, start)
         states = bulk_cumulated(
             warehouse.read(DAILY, first, end), first, end, cfg, emit_from=start, distributed=True
         )
@@ -107,14 +112,33 @@ def load_subscription_cumulated_range(
     return run.rows
 
 
-def load_ott_kpi_daily(warehouse: Warehouse, start: date, end: date) -> int:
+def load_ott_kpi_daily(
+    warehouse: Warehouse,
+    start: date,
+    end: date,
+    cfg: LifecycleConfig = LifecycleConfig(),
+    source: str = "state",
+) -> int:
+    """KPIs of a range from stored state or, for KPIs alone, from the stored daily rows."""
     with logged(warehouse, "load_ott_kpi_daily", end) as run:
-        kpi = build_kpi_daily(warehouse.table(STATE), start, end)
+        if source == "state":
+            kpi = build_kpi_daily(warehouse.table(STATE), start, end)
+        elif source == "daily":
+            first = _history_start(warehouse, start)
+            daily = warehouse.read(DAILY, first, end)
+            kpi = in_range(kpi_from_daily(daily, first, end, cfg, distributed=True), start, end)
+        else:
+            raise ValueError(f"unknown source {source!r}")
         run.rows = warehouse.replace_range(KPI, kpi, start, end)
         run.message = f"range {start}..{end}"
     return run.rows
 
 
+def _history_start(warehouse: Warehouse, start: date) -> date:
+    """The first date with daily rows, from which state has to be worked out."""
+    return min([start, *warehouse.partitions(DAILY)[:1]])
+
+
 def run_pipeline(
     warehouse: Warehouse,
     ds: date,

@@ -20,8 +20,8 @@ def _parse_date(column: str) -> Column:
     return F.coalesce(*[F.try_to_date(F.col(column), fmt) for fmt in DATE_FORMATS])
 
 
-def _parsed(raw: DataFrame, opco: str) -> DataFrame:
-    """Raw columns under raw_*, typed columns under their own name, and what is wrong."""
+def parse_raw(raw: DataFrame, opco: str) -> DataFrame:
+    """Snapshot columns, the raw columns as raw_*, and the first column that is unreadable, if any."""
     dates = ["snapshot_date", "subscription_start_date", "subscription_end_date"]
     named = raw.select(*[F.col(c).alias(f"raw_{c}") for c in RAW_SNAPSHOT.names])
     minutes = F.col("raw_minutes_of_usage")
@@ -46,13 +46,16 @@ def _parsed(raw: DataFrame, opco: str) -> DataFrame:
     )
 
 
+def accepted(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col("reject_reason").isNull()).select(*SUBSCRIPTION_SNAPSHOT.names)
+
+
 def normalize_raw(raw: DataFrame, opco: str) -> DataFrame:
     """Typed snapshot rows of one operating company; unreadable rows are left to `rejected_raw`."""
-    good = _parsed(raw, opco).where(F.col("reject_reason").isNull())
-    return good.select(*SUBSCRIPTION_SNAPSHOT.names)
+    return accepted(parse_raw(raw, opco))
 
 
 def rejected_raw(raw: DataFrame) -> DataFrame:
     """The rows `normalize_raw` leaves out, as delivered, with the first column that is unreadable."""
-    bad = _parsed(raw, "").where(F.col("reject_reason").isNotNull())
+    bad = parse_raw(raw, "").where(F.col("reject_reason").isNotNull())
     return bad.select(*[F.col(f"raw_{c}").alias(c) for c in RAW_SNAPSHOT.names], "reject_reason")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -19,3 +21,18 @@ def scratch_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return tempfile.mkdtemp(prefix="subtide-")
+
+
+@contextmanager
+def written(df: DataFrame) -> Iterator[DataFrame]:
+    """`df` as a table in a scratch folder, computed once however often it is read.
+
+    Written to shared storage rather than cached, so it outlives lost executors.
+    """
+    spark, folder = df.sparkSession, scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    try:
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -10,7 +10,7 @@ from subtide.operators.state_bulk import bulk_cumulated
 from subtide.operators.views import kpi_daily_view
 from subtide.schemas import OTT_KPI_DAILY
 from tests.model import random_daily, replay
-from tests.test_state import START, frame
+from tests.test_state import START, frame, paying_on
 
 CONFIGS = [
     (LifecycleConfig(), 420, 24, 0.0),
@@ -115,3 +115,24 @@ def test_opco_filter_reaches_below_the_view_window(spark, tmp_path):
     view = kpi_daily_view(spark.read.schema(OTT_KPI_DAILY).parquet(f"{tmp_path}/kpi"))
     plan = view.where(F.col("opco_code") == "X")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(opco_code,X)" in plan
+
+
+def test_a_subscriber_with_another_plan_does_not_churn(spark):
+    rows = [
+        {**r, "subscription_key": f"X|s|{plan}", "subscriber_id": "s", "subscription_name": plan}
+        for plan, days in (("a", range(1)), ("b", range(34)))
+        for r in paying_on(days)
+    ]
+    end = START + timedelta(days=80)
+    rows += paying_on(range(81), key="other")
+    daily = frame(spark, rows)
+    for kpi in (
+        kpi_from_daily(daily, START, end),
+        build_kpi_daily(bulk_cumulated(daily, START, end), START, end),
+    ):
+        churn = {r["snapshot_date"]: r for r in kpi.where("subscription_churn > 0").collect()}
+        first, last = START + timedelta(days=31), START + timedelta(days=64)
+        assert {d: (r["subscription_churn"], r["subscriber_churn"]) for d, r in churn.items()} == {
+            first: (1, 0),
+            last: (1, 1),
+        }

@@ -4,12 +4,13 @@ from uuid import uuid4
 import pytest
 from pyspark.sql import functions as F
 
+from subtide.__main__ import main
 from subtide.config import LifecycleConfig
 from subtide.operators.checks import CHECKS, ChecksFailed, Tables, run_checks
 from subtide.operators.events import EVENT_KEYS, lifecycle_events
 from subtide.plans.pipeline import (
-    DAILY, KPI, SNAPSHOT, STATE, backfill, kpi_view, load_snapshots, load_subscription_cumulated,
-    load_subscription_daily, run_pipeline, stored_tables, validate,
+    DAILY, KPI, SNAPSHOT, STATE, backfill, kpi_view, load_ott_kpi_daily, load_snapshots,
+    load_subscription_cumulated, load_subscription_daily, register_views, run_pipeline, stored_tables, validate,
 )
 from subtide.plans.runlog import LoadFailed
 from subtide.schemas import RAW_SNAPSHOT, SUBSCRIPTION_SNAPSHOT, TEST_EXPECTED_EVENTS
@@ -61,6 +62,9 @@ def test_bulk_backfill_then_steps_equal_the_model(warehouse, rows):
     assert got.keys() == kpis.keys()
     assert all(got[k][c] == v for k in kpis for c, v in kpis[k].items())
     assert kpi_view(warehouse).where("roll_forward_variance <> 0").isEmpty()
+    stored = warehouse.table(KPI).collect()
+    load_ott_kpi_daily(warehouse, START, END, CFG, source="daily")
+    assert sorted(warehouse.table(KPI).collect()) == sorted(stored)
     # Bulk again over the tail, with the first days as history, changes nothing.
     backfill(warehouse, middle, END, CFG)
     assert_same(collected(warehouse.table(STATE)), expected)
@@ -69,7 +73,7 @@ def test_bulk_backfill_then_steps_equal_the_model(warehouse, rows):
     assert {(r[0], r[1]): r[2] for r in log} == {
         ("load_subscription_daily", "SUCCESS"): steps + 2,
         ("load_subscription_cumulated", "SUCCESS"): steps + 2,
-        ("load_ott_kpi_daily", "SUCCESS"): steps + 2,
+        ("load_ott_kpi_daily", "SUCCESS"): steps + 3,
     }
     expect_all_events(warehouse)
     results = validate(warehouse, START, END, CFG)
@@ -248,3 +252,17 @@ def test_validate_replaces_todays_results_and_raises(spark, warehouse, rows):
     validate(warehouse, START, START + timedelta(days=4), CFG)
     stored = warehouse.table("test_results").collect()
     assert len(stored) == 12 and {r["status"] for r in stored} == {"PASS"}
+
+
+def test_command_line_runs_the_jobs(spark, tmp_path):
+    database = f"cli_{uuid4().hex[:8]}"
+    (tmp_path / "day.csv").write_text(",".join(RAW_SNAPSHOT.names) + "\n1/2/2024,i1,P,s1,1/1/2024,2/1/2024,5\n")
+    options = ["--root", str(tmp_path / "wh"), "--database", database, "--buckets", "2"]
+    main([*options, "load", str(tmp_path / "day.csv"), "--opco", "X"])
+    main([*options, "backfill", "2024-01-02", "2024-01-02"])
+    wh = Warehouse(spark, str(tmp_path / "wh"), database)
+    register_views(wh)
+    assert spark.sql("SELECT closing_subscriptions FROM vw_ott_kpi_daily").collect() == [(1,)]
+    with pytest.raises(ChecksFailed):
+        main([*options, "validate", "2024-01-02", "2024-01-02"])  # no golden events are stored
+    wh.drop()
