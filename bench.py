@@ -29,7 +29,7 @@ HEADLINE = [
     "state_step",
     "upsert_snapshot_halves",
     "check_suite_events",
-    "pipeline_reporting_view",
+    "stored_reporting_view",
 ]
 
 

@@ -14,51 +14,64 @@ from subtide.operators.state_bulk import NEW, REACQUISITION, RENEWED, WINBACK, p
 from subtide.schemas import OTT_KPI_DAILY
 
 
+# Bits of what can be true of a subscriber on a day.
+_ACTIVE, _ADDED, _CHURNED, _VIEWED_1D, _VIEWED_7D, _VIEWED_30D = (1 << n for n in range(6))
+_SUBSCRIBER_FLAGS = {
+    "is_active_subscription": _ACTIVE,
+    "is_addition": _ADDED,
+    "is_churn_event": _CHURNED,
+    "is_viewer_1d": _VIEWED_1D,
+    "is_viewer_7d": _VIEWED_7D,
+    "is_viewer_30d": _VIEWED_30D,
+}
+
+
 def build_kpi_daily(states: DataFrame, start: date, end: date) -> DataFrame:
     """KPIs of `start`..`end` from stored state rows.
 
-    Two grouped aggregates over one scan of scalar columns: first per subscriber
-    and day, then per opco and day. Sums taken per subscriber add up to the sums
-    over subscriptions, so the two levels need no join, and a subscriber is
-    unique by the time subscribers are counted.
+    Sums over subscriptions shrink to one row per opco and day before they are
+    shuffled. What has to be known per subscriber travels as one small number, and
+    only from rows where any of it is true: idle churned subscriptions, the bulk
+    of a state table, stay where they are. The two sides read almost disjoint
+    columns and meet with one row per opco and day.
     """
-    sums = [
-        "is_addition", "is_new_subscription", "is_winback_event", "is_reacquisition_event",
-        "is_renewal_event", "is_churn_event", "is_paying", "is_in_grace", "is_active_subscription",
-        "mou_1d", "mou_7d", "mou_30d",
-    ]
-    any_of = [
-        "is_active_subscription", "is_addition", "is_churn_event",
-        "is_viewer_1d", "is_viewer_7d", "is_viewer_30d",
-    ]
-    subscriber_day = (
-        in_range(states, start, end)
-        .groupBy("opco_code", "snapshot_date", "subscriber_id")
-        .agg(
-            *[F.sum(c).alias(c) for c in sums],
-            *[F.max(c).alias(f"any_{c}") for c in any_of],
-        )
-    )
-    any_flag = lambda c: F.col(f"any_{c}") == 1
-    totals = subscriber_day.groupBy("opco_code", "snapshot_date").agg(
+    rows = in_range(states, start, end)
+    of_day = ["opco_code", "snapshot_date"]
+    sums = rows.groupBy(*of_day).agg(
         F.sum("is_addition").alias("additions"),
-        F.count_if(any_flag("is_addition")).alias("unique_additions"),
         F.sum("is_new_subscription").alias("new_subscriptions"),
         F.sum("is_winback_event").alias("winback_subscriptions"),
         F.sum("is_reacquisition_event").alias("reacquisition_subscriptions"),
         F.sum("is_renewal_event").alias("renewal_subscriptions"),
         F.sum("is_churn_event").alias("subscription_churn"),
-        F.count_if(any_flag("is_churn_event") & (F.col("any_is_active_subscription") == 0)).alias(
-            "subscriber_churn"
-        ),
         F.sum("is_paying").alias("paying_subscriptions"),
         F.sum("is_in_grace").alias("grace_subscriptions"),
         F.sum("is_active_subscription").alias("active_subscriptions"),
-        F.count_if(any_flag("is_active_subscription")).alias("active_subscribers"),
-        *[F.count_if(any_flag(f"is_viewer_{w}")).alias(f"unique_viewers_{w}") for w in ("1d", "7d", "30d")],
         *[F.sum(f"mou_{w}").alias(f"minutes_of_usage_{w}") for w in ("1d", "7d", "30d")],
     )
-    return _finish(totals)
+    traits = sum((F.col(flag) * bit for flag, bit in _SUBSCRIBER_FLAGS.items()), F.lit(0)).cast("int")
+    subscribers = (
+        rows.select(*of_day, "subscriber_id", traits.alias("traits"))
+        .where(F.col("traits") > 0)
+        .groupBy(*of_day, "subscriber_id")
+        .agg(F.bit_or("traits").alias("traits"))
+    )
+
+    def having(bit: int) -> Column:
+        return F.col("traits").bitwiseAND(bit) != 0
+
+    uniques = {
+        "unique_additions": having(_ADDED),
+        "subscriber_churn": having(_CHURNED) & ~having(_ACTIVE),
+        "active_subscribers": having(_ACTIVE),
+        "unique_viewers_1d": having(_VIEWED_1D),
+        "unique_viewers_7d": having(_VIEWED_7D),
+        "unique_viewers_30d": having(_VIEWED_30D),
+    }
+    counts = subscribers.groupBy(*of_day).agg(*[F.count_if(c).alias(n) for n, c in uniques.items()])
+    totals = sums.join(counts, of_day, "left")
+    # A day on which nobody is active or watching has no row among the counts.
+    return _finish(totals.withColumns({n: F.coalesce(n, F.lit(0)) for n in uniques}))
 
 
 def _finish(totals: DataFrame) -> DataFrame:

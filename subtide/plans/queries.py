@@ -694,7 +694,7 @@ def _stored(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 @query(sql.events("SELECT * FROM gold", sql.KPI, sql.VIEW))
-def pipeline_reporting_view(spark, sf_dir):
+def stored_reporting_view(spark, sf_dir):
     return kpi_view(_stored(spark, sf_dir))
 
 
@@ -708,6 +708,6 @@ FROM (SELECT 'load_subscription_daily' AS proc_name, count(*) AS n FROM daily
         sql.KPI,
     )
 )
-def pipeline_run_log(spark, sf_dir):
+def run_log_rows(spark, sf_dir):
     log = _stored(spark, sf_dir).table("etl_run_log")
     return log.select("proc_name", "ds", "rows_affected", "status", "message")
