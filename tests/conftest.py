@@ -17,7 +17,7 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("subtide-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
