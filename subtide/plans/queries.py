@@ -687,7 +687,9 @@ def trailing_30d_recompute(spark, sf_dir):
 def _stored(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The event snapshots in tables of their own, with every load run over them."""
     inputs = events_inputs(spark, sf_dir)
-    warehouse = Warehouse(spark, scratch_folder(spark), f"subtide_{uuid4().hex[:12]}")
+    # As many buckets as the cluster has cores.
+    buckets = spark.sparkContext.defaultParallelism
+    warehouse = Warehouse(spark, scratch_folder(spark), f"subtide_{uuid4().hex[:12]}", buckets)
     warehouse.replace_touched(SNAPSHOT, inputs.bronze.hint("rebalance", "snapshot_date"))
     backfill(warehouse, inputs.start, inputs.end, inputs.cfg)
     return warehouse
