@@ -45,7 +45,9 @@ FREQUENT = 16  # sets that hold a frequent shingle, at least
 FREQUENT_MOST = 2_000_000  # shingles in the broadcast class; 16 MB
 COUNTED = 4_000_000  # shingles a task counts at once
 
-_SETS = T.StructType().add("doc_id", "long").add("n", "long").add("digest", "binary").add("token", "long").add("times", "long")
+CLASS_SHIFT = np.uint64(16)  # the frequent class goes by the upper 48 bits of a shingle's hash
+
+_SETS = T.StructType().add("doc_id", "long").add("n", "long").add("digest", "binary").add("bucket", "integer").add("tokens", "binary").add("times", "binary")
 _PREFIX = T.StructType().add("node", "long").add("sizes", "long").add("signatures", T.ArrayType(T.LongType(), False))
 _LISTED = T.StructType().add("signature", "long").add("a", "long").add("b", "long").add("sizes_a", "long").add("sizes_b", "long")
 _SHINGLES = T.StructType().add("node", "long").add("shingles", "binary")
@@ -61,8 +63,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.75,
     if not 0.75 <= threshold < 1:
         raise ValueError("the combinations are complete for thresholds from 0.75 to below 1")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), octets("text").alias("text"))
-    told = stored(texts.mapInArrow(_measured(shingle), _SETS))
-    sets = told.where("token IS NULL").select("doc_id", "n", "digest")
+    # As many buckets as give the partitions of a shuffle several each.
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    measured = texts.mapInArrow(_measured(shingle, buckets), _SETS)
+    counts = stored(
+        measured.where("bucket IS NOT NULL").groupBy("bucket").applyInArrow(_summed(frequent), "token long, times long")
+    )
+    sets = stored(measured.where("bucket IS NULL").select("doc_id", "n", "digest"))
     classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node"))
     members = stored(sets.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "digest").distinct().join(classes, "digest"))
     copies = stored(
@@ -72,7 +79,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.75,
         .select(F.col("copy").alias("node"))
     )
 
-    common = docs.sparkSession.sparkContext.broadcast(_frequent(told, frequent))
+    common = docs.sparkSession.sparkContext.broadcast(_frequent(counts, frequent))
     with_id = texts.where("doc_id IS NOT NULL")
     prefixes = with_id.mapInArrow(_prefixes(shingle, threshold, common), _PREFIX).join(broadcast_if_small(copies), "node", "left_anti")
     lists = prefixes.select(F.explode("signatures").alias("signature"), "node", "sizes")
@@ -89,7 +96,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.75,
     stars = _stars(pairs, long_lists)
     links = stored(verifier.linked(stars))
     components = stored(connected_components(links))
-    rest = _across(pairs, long_lists, components, threshold).join(stars, ["a", "b"], "left_anti")
+    rest = _across(pairs, long_lists, components, round(threshold * 10_000)).join(stars, ["a", "b"], "left_anti")
     more = stored(verifier.linked(rest))
     components = connected_components(links.unionByName(more).unionByName(repeated))
 
@@ -101,22 +108,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.75,
     )
 
 
-def _measured(shingle: int):
-    """Per text the size and digest of its set; besides, shingles that different sets of a task share."""
+def _measured(shingle: int, buckets: int):
+    """Per text the size and digest of its set; besides, the shingles of a task's different sets,
+    sorted and packed, in a row per bucket: 6 bytes of each, byte by byte, and how often."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("token", pa.int64()), ("times", pa.int64())])
+        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("bucket", pa.int32()), ("tokens", pa.binary()), ("times", pa.binary())])
         held: list[np.ndarray] = []
         seen: set[bytes] = set()
         size = 0
 
-        def shared() -> pa.RecordBatch:
-            values = np.sort(np.concatenate(held)) if held else np.empty(0, np.uint64)
-            first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.empty(0, int)
-            times = np.diff(first, append=len(values))
-            first, times = first[times > 1], times[times > 1]
-            none = pa.nulls(len(first))
-            return pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(values[first].view(np.int64)), pa.array(times)], schema=schema)
+        def packed() -> pa.RecordBatch:
+            values = np.sort(np.concatenate(held)) >> CLASS_SHIFT
+            first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+            times = np.diff(first, append=len(values)).astype(np.uint32)
+            values = values[first]
+            width = (1 << 48) // buckets + 1
+            edges = np.searchsorted(values, np.arange(buckets + 1, dtype=np.uint64) * np.uint64(width))
+            full = [k for k in range(buckets) if edges[k] < edges[k + 1]]
+            planes = [values[edges[k] : edges[k + 1]].view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes() for k in full]
+            counts = [times[edges[k] : edges[k + 1]].tobytes() for k in full]
+            none = pa.nulls(len(full), pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, pa.nulls(len(full), pa.binary()), pa.array(full, pa.int32()), pa.array(planes, pa.binary()), pa.array(counts, pa.binary())], schema=schema)
 
         for batch, texts in chunks(batches):
             sizes, digests = [], []
@@ -124,24 +137,46 @@ def _measured(shingle: int):
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                 sizes.append(len(found))
                 digests.append(digest)
-                if digest not in seen:
+                if len(found) and digest not in seen:
                     seen.add(digest)
                     held.append(found)
                     size += len(found)
-            none = pa.nulls(len(sizes), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), none, none], schema=schema)
+            none = pa.nulls(len(sizes), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.nulls(len(sizes), pa.int32()), none, none], schema=schema)
             if size > COUNTED:
-                yield shared()
+                yield packed()
                 held, seen, size = [], set(), 0
-        yield shared()
+        if held:
+            yield packed()
 
     return run
 
 
-def _frequent(told: DataFrame, least: int) -> np.ndarray:
-    """Sorted shingles of the frequent class: those counted `least` times, or as much more often as
+def _summed(least: int):
+    """Tokens of a bucket that occur `least` times or more, and how often."""
+
+    def run(bucket: pa.Table) -> pa.Table:
+        tokens = []
+        for planes in bucket.column("tokens").to_pylist():
+            plane = np.frombuffer(planes, np.uint8).reshape(6, -1)
+            wide = np.zeros((plane.shape[1], 8), np.uint8)
+            wide[:, :6] = plane.T
+            tokens.append(wide.reshape(-1).view(np.uint64))
+        tokens = np.concatenate(tokens)
+        times = np.concatenate([np.frombuffer(x, np.uint32) for x in bucket.column("times").to_pylist()])
+        order = np.argsort(tokens, kind="stable")
+        tokens, times = tokens[order], times[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        total = np.add.reduceat(times, first)
+        often = total >= least
+        return pa.table({"token": tokens[first][often].view(np.int64), "times": total[often]})
+
+    return run
+
+
+def _frequent(counts: DataFrame, least: int) -> np.ndarray:
+    """Sorted tokens of the frequent class: those counted `least` times, or as much more often as
     keeps them within FREQUENT_MOST."""
-    counts = stored(told.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= least))
     sizes = counts.groupBy(F.floor(F.log2("times")).alias("power")).count().orderBy(F.desc("power")).collect()  # 64 rows at most
     floor, total = 1 << 62, 0
     for row in sizes:
@@ -158,8 +193,8 @@ def _prefixes(shingle: int, threshold: float, common):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = common.value
-        maybe = np.zeros(1 << 20, bool)
-        maybe[(frequent >> np.uint64(44)).astype(np.int64)] = True
+        maybe = np.zeros(1 << 20, bool)  # by the upper 20 bits, a quick no for most
+        maybe[(frequent >> np.uint64(28)).astype(np.int64)] = True
         for batch, texts in chunks(batches):
             nodes, sizes, parts = [], [], []
             for node, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(Words(texts), shingle)):
@@ -169,7 +204,7 @@ def _prefixes(shingle: int, threshold: float, common):
                 e = n + -share * n // 10_000
                 often = maybe[(found >> np.uint64(44)).astype(np.int64)]
                 if often.any():
-                    often[often] = _inside(frequent, found[often])
+                    often[often] = _inside(frequent, found[often] >> CLASS_SHIFT)
                 rare = found[~often]
                 extended = e + 1 + n // 16
                 singles = rare[:extended] & ~np.uint64(1)
@@ -269,28 +304,58 @@ def _stars(pairs: DataFrame, long_lists: DataFrame) -> DataFrame:
     return stored(first.unionByName(low).unionByName(high).distinct())
 
 
-def _across(pairs: DataFrame, long_lists: DataFrame, components: DataFrame, threshold: float) -> DataFrame:
+def _across(pairs: DataFrame, long_lists: DataFrame, components: DataFrame, share: int) -> DataFrame:
     """Candidate pairs whose sets are in different components, which are all that are left."""
-    rows = long_lists.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rows.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("signature")
-    rows = stored(rows.join(mixed, "signature", "left_semi"))
-    left = rows.selectExpr("signature", "node AS a", "sizes AS sizes_a", "component AS component_a")
-    right = rows.selectExpr("signature", "node AS b", "sizes AS sizes_b", "component AS component_b")
-    close = F.expr(
-        f"least(shiftright(sizes_a, 32), shiftright(sizes_b, 32)) >= {threshold} * greatest(shiftright(sizes_a, 32), shiftright(sizes_b, 32)) - 1e-9"
+    rows = long_lists.join(components, "node", "left").selectExpr(
+        "signature", "node", "sizes", "coalesce(component, node) AS component", "shiftright(sizes, 32) AS n"
     )
-    of_long = _counted(left.join(right, "signature").where((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & close))
-    known = components.select(F.col("node"), "component")
+    singles = _mixed(rows.where("signature & 1 = 0"))
+    close = F.expr(f"10000 * least(n_a, n_b) >= {share} * greatest(n_a, n_b)")
+    of_long = _counted(_met(singles, close))
+    known = components.select("node", "component")
     of_short = (
         pairs.join(known.toDF("a", "component_a"), "a", "left")
         .join(known.toDF("b", "component_b"), "b", "left")
-        .where(~F.coalesce("component_a", "a").eqNullSafe(F.coalesce("component_b", "b")))
+        .where("NOT coalesce(component_a, a) <=> coalesce(component_b, b)")
         .select(of_long.columns)
     )
-    both = of_short.unionByName(of_long).groupBy("a", "b").agg(
+    counted = of_short.unionByName(of_long).groupBy("a", "b").agg(
         F.sum("shared").alias("shared"), F.max("combined").alias("combined"), F.min("sizes_a").alias("sizes_a"), F.min("sizes_b").alias("sizes_b")
     )
-    return stored(both.where(_enough()).select("a", "b"))
+    return stored(counted.where(_enough()).select("a", "b").union(_combined(rows.where("signature & 1 = 1"), share)).distinct())
+
+
+def _combined(rows: DataFrame, share: int) -> DataFrame:
+    """Pairs from long lists of combinations, each from the first list that has both.
+
+    Sets found by combinations alone share frequent shingles alone, so a set with f of them shares f
+    at most: (1 + t) min(f, f') >= t (n + n') for a link. That is asked of each set and the
+    smallest of a list before pairs are made, then of the pairs.
+    """
+    rare = f"least(n, n - ceil({share} * n / 10000) + 1 + n div 16) - (sizes & 4294967295)"
+    rows = _mixed(rows.withColumn("f", F.expr(f"n - ({rare})")))
+    least = rows.groupBy("signature").agg(F.min("n").alias("least_n"))
+    enough = "(10000 + {s}) * {f} >= {s} * ({n})"
+    rows = rows.join(least, "signature").where(enough.format(s=share, f="f", n=f"n + greatest(least_n, ceil({share} * n / 10000))"))
+    rows = _mixed(rows.drop("least_n"))
+    lists = rows.groupBy("node").agg(F.sort_array(F.collect_set("signature")).alias("lists"))  # no more than the set has shingles
+    rows = stored(rows.join(lists, "node"))
+    can = F.expr(enough.format(s=share, f="least(f_a, f_b)", n="n_a + n_b"))
+    first = F.expr("signature = element_at(array_intersect(lists_a, lists_b), 1)")
+    return _met(rows, can & first).select("a", "b")
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows of lists that hold more than one component."""
+    ends = rows.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return stored(rows.join(ends.where("low <> high").select("signature"), "signature", "left_semi"))
+
+
+def _met(rows: DataFrame, condition) -> DataFrame:
+    """Pairs a < b of a list that are in different components and meet the condition."""
+    left = rows.toDF(*[c if c == "signature" else "a" if c == "node" else f"{c}_a" for c in rows.columns])
+    right = rows.toDF(*[c if c == "signature" else "b" if c == "node" else f"{c}_b" for c in rows.columns])
+    return left.join(right.withColumnRenamed("signature", "other"), F.expr("signature = other AND a < b AND component_a <> component_b") & condition)
 
 
 class _Verifier:
@@ -331,3 +396,18 @@ def _similar(threshold: float):
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """`docs` with one row of each component: the one with its smallest doc_id.
+
+    Texts without a shingle and rows without a doc_id all stay. Of several rows with the doc_id that
+    stays, the one with the smallest values stays.
+    """
+    found = stored(near_duplicates(docs, **options).where("doc_id IS NOT NULL"))
+    gone = stored(found.where("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct())
+    kept = docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(docs.columns)
+    several = stored(found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    several = broadcast_if_small(several)
+    one = kept.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("key"), F.struct(*docs.columns).alias("row")).groupBy("key").agg(F.min("row").alias("row"))
+    return kept.join(several, "doc_id", "left_anti").select(docs.columns).unionByName(one.select("row.*"))

@@ -55,11 +55,11 @@ class Words:
     """Words of a list of texts: `hashes`, the words of text d at first[d]:first[d + 1].
 
     `begins` and `ends` are byte offsets in `joined`, the lower-cased texts with a
-    space between them; offsets[d] is where text d begins in it.
+    line end between them; offsets[d] is where text d begins in it.
     """
 
     def __init__(self, texts: list[bytes], kind: np.ndarray = NOT_SPACE, lower: bool = True) -> None:
-        joined = b" ".join(texts)
+        joined = b"\n".join(texts)
         self.joined = joined.lower() if lower else joined  # of bytes: A-Z alone
         raw = np.frombuffer(self.joined, np.uint8)
         inside = kind[raw]
@@ -130,3 +130,40 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tu
             total += size
         if start < len(values):
             yield batch.slice(start), values.slice(start).to_pylist()
+
+
+class Lines:
+    """Lines of the texts that have a word: the text each is in, its number there (empty lines
+    count), a hash of its words, and how many words it has."""
+
+    def __init__(self, words: Words) -> None:
+        ends = np.flatnonzero(np.frombuffer(words.joined, np.uint8) == 10)
+        line = np.searchsorted(ends, words.begins)
+        first = np.flatnonzero(np.diff(line, prepend=-1))
+        self.n_words = np.diff(first, append=len(line))
+        if len(first):
+            _POWERS.reach(len(line))
+            sums = np.add.reduceat(words.hashes * _POWERS.up[: len(line)], first)
+            self.hashes = mixed(sums * _POWERS.down[first] + self.n_words.astype(np.uint64))
+        else:
+            self.hashes = np.empty(0, np.uint64)
+        self.text = np.searchsorted(words.first, first, "right") - 1
+        self.number = line[first] - np.searchsorted(ends, words.offsets)[self.text]
+
+
+class Known:
+    """A bounded set of 64-bit hashes, with a quick no for most others."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.ordered = np.sort(hashes)
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(self.ordered >> np.uint64(44)).astype(np.int64)] = True
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        out = self.maybe[(hashes >> np.uint64(44)).astype(np.int64)]
+        if out.any():
+            some = hashes[out]
+            at = np.searchsorted(self.ordered, some)
+            at[at == len(self.ordered)] = 0
+            out[out] = self.ordered[at] == some
+        return out
