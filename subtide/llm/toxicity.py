@@ -3,11 +3,14 @@
 Texts are folded first: small letters, look-alikes of other scripts and digits or signs that stand
 for letters become plain letters, white space one blank. Entries are whole words or stems (a stem
 matches words that begin with it); a word counts once, by its heaviest match. A match within an
-exception phrase does not count. The sum of weights, divided by the root of the length in words,
+exception phrase does not count, and a match that comes n times counts 1 + log n times. The sum of
+weights, divided by the root of the length in words,
 goes through a logistic curve to a score from 0 to 1.
 
 Lexicon, weights, exceptions and curve are learned from the labelled rows given as training rows.
-Weights are log ratios of the shares of toxic and other documents that have an entry. Exceptions are
+Weights are log ratios of the shares of toxic and other documents that have an entry, less their
+error; entries are picked in rounds, each among the toxic documents that those before don't match. Copies of a text
+count once. Exceptions are
 two-word phrases around a match that other documents have more often than toxic ones. All training
 rows are used. The driver holds only what parameters bound: entries, phrases, steps of the curve.
 
@@ -34,10 +37,12 @@ from subtide.llm.store import broadcast_if_small, stored
 
 ENTRIES = 5_000  # in the lexicon, and phrases
 CANDIDATES = 50_000
-STEMS = (4, 5, 6)  # letters
-LEAST_SHARE = 0.005  # of the toxic training documents that an entry is in
+STEMS = (3, 4, 5, 6, 7, 8)  # letters
+LEAST_SHARE = 0.02  # of the toxic training documents without a match so far that an entry is in
+LOOKS = 4  # rounds of picking entries
 LEAST_DOCS = 5
-LEAST_WEIGHT = 2.5
+LEAST_WEIGHT = 1.5  # less the error
+MORE_DOCS = 1.2  # a stem is in so many times the documents of a longer entry that begins with it
 SLACK = 50  # words added to a text's length
 HELD = 200_000  # counts a task holds before it passes them on
 
@@ -109,8 +114,9 @@ class Matcher:
     def strength(self, text: str) -> float:
         """Weight of the matches, normalised by length."""
         text = folded(text)
-        hits = self.matches(text)
-        return sum(w for _, _, w in hits) / math.sqrt(text.count(" ") - 1 + SLACK) if hits else 0.0
+        times: Counter[tuple[str, float]] = Counter((text[a:b], w) for a, b, w in self.matches(text))
+        total = sum(w * (1 + math.log(n)) for (_, w), n in times.items())
+        return total / math.sqrt(text.count(" ") - 1 + SLACK)
 
 
 class Model:
@@ -155,24 +161,20 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: Iterable[str] = ()) ->
     told = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") == 1).alias("toxic"))
     told = stored(told)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text()).join(broadcast_if_small(told), "doc_id")
+    first = texts.groupBy(F.md5(F.col("text").cast("binary")), "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    texts = texts.join(broadcast_if_small(stored(first)), "doc_id", "left_semi")
     n = dict(map(tuple, texts.groupBy("toxic").count().collect()))
     toxic, other = n.get(True, 0), n.get(False, 0)
     if not toxic or not other:
         return Model({}, [], None)
     send = docs.sparkSession.sparkContext.broadcast
 
-    least = max(LEAST_DOCS, LEAST_SHARE * toxic)
-    common = texts.where("toxic").mapInArrow(_entry_counts(None), _COUNTS).groupBy("entry").agg(F.sum("n").alias("n"))
-    common = {e: x for e, x in common.where(F.col("n") >= least).orderBy(F.desc("n"), "entry").limit(CANDIDATES).collect()}
-    among = texts.where("NOT toxic").mapInArrow(_entry_counts(send(frozenset(common))), _COUNTS)
-    among = dict(map(tuple, among.groupBy("entry").agg(F.sum("n")).collect()))  # CANDIDATES rows at most
-    weights = {e: math.log((x + 0.5) / (toxic + 1)) - math.log((among.get(e, 0) + 2) / (other + 4)) for e, x in common.items()}
-    chosen = sorted((e for e, w in weights.items() if w >= LEAST_WEIGHT), key=lambda e: (-common[e] * weights[e], e))[:ENTRIES]
     lexicon: Lexicon = {}
-    for e in chosen:
-        stem, entry = e.endswith("*"), e.rstrip("*")
-        if entry not in lexicon or stem and lexicon[entry][0] <= weights[e]:
-            lexicon[entry] = (weights[e], stem)
+    for _ in range(LOOKS):
+        more = _picked(texts, send(lexicon), other)
+        if not more:
+            break
+        lexicon = more | lexicon
 
     phrases = texts.mapInArrow(_phrases(send(lexicon)), "phrase string, toxic boolean, n long").groupBy("phrase").agg(
         F.sum(F.expr("IF(toxic, n, 0)")).alias("bad"), F.sum(F.expr("IF(toxic, 0, n)")).alias("good")
@@ -185,6 +187,47 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: Iterable[str] = ()) ->
     return Model(lexicon, spare, _curve(steps))
 
 
+def _picked(texts: DataFrame, sent, other: int) -> Lexicon:
+    """Entries that set apart the toxic texts which the lexicon so far has no match in.
+
+    Looking at those alone keeps out words that came along with entries already found, as in copies.
+    """
+    send = texts.sparkSession.sparkContext.broadcast
+    clean = texts.where("NOT toxic")
+    left = stored(texts.where("toxic").mapInArrow(_unmatched(sent), "text string"))
+    n = left.count()
+    least = max(LEAST_DOCS, LEAST_SHARE * n)
+    common = left.mapInArrow(_entry_counts(None), _COUNTS).groupBy("entry").agg(F.sum("n").alias("n"))
+    common = {e: x for e, x in common.where(F.col("n") >= least).orderBy(F.desc("n"), "entry").limit(CANDIDATES).collect()}
+    if not common:
+        return {}
+    among = clean.mapInArrow(_entry_counts(send(frozenset(common))), _COUNTS)
+    among = dict(map(tuple, among.groupBy("entry").agg(F.sum("n")).collect()))  # CANDIDATES rows at most
+    picked: Lexicon = {}
+    within: Counter[str] = Counter()  # documents of picked entries, by each of their beginnings
+    for e, x in sorted(common.items(), key=lambda item: (-len(item[0].rstrip("*")), item[0].endswith("*"), item[0])):
+        stem, entry = e.endswith("*"), e.rstrip("*")
+        y = among.get(e, 0)
+        weight = math.log((x + 0.5) / (n + 1)) - math.log((y + 0.5) / (other + 1)) - math.sqrt(1 / (x + 0.5) + 1 / (y + 0.5))
+        if weight < LEAST_WEIGHT or stem and x < MORE_DOCS * within[entry]:
+            continue
+        picked[entry] = (weight, stem)
+        for k in range(1, len(entry) + 1):
+            within[entry[:k]] = max(within[entry[:k]], x)
+    best = sorted(picked, key=lambda e: (-within[e] * picked[e][0], e))[:ENTRIES]
+    return {e: picked[e] for e in best}
+
+
+def _unmatched(sent):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(sent.value, ())
+        for batch in batches:
+            texts = [t for t in batch.column("text").to_pylist() if not matcher.strength(t)]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+
+    return run
+
+
 _COUNTS = "entry string, n long"
 
 
@@ -195,31 +238,30 @@ def _text() -> Column:
 def _entries(text: str) -> set[str]:
     """The whole words of a text and the stems of its words (with a star)."""
     words = {w.strip(_EDGES) for w in folded(text).split()}
-    stems = {f"{w[:k]}*" for w in words for k in STEMS if len(w) > k}
-    return {w for w in words if len(w) > 2} | stems
+    return {w for w in words if len(w) > 2} | {f"{w[:k]}*" for w in words for k in STEMS if len(w) > k}
 
 
 def _entry_counts(among):
-    """In how many texts of a task each entry is; `among`: those to count."""
+    """How many texts of a task have each entry; `among`: those to count."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
+
+        def flushed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["entry", "n"])
+
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 found = _entries(text)
                 counts.update(found if among is None else found & among.value)
                 if len(counts) > HELD:
-                    yield _counts(counts)
+                    yield flushed()
                     counts.clear()
-        yield _counts(counts)
+        yield flushed()
 
     return run
 
 
-def _counts(counts: Counter[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["entry", "n"])
-
-
 def _phrases(sent):
     """Matches with the word before and with the word after, by label."""
 
