@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from subtide.config import LifecycleConfig
-from subtide.operators.checks import ChecksFailed, Tables, run_checks
+from subtide.operators.checks import CHECK_NAMES, ChecksFailed, Tables, run_checks
 from subtide.operators.daily import build_subscription_daily, in_range
 from subtide.operators.kpi import build_kpi_daily, kpi_from_daily
 from subtide.operators.state_bulk import bulk_cumulated
@@ -87,11 +87,12 @@ def load_subscription_cumulated(
     """
     with logged(warehouse, "load_subscription_cumulated", ds) as run:
         older = [d for d in warehouse.partitions(STATE) if d < ds]
-        if older and older[-1] != day_before(ds) and not allow_cold_start:
-            raise ValueError(f"no state for {day_before(ds)}, the last one before {ds} is {older[-1]}")
+        yesterday = warehouse.read(STATE, day_before(ds))
+        # By rows: a date that was emptied still has its partition.
+        if older and not allow_cold_start and yesterday.isEmpty():
+            raise ValueError(f"no state for {day_before(ds)}, but there is a partition for {older[0]}")
         today = warehouse.read(DAILY, ds)
         has_snapshot = not today.isEmpty()
-        yesterday = warehouse.read(STATE, day_before(ds))
         run.rows = warehouse.replace_day(STATE, step_cumulated(yesterday, today, ds, has_snapshot, cfg), ds)
         if not has_snapshot:
             run.message = "feed missing: payers carried, everybody else aged by a day"
@@ -205,11 +206,19 @@ def validate(
     cfg: LifecycleConfig = LifecycleConfig(),
     now: datetime | None = None,
 ) -> DataFrame:
-    """Run the twelve checks, replace today's results with theirs, raise if one failed."""
-    now = now or datetime.now(timezone.utc).replace(tzinfo=None)
+    """Run the twelve checks, replace today's results with theirs, raise if one failed.
+
+    Today is the date of `now` (an instant; without a zone it is UTC) in the session's time zone, as
+    in the table. Fewer or more than twelve stored rows are a failure too.
+    """
+    now = now or datetime.now(timezone.utc)
+    now = now if now.tzinfo else now.replace(tzinfo=timezone.utc)
+    today = warehouse.spark.range(1).select(F.to_date(F.lit(now))).first()[0]
     results = run_checks(stored_tables(warehouse), start, end, now, cfg)
-    warehouse.replace_day("test_results", results.coalesce(1), now.date())
-    stored = warehouse.read("test_results", now.date()).drop("run_date")
+    warehouse.replace_day("test_results", results.coalesce(1), today)
+    stored = warehouse.read("test_results", today).where(F.col("test_run_ts") == F.lit(now)).drop("run_date")
+    if (rows := stored.count()) != len(CHECK_NAMES):
+        raise ChecksFailed(f"{rows} results are stored instead of {len(CHECK_NAMES)}")
     failed = stored.where((F.col("status") == "FAIL") & (F.col("severity") == "ERROR")).count()
     if failed:
         raise ChecksFailed(f"{failed} checks failed; see {warehouse.database}.test_results")

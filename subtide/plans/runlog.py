@@ -30,7 +30,7 @@ class LoadFailed(RuntimeError):
 @contextmanager
 def logged(warehouse: Warehouse, proc_name: str, ds: date) -> Iterator[Run]:
     """Log the load in the body after its data is committed; log and re-raise a failure."""
-    run, started, clock = Run(), datetime.now(timezone.utc).replace(tzinfo=None), monotonic()
+    run, started, clock = Run(), datetime.now(timezone.utc), monotonic()
     try:
         yield run
     except Exception as error:

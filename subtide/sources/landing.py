@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from subtide.schemas import RAW_SNAPSHOT, SUBSCRIPTION_SNAPSHOT
 
 # The date formats a landing file may use, in order of preference.
 DATE_FORMATS = ["M/d/yyyy", "yyyy-MM-dd"]
 
+JAGGED = "jagged_line"  # a line with too few or too many values, else null
+
 
 def read_raw_snapshots(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV files under a path or glob: one header row, comma, double quotes, all strings."""
-    return spark.read.csv(path, schema=RAW_SNAPSHOT, header=True, sep=",", quote='"', escape='"')
+    """CSV files under a path or glob: one header row, comma, double quotes, all strings.
+
+    A line with too few or too many values is delivered whole in `snapshot_date`, all else null, and
+    so is rejected for its columns.
+    """
+    schema = StructType([*RAW_SNAPSHOT.fields, StructField(JAGGED, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": JAGGED, "columnPruning": False}
+    read = spark.read.options(**options).csv(path, schema=schema, header=True, sep=",", quote='"', escape='"')
+    even = F.col(JAGGED).isNull()
+    rest = [F.when(even, F.col(c)).alias(c) for c in RAW_SNAPSHOT.names if c != "snapshot_date"]
+    return read.select(F.coalesce(JAGGED, "snapshot_date").alias("snapshot_date"), *rest).select(*RAW_SNAPSHOT.names)
 
 
 def _parse_date(column: str) -> Column:
@@ -38,7 +50,8 @@ def parse_raw(raw: DataFrame, opco: str) -> DataFrame:
         {
             # An empty value means nothing was watched.
             "minutes_of_usage": F.coalesce(F.round("exact_minutes", 2).cast("double"), F.lit(0.0)),
-            "reject_reason": F.when(F.col("snapshot_date").isNull(), "snapshot_date")
+            "reject_reason": F.when(F.col("snapshot_date").isNull() & F.contains("raw_snapshot_date", F.lit(",")), "columns")
+            .when(F.col("snapshot_date").isNull(), "snapshot_date")
             .when(unread("subscription_start_date"), "subscription_start_date")
             .when(unread("subscription_end_date"), "subscription_end_date")
             .when(minutes.isNotNull() & F.col("exact_minutes").isNull(), "minutes_of_usage"),

@@ -60,7 +60,9 @@ class Warehouse:
         path = f"{self.root}/layout"
         try:
             return self.spark.read.schema("buckets INT").json(path).first()["buckets"]
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             count = wanted or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             self.spark.range(1).select(F.lit(count).alias("buckets")).write.json(path)
             return count

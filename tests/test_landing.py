@@ -74,3 +74,15 @@ def test_upsert_twice_changes_nothing_even_with_missing_ids(spark):
 
 def test_duplicate_keys_are_found(spark):
     assert duplicate_keys(snapshot(spark, ("s1", "P", "i1", 1, 1), ("s1", "Q", "i1", 1, 1))).count() == 1
+
+
+def test_jagged_lines_are_rejected(spark, tmp_path):
+    header = ",".join(RAW_SNAPSHOT.names)
+    good = "4/1/2024,1,REC,7,4/1/2024,4/9/2024,5.5"
+    folder = tmp_path / "jagged"
+    folder.mkdir()
+    (folder / "a.csv").write_text(f"{header}\n{good}\n4/1/2024,1,REC,7\n{good},8\n")
+    raw = read_raw_snapshots(spark, str(folder))
+    assert normalize_raw(raw, "OPX").count() == 1
+    assert {r["reject_reason"] for r in rejected_raw(raw).collect()} == {"columns"}
+    assert rejected_raw(raw).count() == 2
