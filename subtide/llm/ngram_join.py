@@ -333,11 +333,12 @@ def _combined(rows: DataFrame, share: int) -> DataFrame:
     smallest of a list before pairs are made, then of the pairs.
     """
     rare = f"least(n, n - ceil({share} * n / 10000) + 1 + n div 16) - (sizes & 4294967295)"
-    rows = _mixed(rows.withColumn("f", F.expr(f"n - ({rare})")))
-    least = rows.groupBy("signature").agg(F.min("n").alias("least_n"))
+    rows = rows.withColumn("f", F.expr(f"n - ({rare})"))
+    ends = rows.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least_n"))
     enough = "(10000 + {s}) * {f} >= {s} * ({n})"
-    rows = rows.join(least, "signature").where(enough.format(s=share, f="f", n=f"n + greatest(least_n, ceil({share} * n / 10000))"))
-    rows = _mixed(rows.drop("least_n"))
+    can_any = enough.format(s=share, f="f", n=f"n + greatest(least_n, ceil({share} * n / 10000))")
+    rows = rows.join(ends.where("low <> high"), "signature").where(can_any).drop("low", "high", "least_n")
+    rows = _mixed(stored(rows))
     lists = rows.groupBy("node").agg(F.sort_array(F.collect_set("signature")).alias("lists"))  # no more than the set has shingles
     rows = stored(rows.join(lists, "node"))
     can = F.expr(enough.format(s=share, f="least(f_a, f_b)", n="n_a + n_b"))
