@@ -100,10 +100,11 @@ def digests(licenses: DataFrame) -> DataFrame:
 def license_scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
     """Per row of `docs` (doc_id, text): the digest of the entire text, the licence that it is, and
     those that whole lines of it are, sorted. `licenses` has (digest, license)."""
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
-    lines = rows.select("row", "doc_id", "text", F.posexplode_outer(F.split("text", "\n")).alias("at", "line"))
-    whole = F.when(F.coalesce("at", F.lit(0)) == 0, F.sha2(canonical(F.col("text")), 256))
-    told = lines.select("row", "doc_id", "at", whole.alias("text_digest"), F.sha2(canonical(F.col("line")), 256).alias("digest"))
+    text = F.col("text").cast("string")
+    rows = docs.select("doc_id", text.alias("text"), F.monotonically_increasing_id().alias("row"), F.sha2(canonical(text), 256).alias("text_digest"))
+    # The text itself doesn't ride along with each of its lines.
+    lines = rows.select("row", "doc_id", "text_digest", F.posexplode_outer(F.split("text", "\n")).alias("at", "line"))
+    told = lines.select("row", "doc_id", "at", "text_digest", F.sha2(canonical(F.col("line")), 256).alias("digest"))
     # The planner broadcasts the licences if it knows them to be small.
     matched = told.join(licenses.withColumnRenamed("license", "notice"), "digest", "left").where("notice IS NOT NULL OR coalesce(at, 0) = 0")
     by_row = matched.groupBy("row", "doc_id").agg(
