@@ -24,6 +24,7 @@ from subtide.llm.store import stored
 ROUNDS = 8
 MARGINS = ("source", "lang", "topic")
 DIGITS = 12  # of the draw: hexadecimal digits of an MD5
+CELLS = 200_000  # cells per task while raking
 
 
 def form() -> Column:
@@ -43,6 +44,9 @@ def raked(
     """(source, lang, topic, tokens, weight, probability) per cell. targets: tables (value, share) by margin."""
     cells = _cells(docs.select(*_keys(topic), _tokens().alias("tokens"))).groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"))
     cells = stored(cells.withColumn("weight", F.col("tokens").cast("double")))
+    # Cells are far fewer than documents: as many tasks as they need, not as a shuffle of documents has.
+    tasks = 1 + cells.count() // CELLS
+    cells = cells.coalesce(tasks)
     goals = {}
     for margin in MARGINS:
         if targets and margin in targets:
@@ -50,14 +54,14 @@ def raked(
         else:
             own = cells.groupBy(margin).agg(F.pow(F.sum("tokens").cast("double"), F.lit(temperature)).alias("share"))
             goals[margin] = own
-        goals[margin] = stored(goals[margin])
+        goals[margin] = stored(goals[margin]).coalesce(tasks)
     for _ in range(rounds):
         for margin in MARGINS:
             # Both sides hold a row per value of the margin.
             sums = cells.groupBy(margin).agg(F.sum("weight").alias("now")).join(goals[margin], margin, "left")
             factor = F.coalesce(F.expr("IF(now > 0, share / now, 0D)"), F.lit(0.0))
             cells = cells.join(sums.select(margin, factor.alias("factor")), margin).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        cells = stored(cells.select(*MARGINS, "tokens", "weight"))
+        cells = stored(cells.select(*MARGINS, "tokens", "weight")).coalesce(tasks)
     top = cells.agg(F.max(F.expr("IF(tokens > 0, weight / tokens, 0D)"))).first()[0]
     probability = F.expr(f"IF(tokens = 0, 1D, IF({top or 0.0!r}D = 0, 0D, round(weight / tokens / {top or 1.0!r}D, 9)))")
     return stored(cells.select(*MARGINS, "tokens", "weight", probability.alias("probability")))
