@@ -31,7 +31,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         job.add_argument("start", type=date.fromisoformat)
         job.add_argument("end", type=date.fromisoformat)
         if name == "backfill":
-            job.add_argument("--mode", choices=["bulk", "step"], help="default: step for a single day")
+            job.add_argument("--mode", choices=["bulk", "step"], default="step", help="step: on from stored state; bulk: from all daily rows")
     return parser.parse_args(argv)
 
 
@@ -42,8 +42,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "load":
         load_snapshots(warehouse, read_raw_snapshots(spark, args.path), args.opco)
     elif args.job == "backfill":
-        mode = args.mode or ("step" if args.start == args.end else "bulk")
-        backfill(warehouse, args.start, args.end, mode=mode)
+        backfill(warehouse, args.start, args.end, mode=args.mode)
     else:
         validate(warehouse, args.start, args.end)
 

@@ -25,3 +25,18 @@ def to_day(number: Column) -> Column:
 def epoch_day(value: date) -> int:
     return (value - date(1970, 1, 1)).days
 
+
+PARTS = 1_000_000  # of a minute
+
+
+def minute_parts(minutes: str | Column) -> Column:
+    """Minutes as a whole number of parts. Sums and differences of them are exact in any order.
+
+    A value beyond the range of a long number raises.
+    """
+    minutes = F.col(minutes) if isinstance(minutes, str) else minutes
+    return F.round(minutes * PARTS).cast("long")
+
+
+def whole_minutes(parts: Column) -> Column:
+    return parts / F.lit(float(PARTS))

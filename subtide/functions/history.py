@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtide.config import MONTH_WINDOW_DAYS, SHORT_WINDOW_DAYS, LifecycleConfig
-from subtide.functions.columns import flag
+from subtide.functions.columns import flag, minute_parts, whole_minutes
 
 
 def push_front(value: Column, history: Column, cap: int) -> Column:
@@ -23,7 +23,7 @@ def trailing_windows(states: DataFrame, cfg: LifecycleConfig) -> DataFrame:
 
     Flags and day counts need no look at single entries. Minutes are added up over
     the entries that are not zero, each window going on from the shorter one, so
-    that no entry is added twice.
+    that no entry is added twice; sums are exact, as in the bulk build.
     """
     windows = {
         "7d": cfg.window(SHORT_WINDOW_DAYS),
@@ -37,11 +37,11 @@ def trailing_windows(states: DataFrame, cfg: LifecycleConfig) -> DataFrame:
         columns[f"is_viewer_{name}"] = flag(last_viewed.between(1, days))
         columns[f"active_days_{name}"] = F.size(F.array_remove(newest, F.lit(0).cast("long"))).cast("long")
     states = states.withColumns(columns)
-    total, done = F.lit(0.0), 0
+    total, done = F.lit(0).cast("long"), 0
     for name, days in windows.items():
         if days > done:
             watched = F.array_remove(F.slice("mou_array", done + 1, days - done), F.lit(0.0))
-            total = F.aggregate(watched, total, lambda acc, minutes: acc + minutes)
-        states = states.withColumn(f"mou_{name}", total)
-        total, done = F.col(f"mou_{name}"), days
-    return states
+            total = F.aggregate(watched, total, lambda acc, minutes: acc + minute_parts(minutes))
+        states = states.withColumn(f"parts_{name}", total).withColumn(f"mou_{name}", whole_minutes(F.col(f"parts_{name}")))
+        total, done = F.col(f"parts_{name}"), days
+    return states.drop(*[f"parts_{name}" for name in windows])

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subtide.config import MONTH_WINDOW_DAYS, SHORT_WINDOW_DAYS, LifecycleConfig
-from subtide.functions.columns import day_number, epoch_day, to_day
+from subtide.functions.columns import day_number, epoch_day, minute_parts, to_day, whole_minutes
 from subtide.operators.daily import in_range
 from subtide.schemas import HISTORY_COLUMNS, SUBSCRIPTION_CUMULATED
 
@@ -29,7 +29,7 @@ from subtide.schemas import HISTORY_COLUMNS, SUBSCRIPTION_CUMULATED
 QUIET, CONTINUED, RENEWED, WINBACK, REACQUISITION, NEW = range(6)
 NO_DAY = -1_000_000
 
-# The history arrays that hold running totals rather than the values of single days.
+# The history arrays that hold running totals (minutes in exact parts) rather than the values of single days.
 TOTALS = ["paid_days", "minutes"]
 
 # What state days need from their span, apart from the key and the lifetime.
@@ -127,8 +127,8 @@ def paying_spans(
             {
                 "prev_covered_to": F.lag("covered_to").over(by_key),
                 "next_day": F.lead("day").over(by_key),
-                "minutes_to_date": _never_null(F.sum("minutes_of_usage").over(so_far)),
-                "minutes_earlier": _never_null(F.sum("minutes_of_usage").over(before)),
+                "minutes_to_date": _never_null(F.sum(minute_parts("minutes_of_usage")).over(so_far)),
+                "minutes_earlier": _never_null(F.sum(minute_parts("minutes_of_usage")).over(before)),
                 "paid_days_earlier": _never_null(F.sum(paid_days).over(before)),
             }
         )
@@ -318,7 +318,7 @@ def expand_spans(
             days = cfg.window(wanted)
             columns[f"is_viewer_{name}"] = (c("state_day") < c("last_viewer_day") + days).cast("long")
             columns[f"active_days_{name}"] = paid_days - c("paid_days_history")[newest + days]
-            columns[f"mou_{name}"] = c("minutes_to_date") - c("minutes_history")[newest + days]
+            columns[f"mou_{name}"] = whole_minutes(c("minutes_to_date") - c("minutes_history")[newest + days])
         for source, array in zip(["activity_history", "viewer_history", "mou_history"], HISTORY_COLUMNS):
             if source in spans.columns:
                 columns[array] = F.slice(source, newest + 1, cfg.array_size)

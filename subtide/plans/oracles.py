@@ -34,14 +34,19 @@ bronze AS (
   JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey)"""
 
-EVENTS_BRONZE = f"""
+
+
+def _events_bronze(gaps: bool, minutes: str) -> str:
+    feed = f"WHERE CAST(ts AS DATE) NOT IN ({_MISSING})" if gaps else ""
+    return f"""
 bronze AS (
   SELECT CASE WHEN user_id % 2 = 0 THEN 'OP0' ELSE 'OP1' END AS opco_code,
          CAST(user_id AS VARCHAR) AS subscriber_id, event_type AS subscription_name,
          CAST(CAST(event_id AS BIGINT) // 1000 AS VARCHAR) AS subscription_id,
          CAST(ts AS DATE) AS subscription_start_date, CAST(ts AS DATE) + 5 AS subscription_end_date,
-         CAST(floor(value) AS DOUBLE) AS minutes_of_usage, CAST(ts AS DATE) AS snapshot_date
-  FROM events WHERE CAST(ts AS DATE) NOT IN ({_MISSING}))"""
+         CAST({minutes} AS DOUBLE) AS minutes_of_usage, CAST(ts AS DATE) AS snapshot_date
+  FROM events {feed})"""
+
 
 DAILY = """
 daily AS (
@@ -283,6 +288,6 @@ def orders(select: str, *more: str, state: bool = True) -> str:
     return _with(ORDERS_BRONZE, DAILY, *grid, *more, select=select)
 
 
-def events(select: str, *more: str, state: bool = True) -> str:
+def events(select: str, *more: str, state: bool = True, gaps: bool = False, minutes: str = "floor(value)") -> str:
     replay = [_replayed_state(EVENTS_CONFIG, EVENTS_START, EVENTS_END)] if state else []
-    return _with(EVENTS_BRONZE, DAILY, *replay, *more, select=select, recursive=True)
+    return _with(_events_bronze(gaps, minutes), DAILY, *replay, *more, select=select, recursive=True)

@@ -68,7 +68,7 @@ def load_subscription_daily(
         # One task per bucket, so that every day gets one file per bucket.
         run.rows = warehouse.replace_range(DAILY, daily.repartition(warehouse.buckets, BUCKET_KEY), start, end)
         if run.rows == 0:
-            run.status, run.message = SKIPPED, "no source rows (feed missing or genuine zero)"
+            run.status, run.message = SKIPPED, "the snapshot table has nothing for this date"
         elif end > start:
             run.message = f"range {start}..{end}"
     return run.rows
@@ -136,8 +136,17 @@ def load_ott_kpi_daily(
 
 
 def _history_start(warehouse: Warehouse, start: date) -> date:
-    """The first date with daily rows, from which state has to be worked out."""
-    return min([start, *warehouse.partitions(DAILY)[:1]])
+    """The first date with daily rows, from which state has to be worked out.
+
+    If state is stored from before that date, its daily rows are gone, and every life would start
+    over. So this raises.
+    """
+    listed = [d for d in warehouse.partitions(DAILY) if d < start]
+    first = next((d for d in listed if not warehouse.read(DAILY, d).isEmpty()), start)
+    older = [d for d in warehouse.partitions(STATE) if d < first]
+    if older and not warehouse.read(STATE, older[0], older[-1]).isEmpty():
+        raise ValueError(f"daily rows begin on {first}, but there is state from before: go on from it with mode='step'")
+    return first
 
 
 def run_pipeline(

@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from subtide.config import LifecycleConfig
@@ -94,10 +94,10 @@ def orders_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return Inputs(bronze, build_subscription_daily(bronze, start, end, cfg), feed, start, end, cfg)
 
 
-def events_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+def events_inputs(spark: SparkSession, sf_dir: str, gaps: bool = False, minutes: Column | None = None) -> Inputs:
     start, end, cfg = fixtures.EVENTS_START, fixtures.EVENTS_END, fixtures.EVENTS_CONFIG
-    bronze = fixtures.event_snapshots(spark, sf_dir)
-    feed = fixtures.event_feed_dates(spark, sf_dir)
+    bronze = fixtures.event_snapshots(spark, sf_dir, gaps, minutes)
+    feed = fixtures.event_feed_dates(spark, sf_dir, gaps)
     return Inputs(bronze, build_subscription_daily(bronze, start, end, cfg), feed, start, end, cfg)
 
 
@@ -243,9 +243,9 @@ def paying_gaps(spark, sf_dir):
     return _gaps(orders_inputs(spark, sf_dir))
 
 
-@query(sql.events(_GAPS_SQL, _covers_sql(fixtures.EVENTS_END)))
+@query(sql.events(_GAPS_SQL, _covers_sql(fixtures.EVENTS_END), gaps=True))
 def paying_gaps_with_feed_gaps(spark, sf_dir):
-    return _gaps(events_inputs(spark, sf_dir))
+    return _gaps(events_inputs(spark, sf_dir, gaps=True))
 
 
 @query(sql.orders("SELECT * FROM happened", sql.EVENT_ROWS))
@@ -327,6 +327,17 @@ def state_arrays(spark, sf_dir):
     return states.select("subscription_key", "snapshot_date", *HISTORY_COLUMNS)
 
 
+_MOU = [f"mou_{w}" for w in ("1d", "7d", "30d", "90d")]
+
+
+@query(sql.events(f"SELECT subscription_key, snapshot_date, {', '.join(f'round({m}, 2) AS {m}' for m in _MOU)} FROM state",
+                  minutes="round(value, 2)"))
+def state_bulk_fractional(spark, sf_dir):
+    """Trailing minutes where they are no whole numbers."""
+    states = events_inputs(spark, sf_dir, minutes=F.round("value", 2)).states(with_arrays=False)
+    return states.select("subscription_key", "snapshot_date", *[F.round(m, 2).alias(m) for m in _MOU])
+
+
 _PREFIX = [c for c in STATE_SCALARS if c.startswith(("is_viewer_", "active_days_", "mou_"))]
 
 
@@ -348,9 +359,9 @@ def state_step(spark, sf_dir):
     return _lists_as_text(step_cumulated(yesterday, today, ds, True, inputs.cfg))
 
 
-@query(sql.events(_ALL_SQL))
+@query(sql.events(_ALL_SQL, gaps=True))
 def state_step_on_every_day(spark, sf_dir):
-    inputs = events_inputs(spark, sf_dir)
+    inputs = events_inputs(spark, sf_dir, gaps=True)
     stepped = step_all_days(inputs.states(), inputs.daily, inputs.feed, inputs.end, inputs.cfg)
     return _lists_as_text(stepped)
 
@@ -365,10 +376,10 @@ def state_step_orders(spark, sf_dir):
     return step_cumulated(yesterday, today, ds, True, inputs.cfg).drop(*HISTORY_COLUMNS)
 
 
-@query(sql.events("SELECT opco_code, count(*) AS state_rows, CAST(0 AS BIGINT) AS differences FROM state GROUP BY ALL"))
+@query(sql.events("SELECT opco_code, count(*) AS state_rows, CAST(0 AS BIGINT) AS differences FROM state GROUP BY ALL", gaps=True))
 def state_step_equals_bulk(spark, sf_dir):
-    """State rows of the bulk build on which the daily step disagrees, out of all."""
-    inputs = events_inputs(spark, sf_dir)
+    """State rows of the bulk build on which the daily step disagrees, out of all; minutes in hundredths."""
+    inputs = events_inputs(spark, sf_dir, gaps=True, minutes=F.round("value", 2))
     bulk = inputs.states()
     stepped = step_all_days(bulk, inputs.daily, inputs.feed, inputs.end, inputs.cfg)
     on = ["subscription_key", "snapshot_date"]
@@ -386,10 +397,10 @@ def state_step_equals_bulk(spark, sf_dir):
 
 
 @query(sql.events(f"SELECT {_STATE_SQL} FROM state WHERE snapshot_date IN "
-                  f"({', '.join(f'DATE {str(d)!r}' for d in fixtures.EVENTS_MISSING)})"))
+                  f"({', '.join(f'DATE {str(d)!r}' for d in fixtures.EVENTS_MISSING)})", gaps=True))
 def feed_gap_carry(spark, sf_dir):
     """What the state says on the days without any feed."""
-    states = events_inputs(spark, sf_dir).states(with_arrays=False)
+    states = events_inputs(spark, sf_dir, gaps=True).states(with_arrays=False)
     return states.where(F.col("snapshot_date").isin(fixtures.EVENTS_MISSING))
 
 
@@ -500,17 +511,17 @@ def _healthy(inputs: Inputs) -> Tables:
     return Tables(inputs.bronze, inputs.daily, states, golden)
 
 
-def _check(test_id: str, spark: SparkSession, sf_dir: str, **broken) -> DataFrame:
+def _check(test_id: str, spark: SparkSession, sf_dir: str, gaps: bool = False, **broken) -> DataFrame:
     """A check on the event tables after `broken` has changed some of them."""
-    inputs = events_inputs(spark, sf_dir)
+    inputs = events_inputs(spark, sf_dir, gaps)
     tables = _healthy(inputs)
     tables = replace(tables, **{name: change(getattr(tables, name)) for name, change in broken.items()})
     return CHECKS[test_id](tables, inputs.start, inputs.end, inputs.cfg)
 
 
-def _count_sql(rows: str, condition: str = "true", what: str = "*") -> str:
+def _count_sql(rows: str, condition: str = "true", what: str = "*", gaps: bool = False) -> str:
     select = f"SELECT CAST(count({what}) AS BIGINT) AS bad, CAST(NULL AS VARCHAR) AS detail FROM {rows} WHERE {condition}"
-    return sql.events(select, sql.EVENT_ROWS)
+    return sql.events(select, sql.EVENT_ROWS, gaps=gaps)
 
 
 _FIRST = f"DATE '{fixtures.EVENTS_START}'"
@@ -537,9 +548,9 @@ def check_t03(spark, sf_dir):
 
 # On a day without feed nobody has a daily row, but payers are carried.
 @query(_count_sql("state", "is_paying = 1 AND snapshot_date NOT IN (SELECT snapshot_date FROM daily)",
-                  "DISTINCT snapshot_date"))
+                  "DISTINCT snapshot_date", gaps=True))
 def check_t04(spark, sf_dir):
-    return _check("T04", spark, sf_dir)
+    return _check("T04", spark, sf_dir, gaps=True)
 
 
 @query(_count_sql("state", "is_renewal_event = 1"))
@@ -641,10 +652,10 @@ def check_suite_orders(spark, sf_dir):
 
 
 @query(sql.events(f"""SELECT ds AS snapshot_date FROM ({sql.days_sql(fixtures.EVENTS_START, fixtures.EVENTS_END)})
-WHERE ds NOT IN (SELECT snapshot_date FROM daily)""", state=False))
+WHERE ds NOT IN (SELECT snapshot_date FROM daily)""", state=False, gaps=True))
 def missing_calendar_days(spark, sf_dir):
     """Calendar days on which the feed, taken as the table to look at, has nothing."""
-    inputs = events_inputs(spark, sf_dir)
+    inputs = events_inputs(spark, sf_dir, gaps=True)
     tables = Tables(inputs.bronze, inputs.daily, inputs.daily, inputs.daily)
     return missing_days(tables, inputs.start, inputs.end)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subtide.config import LifecycleConfig
@@ -14,7 +14,7 @@ from subtide.schemas import RAW_SNAPSHOT, SUBSCRIPTION_SNAPSHOT
 ORDERS_START, ORDERS_END = date(1995, 1, 2), date(2001, 11, 4)
 ORDERS_CONFIG = LifecycleConfig()
 
-# Events as short subscriptions, with days on which no feed arrived.
+# Events as short subscriptions; where gaps are asked for, with days on which no feed arrived.
 EVENTS_START, EVENTS_END = date(2024, 1, 1), date(2024, 1, 30)
 EVENTS_MISSING = [date(2024, 1, 10), date(2024, 1, 11), date(2024, 1, 20)]
 EVENTS_CONFIG = LifecycleConfig(array_size=7, grace_days=2, winback_days=4, retention_days=9)
@@ -70,8 +70,12 @@ def order_feed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_snapshots(spark: SparkSession, sf_dir: str, with_gaps: bool = True) -> DataFrame:
-    """A user's events of one type, as snapshots of one subscription."""
+def event_snapshots(spark: SparkSession, sf_dir: str, with_gaps: bool = False, minutes: Column | None = None) -> DataFrame:
+    """A user's events of one type, as snapshots of one subscription.
+
+    `with_gaps` takes the feed of EVENTS_MISSING away, for what is about days without feed.
+    """
+    minutes = F.floor("value") if minutes is None else minutes
     day = F.to_date("ts")
     events = read_table(spark, sf_dir, "events")
     if with_gaps:
@@ -83,13 +87,13 @@ def event_snapshots(spark: SparkSession, sf_dir: str, with_gaps: bool = True) ->
         F.floor(F.col("event_id").cast("long") / 1000).cast("long").cast("string").alias("subscription_id"),
         day.alias("subscription_start_date"),
         F.date_add(day, 5).alias("subscription_end_date"),
-        F.floor("value").cast("double").alias("minutes_of_usage"),
+        minutes.cast("double").alias("minutes_of_usage"),
         day.alias("snapshot_date"),
     ).select(*SUBSCRIPTION_SNAPSHOT.names)
 
 
-def event_feed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_snapshots(spark, sf_dir).select("snapshot_date").distinct()
+def event_feed_dates(spark: SparkSession, sf_dir: str, with_gaps: bool = False) -> DataFrame:
+    return event_snapshots(spark, sf_dir, with_gaps).select("snapshot_date").distinct()
 
 
 def event_landing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ from subtide.schemas import RAW_SNAPSHOT, SUBSCRIPTION_SNAPSHOT
 # The date formats a landing file may use, in order of preference.
 DATE_FORMATS = ["M/d/yyyy", "yyyy-MM-dd"]
 
+MOST_MINUTES = 10**9  # of a row, either way; trailing sums of that many stay exact
+
 JAGGED = "jagged_line"  # a line with too few or too many values, else null
 
 
@@ -54,7 +56,8 @@ def parse_raw(raw: DataFrame, opco: str) -> DataFrame:
             .when(F.col("snapshot_date").isNull(), "snapshot_date")
             .when(unread("subscription_start_date"), "subscription_start_date")
             .when(unread("subscription_end_date"), "subscription_end_date")
-            .when(minutes.isNotNull() & F.col("exact_minutes").isNull(), "minutes_of_usage"),
+            .when(minutes.isNotNull() & F.col("exact_minutes").isNull(), "minutes_of_usage")
+            .when(F.abs("exact_minutes") > MOST_MINUTES, "minutes_of_usage"),
         }
     )
 

@@ -105,8 +105,9 @@ class Warehouse:
     def replace_range(self, name: str, df: DataFrame, start: date, end: date | None = None) -> int:
         """Make `df` the whole content of the dates start..end; returns the rows written.
 
-        Each partition is swapped in at the job's commit, so a failed or repeated
-        run leaves no half-written day. Dates that end up without rows are emptied.
+        The job's commit swaps the dates in one after the other; then dates that end up without rows
+        are emptied. A run that fails before has changed nothing; one that fails meanwhile is
+        repeated. Where a rename is a copy, as in object stores, a date isn't swapped in at once.
         """
         end = end or start
         rows, dates = self._overwrite(name, df)

@@ -86,3 +86,9 @@ def test_jagged_lines_are_rejected(spark, tmp_path):
     assert normalize_raw(raw, "OPX").count() == 1
     assert {r["reject_reason"] for r in rejected_raw(raw).collect()} == {"columns"}
     assert rejected_raw(raw).count() == 2
+
+
+def test_minutes_beyond_the_limit_are_rejected(spark, tmp_path):
+    raw = landing(spark, tmp_path, "4/1/2024,i1,P,s1,,,1e9", "4/1/2024,i2,P,s2,,,1000000000.01", "4/1/2024,i3,P,s3,,,-1e20")
+    assert [r["minutes_of_usage"] for r in normalize_raw(raw, "X").collect()] == [1e9]
+    assert sorted((r["subscription_id"], r["reject_reason"]) for r in rejected_raw(raw).collect()) == [("i2", "minutes_of_usage"), ("i3", "minutes_of_usage")]

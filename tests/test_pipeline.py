@@ -10,7 +10,7 @@ from subtide.operators.checks import CHECKS, ChecksFailed, Tables, run_checks
 from subtide.operators.events import EVENT_KEYS, lifecycle_events
 from subtide.plans.pipeline import (
     DAILY, KPI, SNAPSHOT, STATE, backfill, kpi_view, load_ott_kpi_daily, load_snapshots,
-    load_subscription_cumulated, load_subscription_daily, register_views, run_pipeline, stored_tables, validate,
+    load_subscription_cumulated, load_subscription_cumulated_range, load_subscription_daily, register_views, run_pipeline, stored_tables, validate,
 )
 from subtide.plans.runlog import LoadFailed
 from subtide.schemas import RAW_SNAPSHOT, SUBSCRIPTION_SNAPSHOT, TEST_EXPECTED_EVENTS
@@ -80,6 +80,19 @@ def test_bulk_backfill_then_steps_equal_the_model(warehouse, rows):
     assert [r["status"] for r in results.collect()] == ["PASS"] * 12
 
 
+def test_bulk_refuses_to_start_lives_over(warehouse, rows):
+    fill_snapshots(warehouse, rows)
+    backfill(warehouse, START, END - timedelta(days=2), CFG)
+    before = collected(warehouse.table(STATE))
+    for day in range(5):
+        warehouse.replace_day(DAILY, warehouse.table(DAILY).where("false"), START + timedelta(days=day))
+    with pytest.raises(LoadFailed, match="state from before"):
+        load_subscription_cumulated_range(warehouse, END - timedelta(days=1), END, CFG)
+    assert collected(warehouse.table(STATE)) == before
+    backfill(warehouse, END - timedelta(days=1), END, CFG, mode="step")
+    assert_same(collected(warehouse.table(STATE)), replay(rows, START, END, CFG))
+
+
 def test_rerun_replaces_and_an_emptied_day_becomes_empty(warehouse, rows):
     fill_snapshots(warehouse, rows)
     day = START + timedelta(days=1)

@@ -171,6 +171,21 @@ def test_fractional_minutes_stay_within_rounding(spark):
             assert row[c] != 0 or got[key][c] == 0
 
 
+def test_fractional_and_large_minutes_are_exact(spark):
+    """A large value leaves with the history; the step adds up the same."""
+    rng = random.Random(4)
+    minutes = {o: round(rng.uniform(0, 300), 2) for o in range(1, 200)} | {0: 1e9}
+    rows, end = paying_on(range(200), minutes=minutes), START + timedelta(days=199)
+    daily = frame(spark, rows)
+    bulk = bulk_cumulated(daily, START, end)
+    got = {r["snapshot_date"]: r for r in bulk.collect()}
+    last = got[end]
+    assert (last["mou_1d"], last["mou_7d"]) == (minutes[199], round(sum(minutes[o] for o in range(193, 200)), 2))
+    assert last["mou_90d"] == round(sum(minutes[o] for o in range(110, 200)), 2)
+    stepped = step_all_days(bulk, daily, feed_calendar(daily, START, end), end, LifecycleConfig())
+    assert bulk.exceptAll(stepped).isEmpty() and stepped.exceptAll(bulk).isEmpty()
+
+
 def test_a_hot_subscription_is_reduced_before_the_shuffle(spark):
     """A third of all rows belongs to one subscription; it arrives as one row per day."""
     n, end = 60_000, START + timedelta(days=9)
