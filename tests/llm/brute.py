@@ -1,7 +1,13 @@
 """Plain versions of the operators, over lists of rows."""
 
+import hashlib
+import math
+import re
+from collections import Counter
 from itertools import combinations
 
+from subtide.llm.toxicity import folded
+
 WORDS = [f"{x}{y}{z}" for x in "bdfglmnp" for y in "aeio" for z in ("r", "st", "n", "lt")]
 
 
@@ -29,3 +35,104 @@ def components_of(rows):
     for i, (doc_id, _) in enumerate(rows):
         least[top(i)] = min(least.get(top(i), doc_id), doc_id)
     return sorted(((d, len(sets[i]), least[top(i)]) for i, (d, _) in enumerate(rows)), key=repr)
+
+
+def strength(model, text):
+    """Of the toxicity model, by trying every entry at every place."""
+    text = folded(text or "")
+
+    def places(entry, stem):
+        for i in range(1, len(text) - len(entry)):
+            end = i + len(entry)
+            if text.startswith(entry, i) and not text[i - 1].isalnum() and (stem or not text[end].isalnum()):
+                yield i, end
+
+    best = {}
+    for entry, (weight, stem) in model.lexicon.items():
+        for begin, end in places(entry, stem):
+            if begin not in best or best[begin][1] < weight:
+                best[begin] = (end, weight)
+    spared = [p for phrase in model.exceptions for p in places(phrase, False)]
+    times = Counter((text[a:b], w) for a, (b, w) in best.items() if not any(x <= a and b <= y for x, y in spared))
+    return sum(w * (1 + math.log(n)) for (_, w), n in times.items()) / math.sqrt(len(text.split()) + 50)
+
+
+def without_boilerplate(rows, min_sites=10):
+    """Rows are tuples (doc_id, text, lang, source, ...)."""
+    words = lambda line: [w.lower() for w in line.encode().split()]
+    sites = {}
+    for row in rows:
+        for line in (row[1] or "").split("\n"):
+            sites.setdefault(tuple(words(line)), set()).add(row[3])
+    common = {k for k, s in sites.items() if len(k) >= 3 and len(s) >= min_sites}
+    out = []
+    for row in rows:
+        lines = (row[1] or "").split("\n")
+        gone = [line for line in lines if tuple(words(line)) in common]
+        cut = gone and 2 * sum(len(words(x)) for x in gone) <= sum(len(words(x)) for x in lines)
+        text = "\n".join(x for x in lines if tuple(words(x)) not in common) if cut else row[1]
+        out.append((row[0], text, *row[2:]))
+    return out
+
+
+def one_of_each(rows):
+    """Rows without a doc_id stay; of equal rows one stays."""
+    known = [r for r in rows if r[0] is not None]
+    stay = {d for d, n, c in components_of([r[:2] for r in known]) if n == 0 or d == c}
+    seen, out = set(), []
+    for r in rows:
+        if r[0] is None or not shingles(r[1]):
+            out.append(r)
+        elif r[0] in stay and r not in seen:
+            seen.add(r)
+            out.append(r)
+    return out
+
+
+def clean_of(rows, items, n=13):
+    """Rows that windows of the items cover by less than a twentieth."""
+    words = lambda t: re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").encode().lower())
+    windows = set()
+    for item in items:
+        w = words(item)
+        windows |= {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+    out = []
+    for row in rows:
+        w, hit = words(row[1]), set()
+        for size in {len(x) for x in windows}:
+            for i in range(len(w) - size + 1):
+                if tuple(w[i : i + size]) in windows:
+                    hit.update(range(i, i + size))
+        if not hit or 20 * len(hit) < len(w):
+            out.append(row)
+    return out
+
+
+def mixed(rows, rounds=8):
+    """Rows drawn, with their probability."""
+
+    def cell(row):
+        text = row[1] or ""
+        form = "table" if " | " in text else "markup" if re.search("[#*%&$]{2}", text) else "list" if "\n- " in text else "prose"
+        return (row[3] or "", row[2] or "", form)
+
+    tokens = Counter()
+    for row in rows:
+        tokens[cell(row)] += len((row[1] or "").encode().split())
+    weight = {c: float(n) for c, n in tokens.items()}
+    for _ in range(rounds):
+        for m in range(3):
+            goal, now = Counter(), Counter()
+            for c, n in tokens.items():
+                goal[c[m]] += n
+                now[c[m]] += weight[c]
+            weight = {c: w * math.sqrt(goal[c[m]]) / now[c[m]] if now[c[m]] else 0.0 for c, w in weight.items()}
+    most = max((weight[c] / n for c, n in tokens.items() if n), default=0.0)
+    out = []
+    for row in rows:
+        n = tokens[cell(row)]
+        chance = 1.0 if n == 0 else 0.0 if most == 0 else round(weight[cell(row)] / n / most, 9)
+        key = str(row[0]) if row[0] is not None else row[1] or ""
+        if int(hashlib.md5(key.encode()).hexdigest()[:12], 16) / 16**12 < chance:
+            out.append((*row, chance))
+    return out
