@@ -32,6 +32,9 @@ NO_DAY = -1_000_000
 # The history arrays that hold running totals (minutes in exact parts) rather than the values of single days.
 TOTALS = ["paid_days", "minutes"]
 
+# What a cover taken from stored state knows of the time before it; NULL for daily rows.
+CARRIED = ["life_day", "carried_churn_day", "carried_winback_day"]
+
 # What state days need from their span, apart from the key and the lifetime.
 LIFE_COLUMNS = [
     "opco_code", "subscriber_id", "subscription_name", "first_active_date",
@@ -72,6 +75,7 @@ def paying_spans(
     cfg: LifecycleConfig = LifecycleConfig(),
     feed_dates: DataFrame | None = None,
     distributed: bool = False,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """One row per paying day with everything its following days depend on.
 
@@ -81,7 +85,8 @@ def paying_spans(
     one row per calendar day here, so no window group can grow with the data.
     Pass `feed_dates` when the feed calendar is already known; otherwise it is
     read from `daily`. Pass `distributed` when `daily` comes from a table bucketed
-    on the key: nothing is shuffled then.
+    on the key: nothing is shuffled then. `earlier` is the state of the day before
+    `start`; its lives go on (see `_earlier_covers`).
     """
     if feed_dates is None:
         feed_dates = feed_calendar(daily, start, end)
@@ -98,8 +103,11 @@ def paying_spans(
             _never_null(F.col("next_feed_day") - 1).alias("covered_to"),
             _never_null("is_viewer_today").alias("is_viewer_today"),
             _never_null("minutes_of_usage").alias("minutes_of_usage"),
+            *[F.lit(None).cast("int").alias(name) for name in CARRIED],
         )
     )
+    if earlier is not None:
+        covers = covers.unionByName(_earlier_covers(earlier, start, _next_feed_day(feed_dates, start, end)))
     if not distributed:
         # A fixed number of partitions, because a span can turn into many state
         # days: merged to the size of the spans, partitions would be far too few.
@@ -119,7 +127,7 @@ def paying_spans(
     def at_life_start(column: str) -> Column:
         return F.last(F.when(F.col("arrival") == NEW, F.col(column)), ignorenulls=True).over(so_far)
 
-    paid_days = (F.col("covered_to") - F.col("day") + 1).cast("long")
+    paid_days = F.greatest(F.lit(0), F.col("covered_to") - F.col("day") + 1).cast("long")
     idle = F.col("day") - F.col("prev_covered_to") - 1
     churned_for = idle - grace
     return (
@@ -134,8 +142,8 @@ def paying_spans(
         )
         .withColumns(
             {
-                "arrival": F.when(idle.isNull() | (idle > retention), F.lit(NEW))
-                .when(idle <= grace, F.lit(CONTINUED))
+                "arrival": F.when(idle.isNull() | ((idle > retention) & F.col("life_day").isNull()), F.lit(NEW))
+                .when((idle <= grace) | F.col("life_day").isNotNull(), F.lit(CONTINUED))
                 .when(churned_for <= winback, F.lit(WINBACK))
                 .otherwise(F.lit(REACQUISITION)),
                 "churned_for": churned_for,
@@ -146,16 +154,25 @@ def paying_spans(
         )
         .withColumns(
             {
-                "first_active_day": _never_null(at_life_start("day")),
+                "life_day": F.coalesce("life_day", "day"),
+            }
+        )
+        .withColumns(
+            {
+                "first_active_day": _never_null(at_life_start("life_day")),
                 "minutes_before_life": at_life_start("minutes_earlier"),
                 "paid_days_before_life": at_life_start("paid_days_earlier"),
                 "known_id": latest_known("subscription_id", so_far),
                 "previous_id": latest_known("subscription_id", before),
                 "known_paid_through": latest_known("paid_through_date", so_far),
                 "closed_churn_day": latest_day(
-                    F.col("arrival").isin(WINBACK, REACQUISITION), F.col("prev_covered_to") + grace + 1
+                    F.col("arrival").isin(WINBACK, REACQUISITION) | F.col("carried_churn_day").isNotNull(),
+                    F.coalesce("carried_churn_day", F.col("prev_covered_to") + grace + 1),
+                ),
+                "winback_day": latest_day(
+                    (F.col("arrival") == WINBACK) | F.col("carried_winback_day").isNotNull(),
+                    F.coalesce("carried_winback_day", "day"),
                 ),
-                "winback_day": latest_day(F.col("arrival") == WINBACK, F.col("day")),
                 "last_viewer_day": latest_day(F.col("is_viewer_today") == 1, F.col("day")),
             }
         )
@@ -181,7 +198,48 @@ def paying_spans(
                 F.lit(RENEWED),
             ).otherwise(F.col("arrival")),
         )
-        .drop("known_id", "known_paid_through", "previous_id", "closed_churn_day", "winback_day", "minutes_earlier")
+        .drop("known_id", "known_paid_through", "previous_id", "closed_churn_day", "winback_day", "minutes_earlier", *CARRIED)
+    )
+
+
+def _next_feed_day(feed_dates: DataFrame, start: date, end: date) -> int:
+    """The first feed date of the range; the day after the range if there is none."""
+    first = in_range(feed_dates, start, end).agg(F.min("snapshot_date")).first()[0]
+    return epoch_day(first or end) + (first is None)
+
+
+def _earlier_covers(state: DataFrame, start: date, next_feed_day: int) -> DataFrame:
+    """The history arrays of the day before `start` as covers, no more than an array has days.
+
+    The oldest day of the arrays comes first, paying or not, so that the history reaches back as
+    far; where no day of the arrays pays, its cover ends earlier, on the last active day. A payer
+    is carried up to the next feed day. What is older than the arrays is in the CARRIED columns.
+    """
+    c = F.col
+    today = epoch_day(start) - 1
+    oldest = F.lit(today + 1) - F.size("activity_array")
+    days = state.select(
+        *["opco_code", "subscription_key", "subscriber_id", "subscription_name", "subscription_id", "paid_through_date"],
+        day_number("first_active_date").alias("life_day"),
+        day_number("last_churn_date").alias("carried_churn_day"),
+        day_number("last_winback_date").alias("carried_winback_day"),
+        day_number("last_active_date").alias("active_day"),
+        oldest.alias("oldest"),
+        F.posexplode(F.arrays_zip(*HISTORY_COLUMNS)).alias("ago", "then"),
+    ).withColumn("day", F.lit(today) - c("ago"))
+    paying = c("then.activity_array") == 1
+    covered_to = (
+        F.when(paying & (c("day") == today), F.lit(next_feed_day - 1))
+        .when(paying, c("day"))
+        .otherwise(F.least(c("active_day"), c("day") - 1))
+    )
+    return days.where(paying | (c("day") == c("oldest"))).select(
+        *["opco_code", "subscription_key", "subscriber_id", "subscription_name", "subscription_id", "paid_through_date"],
+        _never_null("day").alias("day"),
+        _never_null(covered_to).alias("covered_to"),
+        _never_null("then.viewer_array").alias("is_viewer_today"),
+        _never_null("then.mou_array").alias("minutes_of_usage"),
+        *CARRIED,
     )
 
 
@@ -210,13 +268,14 @@ def with_history(
     cap = cfg.array_size
     c = F.col
     paid_to = F.least("covered_to", "last_day")
+    paid_to = F.greatest(paid_to, c("day") - 1)  # a cover from stored state may end before its day
     paid, unpaid = paid_to - c("day") + 1, c("last_day") - paid_to
     idle_days = c("last_day") - c("day")
     one, no_days, no_minutes = F.lit(1).cast("long"), F.lit(0).cast("long"), F.lit(0.0)
     paid_days = c("paid_days_earlier") + paid
     daily_values = {
         "paid_days": F.concat(
-            F.sequence(c("paid_days_earlier") + 1, paid_days), F.array_repeat(paid_days, unpaid)
+            F.slice(F.sequence(c("paid_days_earlier"), paid_days), F.lit(2), paid), F.array_repeat(paid_days, unpaid)
         ),
         "minutes": F.array_repeat(c("minutes_to_date"), idle_days + 1),
     }
@@ -312,7 +371,7 @@ def expand_spans(
     }
     if "history_end" in spans.columns:
         newest = c("history_end") - c("state_day")
-        paid_days = c("paid_days_earlier") + (c("state_day") - c("idle") - c("day") + 1)
+        paid_days = c("paid_days_earlier") + F.greatest(F.lit(0), c("state_day") - c("idle") - c("day") + 1)
         days_of = {"7d": SHORT_WINDOW_DAYS, "30d": MONTH_WINDOW_DAYS, "90d": cfg.array_size}
         for name, wanted in days_of.items():
             days = cfg.window(wanted)
@@ -340,14 +399,19 @@ def bulk_cumulated(
     emit_from: date | None = None,
     with_arrays: bool = True,
     distributed: bool = False,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
-    """The state table of `start`..`end`, from empty state before `start`.
+    """The state table of `start`..`end`, going on from `earlier`, the state of the day before.
+
+    Without it, from empty state before `start`; with it, no older daily rows are needed.
 
     Equal to running the daily step over every date of the range. `emit_from`
     leaves out the rows of earlier dates (their history still counts), and
     `with_arrays=False` the three array columns.
     """
-    spans = paying_spans(daily, start, end, cfg, feed_dates, distributed)
+    spans = paying_spans(daily, start, end, cfg, feed_dates, distributed, earlier)
+    if earlier is not None:
+        emit_from = emit_from or start
     if emit_from is not None:
         # Earlier spans are too old to be in anybody's history arrays.
         spans = spans.where(F.col("last_day") >= epoch_day(emit_from) - cfg.array_size - 1)

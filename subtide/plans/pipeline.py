@@ -102,11 +102,18 @@ def load_subscription_cumulated(
 def load_subscription_cumulated_range(
     warehouse: Warehouse, start: date, end: date, cfg: LifecycleConfig = LifecycleConfig()
 ) -> int:
-    """State of a whole range in one job, from the daily rows since the first one stored."""
+    """State of a whole range in one job, on from the stored state of the day before, like the daily step.
+
+    Only where that day has no state, from the daily rows since the first one stored.
+    """
     with logged(warehouse, "load_subscription_cumulated", end) as run:
-        first = _history_start(warehouse, start)
+        earlier = warehouse.read(STATE, day_before(start))
+        if earlier.isEmpty():
+            earlier, first = None, _history_start(warehouse, start)
+        else:
+            first = start
         states = bulk_cumulated(
-            warehouse.read(DAILY, first, end), first, end, cfg, emit_from=start, distributed=True
+            warehouse.read(DAILY, first, end), first, end, cfg, emit_from=start, distributed=True, earlier=earlier
         )
         run.rows = warehouse.replace_range(STATE, states, start, end)
         run.message = f"range {start}..{end}"
@@ -145,7 +152,7 @@ def _history_start(warehouse: Warehouse, start: date) -> date:
     first = next((d for d in listed if not warehouse.read(DAILY, d).isEmpty()), start)
     older = [d for d in warehouse.partitions(STATE) if d < first]
     if older and not warehouse.read(STATE, older[0], older[-1]).isEmpty():
-        raise ValueError(f"daily rows begin on {first}, but there is state from before: go on from it with mode='step'")
+        raise ValueError(f"no state for {day_before(start)}; daily rows begin on {first}, but there is state from before")
     return first
 
 
@@ -170,10 +177,10 @@ def backfill(
 ) -> None:
     """Every date of start..end, inclusive.
 
-    "bulk" runs three jobs for the whole range, whatever its length. It takes the
-    stored daily rows as the history before `start`. "step" runs the days one by
-    one and stops at the first failure; use it to go on from stored state whose
-    daily rows are gone. Later dates are not redone by either: after a
+    "bulk" runs three jobs for the whole range, whatever its length. "step" runs the
+    days one by one and stops at the first failure. Both go on from the stored state
+    of the day before `start`; where there is none, "bulk" works it out from all
+    stored daily rows. Later dates are not redone by either: after a
     correction, run through to the latest date.
     """
     if start > end:

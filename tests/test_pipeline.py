@@ -8,6 +8,7 @@ from subtide.__main__ import main
 from subtide.config import LifecycleConfig
 from subtide.operators.checks import CHECKS, ChecksFailed, Tables, run_checks
 from subtide.operators.events import EVENT_KEYS, lifecycle_events
+from subtide.operators.state_bulk import bulk_cumulated
 from subtide.plans.pipeline import (
     DAILY, KPI, SNAPSHOT, STATE, backfill, kpi_view, load_ott_kpi_daily, load_snapshots,
     load_subscription_cumulated, load_subscription_cumulated_range, load_subscription_daily, register_views, run_pipeline, stored_tables, validate,
@@ -80,17 +81,29 @@ def test_bulk_backfill_then_steps_equal_the_model(warehouse, rows):
     assert [r["status"] for r in results.collect()] == ["PASS"] * 12
 
 
-def test_bulk_refuses_to_start_lives_over(warehouse, rows):
+def test_a_range_goes_on_from_stored_state_or_refuses(spark, warehouse, rows):
     fill_snapshots(warehouse, rows)
-    backfill(warehouse, START, END - timedelta(days=2), CFG)
+    middle, later = END - timedelta(days=6), END - timedelta(days=5)
+    backfill(warehouse, START, middle, CFG)
+    warehouse.replace_range(DAILY, warehouse.table(DAILY).where("false"), START, middle)
     before = collected(warehouse.table(STATE))
-    for day in range(5):
-        warehouse.replace_day(DAILY, warehouse.table(DAILY).where("false"), START + timedelta(days=day))
+    # Without state the day before, every life would start over.
     with pytest.raises(LoadFailed, match="state from before"):
-        load_subscription_cumulated_range(warehouse, END - timedelta(days=1), END, CFG)
+        load_subscription_cumulated_range(warehouse, END, END, CFG)
     assert collected(warehouse.table(STATE)) == before
+    backfill(warehouse, later, END, CFG)
+    expected = replay(rows, START, END, CFG)
+    assert_same(collected(warehouse.table(STATE)), expected)
     backfill(warehouse, END - timedelta(days=1), END, CFG, mode="step")
-    assert_same(collected(warehouse.table(STATE)), replay(rows, START, END, CFG))
+    assert_same(collected(warehouse.table(STATE)), expected)
+    # It reads one date of the state and the daily rows of the range.
+    states = bulk_cumulated(
+        warehouse.read(DAILY, later, END), later, END, CFG, distributed=True, earlier=warehouse.read(STATE, middle)
+    )
+    read = {path.split("snapshot_date=")[1][:10] for path in states.inputFiles() if f"/{STATE}/" in path}
+    assert read == {str(middle)}
+    read = {path.split("snapshot_date=")[1][:10] for path in states.inputFiles() if f"/{DAILY}/" in path}
+    assert min(read) == str(later)
 
 
 def test_rerun_replaces_and_an_emptied_day_becomes_empty(warehouse, rows):
@@ -193,8 +206,6 @@ def test_landing_files_reach_the_snapshot_table(spark, warehouse):
 @pytest.fixture(scope="module")
 def healthy(spark, rows):
     from subtide.operators.daily import build_subscription_daily
-    from subtide.operators.state_bulk import bulk_cumulated
-
     data = [
         (r["opco_code"], r["subscriber_id"], r["subscription_name"], r["subscription_id"],
          r["subscription_start_date"], r["paid_through_date"], r["minutes_of_usage"], r["snapshot_date"])

@@ -77,6 +77,21 @@ def test_bulk_obeys_the_step_on_every_day(spark, cfg, days, keys):
     daily.unpersist(), bulk.unpersist()
 
 
+@pytest.mark.parametrize("cfg,days,keys", CONFIGS)
+def test_a_range_goes_on_from_state(spark, cfg, days, keys):
+    """From the state of any day, with the daily rows after it alone; feed gaps fall on the seam too."""
+    end = START + timedelta(days=days)
+    starts = [START + timedelta(days=int(days * share)) for share in (0.3, 0.5, 0.8)]
+    rows = [r for r in random_daily(23 + days, keys, START, end, 0.2) if r["snapshot_date"] != starts[1]]
+    expected = replay(rows, START, end, cfg)
+    for start in starts:
+        day_before = [v for (_, day), v in expected.items() if day == start - timedelta(days=1)]
+        state = spark.createDataFrame([tuple(v[n] for n in SUBSCRIPTION_CUMULATED.names) for v in day_before], SUBSCRIPTION_CUMULATED)
+        later = frame(spark, [r for r in rows if r["snapshot_date"] >= start])
+        got = bulk_cumulated(later, start, end, cfg, earlier=state)
+        assert_same(collected(got), {k: v for k, v in expected.items() if k[1] >= start})
+
+
 def test_emit_from_and_no_arrays_only_leave_things_out(spark):
     cfg, end = LifecycleConfig(), START + timedelta(days=300)
     daily = frame(spark, random_daily(5, 15, START, end, 0.05))
