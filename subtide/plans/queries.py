@@ -39,7 +39,7 @@ from subtide.operators.state_step import step_all_days, step_cumulated
 from subtide.operators.upsert import SNAPSHOT_KEYS, upsert_snapshots
 from subtide.operators.views import kpi_daily_view
 from subtide.plans import oracles as sql
-from subtide.plans.pipeline import SNAPSHOT, backfill, kpi_view
+from subtide.plans.pipeline import DAILY, SNAPSHOT, STATE, backfill, kpi_view
 from subtide.plans.shapes import STATE_SCALARS, STATE_TOTALS, state_total
 from subtide.schemas import HISTORY_COLUMNS, OTT_KPI_DAILY, SUBSCRIPTION_CUMULATED, SUBSCRIPTION_DAILY
 from subtide.sources import fixtures
@@ -698,11 +698,16 @@ def trailing_30d_recompute(spark, sf_dir):
 def _stored(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The event snapshots in tables of their own, with every load run over them."""
     inputs = events_inputs(spark, sf_dir)
+    return _loaded(spark, inputs, inputs.end)
+
+
+def _loaded(spark: SparkSession, inputs: Inputs, end: date) -> Warehouse:
+    """The snapshots in a table, and every load up to `end`."""
     # As many buckets as the cluster has cores.
     buckets = spark.sparkContext.defaultParallelism
     warehouse = Warehouse(spark, scratch_folder(spark), f"subtide_{uuid4().hex[:12]}", buckets)
     warehouse.replace_touched(SNAPSHOT, inputs.bronze.hint("rebalance", "snapshot_date"))
-    backfill(warehouse, inputs.start, inputs.end, inputs.cfg)
+    backfill(warehouse, inputs.start, end, inputs.cfg)
     return warehouse
 
 
@@ -724,3 +729,14 @@ FROM (SELECT 'load_subscription_daily' AS proc_name, count(*) AS n FROM daily
 def run_log_rows(spark, sf_dir):
     log = _stored(spark, sf_dir).table("etl_run_log")
     return log.select("proc_name", "ds", "rows_affected", "status", "message")
+
+
+@query(sql.events(f"{_ALL_SQL} WHERE snapshot_date > DATE '{fixtures.EVENTS_MISSING[0]}'", gaps=True))
+def stored_range_after_pruned_history(spark, sf_dir):
+    """A range that goes on from stored state in the middle of a feed gap, when older daily rows are gone."""
+    inputs = events_inputs(spark, sf_dir, gaps=True)
+    last = fixtures.EVENTS_MISSING[0]
+    warehouse = _loaded(spark, inputs, last)
+    warehouse.replace_range(DAILY, inputs.daily.where("false"), inputs.start, last)
+    backfill(warehouse, last + timedelta(days=1), inputs.end, inputs.cfg)
+    return _lists_as_text(warehouse.read(STATE, last + timedelta(days=1), inputs.end)).select(*STATE_SCALARS, *HISTORY_COLUMNS)
