@@ -9,7 +9,9 @@ goes through a logistic curve to a score from 0 to 1.
 
 Lexicon, weights, exceptions and curve are learned from the labelled rows given as training rows.
 Weights are log ratios of the shares of toxic and other documents that have an entry, less their
-error; entries are picked in rounds, each among the toxic documents that those before don't match. Copies of a text
+error; entries are picked in rounds, each among the toxic documents that those before don't match, until a
+round adds none. An entry needs `LEAST_DOCS` toxic documents and evidence that all entries tested would
+hardly show by chance, whatever share of the toxic documents it is in. Copies of a text
 count once. Exceptions are
 two-word phrases around a match that other documents have more often than toxic ones. All training
 rows are used. The driver holds only what parameters bound: entries, phrases, steps of the curve.
@@ -35,11 +37,11 @@ from pyspark.sql import types as T
 
 from subtide.llm.store import broadcast_if_small, stored
 
-ENTRIES = 5_000  # in the lexicon, and phrases
-CANDIDATES = 50_000
+ENTRIES = 5_000  # that a round adds, and phrases
+CANDIDATES = 50_000  # of a round, those with the most evidence
 STEMS = (3, 4, 5, 6, 7, 8)  # letters
-LEAST_SHARE = 0.02  # of the toxic training documents without a match so far that an entry is in
-LOOKS = 4  # rounds of picking entries
+CHANCE = 0.05  # expected entries of a round that owe their evidence to chance alone
+NEXT_TO_BEST = 0.1  # of the evidence of a round's best entry; those with less wait for the next round
 LEAST_DOCS = 5
 LEAST_WEIGHT = 1.5  # less the error
 MORE_DOCS = 1.2  # a stem is in so many times the documents of a longer entry that begins with it
@@ -169,10 +171,16 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: Iterable[str] = ()) ->
         return Model({}, [], None)
     send = docs.sparkSession.sparkContext.broadcast
 
+    told = texts.mapInArrow(_entry_counts, _COUNTS).groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    told = stored(told.where(F.col("bad") + F.col("good") >= LEAST_DOCS))
+    bar = math.log(max(1, told.count()) / CHANCE)
+    told = told.where(F.col("bad") >= LEAST_DOCS).select("entry", "good")
     lexicon: Lexicon = {}
-    for _ in range(LOOKS):
-        more = _picked(texts, send(lexicon), other)
-        if not more:
+    left = texts.where("toxic")
+    while True:
+        left = stored(left.mapInArrow(_unmatched(send(lexicon)), "text string, toxic boolean"))
+        more = _picked(left, told, other, bar)
+        if not more.keys() - lexicon.keys():
             break
         lexicon = more | lexicon
 
@@ -187,35 +195,32 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: Iterable[str] = ()) ->
     return Model(lexicon, spare, _curve(steps))
 
 
-def _picked(texts: DataFrame, sent, other: int) -> Lexicon:
+def _picked(left: DataFrame, told: DataFrame, other: int, bar: float) -> Lexicon:
     """Entries that set apart the toxic texts which the lexicon so far has no match in.
 
     Looking at those alone keeps out words that came along with entries already found, as in copies.
+    `told`: clean documents by entry. Evidence is the exponent of the Chernoff bound on an entry's toxic documents,
+    had they their share by chance; `bar` is what it must reach.
     """
-    send = texts.sparkSession.sparkContext.broadcast
-    clean = texts.where("NOT toxic")
-    left = stored(texts.where("toxic").mapInArrow(_unmatched(sent), "text string"))
     n = left.count()
-    least = max(LEAST_DOCS, LEAST_SHARE * n)
-    common = left.mapInArrow(_entry_counts(None), _COUNTS).groupBy("entry").agg(F.sum("n").alias("n"))
-    common = {e: x for e, x in common.where(F.col("n") >= least).orderBy(F.desc("n"), "entry").limit(CANDIDATES).collect()}
-    if not common:
+    if not n:
         return {}
-    among = clean.mapInArrow(_entry_counts(send(frozenset(common))), _COUNTS)
-    among = dict(map(tuple, among.groupBy("entry").agg(F.sum("n")).collect()))  # CANDIDATES rows at most
-    picked: Lexicon = {}
+    counts = left.mapInArrow(_entry_counts, _COUNTS).groupBy("entry").agg(F.sum("bad").alias("x")).where(F.col("x") >= LEAST_DOCS)
+    weight = F.expr(f"ln((x + 0.5D) / {n + 1}) - ln((y + 0.5D) / {other + 1}) - sqrt(1 / (x + 0.5D) + 1 / (y + 0.5D))")
+    evidence = F.expr(f"x * ln(x / (x + y) * {(n + other) / n!r}D) + IF(y > 0, y * ln(y / (x + y) * {(n + other) / other!r}D), 0D)")
+    found = counts.join(told.withColumnRenamed("good", "y"), "entry").select("entry", "x", weight.alias("weight"), evidence.alias("evidence"))
+    common = found.where((F.col("weight") >= LEAST_WEIGHT) & (F.col("evidence") >= bar)).orderBy(F.desc("evidence"), "entry").limit(CANDIDATES).collect()
+    picked: dict[str, tuple[float, bool, float]] = {}
     within: Counter[str] = Counter()  # documents of picked entries, by each of their beginnings
-    for e, x in sorted(common.items(), key=lambda item: (-len(item[0].rstrip("*")), item[0].endswith("*"), item[0])):
+    for e, x, w, g in sorted(common, key=lambda r: (-len(r.entry.rstrip("*")), r.entry.endswith("*"), r.entry)):
         stem, entry = e.endswith("*"), e.rstrip("*")
-        y = among.get(e, 0)
-        weight = math.log((x + 0.5) / (n + 1)) - math.log((y + 0.5) / (other + 1)) - math.sqrt(1 / (x + 0.5) + 1 / (y + 0.5))
-        if weight < LEAST_WEIGHT or stem and x < MORE_DOCS * within[entry]:
+        if g < NEXT_TO_BEST * common[0].evidence or stem and x < MORE_DOCS * within[entry]:
             continue
-        picked[entry] = (weight, stem)
+        picked[entry] = (w, stem, g)
         for k in range(1, len(entry) + 1):
             within[entry[:k]] = max(within[entry[:k]], x)
-    best = sorted(picked, key=lambda e: (-within[e] * picked[e][0], e))[:ENTRIES]
-    return {e: picked[e] for e in best}
+    best = sorted(picked, key=lambda e: (-picked[e][2], e))[:ENTRIES]
+    return {e: picked[e][:2] for e in best}
 
 
 def _unmatched(sent):
@@ -223,12 +228,12 @@ def _unmatched(sent):
         matcher = Matcher(sent.value, ())
         for batch in batches:
             texts = [t for t in batch.column("text").to_pylist() if not matcher.strength(t)]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array([True] * len(texts), pa.bool_())], names=["text", "toxic"])
 
     return run
 
 
-_COUNTS = "entry string, n long"
+_COUNTS = "entry string, bad long, good long"
 
 
 def _text() -> Column:
@@ -241,25 +246,24 @@ def _entries(text: str) -> set[str]:
     return {w for w in words if len(w) > 2} | {f"{w[:k]}*" for w in words for k in STEMS if len(w) > k}
 
 
-def _entry_counts(among):
-    """How many texts of a task have each entry; `among`: those to count."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
-
-        def flushed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["entry", "n"])
-
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                found = _entries(text)
-                counts.update(found if among is None else found & among.value)
-                if len(counts) > HELD:
-                    yield flushed()
-                    counts.clear()
-        yield flushed()
-
-    return run
+def _entry_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many toxic and other texts of a task have each entry."""
+    bad: Counter[str] = Counter()
+    good: Counter[str] = Counter()
+
+    def flushed() -> pa.RecordBatch:
+        entries = list(bad.keys() | good.keys())
+        columns = [pa.array([n[e] for e in entries], pa.int64()) for n in (bad, good)]
+        return pa.RecordBatch.from_arrays([pa.array(entries, pa.string()), *columns], names=["entry", "bad", "good"])
+
+    for batch in batches:
+        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            (bad if toxic else good).update(_entries(text))
+            if len(bad) + len(good) > HELD:
+                yield flushed()
+                bad.clear()
+                good.clear()
+    yield flushed()
 
 
 def _phrases(sent):

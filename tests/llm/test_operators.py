@@ -161,6 +161,22 @@ def test_lexicon_stems_folding_and_exceptions(spark):
     assert tuple(none) == (0.0, 240)
 
 
+def test_words_of_small_shares_are_learned(spark):
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(2400):
+        words = [rng.choice(WORDS) for _ in range(12)]
+        if i % 4 == 0:
+            words[rng.randrange(12)] = f"vile{chr(97 + i // 4 % 60 % 26)}{chr(97 + i // 4 % 60 // 26)}"[::-1]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    model = toxicity.learn(frame(spark, rows), frame(spark, labels, "doc_id long, toxic int"))
+    told = {w for i, t in rows if i % 4 == 0 for w in t.split() if w not in WORDS}  # each in 10 of 600 toxic documents
+    score = model.scorer()
+    assert len(told) == 60 and all(score(f"{' '.join(WORDS[:11])} {w}") >= 0.7 for w in told)
+    assert max(score(t) for i, t in rows if i % 4) < 0.7
+
+
 # Mixing
 
 
