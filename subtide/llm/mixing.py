@@ -4,7 +4,9 @@ Documents fall into cells of source, language and topic. The cells' token weight
 in turn so that their sums by source, by language and by topic are the target marginals, round after
 round. A document is then kept with its cell's calibrated probability, the cell's raked weight over
 its tokens, scaled so that the largest probability of a cell is 1. The draw is a hash of the
-document, so a rerun keeps the same ones.
+document, so a rerun keeps the same ones. With `budget`, tokens to keep, the scale is the one at which
+the cells' probabilities, 1 at most, keep that many on average; so no small cell sets the rate. Cells that
+give all they have are not made up for within their margins.
 
 Targets default to the marginals' own token shares to the power `temperature`, which lifts rare
 values; they can be given as a table per margin. Topic is the form of the text (`form`) unless the
@@ -39,8 +41,9 @@ def form() -> Column:
 
 
 def raked(
-    docs: DataFrame, topic: Column | None = None, temperature: float = 0.5, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS
-) -> DataFrame:
+    docs: DataFrame, topic: Column | None = None, temperature: float = 0.5, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS,
+    budget: int | None = None,
+) -> DataFrame:
     """(source, lang, topic, tokens, weight, probability) per cell. targets: tables (value, share) by margin."""
     cells = _cells(docs.select(*_keys(topic), _tokens().alias("tokens"))).groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"))
     cells = stored(cells.withColumn("weight", F.col("tokens").cast("double")))
@@ -62,14 +65,34 @@ def raked(
             factor = F.coalesce(F.expr("IF(now > 0, share / now, 0D)"), F.lit(0.0))
             cells = cells.join(sums.select(margin, factor.alias("factor")), margin).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
         cells = stored(cells.select(*MARGINS, "tokens", "weight")).coalesce(tasks)
+    if budget is not None:
+        scale = _scale(cells, budget)
+        chance = F.expr(f"IF(tokens = 0, 1D, round(least(1D, weight / tokens * {scale!r}D), 9))")
+        return stored(cells.select(*MARGINS, "tokens", "weight", chance.alias("probability")))
     top = cells.agg(F.max(F.expr("IF(tokens > 0, weight / tokens, 0D)"))).first()[0]
     probability = F.expr(f"IF(tokens = 0, 1D, IF({top or 0.0!r}D = 0, 0D, round(weight / tokens / {top or 1.0!r}D, 9)))")
     return stored(cells.select(*MARGINS, "tokens", "weight", probability.alias("probability")))
 
 
-def mixture(docs: DataFrame, topic: Column | None = None, temperature: float = 0.5, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+def _scale(cells: DataFrame, budget: int) -> float:
+    """Where the sum of min(tokens, scale * weight) over the cells is `budget`, by Newton's method from below.
+
+    The sum is concave in pieces, so each step but the last adds cells that give all they have.
+    """
+    scale, full = 0.0, -1
+    while True:
+        all_of = f"tokens > 0 AND weight > 0 AND {scale!r}D * weight >= tokens"
+        now, given, rest = cells.agg(F.count_if(F.expr(all_of)), F.sum(F.expr(f"IF({all_of}, tokens, 0)")), F.sum(F.expr(f"IF({all_of}, 0D, weight)"))).first()
+        if now == full or not rest or budget <= given:
+            return scale
+        scale, full = (budget - given) / rest, now
+
+
+def mixture(
+    docs: DataFrame, topic: Column | None = None, temperature: float = 0.5, targets: dict[str, DataFrame] | None = None, budget: int | None = None
+) -> DataFrame:
     """All columns of `docs` as `row`, with its cell, tokens, probability and whether it is kept."""
-    cells = raked(docs, topic, temperature, targets).select(*MARGINS, "probability")
+    cells = raked(docs, topic, temperature, targets, budget=budget).select(*MARGINS, "probability")
     rows = _cells(docs.select(F.struct(*docs.columns).alias("row"), *_keys(topic), _tokens().alias("tokens"), _draw().alias("draw")))
     return rows.join(cells, list(MARGINS)).withColumn("kept", F.col("draw") < F.col("probability"))
 

@@ -199,6 +199,19 @@ def test_marginals_are_met(spark):
     assert mixing.mixture(docs.limit(0)).count() == 0
 
 
+def test_no_small_cell_sets_the_rate_of_a_budget(spark):
+    rows = [(i, "w " * 20, "ab"[i % 3 == 0], "en") for i in range(900)] + [(1000, "w " * 2, "c", "xx")]
+    docs = frame(spark, rows, "doc_id long, text string, source string, lang string")
+    for budget in (3_000, 9_000, 17_000):
+        cells = mixing.raked(docs, budget=budget).collect()
+        assert sum(c.probability * c.tokens for c in cells) == pytest.approx(budget, rel=1e-6)
+        assert next(c.probability for c in cells if c.source == "c") == 1
+        kept = mixing.mixture(docs, budget=budget).where("kept").agg(F.sum("tokens")).first()[0]
+        assert kept == pytest.approx(budget, rel=0.15)
+    assert {c.probability for c in mixing.raked(docs, budget=100_000).collect()} == {1.0}
+    assert mixing.mixture(docs.limit(0), budget=5).count() == 0
+
+
 # Quality
 
 
