@@ -3,7 +3,8 @@
 A line is its words, lower-cased (A-Z) and one space apart; lines of fewer than `min_words` words
 are never boilerplate. A site is a value of `source`; null counts as one site. Sites are counted by
 a HyperLogLog sketch per line, merged by aggregation; lines whose estimate is near `min_sites` are
-counted exactly. So the verdict is exact but for lines far beyond the sketch's error.
+counted exactly. So the verdict is exact but for lines far beyond the sketch's error. Where all
+documents have fewer than 13 distinct sites, a line needs `SHARE` of them (two at least) instead of `min_sites`.
 
 All boilerplate lines go from a text, if they hold at most half of its words. A text that holds
 more of them is a copy of a much copied text, no host of boilerplate, and is left as it is: near
@@ -12,6 +13,7 @@ duplicates are another operator's work. Null and empty texts stay as they are.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,6 +27,7 @@ from subtide.llm.words import Known, Lines, Words, chunks, octets
 
 BLOCK_LINES = 2_000_000  # hashes broadcast at once; 16 MB
 SKETCH_BITS = 12  # 4,096 registers, a standard error of 1.6 %
+SHARE = 0.75  # of the distinct sites, which makes a line boilerplate if it is less than min_sites
 NEAR = 0.1  # relative distance from min_sites within which lines are counted exactly
 PAIRS = 500_000  # (line, site) pairs a task holds before it passes them on
 
@@ -43,12 +46,14 @@ def line_report(docs: DataFrame, min_sites: int = 10, min_words: int = 3, block_
 
 
 def boilerplate_lines(docs: DataFrame, min_sites: int, min_words: int) -> DataFrame:
-    """Hashes of the lines that `min_sites` distinct sites have."""
+    """Hashes of the lines that `min_sites` distinct sites have, or SHARE of all, if that is less."""
+    sites = docs.select(F.xxhash64(F.col("source").cast("string"))).distinct().limit(math.ceil(min_sites / SHARE)).count()
+    min_sites = min(min_sites, max(2, math.ceil(SHARE * sites)))
     texts = docs.select(F.xxhash64(F.col("source").cast("string")).alias("site"), octets("text").alias("text"))
     pairs = texts.mapInArrow(_spread(min_words), "line long, site long")
     sketches = pairs.groupBy("line").agg(F.hll_sketch_agg("site", SKETCH_BITS).alias("sketch"))
     spread = stored(
-        sketches.select("line", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites * (1 - NEAR) - 1)
+        sketches.select("line", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= max(min(1.5, min_sites - 0.5), min_sites * (1 - NEAR) - 1))
     )
     near = F.col("sites") <= min_sites * (1 + NEAR) + 1
     exact = pairs.join(spread.where(near).select("line"), "line", "left_semi").distinct().groupBy("line").count()

@@ -247,6 +247,16 @@ def test_lines_of_many_sites_go(spark, block):
     assert line_dedup.remove_boilerplate(docs.limit(0)).collect() == []
 
 
+def test_few_sites_have_boilerplate_too(spark):
+    text = lambda i: f"own words of text number {i}\nand some more that nobody else has {i}"
+    for sites, enough in ((1, 2), (2, 2), (3, 3), (9, 7), (12, 9), (13, 10), (20, 10)):
+        rows = [(i, f"s{i % sites}", text(i) + "\nsubscribe to our letter" * (i % sites < enough) + "\nread more on this" * (i % sites < enough - 1)) for i in range(2 * sites)]
+        cut = line_dedup.remove_boilerplate(frame(spark, rows, "doc_id long, source string, text string")).collect()
+        gone = sites > 1
+        assert all(("letter" in r.text) == (not gone and r.doc_id % sites < enough) for r in cut), sites
+        assert all(("read more" in r.text) == (r.doc_id % sites < enough - 1) for r in cut), sites
+
+
 def test_one_of_each_group_stays(spark):
     a, b = " ".join(WORDS[:30]), " ".join(WORDS[30:60])
     rows = [(5, a, "x"), (3, a, "y"), (3, a, "z"), (9, b, "x"), (8, None, "x"), (7, "", "x"), (None, a, "q")]
