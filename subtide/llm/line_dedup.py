@@ -7,8 +7,9 @@ counted exactly. So the verdict is exact but for lines far beyond the sketch's e
 documents have fewer than 13 distinct sites, a line needs `SHARE` of them (two at least) instead of `min_sites`.
 
 All boilerplate lines go from a text, if they hold at most half of its words. A text that holds
-more of them is a copy of a much copied text, no host of boilerplate, and is left as it is: near
-duplicates are another operator's work. Null and empty texts stay as they are.
+more of them is taken for a copy of a much copied text, no host of boilerplate, and is left as it is: near
+duplicates are another operator's work. With `whole_copies` only texts without any other line of
+`min_words` words are left, so that a line goes from short pages as from long ones. Null and empty texts stay as they are.
 """
 
 from __future__ import annotations
@@ -32,9 +33,9 @@ NEAR = 0.1  # relative distance from min_sites within which lines are counted ex
 PAIRS = 500_000  # (line, site) pairs a task holds before it passes them on
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = 10, min_words: int = 3, block_lines: int = BLOCK_LINES) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, min_sites: int = 10, min_words: int = 3, block_lines: int = BLOCK_LINES, whole_copies: bool = False) -> DataFrame:
     """`docs` with boilerplate lines cut from `text`."""
-    cut = _cut_rows(docs, min_sites, min_words, block_lines)
+    cut = _cut_rows(docs, min_sites, min_words, block_lines, whole_copies)
     kept = [F.col(f"row.{c}") if c != "text" else F.expr("IF(row.text IS NULL, NULL, CAST(cut AS string))").alias("text") for c in docs.columns]
     return cut.select(*kept)
 
@@ -86,7 +87,7 @@ def _spread(min_words: int):
     return run
 
 
-def _cut_rows(docs: DataFrame, min_sites: int, min_words: int, block_lines: int) -> DataFrame:
+def _cut_rows(docs: DataFrame, min_sites: int, min_words: int, block_lines: int, whole_copies: bool = False) -> DataFrame:
     """`docs` as a struct `row`, with the text that stays (`cut`) and counts of lines."""
     lines = boilerplate_lines(docs, min_sites, min_words)
     blocks = max(1, -(-lines.count() // block_lines))
@@ -96,7 +97,7 @@ def _cut_rows(docs: DataFrame, min_sites: int, min_words: int, block_lines: int)
         sent = docs.sparkSession.sparkContext.broadcast(block.astype(np.int64).view(np.uint64))
         rows = (stored(rows) if k else rows).mapInArrow(_marked(sent), rows.schema)
     schema = T.StructType([rows.schema["row"]]).add("cut", "binary").add("n_lines", "long").add("n_removed", "long")
-    return rows.mapInArrow(_without(min_words), schema)
+    return rows.mapInArrow(_without(min_words, whole_copies), schema)
 
 
 def _marked(sent):
@@ -116,7 +117,7 @@ def _marked(sent):
     return run
 
 
-def _without(min_words: int):
+def _without(min_words: int, whole_copies: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
             lines = Lines(Words(texts))
@@ -126,7 +127,8 @@ def _without(min_words: int):
                 own = slice(bounds[d], bounds[d + 1])
                 size = lines.n_words[own]
                 gone = [m for m in marks or [] if size[m] >= min_words]
-                if gone and 2 * int(size[gone].sum()) <= int(size.sum()):
+                hosts = len(gone) < int((size >= min_words).sum()) if whole_copies else 2 * int(size[gone].sum()) <= int(size.sum())
+                if gone and hosts:
                     numbers = set(lines.number[own][gone].tolist())
                     text = b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in numbers)
                 else:

@@ -257,6 +257,15 @@ def test_few_sites_have_boilerplate_too(spark):
         assert all(("read more" in r.text) == (r.doc_id % sites < enough - 1) for r in cut), sites
 
 
+def test_spread_lines_go_from_short_pages(spark):
+    notice = " ".join(WORDS[:60])
+    own = lambda i: " ".join(f"{w}{i}" for w in WORDS[60:100])
+    rows = [(i, f"s{i}", f"{notice}\n{own(i)}") for i in range(12)] + [(20, "s1", f"{notice}\ntwo words"), (21, "s2", notice)]
+    docs = frame(spark, rows, "doc_id long, source string, text string")
+    cut = {r.doc_id: r.text for r in line_dedup.remove_boilerplate(docs, whole_copies=True).collect()}
+    assert cut == {i: own(i) for i in range(12)} | {20: f"{notice}\ntwo words", 21: notice}
+
+
 def test_one_of_each_group_stays(spark):
     a, b = " ".join(WORDS[:30]), " ".join(WORDS[30:60])
     rows = [(5, a, "x"), (3, a, "y"), (3, a, "z"), (9, b, "x"), (8, None, "x"), (7, "", "x"), (None, a, "q")]
