@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtide.llm import class_lm, decontamination, licenses, line_dedup, mixing, ngram_join, quality, toxicity, url_reputation, warc
+from subtide.llm import (
+    class_lm, decontamination, hard_negatives, licenses, line_dedup, mixing, ngram_join, quality, substring_dedup, token_links, toxicity,
+    url_reputation, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 ALLOW = ["org/", "com/fr/"]
 BLOCK = ["example.org/es/", "example.org/en/1", "com/de/"]
 TOXIC_FOLDS, LM_FOLDS = 3, 7
+TOKENIZERS = "/opt/tokenizers"
+ANCHOR_EVERY, MISLABELLED_EVERY, CLASSES = 100, 7, 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,11 +74,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_report(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr(f"IF(vec_id % {MISLABELLED_EVERY} = 0, (label + 1) % {CLASSES}, label)")
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % ANCHOR_EVERY == 0, label=label)
+
+
+def op13_token_links(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    return token_links.token_links(table(spark, sf_dir, "documents"), f"{tokenizers}/byte_bpe_50k.json", f"{tokenizers}/piece_bpe_32k.model")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_class_lm, op3_license_scan, op4_warc, op5_url_reputation,
         op6_ngram_jaccard_join, op7_toxicity, op8_mixing, op9_quality, op10_line_dedup,
+        op11_substring_dedup, op12_hard_negatives, op13_token_links,
     )
 }
 
@@ -216,6 +235,45 @@ SELECT doc_id, source, n_lines, CASE WHEN hosts THEN n_common ELSE 0 END AS n_re
 FROM docs JOIN verdict USING (r)
 """
 
+OP11 = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), {_NOT_SPACE}) AS w FROM documents
+), seen AS (
+  SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS win FROM docs, unnest(range(1, len(w) - 33)) AS u(i)
+), hits AS (
+  SELECT r, i FROM seen WHERE win IN (SELECT win FROM seen GROUP BY win HAVING count(*) > 1)
+), gone AS (
+  SELECT DISTINCT r, i + k AS j FROM hits, unnest(range(35)) AS u(k)
+), words AS (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM docs
+), kept AS (
+  SELECT r, count(gone.j) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (WHERE gone.j IS NULL) AS text
+  FROM words LEFT JOIN gone USING (r, j) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+OP12 = f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % {MISLABELLED_EVERY} = 0 THEN (label + 1) % {CLASSES} ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % {ANCHOR_EVERY} = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, (row_number() OVER best)::INT AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER best <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
     "op3_license_scan": licenses.scan_sql(),
@@ -223,4 +281,6 @@ ORACLES: dict[str, str] = {
     "op5_url_reputation": _op5(),
     "op8_mixing": _op8(),
     "op10_line_dedup": OP10,
+    "op11_substring_dedup": OP11,
+    "op12_hard_negatives": OP12,
 }

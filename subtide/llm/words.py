@@ -20,6 +20,7 @@ NOT_SPACE = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
 LETTERS = np.array([b >= 0x80 or chr(b).isdigit() or "a" <= chr(b) <= "z" for b in range(256)])
 
 CHUNK_BYTES = 1 << 20  # texts joined at once; a longer text is a chunk by itself
+PIECE_BYTES = 1 << 20  # of a chunk that are hashed at once, so that long texts need little more than their words
 _STEP = np.uint64(0x9E3779B97F4A7C17)
 _STEP_BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 
@@ -36,19 +37,16 @@ def mixed(h: np.ndarray) -> np.ndarray:
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _STEP) | np.uint64(1)
 
 
-class _Powers:
-    """Powers of the polynomial's base and of its inverse, as long as the longest chunk so far."""
+_KEPT: list[np.ndarray] = []
 
-    def __init__(self) -> None:
-        self.up = self.down = np.empty(0, np.uint64)
 
-    def reach(self, n: int) -> None:
-        if n > len(self.up):
-            self.up = np.cumprod(np.full(n, _STEP))
-            self.down = np.cumprod(np.full(n, _STEP_BACK))
-
-
-_POWERS = _Powers()
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the polynomial's base and of its inverse; PIECE_BYTES of them stay in memory."""
+    if n > PIECE_BYTES:
+        return np.cumprod(np.full(n, _STEP)), np.cumprod(np.full(n, _STEP_BACK))
+    if not _KEPT:
+        _KEPT.extend(np.cumprod(np.full(PIECE_BYTES, step)) for step in (_STEP, _STEP_BACK))
+    return _KEPT[0][:n], _KEPT[1][:n]
 
 
 class Words:
@@ -61,17 +59,7 @@ class Words:
     def __init__(self, texts: list[bytes], kind: np.ndarray = NOT_SPACE, lower: bool = True) -> None:
         joined = b"\n".join(texts)
         self.joined = joined.lower() if lower else joined  # of bytes: A-Z alone
-        raw = np.frombuffer(self.joined, np.uint8)
-        inside = kind[raw]
-        edge = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
-        self.begins, self.ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        _POWERS.reach(len(raw))
-        terms = np.where(kind, _BYTE, np.uint64(0))[raw]
-        terms *= _POWERS.up[: len(raw)]
-        if len(self.begins):
-            self.hashes = mixed(np.add.reduceat(terms, self.begins) * _POWERS.down[self.begins])
-        else:
-            self.hashes = np.empty(0, np.uint64)
+        self.begins, self.ends, self.hashes = _hashed(np.frombuffer(self.joined, np.uint8), kind)
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.offsets = np.concatenate([[0], np.cumsum(lengths + 1)])
         self.first = np.searchsorted(self.begins, self.offsets)
@@ -83,6 +71,42 @@ class Words:
         return self.hashes[self.first[d] : self.first[d + 1]]
 
 
+def _hashed(raw: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins, ends and hashes of the words, piece by piece; a word cut by the end of a piece is put together."""
+    value = np.where(kind, _BYTE, np.uint64(0))
+    begins, ends, sums = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    within = False  # the piece before ends within a word, the last of the last arrays
+    for start in range(0, len(raw), PIECE_BYTES):
+        piece = raw[start : start + PIECE_BYTES]
+        edge = np.diff(kind[piece].view(np.int8), prepend=np.int8(0), append=np.int8(0))
+        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        if not len(begin):
+            within = False
+            continue
+        up, down = powers(len(piece))
+        total = np.add.reduceat(value[piece] * up, begin) * down[begin]
+        if within and begin[0] == 0:
+            shift = np.uint64(pow(int(_STEP), int(start - begins[-1][-1]), 1 << 64))
+            sums[-1][-1:] += total[:1] * shift
+            ends[-1][-1] = start + end[0]
+            begin, end, total = begin[1:], end[1:], total[1:]
+        within = bool(kind[piece[-1]])
+        if len(begin):
+            begins.append(begin + start)
+            ends.append(end + start)
+            sums.append(total)
+    return np.concatenate(begins), np.concatenate(ends), mixed(np.concatenate(sums))
+
+
+def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
+    """As `folded`, in a few passes for any k, by differences of one running sum."""
+    if len(hashes) < k:
+        return np.empty(0, np.uint64)
+    up, down = powers(len(hashes))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up)])
+    return mixed((total[k:] - total[:-k]) * down[: len(hashes) - k + 1])
+
+
 def folded(hashes: np.ndarray, k: int) -> np.ndarray:
     """A hash for each window of k hashes that follow each other."""
     n = len(hashes) - k + 1
@@ -118,9 +142,9 @@ def octets(text: str) -> Column:
 
 
 def chunks(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with their texts, of about CHUNK_BYTES or one long text each."""
+    """Slices of the batches with their texts, null as empty, of about CHUNK_BYTES or one long text each."""
     for batch in batches:
-        values = batch.column(text)
+        values = batch.column(text).cast(pa.binary()).fill_null(b"")
         sizes = pc.binary_length(values).to_pylist()
         start = total = 0
         for i, size in enumerate(sizes):
@@ -142,9 +166,9 @@ class Lines:
         first = np.flatnonzero(np.diff(line, prepend=-1))
         self.n_words = np.diff(first, append=len(line))
         if len(first):
-            _POWERS.reach(len(line))
-            sums = np.add.reduceat(words.hashes * _POWERS.up[: len(line)], first)
-            self.hashes = mixed(sums * _POWERS.down[first] + self.n_words.astype(np.uint64))
+            up, down = powers(len(line))
+            sums = np.add.reduceat(words.hashes * up, first)
+            self.hashes = mixed(sums * down[first] + self.n_words.astype(np.uint64))
         else:
             self.hashes = np.empty(0, np.uint64)
         self.text = np.searchsorted(words.first, first, "right") - 1
