@@ -19,8 +19,12 @@ class LifecycleConfig:
     winback_days: int = 90
     retention_days: int = 180
     viewer_minutes: float = 1.0
+    # Whose rows make a date a feed date: any company's ("all"), or each company its own ("opco").
+    feed_scope: str = "all"
 
     def __post_init__(self) -> None:
+        if self.feed_scope not in ("all", "opco"):
+            raise ValueError("feed_scope must be 'all' or 'opco'")
         if self.array_size < 1:
             raise ValueError("array_size must be at least 1")
         if self.grace_days < 0 or self.winback_days < 0:
@@ -29,6 +33,11 @@ class LifecycleConfig:
         if self.retention_days <= self.grace_days:
             raise ValueError("retention_days must be greater than grace_days")
 
+    @property
+    def feed_key(self) -> list[str]:
+        """The columns that a feed calendar has besides the date."""
+        return ["opco_code"] if self.feed_scope == "opco" else []
+
     def window(self, days: int) -> int:
         """Days a trailing window really covers: history is capped at array_size."""
         return min(days, self.array_size)

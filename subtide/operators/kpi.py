@@ -27,34 +27,32 @@ _SUBSCRIBER_FLAGS = {
 
 
 def build_kpi_daily(states: DataFrame, start: date, end: date) -> DataFrame:
-    """KPIs of `start`..`end` from stored state rows.
+    """KPIs of `start`..`end` from stored state rows, in one pass over them.
 
-    Sums over subscriptions shrink to one row per opco and day before they are
-    shuffled. What has to be known per subscriber travels as one small number, and
-    only from rows where any of it is true: idle churned subscriptions, the bulk
-    of a state table, stay where they are. The two sides read almost disjoint
-    columns and meet with one row per opco and day.
+    What has to be known per subscriber travels as one small number. Rows in which none of it is true, the idle
+    churned subscriptions that are the bulk of a state table, are grouped without their subscriber: they
+    shrink to one row per opco and day before the shuffle, and only subscribers who are active, come,
+    go or watch that day are shuffled, with their sums.
     """
-    rows = in_range(states, start, end)
     of_day = ["opco_code", "snapshot_date"]
-    sums = rows.groupBy(*of_day).agg(
-        F.sum("is_addition").alias("additions"),
-        F.sum("is_new_subscription").alias("new_subscriptions"),
-        F.sum("is_winback_event").alias("winback_subscriptions"),
-        F.sum("is_reacquisition_event").alias("reacquisition_subscriptions"),
-        F.sum("is_renewal_event").alias("renewal_subscriptions"),
-        F.sum("is_churn_event").alias("subscription_churn"),
-        F.sum("is_paying").alias("paying_subscriptions"),
-        F.sum("is_in_grace").alias("grace_subscriptions"),
-        F.sum("is_active_subscription").alias("active_subscriptions"),
-        *[F.sum(f"mou_{w}").alias(f"minutes_of_usage_{w}") for w in ("1d", "7d", "30d")],
-    )
     traits = sum((F.col(flag) * bit for flag, bit in _SUBSCRIBER_FLAGS.items()), F.lit(0)).cast("int")
+    sums = {
+        "additions": "is_addition",
+        "new_subscriptions": "is_new_subscription",
+        "winback_subscriptions": "is_winback_event",
+        "reacquisition_subscriptions": "is_reacquisition_event",
+        "renewal_subscriptions": "is_renewal_event",
+        "subscription_churn": "is_churn_event",
+        "paying_subscriptions": "is_paying",
+        "grace_subscriptions": "is_in_grace",
+        "active_subscriptions": "is_active_subscription",
+        **{f"minutes_of_usage_{w}": f"mou_{w}" for w in ("1d", "7d", "30d")},
+    }
     subscribers = (
-        rows.select(*of_day, "subscriber_id", traits.alias("traits"))
-        .where(F.col("traits") > 0)
-        .groupBy(*of_day, "subscriber_id")
-        .agg(F.bit_or("traits").alias("traits"))
+        in_range(states, start, end)
+        .select(*of_day, "subscriber_id", traits.alias("traits"), *sums.values())
+        .groupBy(*of_day, F.when(F.col("traits") > 0, F.col("subscriber_id")).alias("who"))
+        .agg(F.bit_or("traits").alias("traits"), *[F.sum(c).alias(name) for name, c in sums.items()])
     )
 
     def having(bit: int) -> Column:
@@ -68,10 +66,10 @@ def build_kpi_daily(states: DataFrame, start: date, end: date) -> DataFrame:
         "unique_viewers_7d": having(_VIEWED_7D),
         "unique_viewers_30d": having(_VIEWED_30D),
     }
-    counts = subscribers.groupBy(*of_day).agg(*[F.count_if(c).alias(n) for n, c in uniques.items()])
-    totals = sums.join(counts, of_day, "left")
-    # A day on which nobody is active or watching has no row among the counts.
-    return _finish(totals.withColumns({n: F.coalesce(n, F.lit(0)) for n in uniques}))
+    totals = subscribers.groupBy(*of_day).agg(
+        *[F.sum(name).alias(name) for name in sums], *[F.count_if(c).alias(n) for n, c in uniques.items()]
+    )
+    return _finish(totals)
 
 
 def _finish(totals: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from subtide.config import MONTH_WINDOW_DAYS, SHORT_WINDOW_DAYS, LifecycleConfig
 from subtide.functions.columns import day_number, epoch_day, minute_parts, to_day, whole_minutes
+from subtide.functions.sizes import broadcast_if_small
 from subtide.operators.daily import in_range
 from subtide.schemas import HISTORY_COLUMNS, SUBSCRIPTION_CUMULATED
 
@@ -47,25 +48,26 @@ SPAN_COLUMNS = [
 ]
 
 
-def feed_calendar(rows: DataFrame, start: date, end: date) -> DataFrame:
-    """Dates of the range on which any row arrived, for any opco."""
-    return in_range(rows, start, end).select("snapshot_date").distinct()
+def feed_calendar(rows: DataFrame, start: date, end: date, cfg: LifecycleConfig = LifecycleConfig()) -> DataFrame:
+    """Dates of the range on which any row arrived, for any opco; or each opco's own, by `feed_scope`."""
+    return in_range(rows, start, end).select(*cfg.feed_key, "snapshot_date").distinct()
 
 
-def _feed_steps(feed_dates: DataFrame, start: date, end: date) -> DataFrame:
+def _feed_steps(feed_dates: DataFrame, start: date, end: date, by: list[str]) -> DataFrame:
     """(day, next_feed_day) per feed date; the last one reaches to the end of the range.
 
-    Bounded by the number of calendar days, whatever the size of the data.
+    Bounded by the number of calendar days (and of opcos, if each has its own), whatever the size of the data.
     """
     days = (
         in_range(feed_dates, start, end)
+        .groupBy(*by)
         .agg(F.array_sort(F.collect_set(day_number("snapshot_date"))).alias("days"))
         .where(F.size("days") > 0)
     )
     following = F.concat(
         F.slice("days", 2, F.size("days")), F.array(F.lit(epoch_day(end) + 1))
     )
-    return days.select(F.inline(F.arrays_zip(F.col("days").alias("day"), following.alias("next_feed_day"))))
+    return days.select(*by, F.inline(F.arrays_zip(F.col("days").alias("day"), following.alias("next_feed_day"))))
 
 
 def paying_spans(
@@ -89,14 +91,16 @@ def paying_spans(
     `start`; its lives go on (see `_earlier_covers`).
     """
     if feed_dates is None:
-        feed_dates = feed_calendar(daily, start, end)
+        feed_dates = feed_calendar(daily, start, end, cfg)
     grace, winback, retention = cfg.grace_days, cfg.winback_days, cfg.retention_days
-    # At most one row per calendar day: safe to broadcast.
-    steps = F.broadcast(_feed_steps(feed_dates, start, end))
+    by = cfg.feed_key
+    steps = _feed_steps(feed_dates, start, end, by)
+    # At most one row per calendar day: safe to broadcast. With a calendar per opco they are counted.
+    steps = broadcast_if_small(steps) if by else F.broadcast(steps)
     covers = (
         in_range(daily, start, end)
         .withColumn("day", _never_null(day_number("snapshot_date")))
-        .join(steps, "day")
+        .join(steps, [*by, "day"])
         .select(
             *["opco_code", "subscription_key", "subscriber_id", "subscription_name", "subscription_id"],
             *["paid_through_date", "day"],
@@ -107,7 +111,7 @@ def paying_spans(
         )
     )
     if earlier is not None:
-        covers = covers.unionByName(_earlier_covers(earlier, start, _next_feed_day(feed_dates, start, end)))
+        covers = covers.unionByName(_earlier_covers(_with_next_feed_day(earlier, feed_dates, start, end, by), start))
     if not distributed:
         # A fixed number of partitions, because a span can turn into many state
         # days: merged to the size of the spans, partitions would be far too few.
@@ -202,13 +206,17 @@ def paying_spans(
     )
 
 
-def _next_feed_day(feed_dates: DataFrame, start: date, end: date) -> int:
-    """The first feed date of the range; the day after the range if there is none."""
-    first = in_range(feed_dates, start, end).agg(F.min("snapshot_date")).first()[0]
-    return epoch_day(first or end) + (first is None)
+def _with_next_feed_day(state: DataFrame, feed_dates: DataFrame, start: date, end: date, by: list[str]) -> DataFrame:
+    """`state` with the first feed date of the range; the day after the range where there is none."""
+    first = in_range(feed_dates, start, end).groupBy(*by).agg(F.min(day_number("snapshot_date")).alias("next_feed_day"))
+    if by:
+        known = state.join(broadcast_if_small(first), by, "left")  # one row per opco
+        return known.withColumn("next_feed_day", F.coalesce("next_feed_day", F.lit(epoch_day(end) + 1)))
+    found = first.first()[0]
+    return state.withColumn("next_feed_day", F.lit(epoch_day(end) + 1 if found is None else found))
 
 
-def _earlier_covers(state: DataFrame, start: date, next_feed_day: int) -> DataFrame:
+def _earlier_covers(state: DataFrame, start: date) -> DataFrame:
     """The history arrays of the day before `start` as covers, no more than an array has days.
 
     The oldest day of the arrays comes first, paying or not, so that the history reaches back as
@@ -224,12 +232,13 @@ def _earlier_covers(state: DataFrame, start: date, next_feed_day: int) -> DataFr
         day_number("last_churn_date").alias("carried_churn_day"),
         day_number("last_winback_date").alias("carried_winback_day"),
         day_number("last_active_date").alias("active_day"),
+        "next_feed_day",
         oldest.alias("oldest"),
         F.posexplode(F.arrays_zip(*HISTORY_COLUMNS)).alias("ago", "then"),
     ).withColumn("day", F.lit(today) - c("ago"))
     paying = c("then.activity_array") == 1
     covered_to = (
-        F.when(paying & (c("day") == today), F.lit(next_feed_day - 1))
+        F.when(paying & (c("day") == today), c("next_feed_day") - 1)
         .when(paying, c("day"))
         .otherwise(F.least(c("active_day"), c("day") - 1))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from subtide.config import LifecycleConfig
 from subtide.functions.columns import flag
 from subtide.functions.history import push_front, trailing_windows
+from subtide.functions.sizes import broadcast_if_small
 from subtide.schemas import SUBSCRIPTION_CUMULATED
 
 
@@ -17,11 +18,14 @@ def step_cumulated(
     yesterday: DataFrame,
     today: DataFrame,
     ds: date,
-    has_snapshot: bool,
+    has_snapshot: bool | DataFrame,
     cfg: LifecycleConfig = LifecycleConfig(),
 ) -> DataFrame:
     """State of `ds` from the state of the day before and the daily rows of `ds`.
 
+    `has_snapshot` says whether a feed arrived; where each opco has a feed of its own, it is a frame with the
+    opco_code of those whose feed arrived.
+
     Both sides hold one row per subscription_key, so the full outer join cannot
     skew, and between tables bucketed on the key it needs no shuffle. On a day
     without any feed (`has_snapshot` false) payers are carried as paying, while
@@ -32,7 +36,18 @@ def step_cumulated(
     paired = previous.join(
         current, F.col("y.subscription_key") == F.col("t.subscription_key"), "full_outer"
     )
-    return _advance(paired, F.lit(ds), F.lit(has_snapshot), cfg)
+    if isinstance(has_snapshot, DataFrame):
+        paired, has_snapshot = _with_own_feed(paired, has_snapshot)
+    else:
+        has_snapshot = F.lit(has_snapshot)
+    return _advance(paired, F.lit(ds), has_snapshot, cfg)
+
+
+def _with_own_feed(paired: DataFrame, feed: DataFrame) -> tuple[DataFrame, Column]:
+    """`paired` and whether the row's opco is in `feed`, one row per opco."""
+    opcos = broadcast_if_small(feed.select(F.col("opco_code").alias("feed_opco")).distinct())
+    paired = paired.join(opcos, F.coalesce("t.opco_code", "y.opco_code") == F.col("feed_opco"), "left")
+    return paired, F.col("feed_opco").isNotNull()
 
 
 def step_all_days(
@@ -58,11 +73,13 @@ def step_all_days(
         "full_outer",
     )
     ds = F.coalesce("y.for_date", "t.snapshot_date")
-    feed = feed_dates.select(F.col("snapshot_date").alias("feed_date"))
-    # One row per calendar day at most, so the broadcast is bounded by the range.
-    paired = paired.withColumn("ds", ds).join(
-        F.broadcast(feed), F.col("ds") == F.col("feed_date"), "left"
-    )
+    feed = feed_dates.select(F.col("snapshot_date").alias("feed_date"), *[F.col(c).alias("feed_opco") for c in cfg.feed_key])
+    on = F.col("ds") == F.col("feed_date")
+    if cfg.feed_key:
+        on = on & (F.coalesce("t.opco_code", "y.opco_code") == F.col("feed_opco"))
+    # One row per calendar day at most, so the broadcast is bounded by the range; with a calendar per opco they are counted.
+    feed = broadcast_if_small(feed) if cfg.feed_key else F.broadcast(feed)
+    paired = paired.withColumn("ds", ds).join(feed, on, "left")
     return _advance(paired, F.col("ds"), F.col("feed_date").isNotNull(), cfg)
 
 

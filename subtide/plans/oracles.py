@@ -11,14 +11,14 @@ from subtide.config import LifecycleConfig
 from subtide.plans.shapes import KPI_MINUTES, KPI_SUMS, KPI_UNIQUES
 from subtide.sources.fixtures import (
     EVENTS_CONFIG,
-    EVENTS_END,
     EVENTS_MISSING,
-    EVENTS_START,
     ORDERS_CONFIG,
-    ORDERS_END,
-    ORDERS_START,
 )
 
+# The first and the last feed date; those of EVENTS_MISSING lie between.
+ORDERS_START, ORDERS_END = (f"(SELECT {f}(CAST(l_shipdate AS DATE)) FROM lineitem)" for f in ("min", "max"))
+EVENTS_START, EVENTS_END = (f"(SELECT {f}(CAST(ts AS DATE)) FROM events)" for f in ("min", "max"))
+
 _MISSING = ", ".join(f"DATE '{d}'" for d in EVENTS_MISSING)
 
 ORDERS_BRONZE = """
@@ -36,8 +36,9 @@ bronze AS (
 
 
 
-def _events_bronze(gaps: bool, minutes: str) -> str:
-    feed = f"WHERE CAST(ts AS DATE) NOT IN ({_MISSING})" if gaps else ""
+def _events_bronze(gaps: bool | str, minutes: str) -> str:
+    of = f" AND (user_id % 2 = 0) = ('{gaps}' = 'OP0')" if isinstance(gaps, str) else ""
+    feed = f"WHERE NOT (CAST(ts AS DATE) IN ({_MISSING}){of})" if gaps else ""
     return f"""
 bronze AS (
   SELECT CASE WHEN user_id % 2 = 0 THEN 'OP0' ELSE 'OP1' END AS opco_code,
@@ -63,8 +64,8 @@ daily AS (
   GROUP BY opco_code, subscriber_id, subscription_name, snapshot_date)"""
 
 
-def days_sql(start, end) -> str:
-    return f"SELECT CAST(unnest(generate_series(DATE '{start}', DATE '{end}', INTERVAL 1 DAY)) AS DATE) AS ds"
+def days_sql(start: str, end: str) -> str:
+    return f"SELECT CAST(unnest(generate_series({start}, {end}, INTERVAL 1 DAY)) AS DATE) AS ds"
 
 
 def _grid_state(cfg: LifecycleConfig, start, end) -> str:
@@ -147,6 +148,8 @@ def _replayed_state(cfg: LifecycleConfig, start, end) -> str:
     """State day by day: each recursion step makes the rows of the next date."""
     grace, winback, keep, cap = cfg.grace_days, cfg.winback_days, cfg.retention_days, cfg.array_size
     week, month = cfg.window(7), cfg.window(30)
+    per_opco = cfg.feed_scope == "opco"
+    feed_key, own_feed = ("opco_code,", "AND f.opco_code = k.opco_code") if per_opco else ("", "")
     kept = (
         "activity", "views", "mou", "first_active", "last_active", "paid_through", "id",
         "churned_on", "last_churn", "last_winback", "is_churned", "is_active",
@@ -159,16 +162,16 @@ def _replayed_state(cfg: LifecycleConfig, start, end) -> str:
          CAST(0 AS BIGINT) AS is_reacquired, CAST(0 AS BIGINT) AS is_churn, CAST(0 AS BIGINT) AS is_renewal,
          CAST(NULL AS BIGINT) AS since_churn, false AS alive"""
     return f"""
-feed AS (SELECT DISTINCT snapshot_date FROM daily),
+feed AS (SELECT DISTINCT {feed_key} snapshot_date FROM daily),
 keys AS (SELECT DISTINCT subscription_key, opco_code, subscriber_id, subscription_name FROM daily),
 grid AS (
   SELECT k.subscription_key, ds, f.snapshot_date IS NOT NULL AS has_feed,
          d.subscription_key IS NOT NULL AS present, d.is_viewer_today, d.minutes_of_usage,
          d.subscription_id, d.paid_through_date
-  FROM keys k CROSS JOIN ({days_sql(start, end)}) LEFT JOIN feed f ON f.snapshot_date = ds
+  FROM keys k CROSS JOIN ({days_sql(start, end)}) LEFT JOIN feed f ON f.snapshot_date = ds {own_feed}
   LEFT JOIN daily d ON d.subscription_key = k.subscription_key AND d.snapshot_date = ds),
 replay AS (
-  SELECT subscription_key, DATE '{start}' - 1 AS ds, {nothing} FROM keys
+  SELECT subscription_key, {start} - 1 AS ds, {nothing} FROM keys
   UNION ALL
   SELECT subscription_key, ds, {", ".join(f"CASE WHEN alive THEN {c} END AS {c}" for c in kept)},
          is_new, is_addition, is_winback, is_reacquired, is_churn, is_renewal, since_churn, alive
@@ -279,6 +282,60 @@ happened AS (
   WHERE event_type IS NOT NULL)"""
 
 
+def events_of(state: str, name: str) -> str:
+    """EVENT_ROWS of another state table, under another name."""
+    return EVENT_ROWS.replace("happened AS", f"{name} AS").replace("FROM state)", f"FROM {state})")
+
+
+def differences(golden: str, actual: str) -> str:
+    """Golden events without an actual one and the reverse, a line each."""
+    line = "subscriber_id || '|' || event_date || '|' || event_type || '|{}'"
+    same = "a.subscriber_id = b.subscriber_id AND a.event_date = b.event_date AND a.event_type = b.event_type"
+    return f"""
+differences AS (
+  SELECT {line.format("MISSING")} AS line FROM {golden} a WHERE NOT EXISTS (SELECT 1 FROM {actual} b WHERE {same})
+  UNION ALL
+  SELECT {line.format("UNEXPECTED")} FROM {actual} a WHERE NOT EXISTS (SELECT 1 FROM {golden} b WHERE {same}))"""
+
+
+def counts(start: str, end: str, cfg: LifecycleConfig, daily: str = "daily", state: str = "state", arrays: bool = True) -> dict[str, str]:
+    """What each of the twelve checks counts, worked out from the tables; `differences` must be there."""
+    twice = "(SELECT count(*) FROM (SELECT 1 FROM {} GROUP BY subscription_key, snapshot_date HAVING count(*) > 1))"
+    by_day = f"""(SELECT snapshot_date, count(*) AS daily_rows, sum(minutes_of_usage) AS minutes FROM {daily} GROUP BY 1)"""
+    source = """(SELECT snapshot_date, count(DISTINCT opco_code || '|' || subscriber_id || '|' || subscription_name) AS keys,
+      sum(coalesce(minutes_of_usage, 0)) AS minutes FROM bronze WHERE subscriber_id IS NOT NULL AND subscription_name IS NOT NULL GROUP BY 1)"""
+    paying = f"(SELECT snapshot_date, sum(is_paying) AS paying FROM {state} GROUP BY 1)"
+    of_state = lambda condition: f"(SELECT count(*) FROM {state} WHERE {condition})"
+    both = lambda a, b: f"({a} = 1 AND {b} = 1)"
+    rules = [
+        both("is_paying", "is_in_grace"), both("is_paying", "is_churned"), both("is_in_grace", "is_churned"),
+        both("is_churn_event", "is_active_subscription"), "(is_winback_event = 1 AND is_addition = 0)",
+        "(is_reacquisition_event = 1 AND is_addition = 0)", both("is_winback_event", "is_reacquisition_event"),
+        "days_since_last_active < 0",
+    ]
+    lengths = "len(activity_array) <> len(viewer_array) OR len(activity_array) <> len(mou_array)"
+    return {
+        "T01": twice.format(daily),
+        "T02": twice.format(state),
+        "T03": f"""(SELECT count(*) FROM {source} s FULL JOIN {by_day} d USING (snapshot_date)
+          WHERE coalesce(keys, -1) <> coalesce(daily_rows, -1) OR abs(coalesce(s.minutes, 0) - coalesce(d.minutes, 0)) > 0.0001)""",
+        "T04": f"(SELECT count(*) FROM {by_day} FULL JOIN {paying} USING (snapshot_date) WHERE coalesce(daily_rows, 0) <> coalesce(paying, 0))",
+        "T05": of_state(f"len(activity_array) NOT BETWEEN 1 AND {cfg.array_size} OR {lengths}") if arrays else "0",
+        "T06": of_state(" OR ".join(rules)),
+        "T07": f"""(SELECT count(*) FROM {state} s LEFT JOIN {daily} d USING (subscription_key, snapshot_date)
+          WHERE is_paying = 1 AND abs(coalesce(mou_1d, 0) - coalesce(minutes_of_usage, 0)) > 0.0001)""",
+        "T08": f"""(SELECT count(*) FROM (SELECT subscription_key, mou_30d FROM {state} WHERE snapshot_date = {end}) LEFT JOIN
+          (SELECT subscription_key, sum(minutes_of_usage) AS again FROM {daily}
+           WHERE snapshot_date > {end} - {cfg.window(30)} GROUP BY 1) USING (subscription_key) WHERE abs(mou_30d - coalesce(again, 0)) > 0.001)""",
+        "T09": f"""(SELECT count(*) FROM (SELECT snapshot_date, active - (lag(active) OVER (ORDER BY snapshot_date) + added - churned) AS off
+          FROM (SELECT snapshot_date, sum(is_active_subscription) AS active, sum(is_addition) AS added, sum(is_churn_event) AS churned
+                FROM {state} GROUP BY 1)) WHERE snapshot_date > {start} AND off <> 0)""",
+        "T10": f"(SELECT count(*) FROM ({days_sql(start, end)}) WHERE ds NOT IN (SELECT snapshot_date FROM {state}))",
+        "T11": of_state("is_churned = 1 AND churn_date IS NULL"),
+        "T12": "(SELECT count(*) FROM differences)",
+    }
+
+
 def _with(*ctes: str, select: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{','.join(ctes)}\n{select}"
 
@@ -288,6 +345,9 @@ def orders(select: str, *more: str, state: bool = True) -> str:
     return _with(ORDERS_BRONZE, DAILY, *grid, *more, select=select)
 
 
-def events(select: str, *more: str, state: bool = True, gaps: bool = False, minutes: str = "floor(value)") -> str:
-    replay = [_replayed_state(EVENTS_CONFIG, EVENTS_START, EVENTS_END)] if state else []
+def events(
+    select: str, *more: str, state: bool = True, gaps: bool | str = False, minutes: str = "floor(value)",
+    cfg: LifecycleConfig = EVENTS_CONFIG,
+) -> str:
+    replay = [_replayed_state(cfg, EVENTS_START, EVENTS_END)] if state else []
     return _with(_events_bronze(gaps, minutes), DAILY, *replay, *more, select=select, recursive=True)

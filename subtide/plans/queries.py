@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import ExitStack, suppress
 from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta
 from uuid import uuid4
@@ -15,8 +16,10 @@ from subtide.functions.columns import to_day
 from subtide.operators.checks import (
     CHECK_NAMES,
     CHECKS,
+    DETAIL_LIMIT,
     EXPECTED,
     SEVERITY,
+    ChecksFailed,
     Tables,
     missing_days,
     run_checks,
@@ -39,12 +42,29 @@ from subtide.operators.state_step import step_all_days, step_cumulated
 from subtide.operators.upsert import SNAPSHOT_KEYS, upsert_snapshots
 from subtide.operators.views import kpi_daily_view
 from subtide.plans import oracles as sql
-from subtide.plans.pipeline import DAILY, SNAPSHOT, STATE, backfill, kpi_view
+from subtide.plans.pipeline import (
+    DAILY,
+    SNAPSHOT,
+    STATE,
+    backfill,
+    kpi_view,
+    load_golden_events,
+    load_snapshots,
+    load_subscription_cumulated,
+    load_subscription_daily,
+    rejects_by_load,
+    repair,
+    replay_rejects,
+    run_pipeline,
+    validate,
+)
+from subtide.plans.runlog import LoadFailed
 from subtide.plans.shapes import STATE_SCALARS, STATE_TOTALS, state_total
-from subtide.schemas import HISTORY_COLUMNS, OTT_KPI_DAILY, SUBSCRIPTION_CUMULATED, SUBSCRIPTION_DAILY
+from subtide.schemas import HISTORY_COLUMNS, OTT_KPI_DAILY, RAW_SNAPSHOT, SUBSCRIPTION_CUMULATED, SUBSCRIPTION_DAILY
 from subtide.sources import fixtures
+from subtide.sources.golden import parse_golden_events
 from subtide.sources.landing import normalize_raw, read_raw_snapshots, rejected_raw
-from subtide.sources.scratch import scratch_folder
+from subtide.sources.scratch import delete_folder, scratch_folder, written
 from subtide.sources.tables import Warehouse
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,16 +108,19 @@ class Inputs:
 
 
 def orders_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    start, end, cfg = fixtures.ORDERS_START, fixtures.ORDERS_END, fixtures.ORDERS_CONFIG
+    cfg = fixtures.ORDERS_CONFIG
     bronze = fixtures.order_snapshots(spark, sf_dir)
     feed = fixtures.order_feed_dates(spark, sf_dir)
+    start, end = fixtures.window_of(feed)
     return Inputs(bronze, build_subscription_daily(bronze, start, end, cfg), feed, start, end, cfg)
 
 
-def events_inputs(spark: SparkSession, sf_dir: str, gaps: bool = False, minutes: Column | None = None) -> Inputs:
-    start, end, cfg = fixtures.EVENTS_START, fixtures.EVENTS_END, fixtures.EVENTS_CONFIG
+def events_inputs(
+    spark: SparkSession, sf_dir: str, gaps: bool | str = False, minutes: Column | None = None, cfg: LifecycleConfig = fixtures.EVENTS_CONFIG
+) -> Inputs:
     bronze = fixtures.event_snapshots(spark, sf_dir, gaps, minutes)
-    feed = fixtures.event_feed_dates(spark, sf_dir, gaps)
+    feed = fixtures.event_feed_dates(spark, sf_dir, gaps, cfg.feed_key)
+    start, end = fixtures.window_of(feed)
     return Inputs(bronze, build_subscription_daily(bronze, start, end, cfg), feed, start, end, cfg)
 
 
@@ -143,7 +166,7 @@ def landing_csv_scan(spark, sf_dir):
     folder = scratch_folder(spark)
     raw = fixtures.event_landing(spark, sf_dir)
     raw.write.csv(f"{folder}/landing", header=True, quote='"', escape='"')
-    return normalize_raw(read_raw_snapshots(spark, f"{folder}/landing/*.csv"), "OPX")
+    return _kept(normalize_raw(read_raw_snapshots(spark, f"{folder}/landing/*.csv"), "OPX"), folder)
 
 
 @query(f"""WITH {_RAW_SQL}
@@ -156,6 +179,33 @@ def rejected_landing(spark, sf_dir):
     return bad.select("reject_reason", "subscriber_id", "subscription_id", "snapshot_date")
 
 
+# Lines with a value too few or too many, each file with its header.
+_LINE_SQL = """concat_ws(',', month(day) || '/' || day(day) || '/' || year(day), n, event_type, user_id, '2024-01-01', '', 5)"""
+_JAGGED_SQL = f"""
+jagged AS (
+  SELECT n, user_id, CASE WHEN n % 11 = 3 THEN regexp_replace(line, ',[^,]*$', '') WHEN n % 13 = 4 THEN line || ',more' ELSE line END AS line
+  FROM (SELECT CAST(event_id AS BIGINT) AS n, user_id, {_LINE_SQL} AS line
+        FROM (SELECT *, CAST(event_id AS BIGINT) AS n, CAST(ts AS DATE) AS day FROM events)))"""
+
+
+@query(f"""WITH {_JAGGED_SQL}
+SELECT 'columns' AS reject_reason, line AS snapshot_date FROM jagged WHERE n % 11 = 3 OR n % 13 = 4""")
+def landing_jagged_rejects(spark, sf_dir):
+    """Lines with too few or too many values come back whole."""
+    n, day = F.col("event_id").cast("long"), F.to_date("ts")
+    slashed = F.concat_ws("/", F.month(day), F.day(day), F.year(day))
+    line = F.concat_ws(",", slashed, n, "event_type", "user_id", F.lit("2024-01-01"), F.lit(""), F.lit(5))
+    line = F.when(n % 11 == 3, F.regexp_replace(line, ",[^,]*$", "")).when(n % 13 == 4, F.concat(line, F.lit(",more"))).otherwise(line)
+    files = 4
+    lines = fixtures.read_table(spark, sf_dir, "events").select((n % files).alias("file"), n.alias("place"), line.alias("value"))
+    headers = spark.range(files).select(F.col("id").alias("file"), F.lit(-1).cast("long").alias("place"), F.lit(",".join(RAW_SNAPSHOT.names)).alias("value"))
+    folder = scratch_folder(spark)
+    whole = lines.unionByName(headers).repartition(files, "file").sortWithinPartitions("file", "place")
+    whole.drop("place").write.partitionBy("file").text(folder)
+    bad = rejected_raw(read_raw_snapshots(spark, f"{folder}/file=*"))
+    return _kept(bad.select("reject_reason", "snapshot_date"), folder)
+
+
 _EARLY_END, _LATE_START = date(1999, 1, 1), date(1997, 1, 1)
 
 
@@ -232,18 +282,18 @@ SELECT subscription_key, snapshot_date AS paying_date, covered_to,
 FROM state JOIN daily USING (subscription_key, snapshot_date) JOIN covers USING (snapshot_date)"""
 
 
-def _covers_sql(end: date) -> str:
+def _covers_sql(end: str) -> str:
     return f"""
-covers AS (SELECT snapshot_date, coalesce(lead(snapshot_date) OVER (ORDER BY snapshot_date), DATE '{end}' + 1) - 1
+covers AS (SELECT snapshot_date, coalesce(lead(snapshot_date) OVER (ORDER BY snapshot_date), {end} + 1) - 1
              AS covered_to FROM (SELECT DISTINCT snapshot_date FROM daily))"""
 
 
-@query(sql.orders(_GAPS_SQL, _covers_sql(fixtures.ORDERS_END)))
+@query(sql.orders(_GAPS_SQL, _covers_sql(sql.ORDERS_END)))
 def paying_gaps(spark, sf_dir):
     return _gaps(orders_inputs(spark, sf_dir))
 
 
-@query(sql.events(_GAPS_SQL, _covers_sql(fixtures.EVENTS_END), gaps=True))
+@query(sql.events(_GAPS_SQL, _covers_sql(sql.EVENTS_END), gaps=True))
 def paying_gaps_with_feed_gaps(spark, sf_dir):
     return _gaps(events_inputs(spark, sf_dir, gaps=True))
 
@@ -268,7 +318,7 @@ def event_counts_by_type(spark, sf_dir):
     return events.groupBy("opco_code", "event_type").agg(F.count(F.lit(1)).alias("events"))
 
 
-@query(sql.orders(f"SELECT {_STATE_SQL} FROM state WHERE snapshot_date = DATE '{fixtures.ORDERS_END}'"))
+@query(sql.orders(f"SELECT {_STATE_SQL} FROM state WHERE snapshot_date = {sql.ORDERS_END}"))
 def state_asof(spark, sf_dir):
     inputs = orders_inputs(spark, sf_dir)
     return inputs.states(emit_from=inputs.end, with_arrays=False)
@@ -279,9 +329,9 @@ SELECT subscription_key, snapshot_date, {_LISTS_SQL} FROM (
   SELECT subscription_key, snapshot_date, list_reverse(list(paying) OVER h) AS activity_array,
     list_reverse(list(viewer) OVER h) AS viewer_array, list_reverse(list(minutes) OVER h) AS mou_array
   FROM (SELECT *, max(first_active_date) OVER (PARTITION BY subscription_key) AS last_life FROM state)
-  WHERE first_active_date = last_life AND snapshot_date > DATE '{fixtures.ORDERS_END}' - 90
+  WHERE first_active_date = last_life AND snapshot_date > {sql.ORDERS_END} - 90
   WINDOW h AS (PARTITION BY subscription_key ORDER BY snapshot_date ROWS 89 PRECEDING))
-WHERE snapshot_date = DATE '{fixtures.ORDERS_END}'"""
+WHERE snapshot_date = {sql.ORDERS_END}"""
 
 
 @query(sql.orders(_ORDERS_LISTS_SQL))
@@ -348,7 +398,7 @@ def state_prefix_sums(spark, sf_dir):
     return states.groupBy("snapshot_date").agg(*[F.sum(c).cast("double").alias(c) for c in _PREFIX])
 
 
-@query(sql.events(f"{_ALL_SQL} WHERE snapshot_date = DATE '{fixtures.EVENTS_END}'"))
+@query(sql.events(f"{_ALL_SQL} WHERE snapshot_date = {sql.EVENTS_END}"))
 def state_step(spark, sf_dir):
     """One daily step on top of the state of the day before."""
     inputs = events_inputs(spark, sf_dir)
@@ -366,7 +416,7 @@ def state_step_on_every_day(spark, sf_dir):
     return _lists_as_text(stepped)
 
 
-@query(sql.orders(f"SELECT {_STATE_SQL} FROM state WHERE snapshot_date = DATE '{fixtures.ORDERS_END}'"))
+@query(sql.orders(f"SELECT {_STATE_SQL} FROM state WHERE snapshot_date = {sql.ORDERS_END}"))
 def state_step_orders(spark, sf_dir):
     inputs = orders_inputs(spark, sf_dir)
     ds = inputs.end
@@ -396,6 +446,28 @@ def state_step_equals_bulk(spark, sf_dir):
     )
 
 
+# One opco's feed is late, the other's is not.
+_LATE = "OP1"
+_OWN_FEED = replace(fixtures.EVENTS_CONFIG, feed_scope="opco")
+
+
+@query(sql.events(_ALL_SQL, gaps=_LATE, cfg=_OWN_FEED))
+def state_feed_scope_opco(spark, sf_dir):
+    """Each opco has a feed calendar of its own: only the late one's payers are carried."""
+    return _lists_as_text(events_inputs(spark, sf_dir, gaps=_LATE, cfg=_OWN_FEED).states())
+
+
+@query(sql.events(_ALL_SQL, gaps=_LATE, cfg=_OWN_FEED))
+def state_step_feed_scope_opco(spark, sf_dir):
+    inputs = events_inputs(spark, sf_dir, gaps=_LATE, cfg=_OWN_FEED)
+    return _lists_as_text(step_all_days(inputs.states(), inputs.daily, inputs.feed, inputs.end, inputs.cfg))
+
+
+@query(sql.events(f"SELECT {_KPI_SQL} FROM kpi", sql.KPI, gaps=_LATE, cfg=_OWN_FEED))
+def kpi_feed_scope_opco(spark, sf_dir):
+    return events_inputs(spark, sf_dir, gaps=_LATE, cfg=_OWN_FEED).kpi()
+
+
 @query(sql.events(f"SELECT {_STATE_SQL} FROM state WHERE snapshot_date IN "
                   f"({', '.join(f'DATE {str(d)!r}' for d in fixtures.EVENTS_MISSING)})", gaps=True))
 def feed_gap_carry(spark, sf_dir):
@@ -524,8 +596,7 @@ def _count_sql(rows: str, condition: str = "true", what: str = "*", gaps: bool =
     return sql.events(select, sql.EVENT_ROWS, gaps=gaps)
 
 
-_FIRST = f"DATE '{fixtures.EVENTS_START}'"
-_LAST = f"DATE '{fixtures.EVENTS_END}'"
+_FIRST, _LAST = sql.EVENTS_START, sql.EVENTS_END
 
 
 @query(_count_sql("daily", "is_viewer_today = 1"))
@@ -620,38 +691,93 @@ def check_t12(spark, sf_dir):
     return _check("T12", spark, sf_dir, expected_events=change)
 
 
-# On a healthy pipeline only the fourth check can fail: on a day without feed it
-# compares carried payers with no daily rows.
-_CARRIED = """
-carried_days AS (SELECT DISTINCT snapshot_date FROM state
-                 WHERE is_paying = 1 AND snapshot_date NOT IN (SELECT snapshot_date FROM daily))"""
-_suite = ", ".join(
-    f"('{t}', '{name}', {'(SELECT count(*) FROM carried_days)' if t == 'T04' else 0})"
-    for t, name in CHECK_NAMES.items()
-)
-_SUITE_SQL = f"""SELECT test_id, test_name, '{SEVERITY}' AS severity,
+def _suite_sql(bad: dict[str, str], detail: str = "NULL", run_id: str = "") -> str:
+    """The result rows for what each check counts."""
+    rows = ", ".join(f"('{t}', '{name}', {bad[t]})" for t, name in CHECK_NAMES.items())
+    run = f"'{run_id}' AS run_id, " if run_id else ""
+    return f"""SELECT {run}test_id, test_name, '{SEVERITY}' AS severity,
   CASE WHEN bad = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(bad AS BIGINT) AS failed_rows,
-  '{EXPECTED}' AS expected, CAST(bad AS VARCHAR) AS actual, CAST(NULL AS VARCHAR) AS detail
-FROM (VALUES {_suite}) results(test_id, test_name, bad)"""
+  '{EXPECTED}' AS expected, CAST(bad AS VARCHAR) AS actual, CASE WHEN test_id = 'T12' THEN CAST({detail} AS VARCHAR) END AS detail
+FROM (VALUES {rows}) results(test_id, test_name, bad)"""
+
+
+_LINES = f"(SELECT string_agg(line, ',' ORDER BY line) FROM (SELECT line FROM differences ORDER BY line LIMIT {DETAIL_LIMIT}))"
 
 
-def _suite_of(inputs: Inputs) -> DataFrame:
+def _suite_of(inputs: Inputs, tables: Tables | None = None) -> DataFrame:
     """The stored result rows but for the time of the run."""
-    results = run_checks(_healthy(inputs), inputs.start, inputs.end, datetime(2024, 2, 1), inputs.cfg)
-    return results.drop("test_run_ts")
+    with ExitStack() as held:
+        tables = tables or _healthy(inputs)
+        # Six checks read the state; it is built once.
+        states, golden = (held.enter_context(written(df)) for df in (tables.cumulated, tables.expected_events))
+        tables = replace(tables, cumulated=states, expected_events=golden)
+        results = run_checks(tables, inputs.start, inputs.end, datetime(2024, 2, 1), inputs.cfg)
+        return _small(results.drop("test_run_ts"))
 
 
-@query(sql.events(_SUITE_SQL, _CARRIED))
+def _small(df: DataFrame) -> DataFrame:
+    """A result of a few rows, worked out now, for when what it reads is about to go."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+_events_counts = sql.counts(sql.EVENTS_START, sql.EVENTS_END, fixtures.EVENTS_CONFIG)
+_orders_counts = sql.counts(sql.ORDERS_START, sql.ORDERS_END, fixtures.ORDERS_CONFIG, arrays=False)
+_SAME_EVENTS = sql.differences("happened", "happened")
+
+
+@query(sql.events(_suite_sql(_events_counts, _LINES), sql.EVENT_ROWS, _SAME_EVENTS))
 def check_suite_events(spark, sf_dir):
     return _suite_of(events_inputs(spark, sf_dir))
 
 
-@query(sql.orders(_SUITE_SQL, _CARRIED))
+@query(sql.events(_suite_sql(_events_counts, _LINES), sql.EVENT_ROWS, _SAME_EVENTS, gaps=True))
+def check_suite_with_feed_gaps(spark, sf_dir):
+    """On a day without feed the fourth check compares carried payers with no daily rows."""
+    return _suite_of(events_inputs(spark, sf_dir, gaps=True))
+
+
+@query(sql.orders(_suite_sql(_orders_counts, _LINES), sql.EVENT_ROWS, _SAME_EVENTS))
 def check_suite_orders(spark, sf_dir):
     return _suite_of(orders_inputs(spark, sf_dir))
 
 
-@query(sql.events(f"""SELECT ds AS snapshot_date FROM ({sql.days_sql(fixtures.EVENTS_START, fixtures.EVENTS_END)})
+_PLANTED = [
+    "bad_daily AS (SELECT * FROM daily UNION ALL SELECT * FROM daily WHERE is_viewer_today = 1 AND subscription_name = 'click')",
+    f"""
+bad_state AS (
+  SELECT * REPLACE (greatest(is_in_grace, is_winback_event) AS is_in_grace, mou_1d + is_reacquisition_event AS mou_1d,
+    CASE WHEN is_in_winback_window = 1 THEN churn_date END AS churn_date,
+    CASE WHEN is_renewal_event = 1 THEN list_append(mou_array, 0.0) ELSE mou_array END AS mou_array,
+    mou_30d + is_churned AS mou_30d)
+  FROM (SELECT * FROM state UNION ALL SELECT * FROM state WHERE is_churn_event = 1 AND opco_code = 'OP1')
+  WHERE snapshot_date <> {_FIRST} + 8)""",
+    "golden AS (SELECT * FROM happened WHERE event_type <> 'REACQUISITION')",
+]
+_planted_counts = sql.counts(sql.EVENTS_START, sql.EVENTS_END, fixtures.EVENTS_CONFIG, "bad_daily", "bad_state")
+
+
+@query(sql.events(_suite_sql(_planted_counts, _LINES), sql.EVENT_ROWS, *_PLANTED,
+                  sql.events_of("bad_state", "bad_events"), sql.differences("golden", "bad_events")))
+def check_suite_planted(spark, sf_dir):
+    """The suite over tables in which every rule is broken."""
+    inputs = events_inputs(spark, sf_dir)
+    tables = _healthy(inputs)
+    repeated = "is_viewer_today = 1 AND subscription_name = 'click'"
+    states = tables.cumulated.unionByName(tables.cumulated.where("is_churn_event = 1 AND opco_code = 'OP1'"))
+    states = states.where(F.col("snapshot_date") != F.lit(inputs.start + timedelta(days=8))).withColumns(
+        {
+            "is_in_grace": F.greatest("is_in_grace", "is_winback_event"),
+            "mou_1d": F.col("mou_1d") + F.col("is_reacquisition_event"),
+            "churn_date": F.when(F.col("is_in_winback_window") == 1, F.col("churn_date")),
+            "mou_array": F.when(F.col("is_renewal_event") == 1, F.array_append("mou_array", F.lit(0.0))).otherwise(F.col("mou_array")),
+            "mou_30d": F.col("mou_30d") + F.col("is_churned"),
+        }
+    )
+    golden = tables.expected_events.where("event_type <> 'REACQUISITION'")
+    return _suite_of(inputs, Tables(tables.bronze, tables.daily.unionByName(tables.daily.where(repeated)), states, golden))
+
+
+@query(sql.events(f"""SELECT ds AS snapshot_date FROM ({sql.days_sql(sql.EVENTS_START, sql.EVENTS_END)})
 WHERE ds NOT IN (SELECT snapshot_date FROM daily)""", state=False, gaps=True))
 def missing_calendar_days(spark, sf_dir):
     """Calendar days on which the feed, taken as the table to look at, has nothing."""
@@ -680,7 +806,7 @@ def rollforward_identity(spark, sf_dir):
         f"""SELECT s.subscription_key, s.mou_30d, coalesce(sum(d.minutes_of_usage), 0) AS recomputed
 FROM state s LEFT JOIN daily d ON d.subscription_key = s.subscription_key
  AND d.snapshot_date BETWEEN s.snapshot_date - 29 AND s.snapshot_date
-WHERE s.snapshot_date = DATE '{fixtures.ORDERS_END}' GROUP BY ALL"""
+WHERE s.snapshot_date = {sql.ORDERS_END} GROUP BY ALL"""
     )
 )
 def trailing_30d_recompute(spark, sf_dir):
@@ -695,6 +821,23 @@ def trailing_30d_recompute(spark, sf_dir):
 # --- pipeline on stored tables ----------------------------------------------
 
 
+def _kept(df: DataFrame, *folders: str) -> DataFrame:
+    """`df` as a table of its own; what it was read from goes."""
+    spark, folder = df.sparkSession, scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    for gone in folders:
+        delete_folder(spark, gone)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def _done_with(warehouse: Warehouse, result: DataFrame) -> DataFrame:
+    """The result of a query on stored tables; the tables go."""
+    result = _kept(result)
+    warehouse.drop()
+    delete_folder(warehouse.spark, warehouse.root)
+    return result
+
+
 def _stored(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The event snapshots in tables of their own, with every load run over them."""
     inputs = events_inputs(spark, sf_dir)
@@ -703,23 +846,28 @@ def _stored(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 def _loaded(spark: SparkSession, inputs: Inputs, end: date) -> Warehouse:
     """The snapshots in a table, and every load up to `end`."""
-    # As many buckets as the cluster has cores.
-    buckets = spark.sparkContext.defaultParallelism
-    warehouse = Warehouse(spark, scratch_folder(spark), f"subtide_{uuid4().hex[:12]}", buckets)
+    warehouse = _empty_warehouse(spark)
     warehouse.replace_touched(SNAPSHOT, inputs.bronze.hint("rebalance", "snapshot_date"))
     backfill(warehouse, inputs.start, end, inputs.cfg)
     return warehouse
 
 
+def _empty_warehouse(spark: SparkSession) -> Warehouse:
+    # As many buckets as the cluster has cores.
+    buckets = spark.sparkContext.defaultParallelism
+    return Warehouse(spark, scratch_folder(spark), f"subtide_{uuid4().hex[:12]}", buckets)
+
+
 @query(sql.events("SELECT * FROM gold", sql.KPI, sql.VIEW))
 def stored_reporting_view(spark, sf_dir):
-    return kpi_view(_stored(spark, sf_dir))
+    warehouse = _stored(spark, sf_dir)
+    return _done_with(warehouse, kpi_view(warehouse))
 
 
 @query(
     sql.events(
-        f"""SELECT proc_name, DATE '{fixtures.EVENTS_END}' AS ds, CAST(n AS BIGINT) AS rows_affected, 'SUCCESS' AS status,
-  'range {fixtures.EVENTS_START}..{fixtures.EVENTS_END}' AS message
+        f"""SELECT proc_name, {sql.EVENTS_END} AS ds, CAST(n AS BIGINT) AS rows_affected, 'SUCCESS' AS status,
+  'range ' || {sql.EVENTS_START} || '..' || {sql.EVENTS_END} AS message
 FROM (SELECT 'load_subscription_daily' AS proc_name, count(*) AS n FROM daily
       UNION ALL SELECT 'load_subscription_cumulated', count(*) FROM state
       UNION ALL SELECT 'load_ott_kpi_daily', count(*) FROM kpi)""",
@@ -727,8 +875,9 @@ FROM (SELECT 'load_subscription_daily' AS proc_name, count(*) AS n FROM daily
     )
 )
 def run_log_rows(spark, sf_dir):
-    log = _stored(spark, sf_dir).table("etl_run_log")
-    return log.select("proc_name", "ds", "rows_affected", "status", "message")
+    warehouse = _stored(spark, sf_dir)
+    log = warehouse.table("etl_run_log").select("proc_name", "ds", "rows_affected", "status", "message")
+    return _done_with(warehouse, log)
 
 
 @query(sql.events(f"{_ALL_SQL} WHERE snapshot_date > DATE '{fixtures.EVENTS_MISSING[0]}'", gaps=True))
@@ -739,4 +888,247 @@ def stored_range_after_pruned_history(spark, sf_dir):
     warehouse = _loaded(spark, inputs, last)
     warehouse.replace_range(DAILY, inputs.daily.where("false"), inputs.start, last)
     backfill(warehouse, last + timedelta(days=1), inputs.end, inputs.cfg)
-    return _lists_as_text(warehouse.read(STATE, last + timedelta(days=1), inputs.end)).select(*STATE_SCALARS, *HISTORY_COLUMNS)
+    return _done_with(warehouse, _state_rows(warehouse, last + timedelta(days=1), inputs.end))
+
+
+def _state_rows(warehouse: Warehouse, start: date, end: date) -> DataFrame:
+    return _lists_as_text(warehouse.read(STATE, start, end)).select(*STATE_SCALARS, *HISTORY_COLUMNS)
+
+
+@query(sql.events(f"{_ALL_SQL} WHERE snapshot_date > {_LAST} - 3", gaps=True))
+def stored_step_backfill(spark, sf_dir):
+    """The last three days, one by one, on the stored tables of the days before."""
+    inputs = events_inputs(spark, sf_dir, gaps=True)
+    warehouse = _loaded(spark, inputs, inputs.end - timedelta(days=3))
+    first = inputs.end - timedelta(days=2)
+    backfill(warehouse, first, inputs.end, inputs.cfg, mode="step")
+    return _done_with(warehouse, _state_rows(warehouse, first, inputs.end))
+
+
+# What was wrong before the correction: a third of the users missing and minutes too high, on a few dates.
+_CORRECTED = (timedelta(days=9), timedelta(days=12))
+
+
+def _repaired(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Every load over snapshots that are wrong on a few dates; then these are corrected and repaired."""
+    inputs = events_inputs(spark, sf_dir)
+    first, last = (inputs.start + d for d in _CORRECTED)
+    wrong = F.col("snapshot_date").between(F.lit(first), F.lit(last)) & (F.col("subscriber_id").cast("long") % 9 < 4)
+    missing = wrong & (F.col("subscriber_id").cast("long") % 3 == 1)
+    more = F.when(wrong, F.col("minutes_of_usage") + 2).otherwise(F.col("minutes_of_usage"))
+    before = inputs.bronze.where(~missing).withColumn("minutes_of_usage", more)
+    warehouse = _loaded(spark, replace(inputs, bronze=before), inputs.end)
+    warehouse.replace_touched(SNAPSHOT, inputs.bronze.where(F.col("snapshot_date").between(F.lit(first), F.lit(last))))
+    repair(warehouse, first, last, inputs.cfg)
+    return warehouse
+
+
+@query(sql.events(_ALL_SQL))
+def repair_forward(spark, sf_dir):
+    """State after a repair of corrected dates: equal to building everything from the corrected rows."""
+    warehouse = _repaired(spark, sf_dir)
+    return _done_with(warehouse, _lists_as_text(warehouse.table(STATE)).select(*STATE_SCALARS, *HISTORY_COLUMNS))
+
+
+@query(sql.events("SELECT * FROM gold", sql.KPI, sql.VIEW))
+def repair_forward_view(spark, sf_dir):
+    warehouse = _repaired(spark, sf_dir)
+    return _done_with(warehouse, kpi_view(warehouse))
+
+
+@query(sql.events(f"""SELECT ds AS snapshot_date, CAST(count(daily.snapshot_date) AS BIGINT) AS daily_rows, count(daily.snapshot_date) > 0 AS listed
+FROM ({sql.days_sql(sql.EVENTS_START, sql.EVENTS_END)}) LEFT JOIN daily ON snapshot_date = ds AND ds NOT IN ({_FIRST} + 4, {_FIRST} + 6)
+GROUP BY ds""", state=False))
+def emptied_date_stays_empty(spark, sf_dir):
+    """Two dates are taken out of the snapshots; loaded again, their daily rows and partitions are gone."""
+    inputs = events_inputs(spark, sf_dir)
+    warehouse = _empty_warehouse(spark)
+    warehouse.replace_touched(SNAPSHOT, inputs.bronze.hint("rebalance", "snapshot_date"))
+    load_subscription_daily(warehouse, inputs.start, inputs.end, inputs.cfg)
+    gone = [inputs.start + timedelta(days=n) for n in (4, 6)]
+    warehouse.replace_range(SNAPSHOT, inputs.bronze.where(F.col("snapshot_date") == F.lit(gone[0] + timedelta(days=1))), *gone)
+    load_subscription_daily(warehouse, inputs.start, inputs.end, inputs.cfg)
+    listed = F.col("day").isin(warehouse.partitions(DAILY))
+    rows = warehouse.table(DAILY).groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("daily_rows"))
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(inputs.start), F.lit(inputs.end))).alias("day"))
+    result = days.join(rows, F.col("day") == F.col("snapshot_date"), "left").select(
+        F.col("day").alias("snapshot_date"), F.coalesce("daily_rows", F.lit(0)).alias("daily_rows"), listed.alias("listed")
+    )
+    return _done_with(warehouse, result)
+
+
+@query(sql.events(f"""SELECT * FROM (VALUES
+  ('load_subscription_daily', {_FIRST}, 'SUCCESS', (SELECT count(*) FROM daily WHERE snapshot_date = {_FIRST}), false, true),
+  ('load_subscription_cumulated', {_FIRST}, 'SUCCESS', (SELECT count(*) FROM daily WHERE snapshot_date = {_FIRST}), false, true),
+  ('load_ott_kpi_daily', {_FIRST}, 'SUCCESS', (SELECT count(DISTINCT opco_code) FROM daily WHERE snapshot_date = {_FIRST}), true, true),
+  ('load_subscription_daily', {_LAST} + 5, 'SKIPPED', 0, true, true),
+  ('load_subscription_cumulated', {_FIRST} + 2, 'FAILED', 0, true, true)
+) log(proc_name, ds, status, rows_affected, has_message, duration_not_negative)""", state=False))
+def run_log_statuses(spark, sf_dir):
+    """A day that works, a date without snapshots, and a step without the day before."""
+    inputs = events_inputs(spark, sf_dir)
+    warehouse = _empty_warehouse(spark)
+    warehouse.replace_touched(SNAPSHOT, inputs.bronze.hint("rebalance", "snapshot_date"))
+    run_pipeline(warehouse, inputs.start, inputs.cfg)
+    load_subscription_daily(warehouse, inputs.end + timedelta(days=5), cfg=inputs.cfg)
+    with suppress(LoadFailed):
+        load_subscription_cumulated(warehouse, inputs.start + timedelta(days=2), inputs.cfg)
+    log = warehouse.table("etl_run_log").select(
+        "proc_name", "ds", "status", "rows_affected", F.col("message").isNotNull().alias("has_message"), (F.col("duration_sec") >= 0).alias("duration_not_negative")
+    )
+    return _done_with(warehouse, log)
+
+
+# --- landing to stored snapshots --------------------------------------------
+
+_DELIVERED = "month(day) || '/' || day(day) || '/' || year(day)"
+_DELIVERED_SQL = "delivered AS (SELECT *, CAST(event_id AS BIGINT) AS n, CAST(ts AS DATE) AS day FROM events)"
+
+
+def _delivered(spark: SparkSession, sf_dir: str, minutes: int = 0) -> DataFrame:
+    """Events as delivered rows, each with a key of its own."""
+    day = F.to_date("ts")
+    return fixtures.read_table(spark, sf_dir, "events").select(
+        F.concat_ws("/", F.month(day), F.day(day), F.year(day)).alias("snapshot_date"),
+        F.col("event_id").cast("long").cast("string").alias("subscription_id"),
+        F.col("event_type").alias("subscription_name"),
+        F.col("user_id").cast("string").alias("subscriber_id"),
+        day.cast("string").alias("subscription_start_date"),
+        F.lit(None).cast("string").alias("subscription_end_date"),
+        (F.col("event_id").cast("long") % 300 + minutes).cast("string").alias("minutes_of_usage"),
+        day.alias("day"),
+    )
+
+
+def _landed_sql(minutes: str, where: str = "true") -> str:
+    return f"""WITH {_DELIVERED_SQL}
+SELECT 'OPX' AS opco_code, CAST(user_id AS VARCHAR) AS subscriber_id, event_type AS subscription_name, CAST(n AS VARCHAR) AS subscription_id,
+  day AS subscription_start_date, CAST(NULL AS DATE) AS subscription_end_date, CAST({minutes} AS DOUBLE) AS minutes_of_usage, day AS snapshot_date
+FROM delivered WHERE {where}"""
+
+
+@query(_landed_sql(f"n % 300 + CAST(day >= {_FIRST} + 9 AS INT)"))
+def stored_landing_upsert(spark, sf_dir):
+    """Two loads: the later days, corrected, over an overlapping earlier part."""
+    warehouse = _empty_warehouse(spark)
+    start, _ = fixtures.window_of(fixtures.event_feed_dates(spark, sf_dir))
+    early, late = F.lit(start + timedelta(days=19)), F.lit(start + timedelta(days=9))
+    load_snapshots(warehouse, _delivered(spark, sf_dir).where(F.col("day") <= early).drop("day"), "OPX")
+    load_snapshots(warehouse, _delivered(spark, sf_dir, 1).where(F.col("day") >= late).drop("day"), "OPX")
+    return _done_with(warehouse, warehouse.table(SNAPSHOT))
+
+
+_WITHOUT_KEY = {"subscriber_id": 17, "subscription_id": 19}
+_UNREAD = 23
+
+
+def _with_faults(delivered: DataFrame) -> DataFrame:
+    n = F.col("subscription_id").cast("long")
+    faults = {c: F.when(n % k != 0, F.col(c)) for c, k in _WITHOUT_KEY.items()}
+    return delivered.drop("day").withColumns(faults | {"snapshot_date": F.when(n % _UNREAD == 0, "soon").otherwise(F.col("snapshot_date"))})
+
+
+@query(f"""WITH {_DELIVERED_SQL}
+SELECT 'first' AS load_id, 'OPX' AS opco_code,
+  CASE WHEN n % {_UNREAD} = 0 THEN 'snapshot_date' WHEN n % 17 = 0 THEN 'no subscriber_id' ELSE 'no subscription_id' END AS reject_reason,
+  CASE WHEN n % {_UNREAD} = 0 THEN 'soon' ELSE {_DELIVERED} END AS snapshot_date,
+  CASE WHEN n % 17 <> 0 THEN CAST(user_id AS VARCHAR) END AS subscriber_id, CASE WHEN n % 19 <> 0 THEN CAST(n AS VARCHAR) END AS subscription_id,
+  event_type AS subscription_name, CAST(n % 300 AS VARCHAR) AS minutes_of_usage
+FROM delivered WHERE n % 17 = 0 OR n % 19 = 0 OR n % {_UNREAD} = 0""")
+def landing_null_keys(spark, sf_dir):
+    """Rows without a key and rows that can't be read are stored as delivered, under their load; a second
+    load of the same rows under the same id changes nothing."""
+    warehouse = _empty_warehouse(spark)
+    for _ in range(2):
+        load_snapshots(warehouse, _with_faults(_delivered(spark, sf_dir)), "OPX", allow_rejects=True, load_id="first")
+    columns = ["load_id", "opco_code", "reject_reason", "snapshot_date", "subscriber_id", "subscription_id", "subscription_name", "minutes_of_usage"]
+    return _done_with(warehouse, warehouse.table("landing_rejects").select(*columns))
+
+
+@query(f"""WITH {_DELIVERED_SQL}
+SELECT 'rejected' AS kept_as, CASE WHEN n % 17 = 0 THEN 'no subscriber_id' ELSE 'no subscription_id' END AS reason, count(*) AS kept_rows
+FROM delivered WHERE n % 17 = 0 OR n % 19 = 0 GROUP BY ALL
+UNION ALL SELECT 'snapshot', CAST(CASE WHEN n % {_UNREAD} = 0 THEN {_FIRST} ELSE day END AS VARCHAR), count(*)
+FROM delivered WHERE n % 17 <> 0 AND n % 19 <> 0 GROUP BY ALL""")
+def landing_rejects_replayed(spark, sf_dir):
+    """The unreadable dates are mended and loaded again; what still has no key stays with the rejects."""
+    warehouse = _empty_warehouse(spark)
+    start, _ = fixtures.window_of(fixtures.event_feed_dates(spark, sf_dir))
+    load_snapshots(warehouse, _with_faults(_delivered(spark, sf_dir)), "OPX", allow_rejects=True, load_id="first")
+    date_of = F.when(F.col("snapshot_date") == "soon", F.lit(str(start))).otherwise(F.col("snapshot_date"))
+    replay_rejects(warehouse, "first", lambda raw: raw.withColumn("snapshot_date", date_of))
+    rejected = rejects_by_load(warehouse).select(F.lit("rejected").alias("kept_as"), F.col("reject_reason").alias("reason"), F.col("rejected_rows").alias("kept_rows"))
+    stored = warehouse.table(SNAPSHOT).groupBy(F.col("snapshot_date").cast("string").alias("reason")).agg(F.count(F.lit(1)).alias("kept_rows"))
+    return _done_with(warehouse, rejected.unionByName(stored.withColumn("kept_as", F.lit("snapshot"))))
+
+
+# --- validation on stored tables ---------------------------------------------
+
+_GOLDEN_DATES = f"{_FIRST} + 9"
+
+
+@query(f"""WITH {_DELIVERED_SQL}, golden AS (
+  SELECT CAST(user_id AS VARCHAR) AS subscriber_id, day AS event_date, CASE event_type WHEN 'click' THEN 'NEW' ELSE 'CHURN' END AS event_type, n
+  FROM delivered WHERE n % 29 <> 3 AND n % 31 <> 4 AND n % 37 <> 5)
+SELECT subscriber_id, event_date, event_type FROM golden WHERE event_date < {_GOLDEN_DATES}
+UNION ALL SELECT subscriber_id, event_date, 'WINBACK' FROM golden WHERE event_date >= {_GOLDEN_DATES} AND n % 2 = 0""")
+def golden_events_loaded(spark, sf_dir):
+    """Golden events from delivered strings, then those of the later dates replaced."""
+    n, day = F.col("event_id").cast("long"), F.to_date("ts")
+    start, end = fixtures.window_of(fixtures.event_feed_dates(spark, sf_dir))
+    raw = fixtures.read_table(spark, sf_dir, "events").select(
+        n.alias("n"),
+        F.when(n % 29 != 3, F.col("user_id").cast("string")).alias("subscriber_id"),
+        F.when(n % 31 == 4, "soon").when(n % 2 == 0, day.cast("string")).otherwise(F.concat_ws("/", F.month(day), F.day(day), F.year(day))).alias("event_date"),
+        F.when(n % 37 == 5, "BORN").when(F.col("event_type") == "click", " new").otherwise("Churn").alias("event_type"),
+    )
+    warehouse = _empty_warehouse(spark)
+    load_golden_events(warehouse, raw, allow_rejects=True)
+    readable = parse_golden_events(raw.where("n % 2 = 0")).where("reject_reason IS NULL")
+    again = readable.where(F.col("event_date") >= F.lit(start + timedelta(days=9))).select(
+        F.col("raw_subscriber_id").alias("subscriber_id"), F.col("raw_event_date").alias("event_date"), F.lit("winback").alias("event_type")
+    )
+    load_golden_events(warehouse, again, start + timedelta(days=9), end)
+    return _done_with(warehouse, warehouse.table("test_expected_events"))
+
+
+_FEWER = "golden AS (SELECT * FROM happened WHERE event_type <> 'REACQUISITION')"
+_NONE = sql.differences("happened", "happened").replace("differences AS", "none AS")
+_first_run = _suite_sql(_events_counts, _LINES, "first")
+_second_run = _suite_sql(_events_counts, _LINES, "second").replace("FROM differences", "FROM none")
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, dict[str, bool]]:
+    """Two runs of a day: one without some golden events, one with all; and whether each raised."""
+    inputs = events_inputs(spark, sf_dir)
+    warehouse = _loaded(spark, inputs, inputs.end)
+    golden = lifecycle_events(warehouse.table(STATE), inputs.start, inputs.end).select(*EVENT_KEYS)
+    now, raised = datetime(2024, 2, 1, 12), {}
+    for run_id, events in (("first", golden.where("event_type <> 'REACQUISITION'")), ("second", golden)):
+        warehouse.replace_all("test_expected_events", events)
+        try:
+            validate(warehouse, inputs.start, inputs.end, inputs.cfg, now, run_id)
+            raised[run_id] = False
+        except ChecksFailed:
+            raised[run_id] = True
+    return warehouse, raised
+
+
+@query(sql.events(f"{_first_run} UNION ALL {_second_run}", sql.EVENT_ROWS, _FEWER, sql.differences("golden", "happened"), _NONE))
+def validate_stored_results(spark, sf_dir):
+    """What two runs of a day have stored; the first finds unexpected events."""
+    warehouse, _ = _two_runs(spark, sf_dir)
+    return _done_with(warehouse, warehouse.table("test_results").drop("test_run_ts", "run_date"))
+
+
+@query(sql.events("""SELECT run_id, CAST(12 AS BIGINT) AS results, CAST(bad > 0 AS BIGINT) AS failed, bad > 0 AS raised
+FROM (SELECT 'first' AS run_id, (SELECT count(*) FROM differences) AS bad UNION ALL SELECT 'second', (SELECT count(*) FROM none))""",
+                  sql.EVENT_ROWS, _FEWER, sql.differences("golden", "happened"), _NONE))
+def validate_gate_outcomes(spark, sf_dir):
+    """A run's gate counts its own results: the failed run of the same day doesn't stop the second."""
+    warehouse, raised = _two_runs(spark, sf_dir)
+    outcome = F.create_map(*[F.lit(x) for pair in raised.items() for x in pair])
+    runs = warehouse.table("test_results").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("results"), F.count_if(F.col("status") == "FAIL").alias("failed")
+    )
+    return _done_with(warehouse, runs.withColumn("raised", outcome[F.col("run_id")]))

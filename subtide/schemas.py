@@ -89,9 +89,12 @@ TEST_RESULTS = _schema(
     (T.TimestampType(), "test_run_ts"),
     (STRING, "test_id test_name severity status"),
     (LONG, "failed_rows"),
-    (STRING, "expected actual detail"),
+    (STRING, "expected actual detail run_id"),
 )
 
+# A delivered row that is not in the snapshot table, as it was delivered.
+LANDING_REJECTS = T.StructType([*RAW_SNAPSHOT.fields, *_schema((STRING, "opco_code reject_reason load_id")).fields])
+
 TEST_EXPECTED_EVENTS = _schema(
     (STRING, "subscriber_id"),
     (DATE, "event_date"),

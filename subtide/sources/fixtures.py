@@ -11,15 +11,18 @@ from subtide.config import LifecycleConfig
 from subtide.schemas import RAW_SNAPSHOT, SUBSCRIPTION_SNAPSHOT
 
 # Orders as long subscriptions: the default thresholds apply.
-ORDERS_START, ORDERS_END = date(1995, 1, 2), date(2001, 11, 4)
 ORDERS_CONFIG = LifecycleConfig()
 
 # Events as short subscriptions; where gaps are asked for, with days on which no feed arrived.
-EVENTS_START, EVENTS_END = date(2024, 1, 1), date(2024, 1, 30)
 EVENTS_MISSING = [date(2024, 1, 10), date(2024, 1, 11), date(2024, 1, 20)]
 EVENTS_CONFIG = LifecycleConfig(array_size=7, grace_days=2, winback_days=4, retention_days=9)
 
 
+def window_of(feed: DataFrame) -> tuple[date, date]:
+    """The first and the last feed date."""
+    return tuple(feed.agg(F.min("snapshot_date"), F.max("snapshot_date")).first())
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -70,18 +73,26 @@ def order_feed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_snapshots(spark: SparkSession, sf_dir: str, with_gaps: bool = False, minutes: Column | None = None) -> DataFrame:
+def event_opco() -> Column:
+    return F.when(F.col("user_id") % 2 == 0, "OP0").otherwise("OP1")
+
+
+def event_snapshots(
+    spark: SparkSession, sf_dir: str, with_gaps: bool | str = False, minutes: Column | None = None
+) -> DataFrame:
     """A user's events of one type, as snapshots of one subscription.
 
-    `with_gaps` takes the feed of EVENTS_MISSING away, for what is about days without feed.
+    `with_gaps` takes the feed of EVENTS_MISSING away, of all opcos or of the one it names, for what is about
+    days without feed.
     """
     minutes = F.floor("value") if minutes is None else minutes
     day = F.to_date("ts")
     events = read_table(spark, sf_dir, "events")
     if with_gaps:
-        events = events.where(~day.isin(EVENTS_MISSING))
+        missing = day.isin(EVENTS_MISSING)
+        events = events.where(~(missing & (event_opco() == with_gaps) if isinstance(with_gaps, str) else missing))
     return events.select(
-        F.when(F.col("user_id") % 2 == 0, "OP0").otherwise("OP1").alias("opco_code"),
+        event_opco().alias("opco_code"),
         F.col("user_id").cast("string").alias("subscriber_id"),
         F.col("event_type").alias("subscription_name"),
         F.floor(F.col("event_id").cast("long") / 1000).cast("long").cast("string").alias("subscription_id"),
@@ -92,8 +103,8 @@ def event_snapshots(spark: SparkSession, sf_dir: str, with_gaps: bool = False, m
     ).select(*SUBSCRIPTION_SNAPSHOT.names)
 
 
-def event_feed_dates(spark: SparkSession, sf_dir: str, with_gaps: bool = False) -> DataFrame:
-    return event_snapshots(spark, sf_dir, with_gaps).select("snapshot_date").distinct()
+def event_feed_dates(spark: SparkSession, sf_dir: str, with_gaps: bool | str = False, by: list[str] = []) -> DataFrame:
+    return event_snapshots(spark, sf_dir, with_gaps).select(*by, "snapshot_date").distinct()
 
 
 def event_landing(spark: SparkSession, sf_dir: str) -> DataFrame:

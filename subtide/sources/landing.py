@@ -30,7 +30,7 @@ def read_raw_snapshots(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read.select(F.coalesce(JAGGED, "snapshot_date").alias("snapshot_date"), *rest).select(*RAW_SNAPSHOT.names)
 
 
-def _parse_date(column: str) -> Column:
+def parse_date(column: str) -> Column:
     return F.coalesce(*[F.try_to_date(F.col(column), fmt) for fmt in DATE_FORMATS])
 
 
@@ -41,7 +41,7 @@ def parse_raw(raw: DataFrame, opco: str) -> DataFrame:
     minutes = F.col("raw_minutes_of_usage")
     typed = named.withColumns(
         {
-            **{c: _parse_date(f"raw_{c}") for c in dates},
+            **{c: parse_date(f"raw_{c}") for c in dates},
             **{c: F.col(f"raw_{c}") for c in ["subscription_id", "subscription_name", "subscriber_id"]},
             "opco_code": F.lit(opco),
             "exact_minutes": minutes.try_cast("decimal(38,9)"),
@@ -62,16 +62,31 @@ def parse_raw(raw: DataFrame, opco: str) -> DataFrame:
     )
 
 
+def missing_key() -> Column:
+    """Why a readable row of `parse_raw` has no key to be upserted by, if it has none."""
+    keys = ["opco_code", "subscriber_id", "subscription_id"]
+    return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"no {c}")) for c in keys])
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reject_reason").isNull()).select(*SUBSCRIPTION_SNAPSHOT.names)
 
 
+def as_delivered(parsed: DataFrame, *more: str | Column) -> DataFrame:
+    """The raw columns of rows of `parse_raw`, and `more`."""
+    return parsed.select(*[F.col(f"raw_{c}").alias(c) for c in RAW_SNAPSHOT.names], *more)
+
+
 def normalize_raw(raw: DataFrame, opco: str) -> DataFrame:
     """Typed snapshot rows of one operating company; unreadable rows are left to `rejected_raw`."""
     return accepted(parse_raw(raw, opco))
 
 
+def landing_view(raw: DataFrame, opco: str) -> DataFrame:
+    """Every delivered row: what can be read of it, and the first column that can't, if any."""
+    return parse_raw(raw, opco).select(*SUBSCRIPTION_SNAPSHOT.names, "reject_reason")
+
+
 def rejected_raw(raw: DataFrame) -> DataFrame:
     """The rows `normalize_raw` leaves out, as delivered, with the first column that is unreadable."""
-    bad = parse_raw(raw, "").where(F.col("reject_reason").isNotNull())
-    return bad.select(*[F.col(f"raw_{c}").alias(c) for c in RAW_SNAPSHOT.names], "reject_reason")
+    return as_delivered(parse_raw(raw, "").where(F.col("reject_reason").isNotNull()), "reject_reason")

@@ -23,6 +23,22 @@ def scratch_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="subtide-")
 
 
+def _file_system(spark: SparkSession, folder: str):
+    """Hadoop's file system of a folder; Spark has no public way to make or delete one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    path, files = _file_system(spark, folder)
+    files.mkdirs(path)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path, files = _file_system(spark, folder)
+    files.delete(path, True)
+
+
 @contextmanager
 def written(df: DataFrame) -> Iterator[DataFrame]:
     """`df` as a table in a scratch folder, computed once however often it is read.
@@ -34,5 +50,4 @@ def written(df: DataFrame) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(folder)
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        delete_folder(spark, folder)

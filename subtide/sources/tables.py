@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from subtide import schemas
 from subtide.operators.daily import in_range
+from subtide.sources.scratch import delete_folder, make_folder
 
 
 @dataclass(frozen=True)
@@ -22,6 +24,7 @@ class Layout:
     partition: str | None
     bucketed: bool = False
     derived: tuple[str, str] | None = None  # partition column computed on write
+    within: str | None = None  # a second partition column
 
 
 LAYOUTS = {
@@ -30,8 +33,9 @@ LAYOUTS = {
     "subscription_cumulated": Layout(schemas.SUBSCRIPTION_CUMULATED, "snapshot_date", bucketed=True),
     "ott_kpi_daily": Layout(schemas.OTT_KPI_DAILY, "snapshot_date"),
     "etl_run_log": Layout(schemas.ETL_RUN_LOG, "run_date", derived=("run_date", "run_ts")),
-    "test_results": Layout(schemas.TEST_RESULTS, "run_date", derived=("run_date", "test_run_ts")),
-    "test_expected_events": Layout(schemas.TEST_EXPECTED_EVENTS, None),
+    "test_results": Layout(schemas.TEST_RESULTS, "run_date", derived=("run_date", "test_run_ts"), within="run_id"),
+    "test_expected_events": Layout(schemas.TEST_EXPECTED_EVENTS, "event_date"),
+    "landing_rejects": Layout(schemas.LANDING_REJECTS, "load_id"),
 }
 BUCKET_KEY = "subscription_key"
 OPEN_FILES = 8  # per task; each one buffers a row group
@@ -59,7 +63,10 @@ class Warehouse:
         """Buckets cannot change once files exist, so the number is kept with them."""
         path = f"{self.root}/layout"
         try:
-            return self.spark.read.schema("buckets INT").json(path).first()["buckets"]
+            stored = self.spark.read.schema("buckets INT").json(path).first()["buckets"]
+            if wanted and wanted != stored:
+                warnings.warn(f"the tables under {self.root} have {stored} buckets and keep them; {wanted} is ignored", stacklevel=3)
+            return stored
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -73,7 +80,7 @@ class Warehouse:
             columns.append(f"{layout.partition} date")
         sql = f"CREATE TABLE {self.database}.{name} ({', '.join(columns)}) USING parquet"
         if layout.partition:
-            sql += f" PARTITIONED BY ({layout.partition})"
+            sql += f" PARTITIONED BY ({', '.join(filter(None, [layout.partition, layout.within]))})"
         if layout.bucketed:
             # No SORTED BY: rows reach the writer in key order anyway, and without it
             # a wide state row need not be sorted again to be written.
@@ -81,8 +88,7 @@ class Warehouse:
         location = f"{self.root}/{name}"
         self.spark.sql(f"{sql} LOCATION '{location}'")
         if layout.partition:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(location)
-            folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(folder)
+            make_folder(self.spark, location)
             # Files of an earlier session, when the catalog does not outlive it.
             self.spark.sql(f"ALTER TABLE {self.database}.{name} RECOVER PARTITIONS")
 
@@ -100,20 +106,23 @@ class Warehouse:
     def partitions(self, name: str) -> list[date]:
         """Dates that have a partition, ascending; at most one entry per calendar day."""
         rows = self.spark.sql(f"SHOW PARTITIONS {self.database}.{name}").collect()
-        return sorted(date.fromisoformat(row[0].split("=", 1)[1]) for row in rows)
+        return sorted({date.fromisoformat(row[0].split("/", 1)[0].split("=", 1)[1]) for row in rows})
+
+    def has_partition(self, name: str, value: str) -> bool:
+        rows = self.spark.sql(f"SHOW PARTITIONS {self.database}.{name} PARTITION ({LAYOUTS[name].partition} = '{value}')")
+        return not rows.isEmpty()
 
     def replace_range(self, name: str, df: DataFrame, start: date, end: date | None = None) -> int:
         """Make `df` the whole content of the dates start..end; returns the rows written.
 
-        The job's commit swaps the dates in one after the other; then dates that end up without rows
-        are emptied. A run that fails before has changed nothing; one that fails meanwhile is
-        repeated. Where a rename is a copy, as in object stores, a date isn't swapped in at once.
+        The job's commit swaps the dates in one after the other; then all dates that end up without rows
+        are dropped together, without another job. A run that fails before has changed nothing; one that
+        fails meanwhile is repeated. Where a rename is a copy, as in object stores, a date isn't swapped
+        in at once.
         """
         end = end or start
         rows, dates = self._overwrite(name, df)
-        for stale in self.partitions(name):
-            if start <= stale <= end and stale not in dates:
-                self._empty(name, stale)
+        self._drop(name, [d for d in self.partitions(name) if start <= d <= end and d not in dates])
         return rows
 
     def replace_touched(self, name: str, df: DataFrame) -> int:
@@ -123,11 +132,20 @@ class Warehouse:
     def replace_day(self, name: str, df: DataFrame, day: date) -> int:
         return self.replace_range(name, df, day, day)
 
+    def replace_partition(self, name: str, value: str, df: DataFrame) -> int:
+        """Make `df` the whole content of the partition `value` of a table that isn't partitioned by date."""
+        rows, values = self._overwrite(name, df)
+        if set(values) - {value}:
+            raise ValueError(f"rows of other partitions than {value!r}")
+        if not rows:
+            self._drop(name, [value])
+        return rows
+
     def append(self, name: str, df: DataFrame) -> None:
         self._in_table_order(name, df).write.insertInto(f"{self.database}.{name}", overwrite=False)
 
     def replace_all(self, name: str, df: DataFrame) -> None:
-        """Replace an unpartitioned table."""
+        """Replace the whole table."""
         self._in_table_order(name, df).write.insertInto(f"{self.database}.{name}", overwrite=True)
 
     def _in_table_order(self, name: str, df: DataFrame) -> DataFrame:
@@ -143,32 +161,32 @@ class Warehouse:
         if layout.derived:
             target, source = layout.derived
             columns.append(F.to_date(source).alias(target))
-        names = [c for c in layout.schema.names if c != layout.partition]
-        ordered = df.select(*columns)
-        return ordered.select(*names, layout.partition) if layout.partition else ordered
+        last = [c for c in (layout.partition, layout.within) if c]
+        names = [c for c in layout.schema.names if c not in last]
+        return df.select(*columns).select(*names, *last)
 
     def _overwrite(self, name: str, df: DataFrame) -> tuple[int, list[date]]:
         metrics = Observation()
         observed = self._in_table_order(name, df).observe(
             metrics,
             F.count(F.lit(1)).alias("rows"),
-            F.collect_set(LAYOUTS[name].partition).alias("dates"),  # at most one per calendar day
+            F.collect_set(LAYOUTS[name].partition).alias("dates"),  # at most one per calendar day, or one load
         )
         with self._replacing_partitions():
             observed.write.insertInto(f"{self.database}.{name}", overwrite=True)
         return metrics.get["rows"], metrics.get["dates"]
 
-    def _empty(self, name: str, day: date) -> None:
-        layout = LAYOUTS[name]
-        nothing = ", ".join(
-            f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
-            for f in layout.schema
-            if f.name != layout.partition
-        )
-        self.spark.sql(
-            f"INSERT OVERWRITE {self.database}.{name} PARTITION ({layout.partition} = DATE'{day}') "
-            f"SELECT {nothing} WHERE false"
-        )
+    def _drop(self, name: str, values: list[date] | list[str]) -> None:
+        """Take partitions away: first their files, so that a run that stops here leaves them empty, then all
+        of them from the catalog by one statement."""
+        partition = LAYOUTS[name].partition
+        if values:
+            for value in values:
+                literal = f"DATE'{value}'" if isinstance(value, date) else f"'{value}'"
+                location = self.spark.sql(f"DESCRIBE EXTENDED {self.database}.{name} PARTITION ({partition} = {literal})")
+                delete_folder(self.spark, location.where("col_name = 'Location'").first()["data_type"])
+            listed = ", ".join(f"PARTITION ({partition} = '{value}')" for value in values)
+            self.spark.sql(f"ALTER TABLE {self.database}.{name} DROP IF EXISTS {listed}")
 
     @contextmanager
     def _replacing_partitions(self) -> Iterator[None]:

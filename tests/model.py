@@ -7,7 +7,10 @@ from datetime import timedelta
 
 
 def replay(daily_rows, start, end, cfg):
-    """Every state row of start..end as {(key, date): row}. `daily_rows` are dicts."""
+    """Every state row of start..end as {(key, date): row}. `daily_rows` are dicts.
+
+    The feed of a day is any row, or any row of the key's opco, by cfg.feed_scope.
+    """
     by_day = {}
     for row in daily_rows:
         by_day.setdefault(row["snapshot_date"], {})[row["subscription_key"]] = row
@@ -16,7 +19,9 @@ def replay(daily_rows, start, end, cfg):
         today = by_day.get(ds, {})
         state = {}
         for key in yesterday.keys() | today.keys():
-            row = _next(yesterday.get(key), today.get(key), bool(today), ds, cfg)
+            opco = (today.get(key) or yesterday.get(key))["opco_code"]
+            feed = any(r["opco_code"] == opco for r in today.values()) if cfg.feed_scope == "opco" else bool(today)
+            row = _next(yesterday.get(key), today.get(key), feed, ds, cfg)
             if row is not None:
                 state[key] = row
                 out[(key, ds)] = row
