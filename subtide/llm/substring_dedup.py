@@ -4,18 +4,22 @@ A window is so many consecutive words of one document. A word goes if a window t
 word sequence that also starts anywhere else, in the same document or another one. All windows are
 judged on the input.
 
-1. Each task counts its windows in a sketch of its own: `ROWS` rows of cells, a count of one or of two and
-   more in each. Sketches travel piece by piece, as the gaps between cells in use, and are merged by piece.
-   A window's estimate, the smallest of its cells, is never below its count, so a window that is repeated is
-   never missed.
-2. A second pass takes the windows whose estimate is two or more, counts them exactly (by 128 bits
-   made of the words' hashes) and keeps those that are alone after all: the overestimated ones.
+1. Tasks count in sketches of their own: `ROWS` rows of cells, a count of one or of two and more in each. Sketches
+   travel piece by piece, as the gaps between cells in use, and are merged by piece. An estimate, the
+   smallest of an item's cells, is never below its count. There are two:
+   * of anchors: the anchor of a window is that of its runs of half its words which has the least hash, the
+     first of equal ones. Equal windows at two places have equal anchors at two places, and neighbouring windows
+     mostly share theirs, so a tenth of the places is counted. A window whose anchor is alone is alone.
+   * of the windows whose anchor is estimated repeated.
+   A repeated window is estimated repeated by both, so none is lost.
+2. Windows that both estimate repeated are counted exactly (by 128 bits made of the words' hashes); those that are
+   alone after all were overestimated.
 3. The last pass cuts what the windows cover that are estimated repeated and not overestimated.
 
-The sketch has `CELLS_PER_WINDOW` cells a row for each window up to `MOST_CELLS` (48 MB of bits in all, which is
-what the driver and each Python worker hold). Beyond that more windows are overestimated: they cost more in
-the second pass, and the result is the same. Overestimated windows go to all tasks up to `MOST_ALONE`; beyond
-that the windows of each document are joined with them.
+A sketch has `CELLS_PER_ITEM` cells a row for each item up to `MOST_CELLS` (48 MB of bits in all, which is what the driver
+and each Python worker hold of each of the two). Beyond that more windows are overestimated: they cost more in the
+second pass, and the result is the same. Overestimated windows go to all tasks up to `MOST_ALONE`; beyond
+that each is located by its text's digest, which is unique since its text has no copy, and joined with the texts.
 
 Null, empty and short texts (fewer words than a window) lose nothing. Very long texts are hashed in pieces. Rows
 of one doc_id, or without one, are documents of their own, so equal rows lose all their windows, every copy
@@ -34,13 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from subtide.llm.sketch import PIECE_CELLS, bits_of, cells_for, from_gaps, gaps
 from subtide.llm.store import stored
 from subtide.llm.words import NOT_SPACE, Words, chunks, mixed, octets, window_hashes
 
 ROWS = 3  # of a sketch
-CELLS_PER_WINDOW = 3
+CELLS_PER_ITEM = 4
 MOST_CELLS = 1 << 27  # of a row
-PIECE_CELLS = 1 << 18
 HELD = 2_000_000  # windows a task holds before it passes them on
 MOST_ALONE = 4_000_000  # overestimated windows sent to all tasks; 64 MB
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
@@ -48,7 +52,7 @@ _OTHER = np.uint64(0xD6E8FEB86659FD93)
 _PIECE = T.StructType().add("piece", "integer").add("once", "binary").add("twice", "binary")
 _BITS = T.StructType().add("piece", "integer").add("bits", "binary")
 _COUNTED = T.StructType().add("high", "long").add("low", "long").add("n", "long")
-_FLAGGED = T.StructType().add("row_key", "long").add("start", "long").add("high", "long").add("low", "long")
+_LOCATED = T.StructType([*_COUNTED, *T.StructType().add("digest", "string").add("start", "long")])
 _REPORT = T.StructType().add("doc_id", "long").add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string")
 
 
@@ -79,26 +83,27 @@ def substring_report(docs: DataFrame, window: int = 35, most_alone: int = MOST_A
 
 def _cut(docs: DataFrame, window: int, output: Callable, schema: T.StructType, most_alone: int) -> DataFrame:
     texts = docs.select(octets("text").alias("text"))
-    sketch = _sketch(texts, window)
+    words = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] // 6  # about six bytes each
     send = docs.sparkSession.sparkContext.broadcast
-    sent = send(sketch)
+    anchors = send(_sketch(texts, window, cells_for(CELLS_PER_ITEM * words // 10, MOST_CELLS), None))
+    sent = [anchors, send(_sketch(texts, window, cells_for(CELLS_PER_ITEM * words // 2, MOST_CELLS), anchors))]
     counted = texts.mapInArrow(_estimated_repeated(window, sent), _COUNTED).groupBy("high", "low").agg(F.sum("n").alias("n"))
     alone = stored(counted.where("n = 1").select("high", "low"))
     if alone.count() <= most_alone:
         return docs.mapInArrow(_cutting(window, sent, send(_pairs(alone)), output), schema)
-    return _cut_by_join(docs, window, sent, alone, output, schema)
+    located = texts.mapInArrow(_estimated_repeated(window, sent, located=True), _LOCATED).groupBy("high", "low")
+    located = located.agg(F.sum("n").alias("n"), F.min(F.struct("digest", "start")).alias("at")).where("n = 1")
+    starts = located.groupBy("at.digest").agg(F.collect_list("at.start").alias("starts"))  # no more than a text has words
+    joined = docs.withColumn("digest_of_text", F.md5(octets("text"))).join(stored(starts), F.col("digest_of_text") == F.col("digest"), "left")
+    return joined.drop("digest_of_text", "digest").mapInArrow(_cutting(window, sent, None, output), schema)
 
 
-# 1: the sketch
+# 1: the sketches
 
 
-def _sketch(texts: DataFrame, window: int) -> np.ndarray:
-    """Bits of the cells with a count of two or more, by row."""
-    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    cells = PIECE_CELLS
-    while cells < min(MOST_CELLS, CELLS_PER_WINDOW * size // 6):  # about six bytes a word
-        cells *= 2
-    partial = texts.mapInArrow(_sketched(window, cells), _PIECE)
+def _sketch(texts: DataFrame, window: int, cells: int, anchors) -> np.ndarray:
+    """Bits of the cells with a count of two or more, by row: of anchors, or of the windows that `anchors` lets through."""
+    partial = texts.mapInArrow(_sketched(window, cells, anchors), _PIECE)
     merged = partial.repartition("piece").sortWithinPartitions("piece").mapInArrow(_merged, _BITS)
     bits = np.zeros((ROWS * cells // PIECE_CELLS, PIECE_CELLS // 8), np.uint8)
     for row in stored(merged).toLocalIterator():  # at most ROWS * MOST_CELLS bits
@@ -111,38 +116,37 @@ def _cells(high: np.ndarray, low: np.ndarray, cells: int) -> list[np.ndarray]:
     return [(high & mask).astype(np.int64), ((high >> np.uint64(32)) & mask).astype(np.int64), (low & mask).astype(np.int64)]
 
 
-def _windows(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where the windows that lie within one text begin, by word, and 128 bits of each."""
+def _anchors(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the windows that lie within one text begin, by word, and the place and hash of each one's anchor."""
     n = len(words.hashes) - k + 1
     if n <= 0:
-        none = np.empty(0, np.uint64)
-        return np.empty(0, np.int64), none, none
+        none = np.empty(0, np.int64)
+        return none, none, none.view(np.uint64)
     text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
     start = np.flatnonzero(text[:n] == text[k - 1 :])
-    high, low = window_hashes(words.hashes, k), window_hashes(mixed(words.hashes + _OTHER), k)
-    return start, high[start], low[start]
+    least = window_hashes(words.hashes, k // 2 + 1)
+    place = np.arange(len(least))
+    span, wanted = 1, k - k // 2
+    while span < wanted:  # the least of so many places that follow each other, the first of equal ones
+        step = min(span, wanted - span)
+        later = least[step:] < least[:-step]
+        least, place = np.where(later, least[step:], least[:-step]), np.where(later, place[step:], place[:-step])
+        span += step
+    return start, place[start], least[start]
 
 
-def _words(texts: list[bytes]) -> Words:
-    return Words(texts, NOT_SPACE, lower=False)
-
-
-def _gaps(cells: np.ndarray) -> bytes:
-    """Sorted cells as one byte each: the step from the one before, 255 for each 255 that are skipped."""
-    step = np.diff(cells, prepend=-1) - 1
-    skip = step // 255
-    out = np.full(int(skip.sum()) + len(step), 255, np.uint8)
-    out[np.cumsum(skip + 1) - 1] = step % 255
-    return out.tobytes()
+def _windows(words: Words, k: int, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of the windows that begin at `start`."""
+    if not len(start):
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    return window_hashes(words.hashes, k)[start], window_hashes(mixed(words.hashes + _OTHER), k)[start]
 
 
-def _from_gaps(packed: bytes) -> np.ndarray:
-    step = np.frombuffer(packed, np.uint8).astype(np.int64)
-    here = step < 255
-    return (np.cumsum(step + here) - 1)[here]
+def _words(texts: list[bytes]) -> Words:
+    return Words(texts, NOT_SPACE, lower=False)
 
 
-def _sketched(window: int, cells: int):
+def _sketched(window: int, cells: int, anchors):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = [[] for _ in range(ROWS)]
         size = 0
@@ -159,13 +163,19 @@ def _sketched(window: int, cells: int):
                 at, at_twice = np.searchsorted(used, edges), np.searchsorted(twice, edges)
                 full = np.flatnonzero(np.diff(at))
                 lists = [
-                    pa.array([_gaps(values[x[p] : x[p + 1]] - p * PIECE_CELLS) for p in full], pa.binary())
+                    pa.array([gaps(values[x[p] : x[p + 1]] - p * PIECE_CELLS) for p in full], pa.binary())
                     for values, x in ((used, at), (twice, at_twice))
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(full + row * cells // PIECE_CELLS, pa.int32()), *lists], names=_PIECE.names)
 
         for _, texts in chunks(batches):
-            _, high, low = _windows(_words(texts), window)
+            words = _words(texts)
+            if anchors is None:
+                _, place, high = _anchors(words, window)
+                high = high[np.flatnonzero(np.diff(place, prepend=-1))]  # each place once
+                low = mixed(high + _OTHER)
+            else:
+                high, low = _windows(words, window, _likely(words, window, anchors.value))
             if len(high):
                 for parts, c in zip(held, _cells(high, low, cells)):
                     parts.append(c.astype(np.uint32))
@@ -195,9 +205,9 @@ def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield done()
                 piece = p
                 once[:], twice[:] = False, False
-            used = _from_gaps(one.as_py())
+            used = from_gaps(one.as_py())
             twice[used[once[used]]] = True
-            twice[_from_gaps(two.as_py())] = True
+            twice[from_gaps(two.as_py())] = True
             once[used] = True
     if piece is not None:
         yield done()
@@ -206,40 +216,64 @@ def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # 2: exact counts of the windows estimated repeated
 
 
-def _estimated(bits: np.ndarray, start: np.ndarray, high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The windows all of whose cells have a count of two or more."""
-    cells = bits.shape[1] * 8
+def _repeated(bits: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Where all cells have a count of two or more."""
+    at = np.arange(len(high))
     for row in range(ROWS):
-        c = _cells(high, low, cells)[row]
-        keep = (bits[row, c >> 3] >> (c & 7).astype(np.uint8)) & 1 == 1
-        start, high, low = start[keep], high[keep], low[keep]
-    return start, high, low
+        at = at[bits_of(bits[row], _cells(high[at], low[at], bits.shape[1] * 8)[row])]
+    return at
 
 
-def _estimated_repeated(window: int, sent):
+def _likely(words: Words, k: int, anchors: np.ndarray) -> np.ndarray:
+    """Where the windows begin whose anchor is estimated repeated."""
+    start, _, anchor = _anchors(words, k)
+    return start[_repeated(anchors, anchor, mixed(anchor + _OTHER))]
+
+
+def _estimated(words: Words, k: int, sent) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the windows begin that both sketches estimate repeated, and their 128 bits."""
+    start = _likely(words, k, sent[0].value)
+    high, low = _windows(words, k, start)
+    at = _repeated(sent[1].value, high, low)
+    return start[at], high[at], low[at]
+
+
+def _estimated_repeated(window: int, sent, located: bool = False):
+    """Counts of a task's windows, each once; `located` adds the digest of a text that has it and where it begins there."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sent.value
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
+        digests: list[str] = []
         size = 0
 
         def flushed() -> Iterator[pa.RecordBatch]:
-            high, low = (np.concatenate(x) for x in zip(*held))
-            held.clear()
+            high, low, text, start = (np.concatenate(x) for x in zip(*held))
             order = np.lexsort((low, high))
             high, low = high[order], low[order]
             first = np.flatnonzero(np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])]))
             n = np.diff(first, append=len(high))
-            high, low = high[first].view(np.int64), low[first].view(np.int64)
+            columns = [high[first].view(np.int64), low[first].view(np.int64), n]
+            some = order[first]
             for i in range(0, len(n), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50_000]) for x in (high, low, n)], names=_COUNTED.names)
+                part = [pa.array(c[i : i + 50_000]) for c in columns]
+                if located:
+                    mine = some[i : i + 50_000]
+                    part += [pa.array([digests[t] for t in text[mine]], pa.string()), pa.array(start[mine])]
+                yield pa.RecordBatch.from_arrays(part, names=_LOCATED.names if located else _COUNTED.names)
 
         for _, texts in chunks(batches):
-            _, high, low = _estimated(bits, *_windows(_words(texts), window))
-            if len(high):
-                held.append((high, low))
-                size += len(high)
+            words = _words(texts)
+            start, high, low = _estimated(words, window, sent)
+            if len(start):
+                text = np.searchsorted(words.first, start, "right") - 1
+                held.append((high, low, text + len(digests), start - words.first[text]))
+                size += len(start)
+            if located:
+                digests.extend(hashlib.md5(t).hexdigest() for t in texts)
             if size > HELD // 2:
                 yield from flushed()
+                held.clear()
+                digests.clear()
                 size = 0
         if size:
             yield from flushed()
@@ -292,47 +326,20 @@ def _kept(words: Words, texts: list[bytes], start: np.ndarray, k: int) -> list[t
 
 
 def _cutting(window: int, sent, alone, output: Callable):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, pairs = sent.value, alone.value
-        for batch, texts in chunks(batches):
-            words = _words(texts)
-            start, high, low = _estimated(bits, *_windows(words, window))
-            yield output(batch, _kept(words, texts, start[~_among(pairs, high, low)], window))
-
-    return run
-
-
-def _cut_by_join(docs: DataFrame, window: int, sent, alone: DataFrame, output: Callable, schema: T.StructType) -> DataFrame:
-    """The same where the overestimated windows are too many to send: documents are joined with their repeated windows."""
-    # Written once, so that a row keeps its number.
-    keyed = stored(docs.select(F.monotonically_increasing_id().alias("row_key"), F.struct(*docs.columns).alias("row")))
-    flagged = keyed.select("row_key", octets("row.text").alias("text")).mapInArrow(_flagged(window, sent), _FLAGGED)
-    repeated = flagged.join(alone, ["high", "low"], "left_anti")
-    starts = repeated.groupBy("row_key").agg(F.collect_list("start").alias("starts"))  # no more than a text has words
-    joined = keyed.join(starts, "row_key", "left").select("row", "starts")
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                one = batch.slice(i, 1)
-                rows = pa.RecordBatch.from_struct_array(one.column("row"))
-                at = np.sort(np.array(one.column("starts")[0].as_py() or [], np.int64))
-                for part, texts in chunks([rows]):
-                    yield output(part, _kept(_words(texts), texts, at, window))
-
-    return joined.mapInArrow(run, schema)
-
+    """Cuts the texts; overestimated windows come as `alone`, or else with each row as its last column."""
 
-def _flagged(window: int, sent):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sent.value
         for batch, texts in chunks(batches):
             words = _words(texts)
-            start, high, low = _estimated(bits, *_windows(words, window))
-            text = np.searchsorted(words.first, start, "right") - 1
-            keys = batch.column("row_key").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[text]), pa.array(start - words.first[text]), pa.array(high.view(np.int64)), pa.array(low.view(np.int64))], names=_FLAGGED.names
-            )
+            start, high, low = _estimated(words, window, sent)
+            if alone is not None:
+                start = start[~_among(alone.value, high, low)]
+            else:
+                lists = batch.column(batch.num_columns - 1)
+                batch = batch.select(range(batch.num_columns - 1))
+                sizes = np.array([len(x) if x.is_valid else 0 for x in lists])
+                single = np.repeat(words.first[:-1], sizes) + lists.flatten().to_numpy()
+                start = start[~np.isin(start, single)]
+            yield output(batch, _kept(words, texts, start, window))
 
     return run

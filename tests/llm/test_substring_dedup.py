@@ -7,7 +7,8 @@ from collections import Counter
 import pytest
 
 from subtide.llm import substring_dedup
-from subtide.llm.substring_dedup import _from_gaps, _gaps, remove_repeats, substring_report
+from subtide.llm.sketch import from_gaps, gaps
+from subtide.llm.substring_dedup import remove_repeats, substring_report
 from tests.llm.brute import WORDS
 
 
@@ -49,7 +50,7 @@ def test_report_equals_the_plain_version(spark, most_alone):
 
 @pytest.mark.parametrize("most_alone", [substring_dedup.MOST_ALONE, -1])
 def test_overestimated_windows_stay(spark, monkeypatch, most_alone):
-    """A sketch that says "repeated" of every window changes nothing."""
+    """Sketches that say "repeated" of everything change nothing."""
     full = substring_dedup._sketch
     monkeypatch.setattr(substring_dedup, "_sketch", lambda *a: full(*a) | 255)
     rows = texts()
@@ -86,4 +87,4 @@ def test_gaps_come_back():
 
     rng = np.random.default_rng(1)
     for cells in ([], [0], [254], [255], [256, 257, 1023], [5, 260, 515, 516], sorted(rng.choice(1 << 18, 900, replace=False))):
-        assert _from_gaps(_gaps(np.array(cells, np.int64))).tolist() == list(cells)
+        assert from_gaps(gaps(np.array(cells, np.int64))).tolist() == list(cells)
