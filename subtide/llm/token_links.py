@@ -8,8 +8,8 @@ and groups, multiplied the same way, have an entry for each pair of tokens that
 
 Texts are cut where a blank follows anything but white space. No token of either kind reaches across such a place
 (`Pair` checks this for the pieces of B; A's are split there before they are merged), so both tokenizers have an end
-there and every group lies within a stretch. Equal stretches are encoded and multiplied once per task and
-remembered, up to `REMEMBERED` of them.
+there and every group lies within a stretch. Stretches are encoded and multiplied once and remembered by the Python
+worker, up to `REMEMBERED` in each of two generations.
 
 A pair of ids has a count: the documents that hold it linked. Each task adds up its documents before the shuffle.
 Pairs are sent to all tasks up to `MOST_SENT`; beyond that the documents' pairs are joined with them.
@@ -24,9 +24,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from subtide.llm.store import stored
 from subtide.llm.words import CHUNK_BYTES, chunks, octets
 
-REMEMBERED = 100_000  # stretches per task
+REMEMBERED = 200_000  # stretches, in each of two generations
 LONG = 64  # bytes; a longer stretch is not remembered
 HELD = 4_000_000  # pairs a task adds up before it passes them on
 MOST_SENT = 4_000_000  # pairs of ids sent to all tasks; 64 MB
@@ -163,6 +163,10 @@ def group_links(of_a: np.ndarray, of_b: np.ndarray) -> Iterator[tuple[np.ndarray
 # Tokenizers
 
 
+# Fixed value: how a byte-level tokenizer splits text before it merges.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 def _byte_of() -> dict[str, int]:
     """The letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from 256 on."""
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -171,74 +175,143 @@ def _byte_of() -> dict[str, int]:
 
 
 class Pair:
-    """Both tokenizers, with the bytes of each id."""
+    """Both tokenizers, with the bytes of each id.
+
+    A's vocabulary numbers its merges in their order, so the ids are ranks, and the encoder by ranks, which is the
+    faster one, gives the same tokens (tested on every character).
+    """
 
     def __init__(self, a_path: str, b_path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        byte_of = _byte_of()
         with open(a_path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
-        self.a_bytes = {i: bytes(byte_of[c] for c in entry) for entry, i in vocabulary.items() if all(c in byte_of for c in entry)}
+            given = json.load(file)
+        split = given["pre_tokenizer"]
+        if given["normalizer"] or split["type"] != "ByteLevel" or split["add_prefix_space"] or not split.get("use_regex", True):
+            raise ValueError(f"{a_path} is no plain byte-level tokenizer")
+        vocabulary, special = given["model"]["vocab"], {t["content"] for t in given["added_tokens"]}
+        merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in given["model"]["merges"]]
+        if merged != sorted(merged):
+            raise ValueError(f"{a_path} does not number its merges in their order")
+        byte_of = _byte_of()
+        ranks = {bytes(byte_of[c] for c in entry): i for entry, i in vocabulary.items() if entry not in special}
+        self.a = tiktoken.Encoding("a", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.a_bytes = {i: entry for entry, i in ranks.items()}
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(" " in p.replace("▁", " ").lstrip(" ") for p in pieces):
             raise ValueError("a piece goes on after a blank, so texts can't be cut at blanks")
         self.blank = [self.b.piece_to_id("▁")]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.b_bytes = {i: bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)}
+        numbers = range(max(max(ranks.values()), len(pieces)) + 1)
+        self.texts = [[f"{mark}{i}" for i in numbers] for mark in ",|;"]
+        self.a_sizes, self.b_sizes = (np.array([len(of.get(i, b"")) for i in range(max(of) + 1)]) for of in (self.a_bytes, self.b_bytes))
 
-    def encoded(self, stretches: list[bytes]) -> Iterator[tuple[list[int], list[int], bool]]:
-        """Ids of A and B of stretches that begin with a blank, and whether both give back the stretch."""
+    def encoded(self, stretches: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and of B of stretches that begin with a blank."""
         texts = [s.decode(errors="replace") for s in stretches]
-        of_a = self.a.encode_batch(texts, add_special_tokens=False)
-        for s, a, b in zip(stretches, of_a, self.b.encode([t[1:] for t in texts], num_threads=1)):
-            b = b or self.blank  # no blank is put before an empty text
-            same = b"".join(self.a_bytes.get(i, b"") for i in a.ids) == s == b"".join(map(self.b_bytes.__getitem__, b))
-            yield a.ids, b, same
-
-
-@dataclass(slots=True)
-class Stretch:
-    """What the documents need to know of a stretch: numbers, groups as text, and its links as pairs of ids."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    text: str
-    pairs: bytes
-
-
-def _analysed(pair: Pair, stretches: list[bytes]) -> list[Stretch | None]:
-    """None for stretches that the tokens don't give back. The matrices are of all stretches together."""
-    found = list(pair.encoded(stretches))
-    good = [(a, b) for a, b, same in found if same]
-    if not good:
-        return [None] * len(found)
-    a_ids, b_ids = (np.fromiter((i for x in ids for i in x), np.int64) for ids in zip(*good))
-    a_ends = np.cumsum([len(pair.a_bytes[i]) for i in a_ids.tolist()])
-    b_ends = np.cumsum([len(pair.b_bytes[i]) for i in b_ids.tolist()])
-    of_a, of_b = groups(a_ends, b_ends)
-    owner = np.repeat(np.arange(len(good)), [len(a) for a, _ in good])
-    links = [(owner[a], a_ids[a] << _B_BITS | b_ids[b]) for a, b in group_links(of_a, of_b)]
+        of_b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        return list(map(self.a.encode_ordinary, texts)), [ids or self.blank for ids in of_b]  # no blank is put before an empty text
+
+    def give_back(self, stretches: list[bytes], of_a: list[list[int]], of_b: list[list[int]]) -> np.ndarray:
+        """Whether the tokens of both kinds are the bytes of the stretch."""
+        whole, sizes = b"".join(stretches), np.fromiter(map(len, stretches), np.int64, len(stretches))
+        same = np.ones(len(stretches), bool)
+        for ids, bytes_of, size_of in ((of_a, self.a_bytes, self.a_sizes), (of_b, self.b_bytes, self.b_sizes)):
+            flat = _flat(ids)
+            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+            covered = np.concatenate([[0], np.cumsum(size_of[flat])])
+            fits = np.diff(covered[np.concatenate([[0], ends])]) == sizes
+            if not fits.all() or b"".join(map(bytes_of.__getitem__, flat.tolist())) != whole:
+                fits = np.array([b"".join(map(bytes_of.__getitem__, x)) == s for x, s in zip(ids, stretches)])
+            same &= fits
+        return same
+
+
+#: Of a stretch: its tokens of A and of B, groups and links, four int32; the groups as text, a semicolon before each; the links as pairs of ids.
+#: Minus one token of A where the tokens don't give back the stretch.
+Stretch = tuple[bytes, str, bytes]
+_LOST: Stretch = (np.array([-1, 0, 0, 0], np.int32).tobytes(), "", b"")
+
+
+def _flat(ids: list[list[int]]) -> np.ndarray:
+    return np.array(list(chain.from_iterable(ids)), np.int64)
+
+
+def _analysed(pair: Pair, stretches: list[bytes]) -> list[Stretch]:
+    """The matrices are of all stretches together."""
+    of_a, of_b = pair.encoded(stretches)
+    same = pair.give_back(stretches, of_a, of_b)
+    if not same.all():
+        kept = iter(_multiplied(pair, *([x for x, ok in zip(ids, same) if ok] for ids in (of_a, of_b))))
+        return [next(kept) if ok else _LOST for ok in same]
+    return _multiplied(pair, of_a, of_b)
+
+
+def _multiplied(pair: Pair, of_a: list[list[int]], of_b: list[list[int]]) -> list[Stretch]:
+    if not of_a:
+        return []
+    a_ids, b_ids = _flat(of_a), _flat(of_b)
+    a_group, b_group = groups(np.cumsum(pair.a_sizes[a_ids]), np.cumsum(pair.b_sizes[b_ids]))
+    n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (of_a, of_b))
+    owner = np.repeat(np.arange(len(of_a)), n_a)
+    links = [(owner[a], (a_ids[a] << _B_BITS | b_ids[b]).astype(np.uint32)) for a, b in group_links(a_group, b_group)]
     of_stretch, linked = (np.concatenate(x) for x in zip(*links))
-    edges = np.searchsorted(of_stretch, np.arange(len(good) + 1))
-    linked = linked.astype(np.uint32)
-
-    a_at, b_at = np.searchsorted(of_a, np.arange(of_a[-1] + 2)).tolist(), np.searchsorted(of_b, np.arange(of_a[-1] + 2)).tolist()
-    a_text, b_text = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-    as_text = [f"{','.join(a_text[i:j])}|{','.join(b_text[k:m])}" for i, j, k, m in zip(a_at, a_at[1:], b_at, b_at[1:])]
-    n_a = np.cumsum([0, *[len(a) for a, _ in good]])
-    first_group = [*of_a[n_a[:-1]].tolist(), len(as_text)]
-    done = iter(
-        Stretch(len(a), len(b), h - g, int(y - x), ";".join(as_text[g:h]), linked[x:y].tobytes())
-        for (a, b), g, h, x, y in zip(good, first_group, first_group[1:], edges, edges[1:])
-    )
-    return [next(done) if same else None for _, _, same in found]
+    at = 4 * np.searchsorted(of_stretch, np.arange(len(of_a) + 1))
+    first = np.append(a_group[np.cumsum(n_a) - n_a], a_group[-1] + 1)
+    numbers = np.stack([n_a, n_b, np.diff(first), np.diff(at) // 4], axis=1).astype(np.int32).tobytes()
+
+    # A comma between tokens of a side, a bar between the sides, a semicolon between groups: each token's text with
+    # what comes before it, both sides of a group next to each other.
+    place = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+    side = np.concatenate([2 * a_group, 2 * b_group + 1])[place]
+    change = np.diff(side, prepend=side[0] - 1)
+    texts = pair.texts
+    marked = [texts[c][i] for c, i in zip(np.where(change == 0, 0, 2 - side % 2).tolist(), np.concatenate([a_ids, b_ids])[place].tolist())]
+    ends = np.cumsum(n_a + n_b).tolist()
+    begins = [0, *ends[:-1]]
+    linked, at = linked.tobytes(), at.tolist()
+    return [
+        (numbers[16 * k : 16 * k + 16], "".join(marked[i:j]), linked[x:y])
+        for k, (i, j, x, y) in enumerate(zip(begins, ends, at, at[1:]))
+    ]
+
+
+class Memory:
+    """Stretches looked up by their bytes: of two generations, the older one goes when the newer one is full."""
+
+    def __init__(self, pair: Pair) -> None:
+        self.pair = pair
+        self.new: dict[bytes, Stretch] = {}
+        self.old: dict[bytes, Stretch] = {}
+
+    def of(self, stretches: list[bytes]) -> list[Stretch]:
+        found = list(map(self.new.get, stretches))
+        missing = [i for i, x in enumerate(found) if x is None]
+        if not missing:
+            return found
+        here = dict.fromkeys(stretches[i] for i in missing)
+        if len(self.new) + len(here) > REMEMBERED:
+            self.old, self.new = self.new, {}
+        here.update((s, self.old[s]) for s in here.keys() & self.old.keys())
+        fresh = [s for s, x in here.items() if x is None]
+        for part in _parts(fresh):
+            here.update(zip(part, _analysed(self.pair, part)))
+        self.new.update((s, x) for s, x in here.items() if len(s) <= LONG)
+        for i in missing:
+            found[i] = here[stretches[i]]
+        return found
+
+
+_MEMORIES: dict[tuple[str, str], Memory] = {}
+
+
+def _memory(a_path: str, b_path: str) -> Memory:
+    """Of a Python worker, which does one task after the other."""
+    if (a_path, b_path) not in _MEMORIES:
+        _MEMORIES[a_path, b_path] = Memory(Pair(a_path, b_path))
+    return _MEMORIES[a_path, b_path]
 
 
 def _parts(stretches: list[bytes]) -> Iterator[list[bytes]]:
@@ -265,42 +338,46 @@ def _cut_points(raw: np.ndarray) -> np.ndarray:
 
 def _linked(a_path: str, b_path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(a_path, b_path)
-        known: dict[bytes, Stretch | None] = {}
+        memory = _memory(a_path, b_path)
         for batch, texts in chunks(batches):
             spaced = [b" " + t if t else b"" for t in texts]
             joined = b"".join(spaced)
             begins = np.cumsum([0, *map(len, spaced)])
             cuts = np.union1d(_cut_points(np.frombuffer(joined, np.uint8)), begins)
             places = cuts.tolist()
-            stretches = [joined[x:y] for x, y in zip(places, places[1:])]
-            if len(known) > REMEMBERED:
-                known = {}
-            fresh = list({s for s in stretches if s not in known})
-            here = dict(zip(fresh, (s for part in _parts(fresh) for s in _analysed(pair, part))))
-            looked = [known[s] if s in known else here[s] for s in stretches]
-            known.update((s, v) for s, v in here.items() if len(s) <= LONG)
-            yield _rows(batch, looked, np.searchsorted(cuts, begins).tolist())
+            looked = memory.of([joined[x:y] for x, y in zip(places, places[1:])])
+            yield _rows(batch, looked, np.searchsorted(cuts, begins))
 
     return run
 
 
-def _rows(batch: pa.RecordBatch, looked: list[Stretch | None], at: list[int]) -> pa.RecordBatch:
-    numbers, digests, pairs, times = [], [], [], []
-    for x, y in zip(at, at[1:]):
-        mine = looked[x:y]
-        if not mine or None in mine:
-            mine = []
-        numbers.append((sum(s.n_a for s in mine), sum(s.n_b for s in mine), sum(s.n_groups for s in mine), sum(s.n_links for s in mine)))
-        digests.append(hashlib.sha256(";".join([s.text for s in mine]).encode()).hexdigest() if mine else "")
-        linked = np.sort(np.frombuffer(b"".join([s.pairs for s in mine]), np.uint32))
-        first = np.flatnonzero(np.concatenate([[True], linked[1:] != linked[:-1]])) if len(linked) else np.empty(0, np.int64)
-        pairs.append(linked[first].tobytes())
-        times.append(np.diff(first, append=len(linked)).astype(np.uint32).tobytes())
-    columns = [pa.array(c, pa.int64()) for c in zip(*numbers)]
-    return pa.RecordBatch.from_arrays(
-        [batch.column("row_key"), batch.column("doc_id"), *columns, pa.array(digests, pa.string()), pa.array(pairs, pa.binary()), pa.array(times, pa.binary())], names=_DOCS.names
-    )
+def _rows(batch: pa.RecordBatch, looked: list[Stretch], at: np.ndarray) -> pa.RecordBatch:
+    """A row per text; the stretches of text d are looked[at[d]:at[d + 1]]."""
+    n = len(at) - 1
+    numbers, texts, pairs = ([x[i] for x in looked] for i in range(3))
+    numbers = np.frombuffer(b"".join(numbers), np.int32).reshape(-1, 4).T.astype(np.int64)
+    text_of = np.repeat(np.arange(n), np.diff(at))
+    lost = np.zeros(n, bool)
+    lost[text_of[numbers[0] < 0]] = True
+    sums = np.zeros((4, n), np.int64)
+    some = np.flatnonzero(np.diff(at))
+    if len(some):
+        sums[:, some] = np.add.reduceat(numbers, at[some], axis=1)
+    sums[:, lost] = 0
+    whole = [x < y and not gone for x, y, gone in zip(at, at[1:], lost)]
+    digests = [hashlib.sha256("".join(texts[x:y])[1:].encode()).hexdigest() if ok else "" for x, y, ok in zip(at, at[1:], whole)]
+
+    of_text = np.repeat(text_of, np.fromiter(map(len, pairs), np.int64, len(pairs)) // 4).astype(np.uint64)
+    linked = np.sort(of_text << np.uint64(32) | np.frombuffer(b"".join(pairs), np.uint32))
+    linked = linked[~lost[(linked >> np.uint64(32)).astype(np.int64)]]
+    first = np.flatnonzero(np.concatenate([[True], linked[1:] != linked[:-1]])) if len(linked) else np.empty(0, np.int64)
+    times = np.diff(first, append=len(linked)).astype(np.uint32)
+    linked = linked[first]
+    edges = 4 * np.searchsorted(linked, np.arange(n + 1, dtype=np.uint64) << np.uint64(32))
+    ends = pa.py_buffer(edges.astype(np.int32))
+    packed = [pa.Array.from_buffers(pa.binary(), n, [None, ends, pa.py_buffer(x.astype(np.uint32))]) for x in (linked, times)]
+    columns = [batch.column("row_key"), batch.column("doc_id"), *[pa.array(x) for x in sums], pa.array(digests, pa.string()), *packed]
+    return pa.RecordBatch.from_arrays(columns, names=_DOCS.names)
 
 
 # Counts over the corpus

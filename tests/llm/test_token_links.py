@@ -5,7 +5,9 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 from subtide.llm import token_links as links
 from subtide.llm.queries import TOKENIZERS
@@ -20,12 +22,19 @@ TEXTS = [
 ]
 
 
+def reference():
+    """A by the library that its file is made for."""
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    return lambda text: a.encode(text, add_special_tokens=False).ids
+
+
 def plain(texts):
-    pair = Pair(A, B)
+    pair, encode = Pair(A, B), reference()
     docs = []
     for text in texts:
         whole = b" " + (text or "").encode()
-        a = pair.a.encode(whole.decode(), add_special_tokens=False).ids if text else []
+        a = encode(whole.decode()) if text else []
         b = pair.b.encode(text) if text else []
         a_bytes, b_bytes = [pair.a_bytes[i] for i in a], [pair.b_bytes[i] for i in b]
         if not text or b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
@@ -69,17 +78,33 @@ def test_equals_the_plain_version(spark, sf_dir, most_sent):
     assert token_links(docs.limit(0), A, B, most_sent).collect() == []
 
 
-def test_what_is_not_given_back_has_no_tokens(spark, monkeypatch):
+def test_what_is_not_given_back_has_no_tokens(monkeypatch):
     """A stretch that tokens don't give back empties its whole text, and no other."""
-    encoded = Pair.encoded
-    monkeypatch.setattr(Pair, "encoded", lambda self, s: ((a, b, same and b"bad" not in x) for x, (a, b, same) in zip(s, encoded(self, s))))
+    give_back = Pair.give_back
+    monkeypatch.setattr(Pair, "give_back", lambda self, s, *ids: give_back(self, s, *ids) & np.array([b"bad" not in x for x in s]))
+    monkeypatch.setattr(links, "_MEMORIES", {})
     run = links._linked(A, B)
-    import pyarrow as pa
-
-    batch = pa.RecordBatch.from_pydict({"row_key": [1, 2], "doc_id": [1, 2], "text": [b"some bad word", b"some good word"]})
+    batch = pa.RecordBatch.from_pydict({"row_key": [1, 2, 3], "doc_id": [1, 2, 3], "text": [b"some bad word", None, b"some good word"]})
     rows = [r for out in run([batch]) for r in out.to_pylist()]
-    assert [(r["n_a"], r["groups_sha256"], len(r["pairs"])) for r in rows][0] == (0, "", 0)
-    assert rows[1]["n_a"] == 3
+    assert [(r["n_a"], r["n_groups"], r["groups_sha256"], len(r["pairs"])) for r in rows[:2]] == [(0, 0, "", 0)] * 2
+    assert rows[2]["n_a"] == 3 and len(rows[2]["pairs"]) == 4 * rows[2]["n_links"]
+
+
+def test_every_character_alike_by_both_encoders():
+    pair, encode = Pair(A, B), reference()
+    signs = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f" a{c}b 1{c}2 {c}{c} {c}" for c in signs[i : i + 400]) for i in range(0, len(signs), 400)]
+    assert all(pair.a.encode_ordinary(t) == encode(t) for t in texts)
+
+
+def test_remembered_stretches_come_back(monkeypatch):
+    monkeypatch.setattr(links, "REMEMBERED", 5)
+    pair = Pair(A, B)
+    memory = links.Memory(pair)
+    rng = random.Random(4)
+    for _ in range(30):
+        some = [b" " + bytes(rng.choice(b"abc") for _ in range(rng.randrange(0, 3))) for _ in range(8)]
+        assert memory.of(some) == [links._analysed(pair, [x])[0] for x in some]
 
 
 def test_products_and_groups():
