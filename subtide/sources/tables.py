@@ -183,8 +183,8 @@ class Warehouse:
         if values:
             for value in values:
                 literal = f"DATE'{value}'" if isinstance(value, date) else f"'{value}'"
-                location = self.spark.sql(f"DESCRIBE EXTENDED {self.database}.{name} PARTITION ({partition} = {literal})")
-                delete_folder(self.spark, location.where("col_name = 'Location'").first()["data_type"])
+                about = self.spark.sql(f"DESCRIBE EXTENDED {self.database}.{name} PARTITION ({partition} = {literal})").collect()
+                delete_folder(self.spark, next(row["data_type"] for row in about if row["col_name"] == "Location"))
             listed = ", ".join(f"PARTITION ({partition} = '{value}')" for value in values)
             self.spark.sql(f"ALTER TABLE {self.database}.{name} DROP IF EXISTS {listed}")
 

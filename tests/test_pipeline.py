@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 from subtide.__main__ import main
 from subtide.config import LifecycleConfig
 from subtide.operators.checks import CHECKS, ChecksFailed, Tables, run_checks
+from subtide.operators.daily import build_subscription_daily
 from subtide.operators.events import EVENT_KEYS, lifecycle_events
 from subtide.operators.state_bulk import bulk_cumulated
 from subtide.plans.pipeline import (
     DAILY, KPI, SNAPSHOT, STATE, backfill, kpi_view, load_ott_kpi_daily, load_snapshots,
-    load_subscription_cumulated, load_subscription_cumulated_range, load_subscription_daily, register_views, run_pipeline, stored_tables, validate,
+    changed_keys, load_golden_events, load_subscription_cumulated, load_subscription_cumulated_range, load_subscription_daily, rebuilt_states,
+    register_views, rejects_by_load, repair, replay_rejects, run_pipeline, stored_tables, validate,
 )
 from subtide.plans.runlog import LoadFailed
 from subtide.schemas import RAW_SNAPSHOT, SUBSCRIPTION_SNAPSHOT, TEST_EXPECTED_EVENTS
+from subtide.sources.scratch import written
 from subtide.sources.tables import Warehouse
 from tests.model import random_daily, replay
 from tests.test_kpi import expected_kpis
@@ -151,7 +154,8 @@ def test_tables_survive_a_new_catalog(spark, warehouse, rows):
     fill_snapshots(warehouse, rows)
     backfill(warehouse, START, START + timedelta(days=2), CFG)
     count = warehouse.table(STATE).count()
-    again = Warehouse(spark, warehouse.root, f"{warehouse.database}_b", buckets=16)
+    with pytest.warns(UserWarning, match="16 is ignored"):
+        again = Warehouse(spark, warehouse.root, f"{warehouse.database}_b", buckets=16)
     assert again.buckets == 4 and again.table(STATE).count() == count > 0
     again.drop()
 
@@ -205,7 +209,6 @@ def test_landing_files_reach_the_snapshot_table(spark, warehouse):
 
 @pytest.fixture(scope="module")
 def healthy(spark, rows):
-    from subtide.operators.daily import build_subscription_daily
     data = [
         (r["opco_code"], r["subscriber_id"], r["subscription_name"], r["subscription_id"],
          r["subscription_start_date"], r["paid_through_date"], r["minutes_of_usage"], r["snapshot_date"])
@@ -268,15 +271,161 @@ def test_t12_names_missing_and_unexpected_events(spark, healthy):
     assert CHECKS["T12"](only, START, END, CFG).first()["detail"] == f"nobody|{START}|NEW|MISSING"
 
 
-def test_validate_replaces_todays_results_and_raises(spark, warehouse, rows):
+def test_validate_replaces_its_runs_results_and_raises(spark, warehouse, rows):
     fill_snapshots(warehouse, rows)
-    backfill(warehouse, START, START + timedelta(days=4), CFG)
-    with pytest.raises(ChecksFailed, match="1 checks failed"):
-        validate(warehouse, START, START + timedelta(days=4), CFG)
+    last = START + timedelta(days=4)
+    backfill(warehouse, START, last, CFG)
+    for run_id in ("default", "other"):
+        with pytest.raises(ChecksFailed, match="1 checks failed"):
+            validate(warehouse, START, last, CFG, run_id=run_id)
     expect_all_events(warehouse)
-    validate(warehouse, START, START + timedelta(days=4), CFG)
-    stored = warehouse.table("test_results").collect()
-    assert len(stored) == 12 and {r["status"] for r in stored} == {"PASS"}
+    # The other run's failure of the day neither goes nor counts.
+    assert {r["status"] for r in validate(warehouse, START, last, CFG).collect()} == {"PASS"}
+    failed = warehouse.table("test_results").groupBy("run_id").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "FAIL").alias("bad"))
+    assert sorted(map(tuple, failed.collect())) == [("default", 12, 0), ("other", 12, 1)]
+    with pytest.raises(ValueError, match="needs an id"):
+        validate(warehouse, START, last, CFG, run_id="")
+
+
+def test_feed_gaps_may_be_tolerated(spark, warehouse):
+    last = START + timedelta(days=4)
+    fill_snapshots(warehouse, [r for r in random_daily(4, 20, START, last, 0.0) if r["snapshot_date"] != START + timedelta(days=2)])
+    backfill(warehouse, START, last, CFG)
+    expect_all_events(warehouse, START, last)
+    with pytest.raises(ChecksFailed):
+        validate(warehouse, START, last, CFG)
+    validate(warehouse, START, last, CFG, tolerate_feed_gaps=True)
+
+
+def corrected(rows, first, last):
+    """Other minutes for some, no rows for others, between two dates."""
+    out = []
+    for i, r in enumerate(rows):
+        if first <= r["snapshot_date"] <= last:
+            if r["subscriber_id"] == "s1":
+                continue
+            if r["subscriber_id"] == "s3":
+                r = {**r, "minutes_of_usage": r["minutes_of_usage"] + 3, "is_viewer_today": 1}
+        out.append(r)
+    return out
+
+
+def test_repair_redoes_what_changed_and_no_more(spark, warehouse, rows):
+    fill_snapshots(warehouse, rows)
+    backfill(warehouse, START, END, CFG)
+    first, last = START + timedelta(days=4), START + timedelta(days=6)
+    assert repair(warehouse, first, last, CFG) == 0
+    runs = warehouse.table("etl_run_log").count()
+    right = corrected(rows, first, last)
+    days = {r["snapshot_date"] for r in right if first <= r["snapshot_date"] <= last}
+    fill_snapshots(warehouse, [r for r in right if r["snapshot_date"] in days])
+    changed = changed_keys(warehouse.read(DAILY, first, last), build_subscription_daily(warehouse.table(SNAPSHOT), first, last, CFG)).collect()
+    touched = {r["subscription_key"] for r in rows if r["subscriber_id"] in ("s1", "s3") and first <= r["snapshot_date"] <= last}
+    assert {r[0] for r in changed} == touched and touched
+    assert repair(warehouse, first, last, CFG) == len(touched)
+    expected = replay(right, START, END, CFG)
+    assert_same(collected(warehouse.table(STATE)), expected)
+    kpis = expected_kpis(expected)
+    got = {(r["opco_code"], r["snapshot_date"]): r.asDict() for r in warehouse.table(KPI).collect()}
+    assert got.keys() == kpis.keys() and all(got[k][c] == v for k in kpis for c, v in kpis[k].items())
+    messages = [r["message"] for r in warehouse.table("etl_run_log").orderBy("run_ts").collect()][runs:]
+    assert messages == [f"repair of {first}..{last}: {len(touched)} subscriptions differ", f"repair of {first}..{END}", f"range {first}..{END}"]
+    # Only the changed subscriptions are built.
+    keys = spark.createDataFrame([(k,) for k in touched], "subscription_key string")
+    rebuilt = rebuilt_states(warehouse, keys, first, END, CFG)
+    assert {r["subscription_key"] for r in rebuilt.select("subscription_key").distinct().collect()} <= touched
+    plan = rebuilt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 2  # the daily rows and the state of the day before
+
+
+def test_repair_builds_all_if_the_feed_calendar_changes(warehouse, rows):
+    gap = START + timedelta(days=5)
+    fill_snapshots(warehouse, [r for r in rows if r["snapshot_date"] != gap])
+    backfill(warehouse, START, END, CFG)
+    fill_snapshots(warehouse, [r for r in rows if r["snapshot_date"] == gap])
+    assert repair(warehouse, gap, gap, CFG) > 0
+    assert_same(collected(warehouse.table(STATE)), replay(rows, START, END, CFG))
+    warehouse.replace_range(SNAPSHOT, warehouse.table(SNAPSHOT).where("false"), gap, gap)
+    repair(warehouse, gap, gap, CFG)
+    assert_same(collected(warehouse.table(STATE)), replay([r for r in rows if r["snapshot_date"] != gap], START, END, CFG))
+    assert gap not in warehouse.partitions(DAILY)
+
+
+def test_dates_without_rows_go_together_without_jobs(spark, warehouse, rows):
+    fill_snapshots(warehouse, rows)
+    load_subscription_daily(warehouse, START, END, CFG)
+    jobs = spark.sparkContext.statusTracker()
+    with written(warehouse.read(DAILY, START)) as kept:
+        spark.sparkContext.setJobGroup("drop", "drop")
+        warehouse.replace_range(DAILY, kept, START, END)
+        count = len(jobs.getJobIdsForGroup("drop"))
+        spark.sparkContext.setJobGroup("tests", "tests")
+    assert warehouse.partitions(DAILY) == [START] and count <= 3
+    again = Warehouse(spark, warehouse.root, f"{warehouse.database}_c")
+    assert again.partitions(DAILY) == [START]
+    again.drop()
+
+
+@pytest.mark.parametrize("mode", ["bulk", "step"])
+def test_each_opco_has_its_own_feed(warehouse, mode):
+    cfg = LifecycleConfig(array_size=7, grace_days=2, winback_days=4, retention_days=9, feed_scope="opco")
+    last = START + timedelta(days=6)
+    late = {START + timedelta(days=2), START + timedelta(days=3), START + timedelta(days=5)}
+    rows = [r for r in random_daily(5, 24, START, last, 0.0) if not (r["opco_code"] == "OP1" and r["snapshot_date"] in late)]
+    fill_snapshots(warehouse, rows)
+    first = START + timedelta(days=3)
+    backfill(warehouse, START, first - timedelta(days=1), cfg)
+    backfill(warehouse, first, last, cfg, mode=mode)
+    assert_same(collected(warehouse.table(STATE)), replay(rows, START, last, cfg))
+    if mode == "step":
+        assert "feed missing for OP1: their payers carried" in {r["message"] for r in warehouse.table("etl_run_log").collect()}
+
+
+def test_rows_that_cannot_be_loaded_are_kept_and_replayed(spark, warehouse):
+    def raw(*rows):
+        return spark.createDataFrame([tuple(r) for r in rows], RAW_SNAPSHOT)
+
+    good, keyless = ("4/1/2024", "i1", "P", "s1", None, None, "5"), ("4/1/2024", None, "P", "s1", None, None, "6")
+    unread = ("soon", "i2", "P", "s1", None, None, "7")
+    rejects = lambda: sorted(tuple(r) for r in warehouse.table("landing_rejects").select("load_id", "reject_reason", "minutes_of_usage").collect())
+    # A row without a key is set aside and stops nothing, and loading it twice changes nothing.
+    for _ in range(2):
+        assert load_snapshots(warehouse, raw(good, keyless), "X", load_id="a") == 1
+    assert rejects() == [("a", "no subscription_id", "6")]
+    with pytest.raises(ValueError, match="1 unreadable"):
+        load_snapshots(warehouse, raw(good, unread, keyless), "X", load_id="b")
+    assert rejects() == [("a", "no subscription_id", "6"), ("b", "no subscription_id", "6"), ("b", "snapshot_date", "7")]
+    mended = lambda df: df.withColumn("snapshot_date", F.lit("2024-04-02"))
+    assert replay_rejects(warehouse, "b", mended) == 1
+    assert rejects() == [("a", "no subscription_id", "6"), ("b", "no subscription_id", "6")]
+    assert replay_rejects(warehouse, "b", lambda df: df.withColumn("subscription_id", F.lit("i9"))) == 2
+    assert rejects() == [("a", "no subscription_id", "6")] and replay_rejects(warehouse, "none", mended) == 0
+    assert sorted(tuple(r) for r in rejects_by_load(warehouse).collect()) == [("a", "X", "no subscription_id", 1)]
+    assert sorted(r["minutes_of_usage"] for r in warehouse.table(SNAPSHOT).collect()) == [5.0, 6.0, 7.0]
+    with pytest.raises(ValueError, match="letters"):
+        load_snapshots(warehouse, raw(good), "X", load_id="a/b")
+    register_views(warehouse, raw(good, unread, keyless), "X")
+    view = spark.table("opco_raw_subscribers_vw")
+    assert view.count() == 3 and view.where("reject_reason IS NOT NULL").count() == 1
+
+
+def test_golden_events_replace_their_dates(spark, warehouse):
+    def raw(*rows):
+        return spark.createDataFrame(list(rows), "subscriber_id string, event_date string, event_type string")
+
+    day = START + timedelta(days=1)
+    assert load_golden_events(warehouse, raw(("s1", "1/1/2024", "new"), ("s2", str(day), " CHURN "))) == 2
+    assert load_golden_events(warehouse, raw(("s3", "2024-01-01", "Winback"))) == 1
+    stored = lambda: sorted(tuple(r) for r in warehouse.table("test_expected_events").select(*EVENT_KEYS).collect())
+    assert stored() == [("s2", day, "CHURN"), ("s3", START, "WINBACK")]
+    load_golden_events(warehouse, raw(("s4", str(START), "NEW")), START, day)
+    assert stored() == [("s4", START, "NEW")]
+    for bad in (("s1", "soon", "NEW"), (None, str(day), "NEW"), ("s1", str(day), "BORN"), ("s1", str(day), None)):
+        with pytest.raises(ValueError, match="unreadable golden events"):
+            load_golden_events(warehouse, raw(bad))
+    assert load_golden_events(warehouse, raw(("s1", "soon", "NEW"), ("s5", str(day), "NEW")), allow_rejects=True) == 1
+    with pytest.raises(ValueError, match="outside"):
+        load_golden_events(warehouse, raw(("s1", str(END), "NEW")), START, day)
 
 
 def test_command_line_runs_the_jobs(spark, tmp_path):
@@ -284,10 +433,20 @@ def test_command_line_runs_the_jobs(spark, tmp_path):
     (tmp_path / "day.csv").write_text(",".join(RAW_SNAPSHOT.names) + "\n1/2/2024,i1,P,s1,1/1/2024,2/1/2024,5\n")
     options = ["--root", str(tmp_path / "wh"), "--database", database, "--buckets", "2"]
     main([*options, "load", str(tmp_path / "day.csv"), "--opco", "X"])
-    main([*options, "backfill", "2024-01-02", "2024-01-02"])
+    main([*options, "--grace-days", "3", "--feed-scope", "opco", "backfill", "2024-01-02", "2024-01-02", "--kpi-source", "daily"])
     wh = Warehouse(spark, str(tmp_path / "wh"), database)
     register_views(wh)
     assert spark.sql("SELECT closing_subscriptions FROM vw_ott_kpi_daily").collect() == [(1,)]
     with pytest.raises(ChecksFailed):
         main([*options, "validate", "2024-01-02", "2024-01-02"])  # no golden events are stored
+    (tmp_path / "golden.csv").write_text("subscriber_id,event_date,event_type\ns1,1/2/2024,NEW\n")
+    main([*options, "golden", str(tmp_path / "golden.csv"), "--start", "2024-01-01", "--end", "2024-01-31"])
+    main([*options, "validate", "2024-01-02", "2024-01-02", "--run-id", "again"])
+    (tmp_path / "day.csv").write_text(",".join(RAW_SNAPSHOT.names) + "\n1/2/2024,i1,P,s1,1/1/2024,2/1/2024,9\n")
+    main([*options, "load", str(tmp_path / "day.csv"), "--opco", "X", "--load-id", "second"])
+    main([*options, "repair", "2024-01-02", "2024-01-02"])
+    assert [r["mou_1d"] for r in wh.table(STATE).collect()] == [9.0]
+    with pytest.raises(LoadFailed):
+        main([*options, "backfill", "2024-01-05", "2024-01-05", "--mode", "step"])
+    main([*options, "backfill", "2024-01-05", "2024-01-05", "--mode", "step", "--allow-cold-start"])
     wh.drop()
