@@ -3,6 +3,8 @@
 A window is n consecutive words of a benchmark item; an item of fewer words, but not none, is one
 window. Documents are scanned for the hashes of the windows; a hit counts if its words are equal.
 Null and empty texts have no words. Items of one item_id are one item; a null item_id is "null".
+Repeated rows are reported one by one, very long texts are scanned whole, an empty benchmark hits nothing and an
+empty table of documents gives an empty one.
 
 The set is broadcast in blocks of a bounded number of windows. One block, the usual case, takes one
 pass over the documents; each further one takes another, on what the one before has written.
@@ -11,7 +13,7 @@ pass over the documents; each further one takes another, on what the one before
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subtide.llm.store import stored
-from subtide.llm.words import LETTERS, Known, Words, chunks, folded, octets
+from subtide.llm.store import all_columns, quoted, stored
+from subtide.llm.words import LETTERS, Known, Words, folded, octets, row_chunks
 
 BLOCK_WINDOWS = 500_000  # about 200 MB in a Python worker
 
@@ -29,8 +31,8 @@ Block = dict[int, dict[bytes, list[str]]]  # by length: windows and the items th
 
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """Per row of `docs`: its words, the words that are hit, the items, and whether a twentieth is hit."""
-    marked = _marked(docs.select("doc_id", "text"), benchmark, n, block_windows)
-    return marked.mapInArrow(_judged, _verdict_of(marked)).select(
+    rows, marked = _marked(docs.select("doc_id", "text"), benchmark, n, block_windows)
+    return rows.mapInArrow(lambda batches: _judged(marked(batches)), _verdict_of(rows)).select(
         "row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", _contaminated().alias("contaminated"), "items"
     )
 
@@ -42,14 +44,14 @@ def decontaminate(
 
     A span goes from the first to the last character of words that are hit in a row.
     """
-    marked = _marked(docs, benchmark, n, block_windows)
+    rows, marked = _marked(docs, benchmark, n, block_windows)
     if remove == "documents":
-        return marked.mapInArrow(_judged, _verdict_of(marked)).where(~_contaminated()).select("row.*")
+        return rows.mapInArrow(lambda batches: _judged(marked(batches)), _verdict_of(rows)).where(~_contaminated()).select("row.*")
     if remove != "spans":
         raise ValueError(f"unknown remove {remove!r}")
-    schema = T.StructType([marked.schema["row"], T.StructField("cut", T.BinaryType())])
-    cut = marked.mapInArrow(_cut, schema)
-    kept = [F.col(f"row.{c}") if c != "text" else F.expr("IF(row.text IS NULL, NULL, CAST(cut AS string))").alias("text") for c in docs.columns]
+    schema = T.StructType([rows.schema["row"], T.StructField("cut", T.BinaryType())])
+    cut = rows.mapInArrow(lambda batches: _cut(marked(batches)), schema)
+    kept = [F.col(f"row.{quoted(c)}") if c != "text" else F.expr("IF(row.text IS NULL, NULL, CAST(cut AS string))").alias("text") for c in docs.columns]
     return cut.select(*kept)
 
 
@@ -57,8 +59,8 @@ def _contaminated():
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
-def _verdict_of(marked: DataFrame) -> T.StructType:
-    out = T.StructType([marked.schema["row"]])
+def _verdict_of(rows: DataFrame) -> T.StructType:
+    out = T.StructType([rows.schema["row"]])
     for name in ("n_words", "n_hit", "n_items"):
         out = out.add(name, "long")
     return out.add("items_sha256", "string").add("items", T.ArrayType(T.StringType()))
@@ -85,24 +87,26 @@ def _blocks(benchmark: DataFrame, n: int, most: int) -> Iterator[Block]:
         yield block
 
 
-def _marked(docs: DataFrame, benchmark: DataFrame, n: int, most: int) -> DataFrame:
-    """`docs` as a struct `row`, its text, and the runs of hit words and items found in it."""
+def _marked(docs: DataFrame, benchmark: DataFrame, n: int, most: int) -> tuple[DataFrame, Callable]:
+    """`docs` as a struct `row` with the runs of hit words and items found in it by all blocks but the last, and what
+    finds those of the last, for the pass that uses them."""
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"),
-        octets("text").alias("text"),
+        F.struct(*all_columns(docs)).alias("row"),
         F.lit(None).cast("array<long>").alias("runs"),
         F.lit(None).cast("array<string>").alias("items"),
     )
+    scanned: Callable = iter
     for i, block in enumerate(_blocks(benchmark, n, most)):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
-        rows = (stored(rows) if i else rows).mapInArrow(_scanned(sent), rows.schema)
-    return rows
+        if i:
+            rows = stored(rows.mapInArrow(scanned, rows.schema))
+        scanned = _scanned(docs.sparkSession.sparkContext.broadcast(block))
+    return rows, scanned
 
 
 def _scanned(sent):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {n: (Known(folded_windows(list(windows), n)), windows) for n, windows in sent.value.items()}
-        for batch, texts in chunks(batches):
+        for batch, texts in row_chunks(batches):
             words = Words(texts, LETTERS)
             covered = np.zeros(len(words.hashes) + 1, np.int32)
             items: dict[int, set[str]] = {}
@@ -122,8 +126,8 @@ def _scanned(sent):
                 runs[d] = _runs(new | _hit(runs[d], len(new)))
                 found[d] = sorted(more | set(found[d] or ()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("text"), pa.array(runs, pa.list_(pa.int64())), pa.array(found, pa.list_(pa.string()))],
-                names=["row", "text", "runs", "items"],
+                [batch.column("row"), pa.array(runs, pa.list_(pa.int64())), pa.array(found, pa.list_(pa.string()))],
+                names=["row", "runs", "items"],
             )
 
     return run
@@ -148,7 +152,7 @@ def _hit(runs: list[int] | None, n: int) -> np.ndarray:
 
 
 def _judged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, texts in chunks(batches):
+    for batch, texts in row_chunks(batches):
         words = Words(texts, LETTERS)
         runs = [r or [] for r in batch.column("runs").to_pylist()]
         items = [sorted(x or []) for x in batch.column("items").to_pylist()]
@@ -166,7 +170,7 @@ def _judged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, texts in chunks(batches):
+    for batch, texts in row_chunks(batches):
         out = []
         for text, runs in zip(texts, batch.column("runs").to_pylist()):
             if runs:

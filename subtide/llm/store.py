@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtide.sources.scratch import scratch_folder
@@ -28,3 +28,12 @@ def stored(df: DataFrame) -> DataFrame:
     folder = scratch_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def all_columns(df: DataFrame) -> list[Column]:
+    """The columns of `df`, also those with a dot or a backtick in their names."""
+    return [F.col(quoted(name)) for name in df.columns]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

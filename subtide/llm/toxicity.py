@@ -16,9 +16,10 @@ count once. Exceptions are
 two-word phrases around a match that other documents have more often than toxic ones. All training
 rows are used. The driver holds only what parameters bound: entries, phrases, steps of the curve.
 
-Null and empty texts have no match and get the curve's value at 0. Repeated rows are scored one by
-one; a doc_id with several label rows is toxic if one says so. Without training rows of both kinds
-every score is 0.
+Null and empty texts have no match and get the curve's value at 0; very long ones are matched whole. Repeated rows are
+scored one by one; a doc_id with several label rows is toxic if one says so, and a text with both labels counts
+once as toxic and once as not. Without training rows of both kinds every score is 0. An empty table gives an empty
+one. All columns of a row, whatever their names, are kept in `row`.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subtide.llm.store import broadcast_if_small, stored
+from subtide.llm.store import all_columns, broadcast_if_small, stored
+from subtide.llm.words import chunks, row_chunks
 
 ENTRIES = 5_000  # that a round adds, and phrases
 CANDIDATES = 50_000  # of a round, those with the most evidence
@@ -145,14 +147,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, training: Column, reject_at: fl
 
 
 def scored(docs: DataFrame, model: Model, reject_at: float = 0.7) -> DataFrame:
-    rows = docs.select(F.struct(*docs.columns).alias("row"), _text())
+    rows = docs.select(F.struct(*all_columns(docs)).alias("row"))
     sent = docs.sparkSession.sparkContext.broadcast((model.lexicon, model.exceptions, model.curve))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Model(*sent.value).scorer()
-        for batch in batches:
-            values = [score(text) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(values, pa.float64())], names=["row", "score"])
+        for part, texts in _texts(row_chunks(batches)):
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(map(score, texts), pa.float64())], names=["row", "score"])
 
     schema = T.StructType([rows.schema["row"]]).add("score", "double")
     return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= reject_at).cast("int"))
@@ -171,6 +172,11 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: Iterable[str] = ()) ->
         return Model({}, [], None)
     send = docs.sparkSession.sparkContext.broadcast
 
+    def over(result, sent):
+        """`result`, when no later job needs what was sent for it."""
+        sent.destroy()
+        return result
+
     told = texts.mapInArrow(_entry_counts, _COUNTS).groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     told = stored(told.where(F.col("bad") + F.col("good") >= LEAST_DOCS))
     bar = math.log(max(1, told.count()) / CHANCE)
@@ -178,21 +184,23 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: Iterable[str] = ()) ->
     lexicon: Lexicon = {}
     left = texts.where("toxic")
     while True:
-        left = stored(left.mapInArrow(_unmatched(send(lexicon)), "text string, toxic boolean"))
+        sent = send(lexicon)
+        left = over(stored(left.mapInArrow(_unmatched(sent), "text string, toxic boolean")), sent)
         more = _picked(left, told, other, bar)
         if not more.keys() - lexicon.keys():
             break
         lexicon = more | lexicon
 
-    phrases = texts.mapInArrow(_phrases(send(lexicon)), "phrase string, toxic boolean, n long").groupBy("phrase").agg(
+    sent = send(lexicon)
+    phrases = texts.mapInArrow(_phrases(sent), "phrase string, toxic boolean, n long").groupBy("phrase").agg(
         F.sum(F.expr("IF(toxic, n, 0)")).alias("bad"), F.sum(F.expr("IF(toxic, 0, n)")).alias("good")
     )
     spared = phrases.where((F.col("good") >= 3) & (F.col("good") * toxic > F.col("bad") * other)).orderBy(F.desc("good"), "phrase").limit(ENTRIES)
-    spare = [*exceptions, *[r["phrase"] for r in spared.collect()]]
+    spare = [*exceptions, *[r["phrase"] for r in over(spared.collect(), sent)]]
 
     sent = send((lexicon, spare))
     steps = texts.mapInArrow(_strengths(sent), "step int, toxic boolean").groupBy("step", "toxic").count().collect()  # a few hundred steps
-    return Model(lexicon, spare, _curve(steps))
+    return Model(lexicon, spare, _curve(over(steps, sent)))
 
 
 def _picked(left: DataFrame, told: DataFrame, other: int, bar: float) -> Lexicon:
@@ -226,8 +234,8 @@ def _picked(left: DataFrame, told: DataFrame, other: int, bar: float) -> Lexicon
 def _unmatched(sent):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(sent.value, ())
-        for batch in batches:
-            texts = [t for t in batch.column("text").to_pylist() if not matcher.strength(t)]
+        for _, texts in _texts(chunks(batches)):
+            texts = [t for t in texts if not matcher.strength(t)]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array([True] * len(texts), pa.bool_())], names=["text", "toxic"])
 
     return run
@@ -240,6 +248,11 @@ def _text() -> Column:
     return F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
 
 
+def _texts(parts: Iterable[tuple[pa.RecordBatch, list[bytes]]]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    for part, texts in parts:
+        yield part, [t.decode(errors="replace") for t in texts]
+
+
 def _entries(text: str) -> set[str]:
     """The whole words of a text and the stems of its words (with a star)."""
     words = {w.strip(_EDGES) for w in folded(text).split()}
@@ -256,8 +269,8 @@ def _entry_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         columns = [pa.array([n[e] for e in entries], pa.int64()) for n in (bad, good)]
         return pa.RecordBatch.from_arrays([pa.array(entries, pa.string()), *columns], names=["entry", "bad", "good"])
 
-    for batch in batches:
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+    for part, texts in _texts(chunks(batches)):
+        for text, toxic in zip(texts, part.column("toxic").to_pylist()):
             (bad if toxic else good).update(_entries(text))
             if len(bad) + len(good) > HELD:
                 yield flushed()
@@ -271,9 +284,9 @@ def _phrases(sent):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(sent.value, ())
-        for batch in batches:
+        for part, texts in _texts(chunks(batches)):
             counts: Counter[tuple[str, bool]] = Counter()
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            for text, toxic in zip(texts, part.column("toxic").to_pylist()):
                 text = folded(text)
                 found = set()
                 for begin, end, _ in matcher.matches(text):
@@ -297,9 +310,9 @@ def _phrases(sent):
 def _strengths(sent):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(*sent.value)
-        for batch in batches:
-            steps = [round(100 * math.log1p(10 * matcher.strength(t))) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(steps, pa.int32()), batch.column("toxic")], names=["step", "toxic"])
+        for part, texts in _texts(chunks(batches)):
+            steps = [round(100 * math.log1p(10 * matcher.strength(t))) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(steps, pa.int32()), part.column("toxic")], names=["step", "toxic"])
 
     return run
 

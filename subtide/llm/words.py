@@ -156,6 +156,12 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tu
             yield batch.slice(start), values.slice(start).to_pylist()
 
 
+def row_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """As `chunks`, where the text is a field of the struct `row`, so that it comes once."""
+    for batch in batches:
+        yield from chunks([batch.append_column("row.text", batch.column("row").field("text"))], "row.text")
+
+
 class Lines:
     """Lines of the texts that have a word: the text each is in, its number there (empty lines
     count), a hash of its words, and how many words it has."""
