@@ -6,8 +6,8 @@ a linked set shares at least ceil(t n) with it, so at most e = n - ceil(t n) of
 not shared.
 
 Shingles have one order for all texts: rare ones first, frequent ones last, each by hash. Which
-are frequent is counted over all texts (`_frequent`); any choice gives the same links, a bad one
-costs time.
+are frequent is counted over all texts, in cells of a sketch that are never below a shingle's count
+(`_frequent`); any choice gives the same links, a bad one costs time.
 
 * Rare class, single tokens. If the first shared shingle is rare, it is among the first e + 1 of
   both. Prefixes are extended to e + k, with k = 1 + n // 16; two linked sets share at least the
@@ -37,17 +37,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subtide.llm.components import connected_components
-from subtide.llm.store import broadcast_if_small, stored
+from subtide.llm.sketch import PIECE_CELLS, bits_of, cells_for, from_gaps, gaps
+from subtide.llm.store import all_columns, broadcast_if_small, stored
 from subtide.llm.words import Words, chunks, distinct, folded, octets, shingle_sets
 
 SMALL = 32  # sets in a list that gives all its pairs
 FREQUENT = 16  # sets that hold a frequent shingle, at least
-FREQUENT_MOST = 2_000_000  # shingles in the broadcast class; 16 MB
-COUNTED = 4_000_000  # shingles a task counts at once
+MOST_CELLS = 1 << 27  # in which shingles are counted; 16 MB of bits
+COUNTED = 2_000_000  # shingles a task counts at once
 
-CLASS_SHIFT = np.uint64(16)  # the frequent class goes by the upper 48 bits of a shingle's hash
-
-_SETS = T.StructType().add("doc_id", "long").add("n", "long").add("digest", "binary").add("bucket", "integer").add("tokens", "binary").add("times", "binary")
+_SETS = T.StructType().add("doc_id", "long").add("n", "long").add("digest", "binary").add("piece", "integer").add("cells", "binary").add("times", "binary")
+_BITS = T.StructType().add("piece", "integer").add("bits", "binary")
 _PREFIX = T.StructType().add("node", "long").add("sizes", "long").add("signatures", T.ArrayType(T.LongType(), False))
 _LISTED = T.StructType().add("signature", "long").add("a", "long").add("b", "long").add("sizes_a", "long").add("sizes_b", "long")
 _SHINGLES = T.StructType().add("node", "long").add("shingles", "binary")
@@ -59,17 +59,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.75,
     component_id is the smallest doc_id reachable by links, itself included. A null or empty text
     and one without words have no shingle and no link. Rows of one doc_id are one document, with
     the links of all of them; rows without a doc_id link with nothing and have a null component.
+    Very long texts are hashed in pieces; their sets are compared whole. An empty table gives an empty
+    one. Columns other than doc_id and text are not used, whatever their names.
     """
     if not 0.75 <= threshold < 1:
         raise ValueError("the combinations are complete for thresholds from 0.75 to below 1")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), octets("text").alias("text"))
-    # As many buckets as give the partitions of a shuffle several each.
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    measured = texts.mapInArrow(_measured(shingle, buckets), _SETS)
-    counts = stored(
-        measured.where("bucket IS NOT NULL").groupBy("bucket").applyInArrow(_summed(frequent), "token long, times long")
-    )
-    sets = stored(measured.where("bucket IS NULL").select("doc_id", "n", "digest"))
+    words = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] // 6  # about six bytes each
+    cells = cells_for(4 * words, MOST_CELLS)
+    measured = stored(texts.mapInArrow(_measured(shingle, cells), _SETS))
+    counted = measured.where("piece IS NOT NULL").select("piece", "cells", "times").repartition("piece").sortWithinPartitions("piece")
+    # Where a cell holds many shingles, a frequent one must stand out from its company.
+    bits = stored(counted.mapInArrow(_summed(max(frequent, 4 * words // cells)), _BITS))
+    sets = measured.where("piece IS NULL").select("doc_id", "n", "digest")
     classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node"))
     members = stored(sets.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "digest").distinct().join(classes, "digest"))
     copies = stored(
@@ -79,13 +81,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.75,
         .select(F.col("copy").alias("node"))
     )
 
-    common = docs.sparkSession.sparkContext.broadcast(_frequent(counts, frequent))
+    common = docs.sparkSession.sparkContext.broadcast(_frequent(bits, cells))
     with_id = texts.where("doc_id IS NOT NULL")
     prefixes = with_id.mapInArrow(_prefixes(shingle, threshold, common), _PREFIX).join(broadcast_if_small(copies), "node", "left_anti")
     lists = prefixes.select(F.explode("signatures").alias("signature"), "node", "sizes")
     listed = stored(
         lists.repartition("signature").sortWithinPartitions("signature", "node").mapInArrow(_listed(threshold), _LISTED)
     )
+    common.destroy()
     pairs = stored(_counted(listed.where("b IS NOT NULL")))
     long_lists = stored(listed.where("b IS NULL").select("signature", F.col("a").alias("node"), F.col("sizes_a").alias("sizes")).distinct())
 
@@ -108,28 +111,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.75,
     )
 
 
-def _measured(shingle: int, buckets: int):
-    """Per text the size and digest of its set; besides, the shingles of a task's different sets,
-    sorted and packed, in a row per bucket: 6 bytes of each, byte by byte, and how often."""
+def _measured(shingle: int, cells: int):
+    """Per text the size and digest of its set; besides, for the shingles of a task's different sets,
+    the cells that are in use and how often, in a row per piece of the sketch."""
+    shift = np.uint64(65 - cells.bit_length())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("bucket", pa.int32()), ("tokens", pa.binary()), ("times", pa.binary())])
+        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("piece", pa.int32()), ("cells", pa.binary()), ("times", pa.binary())])
         held: list[np.ndarray] = []
         seen: set[bytes] = set()
         size = 0
 
         def packed() -> pa.RecordBatch:
-            values = np.sort(np.concatenate(held)) >> CLASS_SHIFT
-            first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-            times = np.diff(first, append=len(values)).astype(np.uint32)
-            values = values[first]
-            width = (1 << 48) // buckets + 1
-            edges = np.searchsorted(values, np.arange(buckets + 1, dtype=np.uint64) * np.uint64(width))
-            full = [k for k in range(buckets) if edges[k] < edges[k + 1]]
-            planes = [values[edges[k] : edges[k + 1]].view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes() for k in full]
-            counts = [times[edges[k] : edges[k + 1]].tobytes() for k in full]
+            used = np.sort(np.concatenate(held)) >> shift
+            first = np.flatnonzero(np.concatenate([[True], used[1:] != used[:-1]]))
+            times = np.minimum(np.diff(first, append=len(used)), 65_535).astype(np.uint16)
+            used = used[first].astype(np.int64)
+            edges = np.searchsorted(used, np.arange(0, cells + 1, PIECE_CELLS))
+            full = np.flatnonzero(np.diff(edges)).tolist()
+            places = [gaps(used[edges[p] : edges[p + 1]] - p * PIECE_CELLS) for p in full]
+            counts = [times[edges[p] : edges[p + 1]].tobytes() for p in full]
             none = pa.nulls(len(full), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, pa.nulls(len(full), pa.binary()), pa.array(full, pa.int32()), pa.array(planes, pa.binary()), pa.array(counts, pa.binary())], schema=schema)
+            return pa.RecordBatch.from_arrays([none, none, pa.nulls(len(full), pa.binary()), pa.array(full, pa.int32()), pa.array(places, pa.binary()), pa.array(counts, pa.binary())], schema=schema)
 
         for batch, texts in chunks(batches):
             sizes, digests = [], []
@@ -153,39 +156,35 @@ def _measured(shingle: int, buckets: int):
 
 
 def _summed(least: int):
-    """Tokens of a bucket that occur `least` times or more, and how often."""
-
-    def run(bucket: pa.Table) -> pa.Table:
-        tokens = []
-        for planes in bucket.column("tokens").to_pylist():
-            plane = np.frombuffer(planes, np.uint8).reshape(6, -1)
-            wide = np.zeros((plane.shape[1], 8), np.uint8)
-            wide[:, :6] = plane.T
-            tokens.append(wide.reshape(-1).view(np.uint64))
-        tokens = np.concatenate(tokens)
-        times = np.concatenate([np.frombuffer(x, np.uint32) for x in bucket.column("times").to_pylist()])
-        order = np.argsort(tokens, kind="stable")
-        tokens, times = tokens[order], times[order].astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        total = np.add.reduceat(times, first)
-        often = total >= least
-        return pa.table({"token": tokens[first][often].view(np.int64), "times": total[often]})
+    """Bits of the cells counted `least` times or more, from pieces that come sorted; one piece is in memory."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, total = None, np.zeros(PIECE_CELLS, np.int64)
+
+        def done() -> pa.RecordBatch:
+            bits = np.packbits(total >= least, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([bits], pa.binary())], names=_BITS.names)
+
+        for batch in batches:
+            for p, cells, times in zip(batch.column("piece").to_pylist(), batch.column("cells"), batch.column("times")):
+                if p != piece:
+                    if piece is not None:
+                        yield done()
+                    piece = p
+                    total[:] = 0
+                total[from_gaps(cells.as_py())] += np.frombuffer(times.as_py(), np.uint16)
+        if piece is not None:
+            yield done()
 
     return run
 
 
-def _frequent(counts: DataFrame, least: int) -> np.ndarray:
-    """Sorted tokens of the frequent class: those counted `least` times, or as much more often as
-    keeps them within FREQUENT_MOST."""
-    sizes = counts.groupBy(F.floor(F.log2("times")).alias("power")).count().orderBy(F.desc("power")).collect()  # 64 rows at most
-    floor, total = 1 << 62, 0
-    for row in sizes:
-        total += row["count"]
-        if total > FREQUENT_MOST:
-            break
-        floor = max(least, 1 << row["power"])
-    tokens = counts.where(F.col("times") >= floor).select("token").toArrow().column("token").to_numpy()
-    return np.sort(tokens.astype(np.int64).view(np.uint64))
+def _frequent(summed: DataFrame, cells: int) -> np.ndarray:
+    """A bit per cell, by the upper bits of a shingle's hash: whether its shingles are in the frequent class."""
+    bits = np.zeros((cells // PIECE_CELLS, PIECE_CELLS // 8), np.uint8)
+    for row in summed.toLocalIterator():  # MOST_CELLS bits at most
+        bits[row["piece"]] = np.frombuffer(row["bits"], np.uint8)
+    return bits.reshape(-1)
 
 
 def _prefixes(shingle: int, threshold: float, common):
@@ -193,8 +192,7 @@ def _prefixes(shingle: int, threshold: float, common):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = common.value
-        maybe = np.zeros(1 << 20, bool)  # by the upper 20 bits, a quick no for most
-        maybe[(frequent >> np.uint64(28)).astype(np.int64)] = True
+        shift = np.uint64(65 - (8 * len(frequent)).bit_length())
         for batch, texts in chunks(batches):
             nodes, sizes, parts = [], [], []
             for node, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(Words(texts), shingle)):
@@ -202,9 +200,7 @@ def _prefixes(shingle: int, threshold: float, common):
                 if not n:
                     continue
                 e = n + -share * n // 10_000
-                often = maybe[(found >> np.uint64(44)).astype(np.int64)]
-                if often.any():
-                    often[often] = _inside(frequent, found[often] >> CLASS_SHIFT)
+                often = bits_of(frequent, (found >> shift).astype(np.int64))
                 rare = found[~often]
                 extended = e + 1 + n // 16
                 singles = rare[:extended] & ~np.uint64(1)
@@ -403,12 +399,16 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """`docs` with one row of each component: the one with its smallest doc_id.
 
     Texts without a shingle and rows without a doc_id all stay. Of several rows with the doc_id that
-    stays, the one with the smallest values stays.
+    stays, the one with the smallest values stays, column by column, maps as JSON.
     """
     found = stored(near_duplicates(docs, **options).where("doc_id IS NOT NULL"))
     gone = stored(found.where("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct())
-    kept = docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(docs.columns)
+    columns = all_columns(docs)
+    kept = docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(columns)
     several = stored(found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     several = broadcast_if_small(several)
-    one = kept.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("key"), F.struct(*docs.columns).alias("row")).groupBy("key").agg(F.min("row").alias("row"))
-    return kept.join(several, "doc_id", "left_anti").select(docs.columns).unionByName(one.select("row.*"))
+    # Maps have no order of their own.
+    order = F.struct(*[F.to_json(F.struct(c)) if "map<" in docs.dtypes[i][1] else c for i, c in enumerate(columns)])
+    again = kept.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("key"), F.struct(*columns).alias("row"), order.alias("order"))
+    one = again.groupBy("key").agg(F.min_by("row", "order").alias("row"))
+    return kept.join(several, "doc_id", "left_anti").select(columns).unionByName(one.select("row.*"))
