@@ -16,8 +16,9 @@ words of the lower-cased (A-Z) text and one end; the class before the first word
 
 Counts are aggregated per task before they are shuffled. The driver and the broadcasts hold what is
 bounded by parameters: units, classes, and the `HEAD` most frequent words. All other words are
-looked up by a join. Null and empty texts have only the end token. Repeated rows are scored one by
-one; a null doc_id is not held out.
+looked up by a join. Null and empty texts have only the end token; very long ones are scored whole. Repeated rows
+are scored one by one; a null doc_id is not held out. Without training rows all words are unknown, and an empty
+table gives an empty one. Columns other than doc_id and text take no part, whatever their names.
 """
 
 from __future__ import annotations

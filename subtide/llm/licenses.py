@@ -5,8 +5,9 @@ but letters and digits dropped. Texts whose normal forms have the SHA-256 of a k
 that licence. The hash join is on the digest of the entire text and, for notices, on the digest of
 each whole line; no part of a line matches.
 
-Null and empty texts, and those of copyright lines only, have a null digest and no licence. Repeated
-rows are reported one by one. A document's lines meet again where they came from, so that one row
+Null and empty texts, and those of copyright lines only, have a null digest and no licence; very long ones are
+digested whole. Repeated rows are reported one by one, an empty table gives an empty one, and columns other than
+doc_id and text take no part, whatever their names. A document's lines meet again where they came from, so that one row
 per document is shuffled.
 """
 

@@ -6,10 +6,11 @@ a HyperLogLog sketch per line, merged by aggregation; lines whose estimate is ne
 counted exactly. So the verdict is exact but for lines far beyond the sketch's error. Where all
 documents have fewer than 13 distinct sites, a line needs `SHARE` of them (two at least) instead of `min_sites`.
 
-All boilerplate lines go from a text, if they hold at most half of its words. A text that holds
-more of them is taken for a copy of a much copied text, no host of boilerplate, and is left as it is: near
-duplicates are another operator's work. With `whole_copies` only texts without any other line of
-`min_words` words are left, so that a line goes from short pages as from long ones. Null and empty texts stay as they are.
+A boilerplate line goes from every text that has it, short or long, but for texts without any other line of
+`min_words` words: these are copies of a much copied text, no hosts of boilerplate, and stay as they are, since near
+duplicates are another operator's work. Null and empty texts stay as they are; very long ones are hashed in
+pieces. Repeated rows are cut alike, each for itself; a line's sites count once however often one has it. An
+empty table gives an empty one. All columns, whatever their names, stay.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subtide.llm.store import stored
-from subtide.llm.words import Known, Lines, Words, chunks, octets
+from subtide.llm.store import all_columns, quoted, stored
+from subtide.llm.words import Known, Lines, Words, chunks, octets, row_chunks
 
 BLOCK_LINES = 2_000_000  # hashes broadcast at once; 16 MB
 SKETCH_BITS = 12  # 4,096 registers, a standard error of 1.6 %
@@ -33,10 +34,10 @@ NEAR = 0.1  # relative distance from min_sites within which lines are counted ex
 PAIRS = 500_000  # (line, site) pairs a task holds before it passes them on
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = 10, min_words: int = 3, block_lines: int = BLOCK_LINES, whole_copies: bool = False) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, min_sites: int = 10, min_words: int = 3, block_lines: int = BLOCK_LINES) -> DataFrame:
     """`docs` with boilerplate lines cut from `text`."""
-    cut = _cut_rows(docs, min_sites, min_words, block_lines, whole_copies)
-    kept = [F.col(f"row.{c}") if c != "text" else F.expr("IF(row.text IS NULL, NULL, CAST(cut AS string))").alias("text") for c in docs.columns]
+    cut = _cut_rows(docs, min_sites, min_words, block_lines)
+    kept = [F.col(f"row.{quoted(c)}") if c != "text" else F.expr("IF(row.text IS NULL, NULL, CAST(cut AS string))").alias("text") for c in docs.columns]
     return cut.select(*kept)
 
 
@@ -87,17 +88,21 @@ def _spread(min_words: int):
     return run
 
 
-def _cut_rows(docs: DataFrame, min_sites: int, min_words: int, block_lines: int, whole_copies: bool = False) -> DataFrame:
+def _cut_rows(docs: DataFrame, min_sites: int, min_words: int, block_lines: int) -> DataFrame:
     """`docs` as a struct `row`, with the text that stays (`cut`) and counts of lines."""
     lines = boilerplate_lines(docs, min_sites, min_words)
     blocks = max(1, -(-lines.count() // block_lines))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), octets("text").alias("text"), F.lit(None).cast("array<long>").alias("marks"))
+    rows = docs.select(F.struct(*all_columns(docs)).alias("row"), F.lit(None).cast("array<long>").alias("marks"))
+    marked = None
     for k in range(blocks):
+        if marked:
+            rows = stored(rows.mapInArrow(marked, rows.schema))
         block = lines.where(F.pmod("line", F.lit(blocks)) == k).toArrow().column("line").to_numpy()
-        sent = docs.sparkSession.sparkContext.broadcast(block.astype(np.int64).view(np.uint64))
-        rows = (stored(rows) if k else rows).mapInArrow(_marked(sent), rows.schema)
+        marked = _marked(docs.sparkSession.sparkContext.broadcast(block.astype(np.int64).view(np.uint64)))
     schema = T.StructType([rows.schema["row"]]).add("cut", "binary").add("n_lines", "long").add("n_removed", "long")
-    return rows.mapInArrow(_without(min_words, whole_copies), schema)
+    without = _without(min_words)
+    # The last block in the same pass and the same Python worker.
+    return rows.mapInArrow(lambda batches: without(marked(batches)), schema)
 
 
 def _marked(sent):
@@ -105,21 +110,21 @@ def _marked(sent):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Known(sent.value)
-        for batch, texts in chunks(batches):
+        for batch, texts in row_chunks(batches):
             lines = Lines(Words(texts))
             marks = batch.column("marks").to_pylist()
             first = np.searchsorted(lines.text, np.arange(len(texts)))
             for i in np.flatnonzero(known.has(lines.hashes)).tolist():
                 d = int(lines.text[i])
                 marks[d] = [*(marks[d] or []), i - int(first[d])]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), pa.array(marks, pa.list_(pa.int64()))], names=["row", "text", "marks"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(marks, pa.list_(pa.int64()))], names=["row", "marks"])
 
     return run
 
 
-def _without(min_words: int, whole_copies: bool):
+def _without(min_words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
+        for batch, texts in row_chunks(batches):
             lines = Lines(Words(texts))
             bounds = np.searchsorted(lines.text, np.arange(len(texts) + 1))
             out, removed = [], []
@@ -127,8 +132,7 @@ def _without(min_words: int, whole_copies: bool):
                 own = slice(bounds[d], bounds[d + 1])
                 size = lines.n_words[own]
                 gone = [m for m in marks or [] if size[m] >= min_words]
-                hosts = len(gone) < int((size >= min_words).sum()) if whole_copies else 2 * int(size[gone].sum()) <= int(size.sum())
-                if gone and hosts:
+                if gone and len(gone) < int((size >= min_words).sum()):
                     numbers = set(lines.number[own][gone].tolist())
                     text = b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in numbers)
                 else:

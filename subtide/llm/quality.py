@@ -10,7 +10,8 @@ of the trusted documents, as any document is by those of others. Without any of
 document passes.
 
 Base rules: at least 50 words, and at most half of them in 3-word windows that repeat. Null and
-empty texts have no words and fail. A document is trusted if a label row says so; repeated rows of
+empty texts have no words and fail; very long ones are scored whole. A score at the threshold passes. An empty table gives
+an empty one, and columns other than doc_id and text take no part, whatever their names. A document is trusted if a label row says so; repeated rows of
 a doc_id are scored one by one, null ids are never trusted.
 """
 

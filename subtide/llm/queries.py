@@ -138,7 +138,7 @@ FROM g
 
 
 def _op5() -> str:
-    rules = sorted([*ALLOW, *BLOCK], key=lambda r: (-len(r), r))
+    rules = sorted(sorted([*ALLOW, *BLOCK], reverse=True), key=lambda r: -len(r))  # of equally long ones the last by name first
     cases = []
     for rule in rules:
         host, slash, path = rule.partition("/")
@@ -206,10 +206,15 @@ def _op8(temperature: float = 0.5) -> str:
       FROM documents
     ), cells0 AS (
       SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens, sum(tokens)::DOUBLE AS weight FROM docs GROUP BY ALL
-    ), {goals}, {', '.join(rounds)}, top AS (
-      SELECT max(CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END) AS most FROM {last}
+    ), {goals}, {', '.join(rounds)}, before AS (
+      SELECT sum(tokens) OVER () AS all_tokens, sum(weight) OVER () AS all_weight,
+        coalesce(sum(tokens) OVER filled, 0) AS full_tokens, coalesce(sum(weight) OVER filled, 0) AS full_weight
+      FROM {last} WHERE tokens > 0 AND weight > 0
+      WINDOW filled AS (ORDER BY tokens / weight, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ), top AS (
+      SELECT coalesce(max(({mixing.KEPT} * all_tokens - full_tokens) / (all_weight - full_weight)), 0) AS scale FROM before
     ), chances AS (
-      SELECT source, lang, topic, CASE WHEN tokens = 0 THEN 1.0 WHEN most = 0 THEN 0.0 ELSE round(weight / tokens / most, 9) END AS probability FROM {last}, top
+      SELECT source, lang, topic, CASE WHEN tokens = 0 THEN 1.0 ELSE round(least(1.0, weight / tokens * scale), {mixing.PLACES}) END AS probability FROM {last}, top
     )
     SELECT doc_id, source, lang, topic, tokens, probability, draw < probability AS kept FROM docs JOIN chances USING (source, lang, topic)
     """
@@ -221,13 +226,15 @@ WITH docs AS (
 ), lines AS (
   SELECT r, coalesce(source, chr(0)) AS site, line, nr, regexp_extract_all(translate(line, {_ABC}), {_NOT_SPACE}) AS w
   FROM (SELECT r, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS nr FROM docs)
+), needed AS (
+  SELECT least(10, greatest(2, ceil({line_dedup.SHARE} * count(DISTINCT coalesce(source, chr(0)))))) AS sites FROM docs
 ), spread AS (
-  SELECT array_to_string(w, ' ') AS key FROM lines WHERE len(w) >= 3 GROUP BY 1 HAVING count(DISTINCT site) >= 10
+  SELECT array_to_string(w, ' ') AS key FROM lines WHERE len(w) >= 3 GROUP BY 1 HAVING count(DISTINCT site) >= (SELECT sites FROM needed)
 ), marked AS (
   SELECT lines.*, len(w) >= 3 AND key IS NOT NULL AS common FROM lines LEFT JOIN spread ON array_to_string(w, ' ') = key
 ), verdict AS (
   SELECT r, count(*) FILTER (WHERE len(w) > 0) AS n_lines, count(*) FILTER (WHERE common) AS n_common,
-    2 * coalesce(sum(len(w)) FILTER (WHERE common), 0) <= sum(len(w)) AS hosts,
+    count(*) FILTER (WHERE common) < count(*) FILTER (WHERE len(w) >= 3) AS hosts,
     coalesce(string_agg(line, chr(10) ORDER BY nr) FILTER (WHERE NOT common), '') AS cut
   FROM marked GROUP BY r
 )

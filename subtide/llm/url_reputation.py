@@ -7,8 +7,9 @@ none is judged by domain, suffix or the whole. A page is blocked if the lower bo
 share of bad pages, `z` posterior standard deviations below the mean, exceeds `most_bad`.
 
 Only DataFrame functions. A null url and one without "://" have an empty host and path; no rule
-fits those and their reputation is that of an empty host. Columns of `pages` other than page_id and
-url take no part. Outcomes are aggregated before they are shuffled; pages meet their host's
+fits those and their reputation is that of an empty host. Of equally long rules that fit, the last by name
+decides, and a rule in both lists blocks. Repeated rows are judged one by one, very long urls like others, and an empty
+table gives an empty one. Columns of `pages` other than page_id and url take no part, whatever their names. Outcomes are aggregated before they are shuffled; pages meet their host's
 reputation in a join whose large partitions adaptive execution can split.
 """
 

@@ -19,6 +19,8 @@ successors from the file's start reaches it.
 * A verified record whose payload has the magic lies in several pieces; these are fetched by their
   offsets and joined.
 
+An empty table gives no records. Columns other than page_id, url and html take no part, whatever their names.
+
 A record whose header can't be parsed, or that ends beyond its file, breaks the chain there: what
 comes after it is not returned. The whole payload of a record is one value.
 """

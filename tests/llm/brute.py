@@ -6,7 +6,13 @@ import re
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
+import xxhash
+
+from subtide.llm import quality as quality_rules
 from subtide.llm.toxicity import folded
+from subtide.llm.words import Words
+from subtide.llm.words import folded as window_hash
 
 WORDS = [f"{x}{y}{z}" for x in "bdfglmnp" for y in "aeio" for z in ("r", "st", "n", "lt")]
 
@@ -64,12 +70,13 @@ def without_boilerplate(rows, min_sites=10):
     for row in rows:
         for line in (row[1] or "").split("\n"):
             sites.setdefault(tuple(words(line)), set()).add(row[3])
-    common = {k for k, s in sites.items() if len(k) >= 3 and len(s) >= min_sites}
+    enough = min(min_sites, max(2, math.ceil(0.75 * len({row[3] for row in rows}))))
+    common = {k for k, s in sites.items() if len(k) >= 3 and len(s) >= enough}
     out = []
     for row in rows:
         lines = (row[1] or "").split("\n")
         gone = [line for line in lines if tuple(words(line)) in common]
-        cut = gone and 2 * sum(len(words(x)) for x in gone) <= sum(len(words(x)) for x in lines)
+        cut = gone and len(gone) < sum(len(words(x)) >= 3 for x in lines)
         text = "\n".join(x for x in lines if tuple(words(x)) not in common) if cut else row[1]
         out.append((row[0], text, *row[2:]))
     return out
@@ -127,12 +134,51 @@ def mixed(rows, rounds=8):
                 goal[c[m]] += n
                 now[c[m]] += weight[c]
             weight = {c: w * math.sqrt(goal[c[m]]) / now[c[m]] if now[c[m]] else 0.0 for c, w in weight.items()}
-    most = max((weight[c] / n for c, n in tokens.items() if n), default=0.0)
+    # The expected tokens grow with the scale and are half of all where the last of these bounds is reached.
+    filled = sorted((n / weight[c], n, weight[c]) for c, n in tokens.items() if n and weight[c])
+    left, scale = sum(w for _, _, w in filled), 0.0
+    wanted = 0.5 * sum(tokens.values())
+    for _, n, w in filled:
+        scale, wanted, left = max(scale, wanted / left), wanted - n, left - w
     out = []
     for row in rows:
         n = tokens[cell(row)]
-        chance = 1.0 if n == 0 else 0.0 if most == 0 else round(weight[cell(row)] / n / most, 9)
+        chance = 1.0 if n == 0 else round(min(1.0, weight[cell(row)] / n * scale), 7)
         key = str(row[0]) if row[0] is not None else row[1] or ""
         if int(hashlib.md5(key.encode()).hexdigest()[:12], 16) / 16**12 < chance:
             out.append((*row, chance))
     return out
+
+
+def quality(rows, trusted, keep):
+    """(doc_id, score, base_failed, kept) per row; only the hashes are the operator's own."""
+    buckets, scale, step = quality_rules.BUCKETS, quality_rules.SCALE, quality_rules.STEP
+
+    def features(text):
+        words = (text or "").encode().lower().split()
+        hashes = [Words([w]).hashes[0] for w in words]
+        pairs = [window_hash(np.array(hashes[i : i + 2]), 2)[0] for i in range(len(words) - 1)]
+        return [int(h) % buckets for h in (*hashes, *pairs)]
+
+    def failed(text):
+        words = (text or "").split()
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        twice = {w for w, n in Counter(windows).items() if n > 1}
+        again = {i + k for i, w in enumerate(windows) if w in twice for k in range(3)}
+        return len(words) < 50 or 2 * len(again) > len(words)
+
+    half = lambda d: xxhash.xxh64(d.to_bytes(8, "little", signed=True), seed=42).intdigest() % 2 if d in trusted else -1
+    found = [(d, half(d), features(t), failed(t)) for d, t in rows]
+    raw = Counter(f for _, _, fs, _ in found for f in fs)
+
+    def ratios(halves):
+        good = Counter(f for _, h, fs, _ in found if h in halves for f in fs)
+        ratio = lambda f: math.log((good[f] + 1) / (good.total() + buckets)) - math.log((raw[f] + 1) / (raw.total() + buckets))
+        return {f: round(ratio(f) * scale) for f in raw}
+
+    by_all, by_other = ratios((0, 1)), {0: ratios((1,)), 1: ratios((0,))}
+    mean = lambda by, fs: sum(by[f] for f in fs) / len(fs) / scale if fs else 0.0
+    crossed = sorted(math.floor(mean(by_other[h], fs) * step) for _, h, fs, bad in found if h >= 0 and not bad)
+    spare = (1 - keep) * len(crossed)
+    threshold = next((x for i, x in enumerate(crossed) if spare - crossed.count(x) - crossed.index(x) < 0), -math.inf) / step
+    return sorted((d, round(mean(by_all, fs), 9), bad, not bad and mean(by_all, fs) >= threshold) for d, _, fs, bad in found)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from subtide.llm import class_lm, decontamination, licenses, line_dedup, mixing, quality, toxicity, url_reputation, warc
 from subtide.llm.ngram_join import deduplicated
+from tests.llm import brute
 from tests.llm.brute import WORDS
 
 ITEM = " ".join(WORDS[:20])
@@ -185,15 +186,14 @@ def test_marginals_are_met(spark):
     rows = [(i, "w " * rng.randrange(1, 30), rng.choice("ab"), rng.choice(["en", "de"])) for i in range(400)] + [(None, None, None, None), (1, "", "a", "en")]
     docs = frame(spark, rows, "doc_id long, text string, source string, lang string")
     cells = mixing.raked(docs, topic=F.lit("t")).collect()
-    for margin in ("source", "lang"):
+    for margin in mixing.MARGINS:
         tokens, weight = Counter(), Counter()
         for c in cells:
             tokens[c[margin]] += c.tokens
             weight[c[margin]] += c.weight
         shares = {k: math.sqrt(v) for k, v in tokens.items()}
-        if margin == "lang":
-            for k, v in shares.items():
-                assert weight[k] / sum(weight.values()) == pytest.approx(v / sum(shares.values()), abs=0.02)
+        for k, v in shares.items():
+            assert weight[k] / sum(weight.values()) == pytest.approx(v / sum(shares.values()), abs=0.02)
     mixed = mixing.mixture(docs)
     assert mixed.count() == len(rows)
     assert mixing.mixture(docs.limit(0)).count() == 0
@@ -209,9 +209,27 @@ def test_no_small_cell_sets_the_rate_of_a_budget(spark):
         kept = mixing.mixture(docs, budget=budget).where("kept").agg(F.sum("tokens")).first()[0]
         assert kept == pytest.approx(budget, rel=0.15)
     assert {c.probability for c in mixing.raked(docs, budget=100_000).collect()} == {1.0}
+    cells = mixing.raked(docs).collect()
+    assert sum(c.probability * c.tokens for c in cells) == pytest.approx(mixing.KEPT * sum(c.tokens for c in cells), rel=1e-5)
     assert mixing.mixture(docs.limit(0), budget=5).count() == 0
 
 
+def test_given_targets_are_met_or_refused(spark):
+    rng = random.Random(6)
+    rows = [(i, "w " * rng.randrange(1, 30), rng.choice("abc"), rng.choice(["en", "de", None])) for i in range(500)]
+    docs = frame(spark, rows, "doc_id long, text string, source string, lang string")
+    shares = {"source": {"a": 0.7, "b": 0.2, "c": 0.1}, "lang": {"en": 0.5, "de": 0.4, None: 0.1}}
+    targets = {m: frame(spark, list(v.items()), "value string, share double") for m, v in shares.items()}
+    cells = mixing.raked(docs, topic=F.lit("t"), targets=targets).collect()
+    for margin, wanted in shares.items():
+        for value, share in wanted.items():
+            mine = sum(c.weight for c in cells if c[margin] == (value or ""))
+            assert mine / sum(c.weight for c in cells) == pytest.approx(share, abs=1e-6)
+    fewer = {"source": frame(spark, [("a", 1.0), ("c", 1.0)], "value string, share double")}
+    with pytest.raises(ValueError, match="source have none for 'b'"):
+        mixing.raked(docs, targets=fewer)
+
+
 # Quality
 
 
@@ -229,6 +247,10 @@ def test_base_counts_and_verdicts(spark):
     assert tuple(by[203])[:7] == (203, 100, 100, 0, 0, 100, True)
     assert sum(by[i].kept for i in range(60)) >= 56 and not any(by[i + 100].kept for i in range(20))
     assert len(got) == 85
+    for keep in (0.98, 0.7):
+        got = quality.quality(frame(spark, good + bad + odd), labels, keep).collect()
+        expected = brute.quality(good + bad + odd, set(range(40)), keep)
+        assert sorted((r.doc_id, round(r.score, 9), r.base_failed, r.kept) for r in got) == expected
 
 
 # Line dedup
@@ -262,7 +284,7 @@ def test_spread_lines_go_from_short_pages(spark):
     own = lambda i: " ".join(f"{w}{i}" for w in WORDS[60:100])
     rows = [(i, f"s{i}", f"{notice}\n{own(i)}") for i in range(12)] + [(20, "s1", f"{notice}\ntwo words"), (21, "s2", notice)]
     docs = frame(spark, rows, "doc_id long, source string, text string")
-    cut = {r.doc_id: r.text for r in line_dedup.remove_boilerplate(docs, whole_copies=True).collect()}
+    cut = {r.doc_id: r.text for r in line_dedup.remove_boilerplate(docs).collect()}
     assert cut == {i: own(i) for i in range(12)} | {20: f"{notice}\ntwo words", 21: notice}
 
 
