@@ -17,29 +17,35 @@ from subtide.llm.toxicity import toxicity
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score below 0.7."""
+    """Documents with a score below 0.7; null, empty and repeated ones are scored like any other."""
     scored = toxicity(docs, table(spark, sf_dir, "labels"), fold(TOXIC_FOLDS) != 1)
     return scored.where("predicted = 0").select("row.*")
 
 
 def cut_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that ten or more sources have."""
+    """All documents, without the lines that ten sources have, or three quarters of all if that is less. Texts with no
+    other line stay whole, as do null and empty ones."""
     return remove_boilerplate(docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates."""
+    """One document of each component of near duplicates, that with the smallest doc_id; those without a doc_id or
+    without words stay, of repeated rows one."""
     return deduplicated(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that benchmark windows do not cover by a twentieth or more."""
+    """Documents that benchmark windows do not cover by a twentieth or more; null and empty ones stay."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def sample_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by the calibrated probability of their source, language and topic, and that probability."""
-    return mixture(docs).where("kept").select("row.*", F.col("probability").alias("mix_probability"))
+    """Documents drawn by the calibrated probability of their source, language and topic, half of all tokens on average,
+    and that probability; those without words stay. Its name gets a dash if the documents have a column of that name."""
+    name = "mix_probability"
+    while name in docs.columns:
+        name += "_"
+    return mixture(docs).where("kept").select("row.*", F.col("probability").alias(name))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
