@@ -125,3 +125,12 @@ def test_clashing_columns_stay(spark, folder):
         out = run(spark, docs, folder)
         assert out.columns[: len(docs.columns)] == docs.columns, name
         assert out.select(docs.columns).subtract(docs).count() == 0 or name == "line_dedup"
+
+
+def test_odd_names_and_maps_stay(spark, folder):
+    docs = spark.createDataFrame([*planted()[:25], planted()[3]], SCHEMA).withColumn("mix_probability", F.lit("own"))
+    docs = docs.withColumn("a.b", F.lit(1)).withColumn("tags", F.create_map(F.lit("k"), F.col("lang")))
+    for name, run in corpus_pipeline.STAGES:
+        out = run(spark, docs, folder)
+        assert out.columns[: len(docs.columns)] == docs.columns and len(set(out.columns)) == len(out.columns), name
+        assert all(r["a.b"] == 1 and r["mix_probability"] == "own" and r["tags"] == {"k": r["lang"]} for r in out.collect()), name
