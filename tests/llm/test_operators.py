@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,20 @@ def test_whole_texts_and_lines_match_after_normalising(spark):
     ]
 
 
+def test_long_licences_match_by_digest(spark):
+    folder = Path("/usr/share/common-licenses")
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    if not all((folder / f).exists() for f in files):
+        pytest.skip("no copies of the licences here")
+    texts = {f: (folder / f).read_text() for f in files}
+    rows = [(i, " ".join(texts[f].upper().split(" "))) for i, f in enumerate(files)] + [(10, texts["MPL-2.0"] + " more")]
+    got = licenses.license_scan(frame(spark, rows), licenses.known_licenses(spark)).collect()
+    assert {r.doc_id: r.license for r in got} == {**dict(enumerate(files.values())), 10: None}
+    short = [(i, text.replace("<year>", "1999").replace("holders", "HOLDERS")) for i, (_, text) in enumerate(licenses.KNOWN[13:])]
+    got = licenses.license_scan(frame(spark, short), licenses.known_licenses(spark)).collect()
+    assert {r.doc_id: r.license for r in got} == {i: name for i, (name, _) in enumerate(licenses.KNOWN[13:])}
+
+
 # WARC
 
 
@@ -122,6 +137,43 @@ def test_archives_come_back_whole(spark, tmp_path):
     assert {r.refers_to for r in got if r.type == "revisit"} == {"<urn:page:204>"}
 
 
+def test_broken_archives_raise_or_are_told(spark, tmp_path):
+    pages = frame(spark, [(i, "u", f"page {i} " * 50) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    for name in ("cut", "spoilt"):
+        warc.write_warc(pages, str(tmp_path / name))
+    (part,) = (tmp_path / "cut").glob("part-*")
+    whole = part.read_bytes()
+    tenth = whole.index(b"WARC/1.0", whole.index(b"<urn:page:9>") + 1)
+    part.write_bytes(whole[: tenth + 40])
+    (tmp_path / "cut" / f".{part.name}.crc").unlink()
+    with pytest.raises(ValueError, match=f"1 archives break off.* after {tenth} bytes"):
+        warc.read_warc(spark, str(tmp_path / "cut"))
+    assert warc.read_warc(spark, str(tmp_path / "cut"), broken="skip").count() == 10
+    assert [(r.verified, r.length) for r in warc.broken_files(spark, str(tmp_path / "cut")).collect()] == [(tenth, tenth + 40)]
+    (part,) = (tmp_path / "spoilt").glob("part-*")
+    part.write_bytes(part.read_bytes().replace(b"page 7 page 7", b"page 7 PAGE 7", 1))
+    (tmp_path / "spoilt" / f".{part.name}.crc").unlink()
+    with pytest.raises(Exception, match="disagrees with its digest"):
+        warc.read_warc(spark, str(tmp_path / "spoilt")).collect()
+    assert warc.read_warc(spark, str(tmp_path / "spoilt"), broken="skip").count() == 40
+    assert warc.broken_files(spark, str(tmp_path / "spoilt")).collect() == []
+
+
+def test_a_record_longer_than_many_splits(spark, tmp_path):
+    trap = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    rows = [(1, "u", "a" * 5000), (2, "u", ("x" * 3000 + trap) * 40), (3, "u", "y" * 150_000), (4, "u", None)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        warc.write_warc(frame(spark, rows, "page_id long, url string, html string").coalesce(1), str(tmp_path / "w"))
+        got = {r.record_id: bytes(r.payload) for r in warc.read_warc(spark, str(tmp_path / "w")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {f"<urn:page:{i}>": (html or "").encode() for i, _, html in rows}
+
+
 # URL filters
 
 
