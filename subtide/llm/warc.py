@@ -21,8 +21,12 @@ successors from the file's start reaches it.
 
 An empty table gives no records. Columns other than page_id, url and html take no part, whatever their names.
 
-A record whose header can't be parsed, or that ends beyond its file, breaks the chain there: what
-comes after it is not returned. The whole payload of a record is one value.
+A record whose header can't be parsed, or that ends beyond its file, breaks the chain there. Every byte of a file
+belongs to a verified record unless its chain breaks, so files whose records add up to less are found by adding up
+lengths. By default they raise, with their number and some of their names; with `broken="skip"` the records before the
+break are returned, and `broken_files` tells where each file breaks. Nothing else is left out: a payload whose pieces
+can't be put together raises, and so does one that disagrees with its record's digest, unless told to skip. The whole
+payload of a record is one value.
 """
 
 from __future__ import annotations
@@ -97,20 +101,30 @@ def _revisit() -> Column:
     return F.concat(_header("revisit", F.lit(len(_HTTP)), profile, refers), F.lit(_HTTP))
 
 
-def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
+def read_warc(spark: SparkSession, folder: str, payloads: bool = True, broken: str = "raise") -> DataFrame:
     """(path, offset, type, record_id, uri, refers_to, payload_bytes, payload_digest, payload) per record.
 
     For a revisit, size and digest are those of the payload it refers to; `payload` is null there,
-    and everywhere if `payloads` is false.
+    and everywhere if `payloads` is false. `broken` is "raise" or "skip".
     """
+    if broken not in ("raise", "skip"):
+        raise ValueError(f"broken is raise or skip, not {broken}")
     candidates = stored(_pieces(spark, folder).mapInArrow(_examined(payloads), _CANDIDATE))
-    records = _reachable(candidates)
+    bases = _bases(candidates)
+    records = _reachable(candidates, bases)
+    if broken == "raise":
+        _refuse(_breaks(records, bases))
     whole = records.where("whole")
     split = records.where("NOT whole")
     columns = ["path", "offset", "type", "record_id", "uri", "refers_to", "payload_bytes", "payload_digest", "payload"]
-    found = whole.select("path", "offset", "type", "record_id", "uri", "refers_to", "payload_bytes", "payload_digest", "payload")
+    found = whole.select(*columns, "digest")
     if not split.isEmpty():
-        found = found.unionByName(_joined(spark, folder, candidates, split, payloads).select(*columns))
+        found = found.unionByName(_joined(spark, folder, bases, split, payloads, broken).select(*columns, "digest"))
+    if broken == "raise":
+        told = (F.col("type") == "response") & F.col("digest").rlike("^[0-9a-f]{40}$")  # others write it otherwise
+        agrees = ~F.coalesce(told, F.lit(False)) | (F.col("digest") == F.col("payload_digest"))
+        wrong = F.raise_error(F.concat(F.lit("a payload disagrees with its digest: "), "path", F.lit(" at "), F.col("offset").cast("string")))
+        found = found.withColumn("payload_digest", F.when(agrees, F.col("payload_digest")).otherwise(wrong.cast("string")))
     originals = found.where("type = 'response'").groupBy("record_id").agg(F.max("payload_bytes").alias("original_bytes"))
     first = found.where("type = 'revisit'").select("path", "offset", "refers_to").join(originals.withColumnRenamed("record_id", "refers_to"), "refers_to")
     return found.join(first.drop("refers_to"), ["path", "offset"], "left").withColumn(
@@ -118,6 +132,26 @@ def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFr
     ).select(*columns)
 
 
+def broken_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, verified, length) of the files whose chain breaks: the bytes before the break, and all."""
+    candidates = stored(_pieces(spark, folder).mapInArrow(_examined(False), _CANDIDATE))
+    bases = _bases(candidates)
+    return _breaks(_reachable(candidates, bases), bases)
+
+
+def _breaks(records: DataFrame, bases: DataFrame) -> DataFrame:
+    """Files that the verified records don't fill."""
+    filled = records.groupBy("path").agg(F.sum(F.col("head") + F.col("content") + (len(MAGIC) + len(END))).alias("verified"))
+    lengths = bases.groupBy("path").agg(F.sum("bytes").alias("length"))
+    return lengths.join(filled, "path", "left").select("path", F.coalesce("verified", F.lit(0)).alias("verified"), "length").where("verified < length")
+
+
+def _refuse(breaks: DataFrame) -> None:
+    told = breaks.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("path", "verified")).alias("first")).first()
+    if told["n"]:
+        raise ValueError(f"{told['n']} archives break off, the first by name {told['first']['path']} after {told['first']['verified']} bytes")
+
+
 def _pieces(spark: SparkSession, folder: str) -> DataFrame:
     meta = F.col("_metadata")
     return spark.read.option("lineSep", MAGIC.decode()).text(folder).select(
@@ -230,9 +264,8 @@ def _bases(candidates: DataFrame) -> DataFrame:
     return stored(sums.select("path", "split", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base"), "bytes"))
 
 
-def _reachable(candidates: DataFrame) -> DataFrame:
+def _reachable(candidates: DataFrame, bases: DataFrame) -> DataFrame:
     """The candidates that the chain from their file's start reaches, with `offset`."""
-    bases = _bases(candidates)
     placed = candidates.drop("payload").join(bases, ["path", "split"]).withColumn("offset", F.col("base") + F.col("at"))
     jumps = stored(placed.where("exit IS NOT NULL").selectExpr("path", "offset AS here", "base + exit AS there"))
     # The record that a file begins with: the first piece with a magic of its first split.
@@ -267,20 +300,27 @@ def _followed(links: pa.Table) -> pa.Table:
             found.append(here)
             here = there.pop(here)
     n = len(found)
-    return pa.table({"path": [links.column("path")[0].as_py()] * n, "split": [links.column("split")[0].as_py()] * n, "offset": pa.array(found, pa.int64())})
+    path, split = links.column("path")[0].as_py(), links.column("split")[0].as_py()
+    return pa.table({"path": pa.array([path] * n, pa.string()), "split": pa.array([split] * n, pa.int64()), "offset": pa.array(found, pa.int64())})
 
 
-def _joined(spark: SparkSession, folder: str, candidates: DataFrame, records: DataFrame, payloads: bool) -> DataFrame:
-    """Records that lie in several pieces, with their payload."""
-    bases = _bases(candidates)
+def _joined(spark: SparkSession, folder: str, bases: DataFrame, records: DataFrame, payloads: bool, broken: str) -> DataFrame:
+    """Records that lie in several pieces, with their payload.
+
+    A split's first piece begins at the first magic in it, whatever other splits there are, so the first scan's offsets
+    hold for the second. If executors came or went between the scans and splits begin elsewhere, this raises.
+    """
     end = F.expr(f"offset + {len(MAGIC) + len(END)} + head + content")
     wanted = records.select("path", "offset", "head", "content", "type", "record_id", "uri", "refers_to", "digest", end.alias("end"))
     cells = wanted.select("*", F.explode(F.expr(f"sequence(offset div {CELL}, (end - 1) div {CELL})")).alias("cell"))
-    pieces = _pieces(spark, folder).mapInArrow(_raw, "path string, split long, at long, raw binary").join(bases.drop("bytes"), ["path", "split"])
+    raws = _pieces(spark, folder).mapInArrow(_raw, "path string, split long, at long, raw binary")
+    moved = F.raise_error(F.lit("an archive was split otherwise by the second scan, read it again")).cast("long")
+    pieces = raws.join(bases.drop("bytes"), ["path", "split"], "left").withColumn("base", F.coalesce("base", moved))
     pieces = pieces.select("path", (F.col("base") + F.col("at")).alias("begin"), "raw").withColumn("cell", F.expr(f"begin div {CELL}"))
     keys = [c for c in wanted.columns]
-    joined = cells.join(pieces, ["path", "cell"]).where("begin >= offset AND begin < end").groupBy(*keys).agg(
-        F.expr("transform(array_sort(collect_list(struct(begin, raw))), x -> x.raw)").alias("raws")
+    met = cells.join(pieces, ["path", "cell"], "left").where("raw IS NULL OR begin >= offset AND begin < end")
+    joined = met.groupBy(*keys).agg(
+        F.expr("transform(array_sort(collect_list(IF(raw IS NULL, NULL, struct(begin, raw)))), x -> x.raw)").alias("raws")
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,13 +329,17 @@ def _joined(spark: SparkSession, folder: str, candidates: DataFrame, records: Da
             for row in batch.to_pylist():
                 body = b"".join(row.pop("raws"))[len(MAGIC) + row["head"] :]
                 block = body[: row["content"]]
-                if len(block) == row["content"] and body[row["content"] :].startswith(END):
+                if len(block) < row["content"]:
+                    raise ValueError(f"pieces of a record are missing: {row['path']} at {row['offset']}")
+                if body[row["content"] :].startswith(END):
                     rows.append({"payload": None} | row | _content(row["type"], row["digest"], block, payloads))
-            names = ["path", "offset", "type", "record_id", "uri", "refers_to", "payload_bytes", "payload_digest", "payload"]
-            types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+                elif broken == "raise":
+                    raise ValueError(f"a record does not end where it says: {row['path']} at {row['offset']}")
+            names = ["path", "offset", "type", "record_id", "uri", "refers_to", "payload_bytes", "payload_digest", "payload", "digest"]
+            types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string()]
             yield pa.RecordBatch.from_pylist([{k: r[k] for k in names} for r in rows], schema=pa.schema(list(zip(names, types))))
 
-    out = "path string, offset long, type string, record_id string, uri string, refers_to string, payload_bytes long, payload_digest string, payload binary"
+    out = "path string, offset long, type string, record_id string, uri string, refers_to string, payload_bytes long, payload_digest string, payload binary, digest string"
     return joined.mapInArrow(run, out)
 
 
