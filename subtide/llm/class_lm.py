@@ -4,19 +4,21 @@ P(text) is the product over its tokens of P(class | class before) P(word | class
 words of the lower-cased (A-Z) text and one end; the class before the first word is the end's.
 
 * Words. All words are counted over all training texts, by 64-bit hashes.
-* Units. What exchange clustering moves between classes: each of the `MOVED` most frequent words is
-  a unit, all other words are in one of `ENDINGS` units by their last three bytes. So a rare or new
-  word has the class of words that end alike.
+* Units. What the rounds of exchange clustering move between classes: each of the `MOVED` most frequent
+  words is a unit, all other words are in one of `ENDINGS` units by their last three bytes.
 * Exchange clustering. Starting from classes by frequency rank, every round counts in which classes
   the neighbours of each unit are, over the whole training corpus, and moves each unit to the class
   in which they are likeliest, given the class bigrams of the round before (distributed exchange as
   in Uszkoreit and Brants, 2008). Units of one half move in one round, of the other in the next.
+* The other words. After the rounds every word of the head without a unit of its own that occurs `LEAST`
+  times or more leaves its ending's unit for the class in which its own neighbours are likeliest: the same
+  exchange, over neighbours counted by word, side and class. Rarer and new words keep the class of words that end alike.
 * Smoothing. One is added to class bigrams and to words within their class; a class has one unknown
   word more, like the base score's vocabulary.
 
 Counts are aggregated per task before they are shuffled. The driver and the broadcasts hold what is
-bounded by parameters: units, classes, and the `HEAD` most frequent words. All other words are
-looked up by a join. Null and empty texts have only the end token; very long ones are scored whole. Repeated rows
+bounded by parameters: units, classes, and the `HEAD` most frequent words with a class each. All other
+words are looked up by a join. Null and empty texts have only the end token; very long ones are scored whole. Repeated rows
 are scored one by one; a null doc_id is not held out. Without training rows all words are unknown, and an empty
 table gives an empty one. Columns other than doc_id and text take no part, whatever their names.
 """
@@ -39,7 +41,10 @@ ROUNDS = 6
 MOVED = 8192
 ENDINGS = 2048
 HEAD = 1_000_000
+LEAST = 5  # occurrences of a word that leaves its ending's unit
 HELD_WORDS = 4_000_000  # tokens a task counts at once
+HELD_NEIGHBOURS = 2_000_000  # the same, of neighbours
+SENT = 1 << 16  # rows of a batch
 BLOCKS = 64
 END = 0  # its unit and its class
 UNITS = 1 + MOVED + ENDINGS
@@ -68,32 +73,41 @@ def class_lm_scores(docs: DataFrame, held_out: Column, rounds: int = ROUNDS) ->
     kinds = n_kinds + (texts > 0)
     counts = counts.where("word IS NOT NULL").select("word", "ending", "n")
 
-    head = _most_frequent(counts, HEAD)
-    words, head_n = head["word"].to_numpy().view(np.uint64), head["n"].to_numpy()
-    rank = np.lexsort((words, -head_n))[:MOVED]
-    moved = words[rank]
-    of_units = _per_unit(counts, moved)
-    units = stored(training.mapInArrow(_as_units(spark.sparkContext.broadcast(np.sort(moved)), np.argsort(np.argsort(moved))), "units binary"))
-    classes, transitions = _clustered(units, rounds)
-
-    class_n, class_kinds = np.zeros(CLASSES), np.zeros(CLASSES)
-    np.add.at(class_n, classes, of_units[0])
-    np.add.at(class_kinds, classes, of_units[1])
+    head, floor = _most_frequent(counts, HEAD)
+    words, head_n, endings = (head[c].to_numpy() for c in ("word", "n", "ending"))
+    words = words.view(np.uint64)
+    order = np.argsort(words)
+    words, head_n, endings = words[order], head_n[order], endings[order]
+    # Codes: places in `words`, then the endings, then the end.
+    unit_of = np.concatenate([endings + 1 + MOVED, np.arange(ENDINGS) + 1 + MOVED, [END]]).astype(np.int32)
+    moved = np.lexsort((words, -head_n))[:MOVED]
+    unit_of[moved] = 1 + np.arange(len(moved))
+    sent = spark.sparkContext.broadcast(words)
+    codes = stored(training.mapInArrow(_coded(sent), "codes binary"))
+    classes, transitions = _clustered(codes, unit_of, rounds)
+    code_class = classes[unit_of].astype(np.uint8)
+    loose = np.flatnonzero((unit_of[: len(words)] > MOVED) & (head_n >= LEAST))
+    if rounds and len(loose):
+        own = _own_classes(codes, code_class, loose, transitions)
+        code_class[own["code"].to_numpy()] = own["class"].to_numpy()
+        transitions = _transitions(codes, code_class)
+
+    class_n = np.bincount(code_class[: len(words)], head_n, CLASSES)
+    class_kinds = np.bincount(code_class[: len(words)], minlength=CLASSES).astype(float)
+    for ending, n, kinds_of in counts.where(F.col("n") < floor).groupBy("ending").agg(F.sum("n"), F.count(F.lit(1))).collect():  # ENDINGS rows
+        class_n[code_class[len(words) + ending]] += n
+        class_kinds[code_class[len(words) + ending]] += kinds_of
     class_n[classes[END]] += texts
     class_kinds[classes[END]] += texts > 0
     model = {
         "words": words,
         "n": head_n,
-        "moved": np.sort(moved),
-        "unit": np.argsort(np.argsort(moved)),
-        "classes": classes,
+        "classes": code_class,
         "step": np.log10((transitions + 1) / (transitions.sum(1, keepdims=True) + CLASSES)),
         "within": np.log10(class_n + class_kinds + 1),
         "texts": texts,
         "all": np.log10(total + kinds + 1),
     }
-    order = np.argsort(words)
-    model["words"], model["n"] = words[order], head_n[order]
     told = rows.mapInArrow(_scored(spark.sparkContext.broadcast(model)), _SCORED)
     return _with_tail(told, counts, total)
 
@@ -147,8 +161,8 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([0]), pa.array([texts_seen])], names=["word", "ending", "n", "texts"])
 
 
-def _most_frequent(counts: DataFrame, most: int) -> pa.Table:
-    """Words with counts from a power of two on, the lowest that leaves `most` of them or fewer."""
+def _most_frequent(counts: DataFrame, most: int) -> tuple[pa.Table, int]:
+    """Words with counts from a power of two on, the lowest that leaves `most` of them or fewer, and that power."""
     sizes = counts.groupBy(F.floor(F.log2("n")).alias("power")).count().orderBy(F.desc("power")).collect()  # 64 rows at most
     floor, kept = 1 << 62, 0
     for row in sizes:
@@ -156,88 +170,79 @@ def _most_frequent(counts: DataFrame, most: int) -> pa.Table:
         if kept > most:
             break
         floor = 1 << row["power"]
-    return counts.where(F.col("n") >= floor).select("word", "n").toArrow().combine_chunks()
-
-
-def _per_unit(counts: DataFrame, moved: np.ndarray) -> np.ndarray:
-    """Tokens and distinct words of each unit."""
-    spark = counts.sparkSession
-    own = spark.createDataFrame(pa.table({"word": moved.view(np.int64), "unit": np.arange(1, len(moved) + 1, dtype=np.int64)}))
-    unit = F.coalesce("unit", F.col("ending") + F.lit(1 + MOVED))
-    rows = counts.join(F.broadcast(own), "word", "left").groupBy(unit.alias("unit")).agg(F.sum("n"), F.count(F.lit(1))).collect()  # UNITS rows
-    out = np.zeros((2, UNITS))
-    for u, n, kinds in rows:
-        out[:, u] = n, kinds
-    return out
+    return counts.where(F.col("n") >= floor).select("word", "n", "ending").toArrow().combine_chunks(), floor
 
 
-def _units_of(words: Words, ordered: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Units of all words. ordered[order[i]] is the word of unit 1 + i."""
-    unit = _endings(words).astype(np.int64) + 1 + MOVED
-    if len(ordered) and len(words.hashes):
-        at = np.searchsorted(ordered, words.hashes)
-        at[at == len(ordered)] = 0
-        own = ordered[at] == words.hashes
-        back = np.empty(len(ordered), np.int64)
-        back[order] = np.arange(len(ordered))
-        unit[own] = 1 + back[at[own]]
-    return unit
+def _codes_of(words: Words, head: np.ndarray) -> np.ndarray:
+    """The place of each word in the sorted `head`, for others that of their ending after it."""
+    code = _endings(words).astype(np.int64) + len(head)
+    if len(head) and len(words.hashes):
+        at = np.searchsorted(head, words.hashes)
+        at[at == len(head)] = 0
+        own = head[at] == words.hashes
+        code[own] = at[own]
+    return code
 
 
-def _with_ends(units: np.ndarray, words: Words) -> np.ndarray:
+def _with_ends(codes: np.ndarray, words: Words, end: int) -> np.ndarray:
     """One end before all texts and one after each."""
     n = len(words.first) - 1
-    out = np.full(len(units) + n + 1, END, units.dtype)
+    out = np.full(len(codes) + n + 1, end, codes.dtype)
     text = np.repeat(np.arange(n), np.diff(words.first))
-    out[np.arange(len(units)) + text + 1] = units
+    out[np.arange(len(codes)) + text + 1] = codes
     return out
 
 
-def _as_units(ordered, order: np.ndarray):
+def _coded(head):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks(batches):
             words = Words(texts)
-            units = _with_ends(_units_of(words, ordered.value, order), words).astype(np.uint16)
-            yield pa.RecordBatch.from_arrays([pa.array([units.tobytes()], pa.binary())], names=["units"])
+            codes = _with_ends(_codes_of(words, head.value), words, len(head.value) + ENDINGS).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array([codes.tobytes()], pa.binary())], names=["codes"])
 
     return run
 
 
-def _clustered(units: DataFrame, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+def _clustered(codes: DataFrame, unit_of: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """The class of each unit, and the counts of class bigrams."""
     classes = np.concatenate([[END], 1 + np.arange(UNITS - 1) % (CLASSES - 1)]).astype(np.int64)
-    transitions = _transitions(units, classes)
+    sent = codes.sparkSession.sparkContext.broadcast(unit_of)
+    transitions = _transitions(codes, classes[unit_of].astype(np.uint8))
     for r in range(rounds):
-        chosen = _neighbours(units, classes).groupBy("block").applyInArrow(_moves(classes, transitions, r), "unit int, class int")
+        chosen = _neighbours(codes, sent, classes).groupBy("block").applyInArrow(_moves(classes, transitions, r), "unit int, class int")
         for unit, new in chosen.collect():  # UNITS rows
             classes[unit] = new
-        transitions = _transitions(units, classes)
+        transitions = _transitions(codes, classes[unit_of].astype(np.uint8))
+    sent.unpersist()
     return classes, transitions
 
 
-def _transitions(units: DataFrame, classes: np.ndarray) -> np.ndarray:
+def _transitions(codes: DataFrame, code_class: np.ndarray) -> np.ndarray:
+    sent = codes.sparkSession.sparkContext.broadcast(code_class)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CLASSES * CLASSES, np.int64)
         for batch in batches:
             for blob in batch.column(0):
-                own = classes[np.frombuffer(blob.as_buffer(), np.uint16)]
+                own = sent.value[np.frombuffer(blob.as_buffer(), np.uint32)].astype(np.int64)
                 counts += np.bincount(own[:-1] * CLASSES + own[1:], minlength=len(counts))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(counts))), pa.array(counts)], names=["cell", "n"])
 
     out = np.zeros(CLASSES * CLASSES)
-    for cell, n in units.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # CLASSES ** 2 rows
+    for cell, n in codes.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # CLASSES ** 2 rows
         out[cell] = n
+    sent.unpersist()
     return out.reshape(CLASSES, CLASSES)
 
 
-def _neighbours(units: DataFrame, classes: np.ndarray) -> DataFrame:
+def _neighbours(codes: DataFrame, unit_of, classes: np.ndarray) -> DataFrame:
     """Per task and block of units how often each class stands before and after each unit."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, after = np.zeros(UNITS * CLASSES, np.int64), np.zeros(UNITS * CLASSES, np.int64)
         for batch in batches:
             for blob in batch.column(0):
-                unit = np.frombuffer(blob.as_buffer(), np.uint16).astype(np.int64)
+                unit = unit_of.value[np.frombuffer(blob.as_buffer(), np.uint32)].astype(np.int64)
                 own = classes[unit]
                 before += np.bincount(unit[1:] * CLASSES + own[:-1], minlength=len(before))
                 after += np.bincount(unit[:-1] * CLASSES + own[1:], minlength=len(after))
@@ -245,26 +250,89 @@ def _neighbours(units: DataFrame, classes: np.ndarray) -> DataFrame:
         parts = [np.ascontiguousarray(both[k::BLOCKS]).tobytes() for k in range(BLOCKS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names=["block", "counts"])
 
-    return units.mapInArrow(run, "block int, counts binary")
+    return codes.mapInArrow(run, "block int, counts binary")
 
 
-def _moves(classes: np.ndarray, transitions: np.ndarray, r: int):
-    """The best class of each unit of a block. Units of the other half stay, and so does the end."""
+def _likeliest(transitions: np.ndarray):
+    """From how often each class stands before and after (n x CLASSES each) to the log-likelihood of these neighbours next to each
+    class, less the class's own share of the tokens. Nothing but the end is in its class."""
     joint = np.log((transitions + 0.5) / (transitions.sum() + 0.5 * transitions.size))
     left, right = np.log(transitions.sum(1) + 1), np.log(transitions.sum(0) + 1)
 
+    def gains(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        n = before.sum(1, keepdims=True)
+        gain = before @ joint + after @ joint.T - n * left - n * right
+        gain[:, END] = -np.inf
+        return gain
+
+    return gains
+
+
+def _own_classes(codes: DataFrame, code_class: np.ndarray, loose: np.ndarray, transitions: np.ndarray) -> pa.Table:
+    """(code, class) of the words `loose`, each by its own neighbours' classes; HEAD rows at most."""
+    is_loose = np.zeros(len(code_class), bool)
+    is_loose[loose] = True
+    sent = codes.sparkSession.sparkContext.broadcast((is_loose, code_class))
+    sides = 2 * CLASSES
+
+    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, own_class = sent.value
+        held, size = [], 0
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            for i in range(0, len(keys), SENT):
+                part = keys[i : i + SENT]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((part // sides).astype(np.int32)), pa.array((part % sides).astype(np.int32)), pa.array(n[i : i + SENT].astype(np.int64))],
+                    names=["code", "cell", "n"],
+                )
+
+        for batch in batches:
+            for blob in batch.column(0):
+                code = np.frombuffer(blob.as_buffer(), np.uint32).astype(np.int64)
+                at = np.flatnonzero(wanted[code])  # ends stand first and last, so both neighbours exist
+                own = own_class[code].astype(np.int64)
+                held += [code[at] * sides + own[at - 1], code[at] * sides + CLASSES + own[at + 1]]
+                size += 2 * len(at)
+                if size > HELD_NEIGHBOURS:
+                    yield from flushed()
+                    held, size = [], 0
+        if size:
+            yield from flushed()
+
+    gains = _likeliest(transitions)
+
+    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 4096) for i in range(0, batch.num_rows, 4096)):
+                cells = part.column("cells")
+                row = np.repeat(np.arange(part.num_rows), np.diff(cells.offsets.to_numpy()))
+                flat = cells.flatten()
+                sums = np.zeros((part.num_rows, sides))
+                sums[row, flat.field("cell").to_numpy()] = flat.field("n").to_numpy()
+                best = gains(sums[:, :CLASSES], sums[:, CLASSES:]).argmax(1)
+                yield pa.RecordBatch.from_arrays([part.column("code"), pa.array(best.astype(np.int32))], names=["code", "class"])
+
+    sums = codes.mapInArrow(counted, "code int, cell int, n long").groupBy("code", "cell").agg(F.sum("n").alias("n"))
+    by_word = sums.groupBy("code").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))  # 2 * CLASSES cells at most
+    out = by_word.mapInArrow(chosen, "code int, class int").toArrow()
+    sent.unpersist()
+    return out
+
+
+def _moves(classes: np.ndarray, transitions: np.ndarray, r: int):
+    """The best class of each unit of a block. Units of the other half stay, and so does the end."""
+    gains = _likeliest(transitions)
+
     def run(block: pa.Table) -> pa.Table:
         k = block.column("block")[0].as_py()
         own = np.arange(UNITS)[k::BLOCKS]
         sums = np.zeros((len(own), 2, CLASSES))
         for blob in block.column("counts"):
             sums += np.frombuffer(blob.as_buffer(), np.int64).reshape(sums.shape)
-        n = sums[:, 0].sum(1, keepdims=True)
-        # Log-likelihood of the neighbours' classes next to class c, less c's own share of the tokens.
-        gain = sums[:, 0] @ joint + sums[:, 1] @ joint.T - n * left - n * right
-        gain[:, END] = -np.inf
-        best = gain.argmax(1)
-        stay = (own == END) | (n[:, 0] == 0) | (own // BLOCKS % 2 != r % 2)
+        best = gains(sums[:, 0], sums[:, 1]).argmax(1)
+        stay = (own == END) | (sums[:, 0].sum(1) == 0) | (own // BLOCKS % 2 != r % 2)
         best[stay] = classes[own[stay]]
         return pa.table({"unit": pa.array(own, pa.int32()), "class": pa.array(best, pa.int32())})
 
@@ -277,22 +345,17 @@ def _scored(sent):
         end_n = np.log10(m["texts"] + 1)
         for batch, texts in chunks(batches):
             words = Words(texts)
-            h = words.hashes
-            if len(m["words"]):
-                at = np.searchsorted(m["words"], h)
-                at[at == len(m["words"])] = 0
-                known = m["words"][at] == h
-                count = np.where(known, np.log10(m["n"][at] + 1), 0.0)
-            else:
-                known, count = np.zeros(len(h), bool), np.zeros(len(h))
-            own = m["classes"][_with_ends(_units_of(words, m["moved"], m["unit"]), words)]
+            code, head = _codes_of(words, m["words"]), len(m["words"])
+            known, count = code < head, np.zeros(len(code))
+            count[known] = np.log10(m["n"][code[known]] + 1)
+            own = m["classes"][_with_ends(code, words, head + ENDINGS)]
             step = m["step"][own[:-1], own[1:]] - m["within"][own[1:]]
             ends = np.cumsum(np.diff(words.first) + 1)
             sums = np.concatenate([[0.0], np.cumsum(step)])[np.concatenate([[0], ends])]
             counted = np.concatenate([[0.0], np.cumsum(count)])[words.first]
             n = np.diff(words.first)
             tail_at = np.concatenate([[0], np.cumsum(~known)])[words.first]
-            tail = pa.ListArray.from_arrays(pa.array(tail_at, pa.int32()), pa.array(h[~known].view(np.int64)))
+            tail = pa.ListArray.from_arrays(pa.array(tail_at, pa.int32()), pa.array(words.hashes[~known].view(np.int64)))
             own_count = np.diff(counted) + end_n
             yield pa.RecordBatch.from_arrays(
                 [

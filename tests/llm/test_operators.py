@@ -6,11 +6,13 @@ import random
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from subtide.llm import class_lm, decontamination, licenses, line_dedup, mixing, quality, toxicity, url_reputation, warc
 from subtide.llm.ngram_join import deduplicated
+from subtide.llm.words import Words
 from tests.llm import brute
 from tests.llm.brute import WORDS
 
@@ -76,6 +78,67 @@ def test_base_score_and_gain_over_it(spark):
     assert all(math.isfinite(r.score) for r in got)
 
 
+def test_words_without_a_unit_get_the_class_of_their_neighbours(spark, monkeypatch):
+    """The exchange of single words against a plain count of their neighbours."""
+    monkeypatch.setattr(class_lm, "MOVED", 20)
+    monkeypatch.setattr(class_lm, "UNITS", 1 + 20 + class_lm.ENDINGS)
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(WORDS[:50] if k % 2 else WORDS[50:100]) for k in range(30))) for i in range(100)]
+    seen = {}
+    plain = class_lm._own_classes
+
+    def spied(codes, code_class, loose, transitions):
+        seen["blobs"] = [np.frombuffer(r["codes"], np.uint32) for r in codes.collect()]
+        seen["before"], seen["loose"], seen["transitions"] = code_class.copy(), set(loose.tolist()), transitions
+        seen["own"] = plain(codes, code_class, loose, transitions)
+        return seen["own"]
+
+    monkeypatch.setattr(class_lm, "_own_classes", spied)
+    got = class_lm.class_lm_scores(frame(spark, rows), F.lit(False), rounds=2).collect()
+    n = class_lm.CLASSES
+    sides = {c: (Counter(), Counter()) for c in seen["loose"]}
+    for blob in seen["blobs"]:
+        for i, c in enumerate(blob.tolist()):
+            if c in sides:
+                sides[c][0][int(seen["before"][blob[i - 1]])] += 1
+                sides[c][1][int(seen["before"][blob[i + 1]])] += 1
+    t = seen["transitions"]
+    joint = [[math.log((t[a][b] + 0.5) / (t.sum() + 0.5 * n * n)) for b in range(n)] for a in range(n)]
+    left, right = [math.log(t[a].sum() + 1) for a in range(n)], [math.log(t[:, a].sum() + 1) for a in range(n)]
+
+    def gain(c, k):
+        before, after = sides[c]
+        here = sum(x * joint[a][k] for a, x in before.items()) + sum(x * joint[k][b] for b, x in after.items())
+        return here - sum(before.values()) * (left[k] + right[k])
+
+    assert len(seen["loose"]) == 80
+    for c, k in zip(seen["own"]["code"].to_pylist(), seen["own"]["class"].to_pylist()):
+        assert gain(c, k) == pytest.approx(max(gain(c, other) for other in range(1, n)))
+    assert sorted(seen["own"]["code"].to_pylist()) == sorted(seen["loose"])
+
+    # The scores, from the final classes by the definition.
+    vocabulary = sorted({w for _, text in rows for w in text.split()})
+    hashes = Words([" ".join(vocabulary).encode()]).hashes
+    final = seen["before"].copy()
+    final[seen["own"]["code"].to_numpy()] = seen["own"]["class"].to_numpy()
+    class_of = {w: int(final[np.searchsorted(np.sort(hashes), h)]) for w, h in zip(vocabulary, hashes)} | {None: class_lm.END}
+    chains = {i: [None, *text.split(), None] for i, text in rows}
+    counts = Counter(w for chain in chains.values() for w in chain[1:])
+    steps = Counter((class_of[a], class_of[b]) for chain in chains.values() for a, b in zip(chain, chain[1:]))
+    tokens, kinds, out = Counter(), Counter(), Counter()
+    for w, m in counts.items():
+        tokens[class_of[w]] += m
+        kinds[class_of[w]] += 1
+    for (a, _), m in steps.items():
+        out[a] += m
+
+    def score(chain):
+        pairs = [(class_of[a], class_of[b], counts[b]) for a, b in zip(chain, chain[1:])]
+        return sum(math.log10((steps[a, b] + 1) / (out[a] + n)) + math.log10((m + 1) / (tokens[b] + kinds[b] + 1)) for a, b, m in pairs)
+
+    assert {r.doc_id: r.score for r in got} == pytest.approx({i: score(chain) for i, chain in chains.items()})
+
+
 # Licences
 
 
