@@ -42,9 +42,10 @@ MOVED = 8192
 ENDINGS = 2048
 HEAD = 1_000_000
 LEAST = 5  # occurrences of a word that leaves its ending's unit
-HELD_WORDS = 4_000_000  # tokens a task counts at once
-HELD_NEIGHBOURS = 2_000_000  # the same, of neighbours
+HELD_WORDS = 1_000_000  # tokens a task counts at once
+HELD_NEIGHBOURS = 1_000_000  # the same, of neighbours
 SENT = 1 << 16  # rows of a batch
+SPAN = 4096  # words whose neighbours are in a task at once
 BLOCKS = 64
 END = 0  # its unit and its class
 UNITS = 1 + MOVED + ENDINGS
@@ -303,20 +304,18 @@ def _own_classes(codes: DataFrame, code_class: np.ndarray, loose: np.ndarray, tr
 
     gains = _likeliest(transitions)
 
-    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in (batch.slice(i, 4096) for i in range(0, batch.num_rows, 4096)):
-                cells = part.column("cells")
-                row = np.repeat(np.arange(part.num_rows), np.diff(cells.offsets.to_numpy()))
-                flat = cells.flatten()
-                sums = np.zeros((part.num_rows, sides))
-                sums[row, flat.field("cell").to_numpy()] = flat.field("n").to_numpy()
-                best = gains(sums[:, :CLASSES], sums[:, CLASSES:]).argmax(1)
-                yield pa.RecordBatch.from_arrays([part.column("code"), pa.array(best.astype(np.int32))], names=["code", "class"])
+    def chosen(part: pa.Table) -> pa.Table:
+        code = part.column("code").to_numpy()
+        first = code[0] // SPAN * SPAN
+        sums = np.zeros((SPAN, sides))
+        sums[code - first, part.column("cell").to_numpy()] = part.column("n").to_numpy()
+        own = np.unique(code)
+        best = gains(sums[:, :CLASSES], sums[:, CLASSES:]).argmax(1)[own - first]
+        return pa.table({"code": pa.array(own, pa.int32()), "class": pa.array(best, pa.int32())})
 
     sums = codes.mapInArrow(counted, "code int, cell int, n long").groupBy("code", "cell").agg(F.sum("n").alias("n"))
-    by_word = sums.groupBy("code").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))  # 2 * CLASSES cells at most
-    out = by_word.mapInArrow(chosen, "code int, class int").toArrow()
+    # A group has SPAN * sides rows at most, whatever the corpus.
+    out = sums.groupBy(F.expr(f"code div {SPAN}").alias("block")).applyInArrow(chosen, "code int, class int").toArrow()
     sent.unpersist()
     return out
 
