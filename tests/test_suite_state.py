@@ -58,3 +58,17 @@ def test_checks_of_lengths_equal_checks_of_arrays(inputs):
     ]
     assert both[0] == both[1]
     assert {r.test_id for r in both[0] if r.status == "FAIL"} >= {"T05", "T08"}
+
+
+@pytest.mark.parametrize("with_arrays", [False, True])
+def test_no_arrays_of_days_are_sorted_or_collected(spark, inputs, with_arrays):
+    fields = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(fields)
+    spark.conf.set(fields, "1000")
+    try:
+        plan = inputs.states(with_arrays=with_arrays)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    finally:
+        spark.conf.set(fields, before)
+    window = next(i for i, line in enumerate(plan) if "Window" in line)
+    assert any("array_repeat" in line for line in plan[:window])
+    assert not any("array_repeat" in line for line in plan[window:])
