@@ -42,7 +42,7 @@ MOVED = 8192
 ENDINGS = 2048
 HEAD = 1_000_000
 LEAST = 5  # occurrences of a word that leaves its ending's unit
-HELD_WORDS = 1_000_000  # tokens a task counts at once
+HELD_WORDS = 1 << 18  # different words of slices, with counts, that a task holds at once
 HELD_NEIGHBOURS = 1_000_000  # the same, of neighbours
 SENT = 1 << 16  # rows of a batch
 SPAN = 4096  # words whose neighbours are in a task at once
@@ -140,23 +140,32 @@ def _endings(words: Words) -> np.ndarray:
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's words; texts in a row without a word."""
-    held, endings, size, texts_seen = [], [], 0, 0
+    """Counts of a task's words; texts in a row without a word.
+
+    Each slice of the texts is counted by itself, so that only different words and their counts are held.
+    """
+    held, size, texts_seen = [], 0, 0
 
     def flushed() -> pa.RecordBatch:
-        words, first, n = np.unique(np.concatenate(held), return_index=True, return_counts=True)
-        zero = np.zeros(len(words), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(np.concatenate(endings)[first]), pa.array(n.astype(np.int64)), pa.array(zero)], names=["word", "ending", "n", "texts"])
+        words, endings, n = (np.concatenate(part) for part in zip(*held))
+        order = np.argsort(words, kind="stable")
+        words = words[order]
+        first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+        zero = np.zeros(len(first), np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words[first].view(np.int64)), pa.array(endings[order[first]]), pa.array(np.add.reduceat(n[order], first)), pa.array(zero)],
+            names=["word", "ending", "n", "texts"],
+        )
 
     for _, texts in chunks(batches):
         words = Words(texts)
-        held.append(words.hashes)
-        endings.append(_endings(words))
-        size += len(words.hashes)
+        distinct, first, n = np.unique(words.hashes, return_index=True, return_counts=True)
+        held.append((distinct, _endings(words)[first], n.astype(np.int64)))
+        size += len(distinct)
         texts_seen += len(texts)
         if size > HELD_WORDS:
             yield flushed()
-            held, endings, size = [], [], 0
+            held, size = [], 0
     if size:
         yield flushed()
     yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([0]), pa.array([texts_seen])], names=["word", "ending", "n", "texts"])

@@ -20,7 +20,7 @@ NOT_SPACE = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
 LETTERS = np.array([b >= 0x80 or chr(b).isdigit() or "a" <= chr(b) <= "z" for b in range(256)])
 
 CHUNK_BYTES = 1 << 20  # texts joined at once; a longer text is a chunk by itself
-PIECE_BYTES = 1 << 20  # of a chunk that are hashed at once, so that long texts need little more than their words
+PIECE_BYTES = 1 << 18  # of a chunk that are hashed at once, so that long texts need little more than their words
 _STEP = np.uint64(0x9E3779B97F4A7C17)
 _STEP_BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 
